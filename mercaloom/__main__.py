@@ -5,8 +5,11 @@ from __future__ import annotations
 import argparse
 import datetime
 
+from pyspark.sql import SparkSession
+
 from .operators.integrity import check_integrity
 from .operators.profile import profile, render_profile
+from .operators.storage import drop_intermediates
 from .plans import pipeline
 from .plans.dimensions import CALENDAR_END, CALENDAR_START
 from .session import build_session
@@ -23,20 +26,25 @@ def main(arguments: list[str] | None = None) -> None:
     day = datetime.date.fromisoformat
     parser.add_argument("--start", type=day, default=CALENDAR_START, help="first calendar day")
     parser.add_argument("--end", type=day, default=CALENDAR_END, help="last calendar day")
-    parser.add_argument("--unordered", action="store_true", help="number the fact without sorting")
+    parser.add_argument("--ordered", action="store_true", help="number the fact by order and line")
     args = parser.parse_args(arguments)
     if args.step in ("load", "run") and not args.data:
         parser.error("--data is needed to load")
 
     spark = build_session()
+    try:
+        _run(spark, args)
+    finally:
+        drop_intermediates(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.step == "load":
         T.load_report(T.load_all(spark, args.data, args.on_reject)).show()
         print(T.list_tables(spark, T.STAGING_DATABASE))
         return
     if args.step == "run":
-        star = pipeline.run(
-            spark, args.data, args.on_reject, args.start, args.end, not args.unordered
-        )
+        star = pipeline.run(spark, args.data, args.on_reject, args.start, args.end, args.ordered)
         T.load_report(star).show()
         return
     staging = T.saved_tables(spark, T.STAGING_DATABASE, STAGING)
@@ -44,9 +52,7 @@ def main(arguments: list[str] | None = None) -> None:
         for name in args.tables:
             render_profile(profile(staging[name], name)).show(truncate=False)
     elif args.step == "build":
-        star = pipeline.build_warehouse(
-            spark, staging, args.start, args.end, not args.unordered
-        )
+        star = pipeline.build_warehouse(spark, staging, args.start, args.end, args.ordered)
         T.load_report(star).show()
     else:
         star = T.saved_tables(spark, T.WAREHOUSE_DATABASE, WAREHOUSE)

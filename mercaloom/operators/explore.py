@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keys import running_offsets
 from .storage import materialize
 
 
@@ -141,18 +140,18 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     )
     ranged = counted.repartitionByRange("v").withColumn("part", F.spark_partition_id())
     stored = materialize(ranged, f"describe-{column}")
-    per_part = stored.groupBy("part").agg(
-        F.sum("n").alias("rows"), F.sum(F.col("v") * F.col("n")).alias("total")
-    )
-    # One row per partition.
+    # The windows without a key see one row per partition.
     everything = Window.partitionBy()
-    offsets = running_offsets(per_part, "part", "rows", "before").join(
-        per_part.select(
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        stored.groupBy("part")
+        .agg(F.sum("n").alias("rows"), F.sum(F.col("v") * F.col("n")).alias("total"))
+        .select(
             "part",
+            F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
             F.sum("rows").over(everything).alias("row_total"),
             F.sum("total").over(everything).alias("value_total"),
-        ),
-        "part",
+        )
     )
     in_part = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     placed = stored.join(F.broadcast(offsets), "part").select(

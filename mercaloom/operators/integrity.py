@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..sources.schemas import ForeignKey, Table
 
+Tables = Mapping[str, DataFrame]
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -17,45 +20,44 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def orphan_counts(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child keys without a parent row, with their number of rows. A NULL key has no parent.
 
-    The child is counted per key first, so the anti-join meets every key once.
+    Both sides shrink to one row per key before they are shuffled, so the anti-join meets every key
+    once, however many rows share it.
     """
     counted = child.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
-    return counted.join(parent.select(key), key, "left_anti")
-
-
-def unreferenced(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
-    """Parent rows that no child row names; the child shrinks to its distinct keys first."""
-    return parent.join(child.select(key).distinct(), key, "left_anti")
+    return counted.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def unreferenced_count(parent: DataFrame, child: DataFrame, key: str, name: str) -> DataFrame:
-    rows = unreferenced(parent.select(key), child, key)
-    return rows.agg(F.count(F.lit(1)).alias(name))
+    """Number of parent rows that no child row names."""
+    return orphan_counts(parent, child, key).agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias(name))
 
 
 def missing_count(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.agg(F.count_if(F.col(column).isNull()).alias(name))
 
 
-def check_integrity(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All reference checks of the raw tables, by name."""
-    orders, items = staging["orders"], staging["order_items"]
-    customers = staging["customers"]
-    return {
-        "orphan_payments": orphan_counts(staging["payments"], orders, "order_id"),
-        "orphan_order_items": orphan_counts(items, orders, "order_id"),
-        "orphan_reviews": orphan_counts(staging["reviews"], orders, "order_id"),
-        "inactive_sellers": unreferenced_count(
-            staging["sellers"], items, "seller_id", "inactive_sellers"
-        ),
-        "unsold_products": unreferenced_count(
-            staging["products"], items, "product_id", "unsold_products"
-        ),
-        "missing_zip": missing_count(customers, "customer_zip_code_prefix", "missing_zip_count"),
-        "customers_without_orders": unreferenced_count(
-            customers, orders, "customer_id", "orphan_customers"
-        ),
-    }
+# The reference checks of the raw tables, by name.
+INTEGRITY_CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
+    "orphan_payments": lambda t: orphan_counts(t["payments"], t["orders"], "order_id"),
+    "orphan_order_items": lambda t: orphan_counts(t["order_items"], t["orders"], "order_id"),
+    "orphan_reviews": lambda t: orphan_counts(t["reviews"], t["orders"], "order_id"),
+    "inactive_sellers": lambda t: unreferenced_count(
+        t["sellers"], t["order_items"], "seller_id", "inactive_sellers"
+    ),
+    "unsold_products": lambda t: unreferenced_count(
+        t["products"], t["order_items"], "product_id", "unsold_products"
+    ),
+    "missing_zip": lambda t: missing_count(
+        t["customers"], "customer_zip_code_prefix", "missing_zip_count"
+    ),
+    "customers_without_orders": lambda t: unreferenced_count(
+        t["customers"], t["orders"], "customer_id", "orphan_customers"
+    ),
+}
+
+
+def check_integrity(staging: Tables) -> dict[str, DataFrame]:
+    return {name: check(staging) for name, check in INTEGRITY_CHECKS.items()}
 
 
 def primary_key_violations(df: DataFrame, key: str) -> DataFrame:
@@ -64,7 +66,7 @@ def primary_key_violations(df: DataFrame, key: str) -> DataFrame:
     return counted.where((F.col("cnt") > 1) | F.col(key).isNull())
 
 
-def primary_key_report(tables: dict[str, DataFrame], declared: dict[str, Table]) -> DataFrame:
+def primary_key_report(tables: Tables, declared: dict[str, Table]) -> DataFrame:
     parts = []
     for name, table in declared.items():
         bad = primary_key_violations(tables[name], table.key)
@@ -90,7 +92,7 @@ def foreign_key_violations(
     )
 
 
-def foreign_key_report(tables: dict[str, DataFrame], keys: tuple[ForeignKey, ...]) -> DataFrame:
+def foreign_key_report(tables: Tables, keys: tuple[ForeignKey, ...]) -> DataFrame:
     parts = []
     for fk in keys:
         bad = foreign_key_violations(
@@ -120,7 +122,7 @@ def not_null_violations(df: DataFrame, table: Table) -> DataFrame:
     return row.select(F.lit(table.name).alias("table_name"), F.inline(found))
 
 
-def not_null_report(tables: dict[str, DataFrame], declared: dict[str, Table]) -> DataFrame:
+def not_null_report(tables: Tables, declared: dict[str, Table]) -> DataFrame:
     return _union([not_null_violations(tables[n], t) for n, t in declared.items()])
 
 
@@ -147,5 +149,5 @@ def length_violations(df: DataFrame, table: Table) -> DataFrame:
     return row.select(F.lit(table.name).alias("table_name"), F.inline(found))
 
 
-def length_report(tables: dict[str, DataFrame], declared: dict[str, Table]) -> DataFrame:
+def length_report(tables: Tables, declared: dict[str, Table]) -> DataFrame:
     return _union([length_violations(tables[n], t) for n, t in declared.items() if t.limited])

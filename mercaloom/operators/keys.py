@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,26 +14,20 @@ from .storage import materialize
 POSITION_BITS = 33
 
 
-def running_offsets(counts: DataFrame, part: str, size: str, before: str) -> DataFrame:
-    """Rows in earlier parts. One input row per partition, so the global window is tiny."""
-    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(part, F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias(before))
-
-
 def _number_in_place(df: DataFrame, name: str) -> DataFrame:
-    """1..n in the order of `df`'s partitions and of the rows inside them."""
+    """1..n in the order of `df`'s partitions and of the rows inside them.
+
+    The driver sees one count per written partition and turns them into a constant array, so reading
+    the numbers needs no join, and a query that does not use them does not compute them.
+    """
     stored = materialize(df.withColumn("_position", F.monotonically_increasing_id()), name)
-    part = F.shiftright("_position", POSITION_BITS).alias("_part")
-    counts = stored.groupBy(part).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = running_offsets(counts, "_part", "_rows", "_before")
+    part = F.shiftright("_position", POSITION_BITS).cast("int")
+    sizes = dict(stored.groupBy(part.alias("part")).count().collect())
+    before = accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0))), initial=0)
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
     position = F.col("_position").bitwiseAND((1 << POSITION_BITS) - 1)
-    # The broadcast side has one row per written partition.
-    return (
-        stored.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + position + 1)
-        .select(name, *df.columns)
-    )
+    number = F.element_at(offsets, part + 1) + position + 1
+    return stored.withColumn(name, number).select(name, *df.columns)
 
 
 def ordered_row_number(df: DataFrame, name: str, *order: str) -> DataFrame:

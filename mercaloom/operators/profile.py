@@ -80,27 +80,26 @@ def profile(
 ) -> DataFrame:
     """Statistics of all columns in one scan and one large shuffle.
 
-    The table is turned into (column, value) pairs, which are counted; the counts are combined before
-    the shuffle, so a frequent value costs no more than a rare one. Every statistic follows from the
+    The table is turned into (column number, value) pairs, which are counted; counts are combined
+    before the shuffle, so a frequent value costs no more than a rare one. Every statistic follows from the
     distinct values and their counts; dates are parsed and numbers compared once per distinct value.
     """
-    kinds = {f.name: column_kind(f.name, f.dataType, date_columns) for f in df.schema.fields}
+    fields = df.schema.fields
+    kinds = [column_kind(f.name, f.dataType, date_columns) for f in fields]
     pairs = F.array(
         *[
             F.struct(
-                F.lit(f.name).alias("column_name"),
+                F.lit(i).alias("c"),
                 F.when(F.col(f.name).isNotNull(), _as_text(f.name, f.dataType)).alias("value"),
             )
-            for f in df.schema.fields
+            for i, f in enumerate(fields)
         ]
     )
-    counted = (
-        df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+    counted = df.select(F.inline(pairs)).groupBy("c", "value").agg(F.count(F.lit(1)).alias("n"))
 
     def of_kind(*wanted: str) -> Column:
-        names = [c for c, kind in kinds.items() if kind in wanted]
-        return F.col("column_name").isin(*names) if names else F.lit(False)
+        numbers = [i for i, kind in enumerate(kinds) if kind in wanted]
+        return F.col("c").isin(*numbers) if numbers else F.lit(False)
 
     value, n = F.col("value"), F.col("n")
     ordered_text, exact, floating = of_kind(MOMENT, DATE_TEXT), of_kind(EXACT), of_kind(FLOATING)
@@ -108,7 +107,7 @@ def profile(
     present = value.isNotNull()
 
     typed = counted.select(
-        "column_name",
+        "c",
         "value",
         "n",
         F.when(ordered_text, value).alias("as_text"),
@@ -117,7 +116,7 @@ def profile(
         F.when(text & present, X.text_length(value) * n).alias("length_sum"),
         F.when(of_kind(DATE_TEXT), X.is_invalid_date(value)).alias("invalid"),
     )
-    stats = typed.groupBy("column_name").agg(
+    stats = typed.groupBy("c").agg(
         F.sum("n").alias("total_rows"),
         F.count("value").alias("distinct_cnt"),
         F.sum(F.when(~present, n).otherwise(0)).alias("null_cnt"),
@@ -134,7 +133,7 @@ def profile(
         F.sum(F.when(F.col("invalid"), n).otherwise(0)).alias("invalid"),
     )
     # A table without rows still has a line per column.
-    names = F.explode(F.array(*[F.lit(c) for c in kinds])).alias("column_name")
+    names = F.posexplode(F.array(*[F.lit(f.name) for f in fields])).alias("c", "column_name")
     every_column = df.sparkSession.range(0, 1, 1, 1).select(names)
 
     def whole(column: str) -> Column:
@@ -146,7 +145,7 @@ def profile(
         return F.when(of_kind(MOMENT), moment_layout).otherwise(shown)
 
     # Both sides have one row per column.
-    return every_column.join(F.broadcast(stats), "column_name", "left").select(
+    return every_column.join(F.broadcast(stats), "c", "left").select(
         F.lit(table_name).alias("table_name"),
         "column_name",
         whole("total_rows").alias("total_rows"),

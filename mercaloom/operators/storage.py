@@ -25,6 +25,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/mercaloom/{spark.sparkContext.applicationId}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete what this application has materialized, once its results are saved elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 
@@ -32,13 +42,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     and reads only the columns it needs.
     """
     spark = df.sparkSession
-    path = "/".join(
-        [
-            shared_folder(spark).rstrip("/"),
-            "mercaloom",
-            spark.sparkContext.applicationId,
-            f"{label}-{uuid.uuid4().hex}",
-        ]
-    )
+    path = f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from ..operators import explore as E
 from ..operators import integrity as I
 from ..operators.profile import profile
-from ..sources.fixtures import read_source_tables, staging_tables
+from ..sources.fixtures import StagingTables, read_source_tables
 from ..sources.schemas import FOREIGN_KEYS, STAGING
 from ..sources.tables import load_report
 from . import fact, kpis
 from .dimensions import build_dim_customer, build_dim_date, build_dim_product, build_dim_seller
-from .pipeline import constraint_reports
+from .pipeline import CONSTRAINT_REPORTS
 
 # The test orders lie between these days, outside the default calendar.
 TEST_CALENDAR = (datetime.date(1995, 1, 1), datetime.date(2002, 12, 31))
@@ -36,19 +36,19 @@ class Workspace:
         self.spark, self.folder = spark, folder
 
     @cached_property
-    def staging(self) -> dict[str, DataFrame]:
-        return staging_tables(read_source_tables(self.spark, self.folder))
+    def staging(self) -> StagingTables:
+        return StagingTables(read_source_tables(self.spark, self.folder))
 
     @cached_property
     def calendar(self) -> DataFrame:
         return build_dim_date(self.spark, *TEST_CALENDAR)
 
-    def new_star(self) -> dict[str, DataFrame]:
-        return fact.build_star(self.staging, self.calendar)
+    def new_star(self, ordered: bool) -> dict[str, DataFrame]:
+        return fact.build_star(self.staging, self.calendar, ordered)
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:
-        return self.new_star()
+        return self.new_star(ordered=False)
 
 
 def _input_version(spark: SparkSession, folder: str) -> tuple:
@@ -58,39 +58,46 @@ def _input_version(spark: SparkSession, folder: str) -> tuple:
     return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found)
 
 
+class Workspaces:
+    """The workspaces of one run."""
+
+    def __init__(self):
+        self._known: dict[tuple, Workspace] = {}
+
+    def get(self, spark: SparkSession, folder: str) -> Workspace:
+        version = _input_version(spark, folder)
+        key = (spark.sparkContext.applicationId, folder, version)
+        return self._known.setdefault(key, Workspace(spark, folder))
+
+
 def _rounded(df: DataFrame, *columns: str, digits: int = 4) -> DataFrame:
     """Means depend on the order of addition in the last digits."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def queries() -> dict[str, Query]:
-    workspaces: dict[tuple, Workspace] = {}
+def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
+    known = workspaces or Workspaces()
 
     def on_workspace(job: Callable[[Workspace], DataFrame]) -> Query:
-        def run(spark: SparkSession, folder: str) -> DataFrame:
-            version = _input_version(spark, folder)
-            key = (spark.sparkContext.applicationId, folder, version)
-            return job(workspaces.setdefault(key, Workspace(spark, folder)))
+        return lambda spark, folder: job(known.get(spark, folder))
 
-        return run
-
-    def staged(job: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    def staged(job: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
         return on_workspace(lambda w: job(w.staging))
 
-    def starred(job: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+    def starred(job: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
         return on_workspace(lambda w: job(w.star))
 
     def profiled(name: str) -> Query:
         return staged(lambda s: _rounded(profile(s[name], name), "avg_val"))
 
     def integrity(name: str) -> Query:
-        return staged(lambda s: I.check_integrity(s)[name])
+        return staged(I.INTEGRITY_CHECKS[name])
 
     def constraint(name: str) -> Query:
-        return on_workspace(lambda w: constraint_reports(w.staging, w.star)[name])
+        return on_workspace(lambda w: CONSTRAINT_REPORTS[name]({**w.staging, **w.star}))
 
     def coverage(child: str, parent: str, key: str, *names: str) -> Query:
-        def job(s: dict[str, DataFrame]) -> DataFrame:
+        def job(s: Mapping[str, DataFrame]) -> DataFrame:
             counted = E.key_coverage(s[child], s[parent], key, *names[:2])
             return E.with_difference(counted, *names) if len(names) > 2 else counted
 
@@ -99,7 +106,7 @@ def queries() -> dict[str, Query]:
     def missing(name: str) -> Query:
         return staged(lambda s: E.columns_with_missing(s[name]))
 
-    def missing_summary(s: dict[str, DataFrame]) -> DataFrame:
+    def missing_summary(s: Mapping[str, DataFrame]) -> DataFrame:
         return E.missing_totals(s["orders"], "orders").unionByName(
             E.missing_totals(s["products"], "products")
         )
@@ -120,32 +127,13 @@ def queries() -> dict[str, Query]:
         ),
         "payment_per_order": staged(lambda s: fact.payment_per_order(s["payments"])),
         "review_per_order": staged(lambda s: fact.review_per_order(s["reviews"])),
-        "fact_sales": on_workspace(lambda w: w.new_star()["fact_sales"]),
+        "fact_sales": on_workspace(lambda w: w.new_star(ordered=True)["fact_sales"]),
         # integrity
-        **{
-            name: integrity(name)
-            for name in (
-                "orphan_payments",
-                "orphan_order_items",
-                "orphan_reviews",
-                "inactive_sellers",
-                "unsold_products",
-                "customers_without_orders",
-                "missing_zip",
-            )
-        },
+        **{name: integrity(name) for name in I.INTEGRITY_CHECKS},
         # column profiles
         **{f"profile_{name}": profiled(name) for name in STAGING},
         # declared constraints
-        **{
-            name: constraint(name)
-            for name in (
-                "pk_violations",
-                "fk_violations",
-                "not_null_violations",
-                "length_violations",
-            )
-        },
+        **{name: constraint(name) for name in CONSTRAINT_REPORTS},
         "fk_violations_default_calendar": on_workspace(default_calendar),
         # exploration
         "load_report": on_workspace(lambda w: load_report({**w.staging, **w.star})),

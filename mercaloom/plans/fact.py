@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,8 +64,8 @@ def order_measures(orders: DataFrame) -> DataFrame:
 
 
 def sales_lines(
-    staging: dict[str, DataFrame],
-    dims: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """The fact without its own key.
@@ -123,15 +125,15 @@ def sales_lines(
 
 
 def build_fact_sales(
-    staging: dict[str, DataFrame],
-    dims: dict[str, DataFrame],
-    ordered: bool = True,
+    staging: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
+    ordered: bool = False,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """The complete fact.
 
-    Its key may be any numbering. `ordered` numbers by order and line, which costs a range shuffle
-    and keeps the lines of an order together; without it the rows are numbered where they are.
+    Its key may be any numbering without repeats. By default the rows are numbered where they are;
+    `ordered` numbers by order and line, the same on every run, and costs a range shuffle.
     """
     lines = sales_lines(staging, dims, min_hot_rows)
     if ordered:
@@ -140,9 +142,9 @@ def build_fact_sales(
 
 
 def build_star(
-    staging: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
     dim_date: DataFrame,
-    ordered: bool = True,
+    ordered: bool = False,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> dict[str, DataFrame]:
     """Dimensions first, then the fact that refers to them."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,13 +27,15 @@ from .dimensions import (
 )
 from .fact import build_fact_sales
 
+DECLARED = {**STAGING, **WAREHOUSE}
+
 
 def build_warehouse(
     spark: SparkSession,
-    staging: dict[str, DataFrame],
+    staging: Mapping[str, DataFrame],
     start: datetime.date = CALENDAR_START,
     end: datetime.date = CALENDAR_END,
-    ordered: bool = True,
+    ordered: bool = False,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> dict[str, DataFrame]:
     """Save the dimensions, then the fact built from the saved dimensions. May be run again."""
@@ -55,22 +58,25 @@ def build_warehouse(
     return star
 
 
+# Everything the tables declare, as checks on the raw tables and the star schema together.
+CONSTRAINT_REPORTS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
+    "pk_violations": lambda tables: primary_key_report(tables, WAREHOUSE),
+    "fk_violations": lambda tables: foreign_key_report(tables, FOREIGN_KEYS),
+    "not_null_violations": lambda tables: not_null_report(
+        tables, {n: t for n, t in DECLARED.items() if t.required}
+    ),
+    "length_violations": lambda tables: length_report(tables, DECLARED),
+}
+
+
 def constraint_reports(
-    staging: dict[str, DataFrame], star: dict[str, DataFrame]
+    staging: Mapping[str, DataFrame], star: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """Everything the tables declare, as checks."""
-    tables, declared = {**staging, **star}, {**STAGING, **WAREHOUSE}
-    return {
-        "pk_violations": primary_key_report(star, WAREHOUSE),
-        "fk_violations": foreign_key_report(star, FOREIGN_KEYS),
-        "not_null_violations": not_null_report(
-            tables, {n: t for n, t in declared.items() if t.required}
-        ),
-        "length_violations": length_report(tables, declared),
-    }
+    tables = {**staging, **star}
+    return {name: report(tables) for name, report in CONSTRAINT_REPORTS.items()}
 
 
-def save_kpis(star: dict[str, DataFrame], orders: DataFrame) -> dict[str, DataFrame]:
+def save_kpis(star: Mapping[str, DataFrame], orders: DataFrame) -> dict[str, DataFrame]:
     """Save every figure as a small table beside the star schema."""
     frames = kpis.kpi_frames(star, orders)
     return {name: T.save_table(df, T.WAREHOUSE_DATABASE, name) for name, df in frames.items()}
@@ -82,7 +88,7 @@ def run(
     on_reject: str = "fail",
     start: datetime.date = CALENDAR_START,
     end: datetime.date = CALENDAR_END,
-    ordered: bool = True,
+    ordered: bool = False,
 ) -> dict[str, DataFrame]:
     """Load the CSV files of `folder`, build the star schema and save the figures."""
     staging = T.load_all(spark, folder, on_reject)

@@ -6,6 +6,8 @@ bad dates and ties, so that every check has something to find.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,18 +189,37 @@ def _geolocation(customer: DataFrame, places: DataFrame) -> DataFrame:
     )
 
 
-def staging_tables(source: dict[str, DataFrame], min_hot_rows: int = MIN_HOT_ROWS):
-    """The nine raw tables, lazily: a query computes only the columns it uses."""
-    base = _order_base(source["orders"])
-    places = _places(source["nation"], source["region"])
-    return {
-        "orders": _orders(base),
-        "order_items": _order_items(source["lineitem"], min_hot_rows),
-        "customers": _customers(source["orders"], source["customer"], places, min_hot_rows),
-        "products": _products(source["part"]),
-        "sellers": _sellers(source["supplier"], places),
-        "payments": _payments(base),
-        "reviews": _reviews(base),
-        "category_translation": _category_translation(source["part"]),
-        "geolocation": _geolocation(source["customer"], places),
-    }
+class StagingTables(Mapping):
+    """The nine raw tables, each set up when it is first asked for.
+
+    They are not stored: a query computes only the columns it uses.
+    """
+
+    def __init__(self, source: dict[str, DataFrame], min_hot_rows: int = MIN_HOT_ROWS):
+        base = _order_base(source["orders"])
+        places = _places(source["nation"], source["region"])
+        self._recipes = {
+            "orders": lambda: _orders(base),
+            "order_items": lambda: _order_items(source["lineitem"], min_hot_rows),
+            "customers": lambda: _customers(
+                source["orders"], source["customer"], places, min_hot_rows
+            ),
+            "products": lambda: _products(source["part"]),
+            "sellers": lambda: _sellers(source["supplier"], places),
+            "payments": lambda: _payments(base),
+            "reviews": lambda: _reviews(base),
+            "category_translation": lambda: _category_translation(source["part"]),
+            "geolocation": lambda: _geolocation(source["customer"], places),
+        }
+        self._tables: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._recipes[name]()
+        return self._tables[name]
+
+    def __iter__(self):
+        return iter(self._recipes)
+
+    def __len__(self) -> int:
+        return len(self._recipes)

@@ -36,9 +36,9 @@ def small():
 
 @pytest.fixture(scope="session")
 def staging(spark, small):
-    from mercaloom.sources.fixtures import read_source_tables, staging_tables
+    from mercaloom.sources.fixtures import StagingTables, read_source_tables
 
-    return staging_tables(read_source_tables(spark, small))
+    return StagingTables(read_source_tables(spark, small))
 
 
 def rows_of(df):

@@ -132,7 +132,7 @@ def test_star_with_hot_keys_equals_star_without(spark, small):
     from mercaloom.plans.dimensions import build_dim_date
     from mercaloom.plans.fact import build_star
     from mercaloom.plans.kpis import revenue_by_category_state
-    from mercaloom.sources.fixtures import read_source_tables, staging_tables
+    from mercaloom.sources.fixtures import StagingTables, read_source_tables
 
     calendar = build_dim_date(spark, datetime.date(1995, 1, 1), datetime.date(2002, 12, 31))
     source = read_source_tables(spark, small)
@@ -151,8 +151,8 @@ def test_star_with_hot_keys_equals_star_without(spark, small):
     )
     results = []
     for min_rows in (100, 10**9):
-        staged = staging_tables(source, min_rows)
-        star = build_star(staged, calendar, min_hot_rows=min_rows)
+        staged = StagingTables(source, min_rows)
+        star = build_star(staged, calendar, ordered=True, min_hot_rows=min_rows)
         results.append(
             [rows_of(star[t]) for t in sorted(star)]
             + [rows_of(revenue_by_category_state(star, min_rows))]

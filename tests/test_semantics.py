@@ -150,7 +150,7 @@ def tiny_star(spark, scores=(), orders=None, items=None):
         ),
         "category_translation": frame(spark, "category_translation"),
     }
-    return fact.build_star(staging, build_dim_date(spark))
+    return fact.build_star(staging, build_dim_date(spark), ordered=True)
 
 
 @pytest.mark.parametrize(
