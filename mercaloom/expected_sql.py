@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from mercaloom.operators.profile import DATE_TEXT, EXACT, TEXT, column_kind
-from mercaloom.sources.schemas import STAGING, WAREHOUSE
+from .operators.profile import DATE_TEXT, EXACT, TEXT, column_kind
+from .sources.schemas import STAGING, WAREHOUSE
 
 # The nine raw tables, derived from the test tables.
 STAGING_CTES = """
@@ -274,7 +274,7 @@ def _top_lines(dim: str, key: str, label: str) -> str:
     )
 
 
-def oracle_queries() -> dict[str, str]:
+def expected_sql() -> dict[str, str]:
     bodies = {
         "dim_date": "select cast(strftime(d, '%Y%m%d') as int) date_key, cast(d as date) full_date"
         " from generate_series(timestamp '2016-01-01', timestamp '2021-01-01', interval '1' day) s(d)",
