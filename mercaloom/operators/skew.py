@@ -11,25 +11,35 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 # A key below this many rows never makes a task too large, whatever its share.
 MIN_HOT_ROWS = 1_000_000
-# Keys above 1/1000 of all rows are hot, so there are never more than 1000 of them.
-HOT_SHARE = 0.001
-MAX_HOT_KEYS = 1000
-# Counters of the heavy-hitter sketch; its error is a small fraction of HOT_SHARE.
-SKETCH_COUNTERS = 50_000
+# Keys above this share of all rows are hot, so there are never more than MAX_HOT_KEYS of them.
+HOT_SHARE = 0.0002
+MAX_HOT_KEYS = 5000
+# Counters of the heavy-hitter sketch; its error is a fraction of HOT_SHARE.
+SKETCH_COUNTERS = 100_000
+# A parent of at most this many rows is broadcast: with keys and labels of declared length, about
+# 40 MB. Larger ones are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The heavy values of one column, each with the number of tasks it should be spread over."""
+    """The heavy values of one column, each with the number of tasks to spread it over."""
 
     spread: dict = field(default_factory=dict)
-    tasks: int = 1
+    null_spread: int = 1
 
     def __bool__(self) -> bool:
-        return bool(self.spread)
+        return bool(self.spread) or self.null_spread > 1
 
-    def __contains__(self, value) -> bool:
-        return value in self.spread
+
+@dataclass(frozen=True)
+class Lookup:
+    """A parent to be joined. `measurable` says that counting its rows is cheap."""
+
+    key: str
+    parent: DataFrame
+    how: str = "inner"
+    measurable: bool = True
 
 
 NOT_SKEWED = HotKeys()
@@ -53,17 +63,15 @@ def find_hot_keys(
     found = df.agg(*sketches).first()
     floor = max(min_rows, share * total)
     fair_share = max(total / tasks, 1)
-    return {
-        c: HotKeys(
-            {
-                entry["item"]: max(2, math.ceil(entry["count"] / fair_share))
-                for entry in found[c]
-                if entry["item"] is not None and entry["count"] >= floor
-            },
-            tasks,
-        )
-        for c in columns
-    }
+    hot = {}
+    for c in columns:
+        spread = {
+            entry["item"]: max(2, math.ceil(entry["count"] / fair_share))
+            for entry in found[c]
+            if entry["count"] >= floor
+        }
+        hot[c] = HotKeys(null_spread=spread.pop(None, 1), spread=spread)
+    return hot
 
 
 def skew_safe_join(
@@ -80,7 +88,7 @@ def skew_safe_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"not supported: {how}")
-    if not hot:
+    if not (hot if how == "left" else hot.spread):  # an inner join drops rows without a key
         return left.join(right, key, how)
 
     slots = F.broadcast(  # at most MAX_HOT_KEYS rows
@@ -90,7 +98,9 @@ def skew_safe_join(
         )
     )
     # Rows without a key match nothing; a left join keeps them, so they are spread as well.
-    slot_count = F.when(F.col(key).isNull(), hot.tasks).otherwise(F.coalesce("_slots", F.lit(1)))
+    slot_count = F.when(F.col(key).isNull(), hot.null_spread).otherwise(
+        F.coalesce("_slots", F.lit(1))
+    )
     place = F.xxhash64(*left.columns, "_source_partition")
     salted_left = (
         left.withColumn("_source_partition", F.spark_partition_id())
@@ -104,3 +114,19 @@ def skew_safe_join(
         .drop("_slots")
     )
     return salted_left.join(salted_right, [key, "_slot"], how).drop("_slot")
+
+
+def look_up(left: DataFrame, *lookups: Lookup, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Join parents one after another. Small ones are broadcast, which no hot key can disturb; one
+    sketch pass over the keys of the others decides how their joins are spread."""
+    small = [
+        lookup.measurable and lookup.parent.count() <= BROADCAST_ROWS for lookup in lookups
+    ]
+    shuffled = {lookup.key for lookup, is_small in zip(lookups, small) if not is_small}
+    hot = find_hot_keys(left, *sorted(shuffled), min_rows=min_rows) if shuffled else {}
+    for lookup, is_small in zip(lookups, small):
+        if is_small:
+            left = left.join(F.broadcast(lookup.parent), lookup.key, lookup.how)
+        else:
+            left = skew_safe_join(left, lookup.parent, lookup.key, lookup.how, hot[lookup.key])
+    return left

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators.keys import ordered_row_number
-from ..operators.skew import MIN_HOT_ROWS, find_hot_keys, skew_safe_join
+from ..operators.skew import MIN_HOT_ROWS, Lookup, look_up
 
 # First and last day of the calendar, both included.
 CALENDAR_START = datetime.date(2016, 1, 1)
@@ -53,8 +53,8 @@ def build_dim_product(
 ) -> DataFrame:
     """Products with their category in both languages, 'Unknown' where there is none."""
     category = "product_category_name"
-    hot = find_hot_keys(products, category, min_rows=min_hot_rows)[category]
-    rows = skew_safe_join(products, translation, category, "left", hot).select(
+    words = Lookup(category, translation, "left")
+    rows = look_up(products, words, min_rows=min_hot_rows).select(
         "product_id",
         X.or_unknown(F.col(category)).alias("category_pt"),
         X.or_unknown(F.col("product_category_name_english")).alias("category_en"),

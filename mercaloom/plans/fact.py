@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators.keys import ordered_row_number, row_identity
-from ..operators.skew import MIN_HOT_ROWS, HotKeys, find_hot_keys, skew_safe_join
+from ..operators.skew import MIN_HOT_ROWS, Lookup, look_up
 from .dimensions import build_dim_customer, build_dim_product, build_dim_seller
 
 
@@ -73,29 +73,22 @@ def sales_lines(
     Everything known per order is joined first, on rows that are one per order; the lines then look
     up product, seller and order. Payments, reviews, orders and lines share the shuffle on order_id.
     """
-    items, orders = staging["order_items"], staging["orders"]
-    hot = find_hot_keys(
-        items, "order_id", "product_id", "seller_id", min_rows=min_hot_rows
+    per_order = look_up(
+        order_measures(staging["orders"]),
+        Lookup("customer_id", dims["dim_customer"].select("customer_id", "customer_sk")),
+        Lookup("order_id", payment_per_order(staging["payments"]), "left", measurable=False),
+        Lookup("order_id", review_per_order(staging["reviews"]), "left", measurable=False),
+        min_rows=min_hot_rows,
     )
-    hot_orders = find_hot_keys(orders, "order_id", "customer_id", min_rows=min_hot_rows)
-
-    def look_up(left: DataFrame, right: DataFrame, key: str, keys: HotKeys, how: str = "inner"):
-        return skew_safe_join(left, right, key, how, keys)
-
-    customers = dims["dim_customer"].select("customer_id", "customer_sk")
-    per_order = look_up(order_measures(orders), customers, "customer_id", hot_orders["customer_id"])
-    for part in (payment_per_order(staging["payments"]), review_per_order(staging["reviews"])):
-        per_order = look_up(per_order, part, "order_id", hot_orders["order_id"], "left")
-
-    lines = items.select(
-        "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
+    lines = look_up(
+        staging["order_items"].select(
+            "order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"
+        ),
+        Lookup("product_id", dims["dim_product"].select("product_id", "product_sk")),
+        Lookup("seller_id", dims["dim_seller"].select("seller_id", "seller_sk")),
+        Lookup("order_id", per_order, measurable=False),
+        min_rows=min_hot_rows,
     )
-    products = dims["dim_product"].select("product_id", "product_sk")
-    sellers = dims["dim_seller"].select("seller_id", "seller_sk")
-    lines = look_up(lines, products, "product_id", hot["product_id"])
-    lines = look_up(lines, sellers, "seller_id", hot["seller_id"])
-    lines = look_up(lines, per_order, "order_id", hot["order_id"])
-
     price = F.col("price").cast("decimal(12,2)")
     freight = F.col("freight_value").cast("decimal(12,2)")
     return lines.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import ratio
-from ..operators.skew import MIN_HOT_ROWS, find_hot_keys, skew_safe_join
+from ..operators.skew import MIN_HOT_ROWS, Lookup, look_up
 
 MONEY_SUM = "decimal(28,2)"
 
@@ -107,11 +107,12 @@ def revenue_by_category_state(star: Star, min_hot_rows: int = MIN_HOT_ROWS) -> D
     fact = star["fact_sales"].select(
         "product_sk", "customer_sk", "line_total", "is_late", "is_delivered"
     )
-    hot = find_hot_keys(fact, "product_sk", "customer_sk", min_rows=min_hot_rows)
-    products = star["dim_product"].select("product_sk", "category_en")
-    customers = star["dim_customer"].select("customer_sk", "customer_state")
-    lines = skew_safe_join(fact, products, "product_sk", hot=hot["product_sk"])
-    lines = skew_safe_join(lines, customers, "customer_sk", hot=hot["customer_sk"])
+    lines = look_up(
+        fact,
+        Lookup("product_sk", star["dim_product"].select("product_sk", "category_en")),
+        Lookup("customer_sk", star["dim_customer"].select("customer_sk", "customer_state")),
+        min_rows=min_hot_rows,
+    )
     return lines.groupBy("category_en", "customer_state").agg(
         F.sum("line_total").cast(MONEY_SUM).alias("revenue"),
         F.count(F.lit(1)).alias("sales_lines"),

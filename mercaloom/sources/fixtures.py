@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import grouped_row_number
-from ..operators.skew import MIN_HOT_ROWS, find_hot_keys, skew_safe_join
+from ..operators.skew import MIN_HOT_ROWS, Lookup, find_hot_keys, look_up
 
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -63,9 +63,8 @@ def _customers(orders: DataFrame, customer: DataFrame, places: DataFrame, min_ro
     people = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
         "c_custkey as o_custkey", "city", "state"
     )
-    hot = find_hot_keys(orders, "o_custkey", min_rows=min_rows)["o_custkey"]
     keys = orders.select("o_custkey", "o_orderkey")
-    return skew_safe_join(keys, people, "o_custkey", hot=hot).selectExpr(
+    return look_up(keys, Lookup("o_custkey", people), min_rows=min_rows).selectExpr(
         "'c' || cast(o_orderkey as string) as customer_id",
         "'u' || cast(o_custkey as string) as customer_unique_id",
         "case when o_custkey % 83 <> 0 then cast(1000 + o_custkey * 53 % 90000 as string) end"

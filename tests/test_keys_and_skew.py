@@ -5,7 +5,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mercaloom.operators.keys import grouped_row_number, ordered_row_number, row_identity
-from mercaloom.operators.skew import NOT_SKEWED, HotKeys, find_hot_keys, skew_safe_join
+from mercaloom.operators import skew
+from mercaloom.operators.skew import (
+    NOT_SKEWED,
+    HotKeys,
+    Lookup,
+    find_hot_keys,
+    look_up,
+    skew_safe_join,
+)
 from tests.conftest import rows_of
 
 
@@ -72,6 +80,7 @@ def test_hot_keys_are_found_in_one_pass(spark, skewed):
     found = find_hot_keys(skewed, "key", "a", min_rows=1000)
     assert set(found["key"].spread) == {"hot"}
     assert found["key"].spread["hot"] >= 3  # a third of eight tasks
+    assert found["key"].null_spread == 2  # seven per cent have no key
     assert not found["a"]
 
 
@@ -100,18 +109,44 @@ def test_skewed_join_spreads_the_hot_key(spark, skewed):
     try:
         hot_rows = skewed.where("key = 'hot'")
         plain = skew_safe_join(hot_rows, right, "key")
-        salted = skew_safe_join(hot_rows, right, "key", hot=HotKeys({"hot": 64}, 8))
+        salted = skew_safe_join(hot_rows, right, "key", hot=HotKeys({"hot": 64}))
         assert len(spread_of(plain)) == 1
         assert len(spread_of(salted)) == 8
         assert max(spread_of(salted)) < 10_000 // 3
         copies = hot_rows.select("key")
-        spread = skew_safe_join(copies, right, "key", hot=HotKeys({"hot": 64}, 8))
+        spread = skew_safe_join(copies, right, "key", hot=HotKeys({"hot": 64}))
         assert len(spread_of(spread)) >= 4
     finally:
         for n, value in before.items():
             spark.conf.set(n, value)
 
 
+def test_rows_without_a_key_spread_in_a_left_join(spark):
+    left = spark.range(0, 30_000, 1, 8).selectExpr("if(id % 3 = 0, 'k' || id, null) key", "id")
+    right = spark.createDataFrame([("k3", 1)], "key string, c int")
+    hot = find_hot_keys(left, "key", min_rows=1000)["key"]
+    assert hot and not hot.spread and hot.null_spread >= 5
+    for how in ("left", "inner"):
+        got = skew_safe_join(left, right, "key", how, hot)
+        assert rows_of(got) == rows_of(left.join(right, "key", how))
+
+
+@pytest.mark.parametrize("rows", [0, 10**6])
+def test_look_up_broadcasts_only_what_is_small(spark, skewed, monkeypatch, rows):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", rows)
+    right = spark.range(0, 900).selectExpr("'k' || id as key", "id as c")
+    other = spark.range(0, 50).selectExpr("id as a", "'x' || id as label")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = look_up(skewed, Lookup("key", right, "left"), Lookup("a", other), min_rows=1000)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan) == (rows == 0)
+        assert rows_of(got) == rows_of(skewed.join(right, "key", "left").join(other, "a"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_other_join_types_are_refused(skewed):
     with pytest.raises(ValueError):
         skew_safe_join(skewed, skewed, "key", "full")
@@ -125,7 +160,7 @@ def test_grouped_row_number(spark, skewed, min_rows):
     assert rows_of(got) == rows_of(skewed.withColumn("n", F.row_number().over(window)))
 
 
-def test_star_with_hot_keys_equals_star_without(spark, small):
+def test_star_with_hot_keys_equals_star_without(spark, small, monkeypatch):
     """The whole build with salting forced on gives the same tables."""
     import datetime
 
@@ -151,6 +186,7 @@ def test_star_with_hot_keys_equals_star_without(spark, small):
     )
     results = []
     for min_rows in (100, 10**9):
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", 0 if min_rows == 100 else 200_000)
         staged = StagingTables(source, min_rows)
         star = build_star(staged, calendar, ordered=True, min_hot_rows=min_rows)
         results.append(
