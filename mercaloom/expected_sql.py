@@ -96,8 +96,6 @@ ORDER_GRAIN = """(select order_id, sum(days_to_deliver) ds, count(days_to_delive
 
 DESCRIBED = ("orders", "order_items", "customers", "products")
 
-SPARK_TYPES = {"string": "string", "int": "int", "decimal(10,2)": "decimal(10,2)"}
-
 
 def _profile(name: str) -> str:
     parts = []
@@ -221,7 +219,7 @@ def _load_report() -> str:
 def _table_info() -> str:
     return " union all ".join(
         f"select '{name}' table_name, (select count(*) from stg_{name}) row_count, {i} as position,"
-        f" '{c.name}' column_name, '{SPARK_TYPES[c.type.simpleString()]}' data_type"
+        f" '{c.name}' column_name, '{c.type.simpleString()}' data_type"
         for name in DESCRIBED
         for i, c in enumerate(STAGING[name].columns, start=1)
     )

@@ -17,7 +17,7 @@ from ..sources.schemas import FOREIGN_KEYS, STAGING
 from ..sources.tables import load_report
 from . import fact, kpis
 from .dimensions import build_dim_customer, build_dim_date, build_dim_product, build_dim_seller
-from .pipeline import CONSTRAINT_REPORTS
+from .pipeline import CONSTRAINT_REPORTS, build_star
 
 # The test orders lie between these days, outside the default calendar.
 TEST_CALENDAR = (datetime.date(1995, 1, 1), datetime.date(2002, 12, 31))
@@ -44,7 +44,7 @@ class Workspace:
         return build_dim_date(self.spark, *TEST_CALENDAR)
 
     def new_star(self, ordered: bool) -> dict[str, DataFrame]:
-        return fact.build_star(self.staging, self.calendar, ordered)
+        return build_star(self.staging, self.calendar, ordered)
 
     @cached_property
     def star(self) -> dict[str, DataFrame]:

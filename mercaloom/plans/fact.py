@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import expressions as X
 from ..operators.keys import ordered_row_number, row_identity
 from ..operators.skew import MIN_HOT_ROWS, Lookup, look_up
-from .dimensions import build_dim_customer, build_dim_product, build_dim_seller
 
 
 def payment_per_order(payments: DataFrame) -> DataFrame:
@@ -132,22 +131,3 @@ def build_fact_sales(
     if ordered:
         return ordered_row_number(lines, "sales_sk", "order_id", "order_item_id")
     return row_identity(lines, "sales_sk")
-
-
-def build_star(
-    staging: Mapping[str, DataFrame],
-    dim_date: DataFrame,
-    ordered: bool = False,
-    min_hot_rows: int = MIN_HOT_ROWS,
-) -> dict[str, DataFrame]:
-    """Dimensions first, then the fact that refers to them."""
-    star = {
-        "dim_date": dim_date,
-        "dim_customer": build_dim_customer(staging["customers"]),
-        "dim_seller": build_dim_seller(staging["sellers"]),
-        "dim_product": build_dim_product(
-            staging["products"], staging["category_translation"], min_hot_rows
-        ),
-    }
-    star["fact_sales"] = build_fact_sales(staging, star, ordered, min_hot_rows)
-    return star

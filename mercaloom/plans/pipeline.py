@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.integrity import (
+    Tables,
     foreign_key_report,
     length_report,
     not_null_report,
@@ -30,36 +31,46 @@ from .fact import build_fact_sales
 DECLARED = {**STAGING, **WAREHOUSE}
 
 
+def build_star(
+    staging: Tables,
+    dim_date: DataFrame,
+    ordered: bool = False,
+    min_hot_rows: int = MIN_HOT_ROWS,
+    keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+) -> dict[str, DataFrame]:
+    """Dimensions first, then the fact that refers to them; `keep` may save each table."""
+    words = staging["category_translation"]
+    star = {
+        "dim_date": keep("dim_date", dim_date),
+        "dim_customer": keep("dim_customer", build_dim_customer(staging["customers"])),
+        "dim_seller": keep("dim_seller", build_dim_seller(staging["sellers"])),
+        "dim_product": keep(
+            "dim_product", build_dim_product(staging["products"], words, min_hot_rows)
+        ),
+    }
+    fact = build_fact_sales(staging, star, ordered, min_hot_rows)
+    return {**star, "fact_sales": keep("fact_sales", fact)}
+
+
 def build_warehouse(
     spark: SparkSession,
-    staging: Mapping[str, DataFrame],
+    staging: Tables,
     start: datetime.date = CALENDAR_START,
     end: datetime.date = CALENDAR_END,
     ordered: bool = False,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> dict[str, DataFrame]:
-    """Save the dimensions, then the fact built from the saved dimensions. May be run again."""
+    """Build and save the star schema. May be run again."""
     T.create_databases(spark)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         return T.save_table(df, T.WAREHOUSE_DATABASE, name)
 
-    star = {
-        "dim_date": save("dim_date", build_dim_date(spark, start, end)),
-        "dim_customer": save("dim_customer", build_dim_customer(staging["customers"])),
-        "dim_seller": save("dim_seller", build_dim_seller(staging["sellers"])),
-        "dim_product": save(
-            "dim_product",
-            build_dim_product(staging["products"], staging["category_translation"], min_hot_rows),
-        ),
-    }
-    fact = build_fact_sales(staging, star, ordered, min_hot_rows)
-    star["fact_sales"] = save("fact_sales", fact)
-    return star
+    return build_star(staging, build_dim_date(spark, start, end), ordered, min_hot_rows, save)
 
 
 # Everything the tables declare, as checks on the raw tables and the star schema together.
-CONSTRAINT_REPORTS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
+CONSTRAINT_REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "pk_violations": lambda tables: primary_key_report(tables, WAREHOUSE),
     "fk_violations": lambda tables: foreign_key_report(tables, FOREIGN_KEYS),
     "not_null_violations": lambda tables: not_null_report(
@@ -69,14 +80,12 @@ CONSTRAINT_REPORTS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] =
 }
 
 
-def constraint_reports(
-    staging: Mapping[str, DataFrame], star: Mapping[str, DataFrame]
-) -> dict[str, DataFrame]:
+def constraint_reports(staging: Tables, star: Tables) -> dict[str, DataFrame]:
     tables = {**staging, **star}
     return {name: report(tables) for name, report in CONSTRAINT_REPORTS.items()}
 
 
-def save_kpis(star: Mapping[str, DataFrame], orders: DataFrame) -> dict[str, DataFrame]:
+def save_kpis(star: Tables, orders: DataFrame) -> dict[str, DataFrame]:
     """Save every figure as a small table beside the star schema."""
     frames = kpis.kpi_frames(star, orders)
     return {name: T.save_table(df, T.WAREHOUSE_DATABASE, name) for name, df in frames.items()}

@@ -60,9 +60,16 @@ MULTI_LINE_TABLES = ("reviews",)
 CORRUPT = "_corrupt_record"
 
 
-def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns as text under the header's names, with malformed records kept aside."""
+def read_raw(
+    spark: SparkSession, path: str, multi_line: bool = False, pattern: str | None = None
+) -> DataFrame:
+    """All columns as text under the header's names, with malformed records kept aside.
+
+    `path` is a file, or a folder of which the files that match `pattern` are read.
+    """
     options = {"header": True, "escape": '"', "multiLine": multi_line, "encoding": "UTF-8"}
+    if pattern:
+        options["pathGlobFilter"] = pattern
     header = spark.read.options(**options).csv(path).columns
     schema = StructType([StructField(c, StringType()) for c in (*header, CORRUPT)])
     return (
@@ -151,6 +158,9 @@ def rejected(prepared: DataFrame) -> DataFrame:
     )
 
 
-def read_table(spark: SparkSession, name: str, path: str, **tokens) -> DataFrame:
+def read_table(
+    spark: SparkSession, name: str, path: str, pattern: str | None = None, **tokens
+) -> DataFrame:
     """One raw table, typed, with the reasons for rejecting rows."""
-    return prepare(read_raw(spark, path, name in MULTI_LINE_TABLES), STAGING[name], **tokens)
+    raw = read_raw(spark, path, name in MULTI_LINE_TABLES, pattern)
+    return prepare(raw, STAGING[name], **tokens)

@@ -46,7 +46,7 @@ def load_table(
     path: str,
     on_reject: str = "fail",
     database: str = STAGING_DATABASE,
-    **tokens,
+    **reading,
 ) -> DataFrame:
     """Replace one raw table with the content of its CSV files.
 
@@ -56,7 +56,7 @@ def load_table(
     """
     if on_reject not in ("fail", "quarantine"):
         raise ValueError(f"not an option: {on_reject}")
-    prepared = materialize(read_table(spark, name, path, **tokens), f"load-{name}")
+    prepared = materialize(read_table(spark, name, path, **reading), f"load-{name}")
     bad = rejected(prepared)
     if on_reject == "fail":
         first = bad.limit(1).collect()
@@ -78,7 +78,7 @@ def load_all(
     """Load every table of the file map, one committed job each."""
     create_databases(spark)
     return {
-        name: load_table(spark, name, f"{folder.rstrip('/')}/{pattern}", on_reject, **tokens)
+        name: load_table(spark, name, folder, on_reject, pattern=pattern, **tokens)
         for name, pattern in patterns.items()
     }
 

@@ -165,8 +165,8 @@ def test_star_with_hot_keys_equals_star_without(spark, small, monkeypatch):
     import datetime
 
     from mercaloom.plans.dimensions import build_dim_date
-    from mercaloom.plans.fact import build_star
     from mercaloom.plans.kpis import revenue_by_category_state
+    from mercaloom.plans.pipeline import build_star
     from mercaloom.sources.fixtures import StagingTables, read_source_tables
 
     calendar = build_dim_date(spark, datetime.date(1995, 1, 1), datetime.date(2002, 12, 31))

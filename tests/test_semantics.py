@@ -12,6 +12,7 @@ from mercaloom.operators import integrity as I
 from mercaloom.operators.profile import profile, profile_approximate, render_profile
 from mercaloom.plans import fact
 from mercaloom.plans.dimensions import build_dim_customer, build_dim_date, build_dim_product
+from mercaloom.plans.pipeline import build_star
 from mercaloom.sources.schemas import STAGING, WAREHOUSE
 from tests.conftest import rows_of
 
@@ -150,7 +151,7 @@ def tiny_star(spark, scores=(), orders=None, items=None):
         ),
         "category_translation": frame(spark, "category_translation"),
     }
-    return fact.build_star(staging, build_dim_date(spark), ordered=True)
+    return build_star(staging, build_dim_date(spark), ordered=True)
 
 
 @pytest.mark.parametrize(
