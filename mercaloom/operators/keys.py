@@ -63,11 +63,11 @@ def grouped_row_number(
     window = Window.partitionBy(group).orderBy(*order)
     if not hot:
         return df.withColumn(name, F.row_number().over(window)).select(name, *df.columns)
-    is_hot = F.coalesce(F.col(group).isin(*hot.spread), F.lit(False))
+    is_hot = F.coalesce(F.col(group).isin(*hot.spread), F.lit(hot.null_spread > 1))
     small = df.where(~is_hot).withColumn(name, F.row_number().over(window).cast("long"))
     numbered = ordered_row_number(df.where(is_hot), "_number", group, *order)
-    first = numbered.groupBy(group).agg(F.min("_number").alias("_first"))
-    large = numbered.join(F.broadcast(first), group).withColumn(  # one row per hot key
-        name, F.col("_number") - F.col("_first") + 1
-    )
+    first = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_number").alias("_first"))
+    large = numbered.join(  # one row per hot key on the broadcast side
+        F.broadcast(first), F.col(group).eqNullSafe(F.col("_group"))
+    ).withColumn(name, F.col("_number") - F.col("_first") + 1)
     return small.select(name, *df.columns).unionByName(large.select(name, *df.columns))

@@ -11,11 +11,10 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 # A key below this many rows never makes a task too large, whatever its share.
 MIN_HOT_ROWS = 1_000_000
-# Keys above this share of all rows are hot, so there are never more than MAX_HOT_KEYS of them.
+# Keys above this share of all rows are hot, so there are never more than 5000 of them.
 HOT_SHARE = 0.0002
-MAX_HOT_KEYS = 5000
-# Counters of the heavy-hitter sketch; its error is a fraction of HOT_SHARE.
-SKETCH_COUNTERS = 100_000
+# Rows of the sample that keys are judged by; a hot key has some 400 of them.
+SAMPLE_ROWS = 2_000_000
 # A parent of at most this many rows is broadcast: with keys and labels of declared length, about
 # 40 MB. Larger ones are shuffled.
 BROADCAST_ROWS = 200_000
@@ -48,27 +47,28 @@ NOT_SKEWED = HotKeys()
 def find_hot_keys(
     df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS, share: float = HOT_SHARE
 ) -> dict[str, HotKeys]:
-    """Heavy hitters of several columns in one pass over just those columns.
+    """Keys of each column that hold a large share of the rows.
 
-    A table with fewer than `min_rows` rows has none, so it is only counted. The sketches merge map-side and at most MAX_HOT_KEYS values per column reach the driver. They
-    decide only how the work is spread, never what a join returns.
+    A table with fewer than `min_rows` rows has none and is only counted. Otherwise the keys of a
+    sample are counted, column by column, so each pass reads one column and shuffles little. The
+    driver sees at most 1/`share` keys per column. They decide how the work is spread and never what
+    a join returns, so a key the sample misses costs time and not rows.
     """
     total = df.count()
     if total < min_rows:
         return dict.fromkeys(columns, NOT_SKEWED)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sketches = [
-        F.expr(f"approx_top_k(`{c}`, {MAX_HOT_KEYS}, {SKETCH_COUNTERS})").alias(c) for c in columns
-    ]
-    found = df.agg(*sketches).first()
+    fraction = min(1.0, SAMPLE_ROWS / total)
     floor = max(min_rows, share * total)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fair_share = max(total / tasks, 1)
     hot = {}
     for c in columns:
+        keys = df.select(c)
+        sampled = keys if fraction == 1 else keys.sample(fraction, seed=0)
+        counted = sampled.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
         spread = {
-            entry["item"]: max(2, math.ceil(entry["count"] / fair_share))
-            for entry in found[c]
-            if entry["count"] >= floor
+            key: max(2, math.ceil(n / fraction / fair_share))
+            for key, n in counted.where(F.col("n") >= floor * fraction).collect()
         }
         hot[c] = HotKeys(null_spread=spread.pop(None, 1), spread=spread)
     return hot
@@ -91,7 +91,7 @@ def skew_safe_join(
     if not (hot if how == "left" else hot.spread):  # an inner join drops rows without a key
         return left.join(right, key, how)
 
-    slots = F.broadcast(  # at most MAX_HOT_KEYS rows
+    slots = F.broadcast(  # one row per hot key
         left.sparkSession.createDataFrame(
             list(hot.spread.items()),
             StructType([left.schema[key], StructField("_slots", IntegerType())]),
@@ -117,8 +117,8 @@ def skew_safe_join(
 
 
 def look_up(left: DataFrame, *lookups: Lookup, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Join parents one after another. Small ones are broadcast, which no hot key can disturb; one
-    sketch pass over the keys of the others decides how their joins are spread."""
+    """Join parents one after another. Small ones are broadcast, which no hot key can disturb; for
+    the others the hot keys of `left` decide how the join is spread."""
     small = [
         lookup.measurable and lookup.parent.count() <= BROADCAST_ROWS for lookup in lookups
     ]

@@ -76,7 +76,9 @@ def test_numbering_an_empty_table(spark, skewed):
     assert ordered_row_number(empty, "sk", "key").count() == 0
 
 
-def test_hot_keys_are_found_in_one_pass(spark, skewed):
+@pytest.mark.parametrize("sample_rows", [2_000_000, 10_000])
+def test_hot_keys_are_found(spark, skewed, monkeypatch, sample_rows):
+    monkeypatch.setattr(skew, "SAMPLE_ROWS", sample_rows)
     found = find_hot_keys(skewed, "key", "a", min_rows=1000)
     assert set(found["key"].spread) == {"hot"}
     assert found["key"].spread["hot"] >= 3  # a third of eight tasks
