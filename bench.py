@@ -47,9 +47,10 @@ HEADLINES = (
 def shuffle_bytes(spark) -> int:
     """Bytes written to shuffles by all stages so far."""
     gateway = spark.sparkContext._gateway
-    stages = spark.sparkContext._jsc.sc().statusStore().stageList(
-        None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList()
-    )
+    no_quantiles = gateway.new_array(gateway.jvm.double, 0)
+    any_status = gateway.jvm.java.util.ArrayList()
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, no_quantiles, any_status)
     return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
 
 

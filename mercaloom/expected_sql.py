@@ -282,6 +282,8 @@ def expected_sql() -> dict[str, str]:
         "payment_per_order": "select * from payment_per_order",
         "review_per_order": "select * from review_per_order",
         "fact_sales": "select * from fact_sales",
+        "sales_key_check": "select 1::bigint first_key, count(*) last_key, count(*) distinct_keys"
+        " from fact_sales",
         "orphan_payments": _orphans("payments"),
         "orphan_order_items": _orphans("order_items"),
         "orphan_reviews": _orphans("reviews"),
@@ -297,6 +299,7 @@ def expected_sql() -> dict[str, str]:
         "missing_zip": "select count(*) missing_zip_count from stg_customers"
         " where customer_zip_code_prefix is null",
         **{f"profile_{name}": _profile(name) for name in STAGING},
+        "profile_all": " union all ".join(_profile(name) for name in STAGING),
         "pk_violations": _primary_keys(),
         "fk_violations": _foreign_keys("dim_date"),
         "fk_violations_default_calendar": _foreign_keys(

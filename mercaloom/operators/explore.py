@@ -52,7 +52,8 @@ def table_info(tables: dict[str, DataFrame]) -> DataFrame:
 def missing_values(df: DataFrame) -> DataFrame:
     """Missing cells of every column, as a count and as a percentage, in one pass."""
     row = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns],
     )
     cells = F.array(
         *[
@@ -102,7 +103,8 @@ def key_coverage(
     tagged = child.select(key, F.lit(1).alias("c"), F.lit(0).alias("p")).unionByName(
         parent.select(key, F.lit(0).alias("c"), F.lit(1).alias("p"))
     )
-    keys = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("c").alias("c"), F.max("p").alias("p"))
+    present = tagged.where(F.col(key).isNotNull())
+    keys = present.groupBy(key).agg(F.max("c").alias("c"), F.max("p").alias("p"))
     return keys.agg(
         F.count_if(F.col("c") == 1).alias(in_child), F.count_if(F.col("p") == 1).alias(in_parent)
     )

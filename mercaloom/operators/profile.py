@@ -81,8 +81,8 @@ def profile(
     """Statistics of all columns in one scan and one large shuffle.
 
     The table is turned into (column number, value) pairs, which are counted; counts are combined
-    before the shuffle, so a frequent value costs no more than a rare one. Every statistic follows from the
-    distinct values and their counts; dates are parsed and numbers compared once per distinct value.
+    before the shuffle, so a frequent value costs no more than a rare one. Every statistic follows
+    from the distinct values and their counts; dates are parsed once per distinct value.
     """
     fields = df.schema.fields
     kinds = [column_kind(f.name, f.dataType, date_columns) for f in fields]

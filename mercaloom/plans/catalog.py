@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import explore as E
 from ..operators import integrity as I
-from ..operators.profile import profile
+from ..operators.profile import profile, profile_all
 from ..sources.fixtures import StagingTables, read_source_tables
 from ..sources.schemas import FOREIGN_KEYS, STAGING
 from ..sources.tables import load_report
@@ -115,6 +115,13 @@ def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
         tables = {**w.star, "dim_date": build_dim_date(w.spark)}
         return I.foreign_key_report(tables, FOREIGN_KEYS)
 
+    def sales_key_check(star: Mapping[str, DataFrame]) -> DataFrame:
+        return star["fact_sales"].agg(
+            F.min("sales_sk").alias("first_key"),
+            F.max("sales_sk").alias("last_key"),
+            F.count_distinct("sales_sk").alias("distinct_keys"),
+        )
+
     described = ("orders", "order_items", "customers", "products")
 
     return {
@@ -128,10 +135,14 @@ def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
         "payment_per_order": staged(lambda s: fact.payment_per_order(s["payments"])),
         "review_per_order": staged(lambda s: fact.review_per_order(s["reviews"])),
         "fact_sales": on_workspace(lambda w: w.new_star(ordered=True)["fact_sales"]),
+        "sales_key_check": starred(sales_key_check),
         # integrity
         **{name: integrity(name) for name in I.INTEGRITY_CHECKS},
         # column profiles
         **{f"profile_{name}": profiled(name) for name in STAGING},
+        "profile_all": staged(
+            lambda s: _rounded(profile_all({n: s[n] for n in STAGING}), "avg_val")
+        ),
         # declared constraints
         **{name: constraint(name) for name in CONSTRAINT_REPORTS},
         "fk_violations_default_calendar": on_workspace(default_calendar),

@@ -22,8 +22,9 @@ def build_dim_date(
     end: datetime.date = CALENDAR_END,
 ) -> DataFrame:
     """One row per day from `start` to `end`."""
-    days = spark.range(0, 1, 1, 1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("full_date"))
-    return days.select(X.date_key(F.col("full_date")).alias("date_key"), "full_date")
+    days = F.explode(F.sequence(F.lit(start), F.lit(end))).alias("full_date")
+    calendar = spark.range(0, 1, 1, 1).select(days)
+    return calendar.select(X.date_key(F.col("full_date")).alias("date_key"), "full_date")
 
 
 def build_dim_customer(customers: DataFrame) -> DataFrame:

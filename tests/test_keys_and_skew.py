@@ -31,8 +31,14 @@ def spread_of(df):
     return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
 
 
-def test_ordered_row_number_equals_global_window(spark, skewed):
-    got = ordered_row_number(skewed, "sk", "key", "a", "b")
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_ordered_row_number_equals_global_window(spark, skewed, coalesce):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        got = ordered_row_number(skewed, "sk", "key", "a", "b")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert (len(got.inputFiles()) > 4) == (coalesce == "false")
     expected = skewed.withColumn("sk", F.row_number().over(Window.orderBy("key", "a", "b")))
     assert rows_of(got) == rows_of(expected)
 
