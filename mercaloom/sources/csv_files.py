@@ -98,7 +98,7 @@ def prepare(
 ) -> DataFrame:
     """The declared columns with their types, and why a row does not fit.
 
-    Adds `_file`, `_record` (the row as text) and `_reasons` (empty for a good row).
+    Adds `_reasons`, empty for a good row, and for a bad one `_file` and `_record`, its text.
     `column_tokens` replaces the null tokens of single columns, so that a title "NA" can be kept.
     """
     raw = raw.withColumn("_file", F.col("_metadata.file_path"))
@@ -120,7 +120,6 @@ def prepare(
         ],
         CORRUPT,
         "_file",
-        F.coalesce(CORRUPT, F.to_csv(F.struct(*[c.name for c in table.columns]))).alias("_record"),
     )
     reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record"))]
     for c in table.columns:
@@ -138,11 +137,14 @@ def prepare(
                     F.lit(f"{c.name}: not {c.type.simpleString()}"),
                 )
             )
+    why = F.array_compact(F.array(*reasons))
+    is_bad = F.size(why) > 0
+    record = F.coalesce(CORRUPT, F.to_csv(F.struct(*[c.name for c in table.columns])))
     return texts.select(
         *[_value(F.col(c.name), c).alias(c.name) for c in table.columns],
-        "_file",
-        "_record",
-        F.array_compact(F.array(*reasons)).alias("_reasons"),
+        F.when(is_bad, F.col("_file")).alias("_file"),
+        F.when(is_bad, record).alias("_record"),
+        why.alias("_reasons"),
     )
 
 
