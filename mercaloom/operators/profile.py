@@ -60,12 +60,17 @@ def column_kind(name: str, dtype: DataType, date_columns: Collection[str] = ())
     return EXACT if isinstance(dtype, NumericType) else OTHER
 
 
-def _as_text(name: str, dtype: DataType) -> Column:
+def _column(name: str) -> Column:
+    """The column of that name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _as_text(column: Column, dtype: DataType) -> Column:
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     if isinstance(dtype, (NumericType, StringType, DateType)):
-        return F.col(name).cast("string")
-    return F.to_json(F.struct(F.col(name)))
+        return column.cast("string")
+    return F.to_json(F.struct(column))
 
 
 def _exact_type(df: DataFrame) -> str:
@@ -90,7 +95,9 @@ def profile(
         *[
             F.struct(
                 F.lit(i).alias("c"),
-                F.when(F.col(f.name).isNotNull(), _as_text(f.name, f.dataType)).alias("value"),
+                F.when(
+                    _column(f.name).isNotNull(), _as_text(_column(f.name), f.dataType)
+                ).alias("value"),
             )
             for i, f in enumerate(fields)
         ]
@@ -169,7 +176,7 @@ def profile_approximate(
     aggregates = []
     for i, f in enumerate(df.schema.fields):
         kind = column_kind(f.name, f.dataType, date_columns)
-        column = F.col(f.name)
+        column = _column(f.name)
         moment_or_text = kind in (MOMENT, DATE_TEXT)
         numeric = kind in (EXACT, FLOATING)
         shown = moment_or_text or numeric

@@ -271,6 +271,13 @@ def test_approved_at_is_plain_text_unless_named(spark):
     assert named.invalid_date == 1
 
 
+@pytest.mark.parametrize("build", [profile, profile_approximate])
+def test_profile_of_odd_column_names(spark, build):
+    df = spark.createDataFrame([(1, "x")], "`a.b` int, `c d` string")
+    rows = by_column(build(df, "t"))
+    assert rows["a.b"].max_val == "1" and rows["c d"].avg_length == 1.0
+
+
 def test_rendered_profile(spark, mixed):
     rows = render_profile(profile(mixed, "t")).collect()
     assert [r.column_name for r in rows] == sorted(mixed.columns)
