@@ -99,11 +99,10 @@ def join_counted(left: DataFrame, right: DataFrame, key: str, weight: str, total
         F.col(key).alias("_cold_key"), F.struct(*names).alias("_cold")
     )
     marked = left.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-    # a hot row meets no cold key: it is dealt by all its columns under a key that no cold row has
-    spread = F.when(F.col("_hot_key").isNull(), F.struct(F.lit(0).alias("s"), F.col(key).alias("k"))).otherwise(
-        F.struct(F.pmod(F.xxhash64(*left.columns), F.lit(1 << 20)).cast("int") + 1, F.col(key))
-    )
-    cold = cold.withColumn("_spread", F.struct(F.lit(0).alias("s"), F.col("_cold_key").alias("k")))
-    joined = marked.withColumn("_spread", spread).join(cold, "_spread", "left")
+    # a hot row is dealt under a spread that no cold key has, so it meets none
+    spread = F.pmod(F.xxhash64(*left.columns), F.lit(1 << 20)).cast("int") + 1
+    marked = marked.withColumn("_spread", F.when(F.col("_hot_key").isNull(), F.lit(0)).otherwise(spread))
+    cold = cold.withColumn("_cold_spread", F.lit(0))
+    joined = marked.join(cold, (F.col("_spread") == F.col("_cold_spread")) & (F.col(key) == F.col("_cold_key")), "left")
     both = [F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cold.{c}")).alias(c) for c in names]
     return joined.select(*left.columns, *both)

@@ -1,4 +1,4 @@
-"""The queries of the operators and of the pipeline."""
+"""The queries of the operators and of the pipeline, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -6,23 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .byte_cnn import op7_byte_cnn
+from .line_chunks import OP4_SQL, op4_line_chunks
 from .mixture_packing import op8_mixture_packing
+from .rake_mixing import op9_rake_mixing
 from .token_files import op3_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-OPERATORS: dict[str, Query] = {
-    f.__name__: f
-    for f in (
-        op3_token_files,
-        op8_mixture_packing,
-    )
-}
+OPERATORS: tuple[Query, ...] = (
+    op3_token_files,
+    op4_line_chunks,
+    op7_byte_cnn,
+    op8_mixture_packing,
+    op9_rake_mixing,
+)
 
 
 def queries() -> dict[str, Query]:
-    return dict(OPERATORS)
+    return {f.__name__: f for f in OPERATORS}
 
 
 def expected_sql() -> dict[str, str]:
-    return {}
+    return {"op4_line_chunks": OP4_SQL}
