@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_cnn import op7_byte_cnn
+from .jaccard_rtree import op6_jaccard_rtree
 from .line_chunks import OP4_SQL, op4_line_chunks
 from .mixture_packing import op8_mixture_packing
 from .rake_mixing import op9_rake_mixing
@@ -17,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 OPERATORS: tuple[Query, ...] = (
     op3_token_files,
     op4_line_chunks,
+    op6_jaccard_rtree,
     op7_byte_cnn,
     op8_mixture_packing,
     op9_rake_mixing,

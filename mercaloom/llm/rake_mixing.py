@@ -50,17 +50,17 @@ def _value(name: str, kept: list[str]) -> Column:
 def with_cells(docs: DataFrame, topic: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """The documents with their tokens and cell, and the tokens of each cell."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    counted = docs.withColumn("n_tokens", word_count(text))
-    topic = lexical_register(text, F.col("n_tokens")) if topic is None else topic.cast("string")
-    counted = counted.withColumn("topic", F.coalesce(topic, F.lit(NONE)))
-    pairs = counted.groupBy(*(F.coalesce(c, F.lit(NONE)).alias(c) for c in ("source", "lang")), "topic")
-    pairs = common.store(pairs.agg(F.sum("n_tokens").alias("tokens")), "mix-sums")
+    counted = docs.withColumn("_n_tokens", word_count(text))
+    topic = lexical_register(text, F.col("_n_tokens")) if topic is None else topic.cast("string")
+    counted = counted.withColumn("_topic", F.coalesce(topic, F.lit(NONE)))
+    pairs = counted.groupBy(*(F.coalesce(c, F.lit(NONE)).alias(c) for c in ("source", "lang")), "_topic")
+    pairs = common.store(pairs.agg(F.sum("_n_tokens").alias("tokens")), "mix-sums")
 
     def largest(name: str, n: int) -> list[str]:
         sums = pairs.groupBy(name).agg(F.sum("tokens").alias("t"))
         return [r[0] for r in sums.orderBy(F.desc("t"), name).limit(n).collect()]
 
-    cell = {"_source": _value("source", largest("source", SOURCES)), "_lang": _value("lang", largest("lang", LANGUAGES)), "_topic": F.col("topic")}
+    cell = {"_source": _value("source", largest("source", SOURCES)), "_lang": _value("lang", largest("lang", LANGUAGES))}
     cells = pairs.withColumns(cell).groupBy(*CELL).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
     return counted.withColumns(cell), common.store(cells, "mix-cells").coalesce(1)
 
@@ -116,15 +116,28 @@ def chance(key: Column, seed: int = SEED) -> Column:
     return F.conv(digits, 16, 10).cast("double") / float(1 << 32)
 
 
-def mix(docs: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, keep: float = KEEP, topic: Column | None = None) -> DataFrame:
-    """All rows with `n_tokens`, `topic`, the `rate` of their cell and whether they are `kept`."""
-    docs = docs.drop("n_tokens", "topic", "rate", "kept")
+def mix(
+    docs: DataFrame,
+    targets: Mapping[str, Mapping[str, float]] | None = None,
+    keep: float = KEEP,
+    topic: Column | None = None,
+    prefix: str = "",
+) -> DataFrame:
+    """All rows with `n_tokens`, `topic`, the `rate` of their cell and whether they are `kept`, named with `prefix`."""
+    names = {c: prefix + c for c in ("n_tokens", "topic", "rate", "kept")}
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in names.values()]
     counted, cells = with_cells(docs, topic)
-    rated = rates(fitted(cells, targets), keep).select(*(F.col(c).alias(f"r{c}") for c in CELL), "rate")
-    same = [F.col(c) == F.col(f"r{c}") for c in CELL]
-    joined = counted.join(F.broadcast(rated), same, "left")
-    out = joined.select(*(f"`{c}`" for c in docs.columns), "n_tokens", "topic", F.coalesce("rate", F.lit(1.0)).alias("rate"))
-    return out.withColumn("kept", chance(F.col("doc_id")) < F.col("rate"))
+    rated = rates(fitted(cells, targets), keep).select(*(F.col(c).alias(f"_r{c}") for c in CELL), "rate")
+    same = [F.col(c) == F.col(f"_r{c}") for c in CELL]
+    joined = counted.join(F.broadcast(rated.withColumnRenamed("rate", "_rate")), same, "left")
+    rate = F.coalesce("_rate", F.lit(1.0))
+    return joined.select(
+        *own,
+        F.col("_n_tokens").alias(names["n_tokens"]),
+        F.col("_topic").alias(names["topic"]),
+        rate.alias(names["rate"]),
+        (chance(F.col("doc_id")) < rate).alias(names["kept"]),
+    )
 
 
 def op9_rake_mixing(spark: SparkSession, folder: str) -> DataFrame:
