@@ -16,7 +16,7 @@ import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 _RARE = re.compile(r"[^\S \n\t]|\0")
 
 
@@ -59,7 +59,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
+        if len(getattr(self, "pieces", ())) > REMEMBERED // 2 or not hasattr(self, "pieces"):
+            self.pieces: dict[str, tuple[int, ...]] = {}
         self.place: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
@@ -73,14 +74,14 @@ class Encoder:
                 ids = pieces.get(piece)
                 if ids is None:
                     written = piece.encode().decode("latin-1").translate(self.letters)
-                    ids = pieces[piece] = [t.id for t in self.model.tokenize(written)]
+                    ids = pieces[piece] = tuple(t.id for t in self.model.tokenize(written))
                 flat += ids
             counts.append(len(flat) - before)
         self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts, dtype=np.int64)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if max(len(self.place), len(self.pieces)) > REMEMBERED:
+        if len(self.place) > REMEMBERED:
             self.forget()
         place, known = self.place, len(self.place)
         parts: list = []
