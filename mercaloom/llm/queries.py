@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_cnn import op7_byte_cnn
+from .impact_topk import OP10_SQL, op10_impact_topk
 from .jaccard_rtree import op6_jaccard_rtree
 from .line_chunks import OP4_SQL, op4_line_chunks
 from .mixture_packing import op8_mixture_packing
@@ -22,6 +23,7 @@ OPERATORS: tuple[Query, ...] = (
     op7_byte_cnn,
     op8_mixture_packing,
     op9_rake_mixing,
+    op10_impact_topk,
 )
 
 
@@ -30,4 +32,4 @@ def queries() -> dict[str, Query]:
 
 
 def expected_sql() -> dict[str, str]:
-    return {"op4_line_chunks": OP4_SQL}
+    return {"op4_line_chunks": OP4_SQL, "op10_impact_topk": OP10_SQL}
