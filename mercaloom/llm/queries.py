@@ -10,6 +10,7 @@ from .byte_cnn import op7_byte_cnn
 from .impact_topk import OP10_SQL, op10_impact_topk
 from .jaccard_rtree import op6_jaccard_rtree
 from .line_chunks import OP4_SQL, op4_line_chunks
+from .lz_fingerprint import op5_lz_fingerprint
 from .mixture_packing import op8_mixture_packing
 from .rake_mixing import op9_rake_mixing
 from .token_files import op3_token_files
@@ -19,6 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 OPERATORS: tuple[Query, ...] = (
     op3_token_files,
     op4_line_chunks,
+    op5_lz_fingerprint,
     op6_jaccard_rtree,
     op7_byte_cnn,
     op8_mixture_packing,
