@@ -12,6 +12,7 @@ from .jaccard_rtree import op6_jaccard_rtree
 from .line_chunks import OP4_SQL, op4_line_chunks
 from .lz_fingerprint import op5_lz_fingerprint
 from .mixture_packing import op8_mixture_packing
+from .ngram_trie import op1_ngram_trie
 from .rake_mixing import op9_rake_mixing
 from .suffix_dedup import op2_suffix_dedup
 from .token_files import op3_token_files
@@ -19,6 +20,7 @@ from .token_files import op3_token_files
 Query = Callable[[SparkSession, str], DataFrame]
 
 OPERATORS: tuple[Query, ...] = (
+    op1_ngram_trie,
     op2_suffix_dedup,
     op3_token_files,
     op4_line_chunks,
