@@ -43,8 +43,13 @@ def with_chunks(docs: DataFrame) -> DataFrame:
     return cut.select("*", F.explode(F.array(F.zip_with(starts, "_ends", chunk))).alias("_chunks")).drop("_lines", "_ends")
 
 
-def removed_chunks(docs: DataFrame) -> DataFrame:
-    """Per document key the places of the chunks to remove."""
+def _beside(docs: DataFrame, places: DataFrame, entries: int, how: str) -> DataFrame:
+    """Documents with their row of `places`, which is broadcast if it holds few enough entries in all."""
+    return docs.join(F.broadcast(places) if entries <= common.BROADCAST_ROWS else places, KEY, how)
+
+
+def removed_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Per document key the places of the chunks to remove, and a bound on their number."""
     texts = docs.select(*KEY, "text")
     chunks = with_chunks(texts).select(*KEY, F.posexplode("_chunks").alias("at", "chunk")).where("chunk.n > 1")
     found = chunks.select(*KEY, "at", F.md5("chunk.text").alias("sum"))
@@ -55,13 +60,14 @@ def removed_chunks(docs: DataFrame) -> DataFrame:
         "line-repeats",
     )
     # the bytes of the chunks that match, by way of their documents
+    entries = repeated.count()
     places = repeated.groupBy(*KEY).agg(F.collect_set("at").alias("places"))
-    matched = with_chunks(texts.join(places, KEY)).select("places", F.posexplode("_chunks").alias("at", "chunk"))
+    matched = with_chunks(_beside(texts, places, entries, "inner")).select("places", F.posexplode("_chunks").alias("at", "chunk"))
     matched = matched.where(F.array_contains("places", F.col("at"))).select(F.col("chunk.text").alias("bytes"))
     bytes_of = matched.groupBy(F.md5("bytes").alias("sum")).agg(F.min("bytes").alias("a"), F.max("bytes").alias("b"))
     differ = bytes_of.where("a != b").select("sum")
     later = repeated.where(F.struct(*KEY, "at") != F.col("first")).join(differ, "sum", "left_anti")
-    return later.groupBy(*KEY).agg(F.collect_set("at").alias("_removed"))
+    return later.groupBy(*KEY).agg(F.collect_set("at").alias("_removed")), entries
 
 
 def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
@@ -69,8 +75,7 @@ def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_r
     keyed = docs.select(
         *(F.coalesce("text", F.lit("")).alias("text") if c == "text" else F.col(f"`{c}`") for c in names)
     ).withColumns({"_id": F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")), "_row": F.xxhash64("text")})
-    removed = removed_chunks(keyed)
-    joined = with_chunks(keyed.join(removed, KEY, "left"))
+    joined = with_chunks(_beside(keyed, *removed_chunks(keyed), "left"))
     kept = F.filter("_chunks", lambda c, i: F.col("_removed").isNull() | ~F.array_contains("_removed", i))
     lines = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda n, c: n + c["n"])
     counted = joined.select("*", F.explode(F.array(kept)).alias("_kept"))
