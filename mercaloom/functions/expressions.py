@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the two text layouts the raw files use, `yyyy-MM-dd` and `yyyy-MM-dd HH:mm:ss`.
-DATE_TEXT_LENGTHS = (10, 19)
+# The date texts that are read, after surrounding spaces are cut: a day with a time down to minutes,
+# seconds or fractions, after a space or a T; or eight digits. A bare year is no date.
+DATE_FORM = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+DIGITS_FORM = r"^\d{8}$"
 
 # The order states that count as canceled.
 CANCELED_STATES = ("canceled", "unavailable")
@@ -16,11 +18,16 @@ UNKNOWN = "Unknown"
 
 
 def parse_timestamp(text: Column) -> Column:
-    """Timestamp without zone, or NULL for text that is not a date.
+    """Timestamp without zone, or NULL for text that is not a date; judged by its form, never by its length.
 
-    The length guard keeps out partial dates such as `2017`, which the cast alone would accept.
+    Fractions are cut to microseconds, minutes get their seconds and eight digits their hyphens before the cast, which
+    then decides whether such a day or time exists.
     """
-    return F.when(F.length(text).isin(*DATE_TEXT_LENGTHS), text.try_cast("timestamp_ntz"))
+    trimmed = F.trim(text)
+    seconds = F.when(F.length(trimmed) == 16, F.concat(trimmed, F.lit(":00"))).otherwise(F.substring(trimmed, 1, 26))
+    hyphens = F.regexp_replace(trimmed, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    written = F.when(trimmed.rlike(DATE_FORM), seconds).when(trimmed.rlike(DIGITS_FORM), hyphens)
+    return written.try_cast("timestamp_ntz")
 
 
 def is_invalid_date(text: Column) -> Column:

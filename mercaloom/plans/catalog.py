@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expressions as X
 from ..operators import explore as E
 from ..operators import integrity as I
 from ..operators.profile import profile, profile_all
@@ -16,7 +17,13 @@ from ..sources.fixtures import StagingTables, read_source_tables
 from ..sources.schemas import FOREIGN_KEYS, STAGING
 from ..sources.tables import load_report
 from . import fact, kpis
-from .dimensions import build_dim_customer, build_dim_date, build_dim_product, build_dim_seller
+from .dimensions import (
+    build_dim_customer,
+    build_dim_date,
+    build_dim_product,
+    build_dim_seller,
+    calendar_between,
+)
 from .pipeline import CONSTRAINT_REPORTS, build_star
 
 # The test orders lie between these days, outside the default calendar.
@@ -111,6 +118,12 @@ def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
             E.missing_totals(s["products"], "products")
         )
 
+    def calendar_of_orders(w: Workspace) -> DataFrame:
+        """The days from the first to the last purchase."""
+        bought = X.parse_timestamp(F.col("order_purchase_timestamp")).cast("date")
+        days = w.staging["orders"].agg(F.min(bought).alias("first"), F.max(bought).alias("last"))
+        return calendar_between(days, "first", "last")
+
     def default_calendar(w: Workspace) -> DataFrame:
         tables = {**w.star, "dim_date": build_dim_date(w.spark)}
         return I.foreign_key_report(tables, FOREIGN_KEYS)
@@ -126,7 +139,8 @@ def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
 
     return {
         # star schema
-        "dim_date": lambda spark, folder: build_dim_date(spark),
+        "dim_date": on_workspace(calendar_of_orders),
+        "profile_dim_date": starred(lambda t: _rounded(profile(t["dim_date"], "dim_date"), "avg_val")),
         "dim_customer": staged(lambda s: build_dim_customer(s["customers"])),
         "dim_seller": staged(lambda s: build_dim_seller(s["sellers"])),
         "dim_product": staged(

@@ -22,9 +22,14 @@ def build_dim_date(
     end: datetime.date = CALENDAR_END,
 ) -> DataFrame:
     """One row per day from `start` to `end`."""
-    days = F.explode(F.sequence(F.lit(start), F.lit(end))).alias("full_date")
-    calendar = spark.range(0, 1, 1, 1).select(days)
-    return calendar.select(X.date_key(F.col("full_date")).alias("date_key"), "full_date")
+    ends = spark.range(0, 1, 1, 1).select(F.lit(start).alias("first"), F.lit(end).alias("last"))
+    return calendar_between(ends, "first", "last")
+
+
+def calendar_between(ends: DataFrame, first: str, last: str) -> DataFrame:
+    """One row per day between the two dates of the one row of `ends`, both included."""
+    days = ends.select(F.explode(F.sequence(first, last)).alias("full_date"))
+    return days.select(X.date_key(F.col("full_date")).alias("date_key"), "full_date")
 
 
 def build_dim_customer(customers: DataFrame) -> DataFrame:
