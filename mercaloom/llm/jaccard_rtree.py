@@ -29,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -42,6 +42,7 @@ GROUPS = 32
 NODE = 16
 PIECE = 20_000  # a larger group of meeting classes is cut into pieces, each pair of pieces being searched
 BUCKET_ROWS = 50_000
+LEADS = 6  # meetings in which a class is tried with its neighbours in the first round
 
 
 def enough(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -192,7 +193,7 @@ def meetings(docs: DataFrame, percent: int) -> DataFrame:
 
 
 def met_classes(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The classes that meet others, with size and counts: (key, n_met, class, n, counts); stored."""
+    """The classes that meet others, with size and counts: (key, n_met, class, n, counts, leads); stored."""
     rows = meetings(docs, percent)
     busy = common.store(rows.groupBy("key").agg(F.count("*").alias("n_met")).where("n_met > 1"), "jaccard-keys")
     total = busy.agg(F.sum("n_met")).first()[0] or 0
@@ -202,7 +203,8 @@ def met_classes(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     several = several.where("lo != hi").select("key", "n_met")
     met = common.join_counted(met.drop("n_met"), several, "key", "n_met", total).where(F.col("n_met").isNotNull())
     points = classes.select("class", F.col("n_shingles").alias("n"), "counts")
-    return common.store(met.join(points, "class"), "jaccard-points")
+    first = F.row_number().over(Window.partitionBy("class").orderBy("key"))  # a class has as many keys as its size allows
+    return common.store(met.join(points, "class").withColumn("leads", first <= LEADS), "jaccard-points")
 
 
 def _searched(met: DataFrame, pairs: bool, percent: int) -> DataFrame:
@@ -215,14 +217,14 @@ def _searched(met: DataFrame, pairs: bool, percent: int) -> DataFrame:
     else:
         piece = F.struct(own.alias("lo"), own.alias("hi"))
     placed = met.withColumn("piece", piece).withColumn("bucket", F.when(F.col("n_met") > PIECE, F.xxhash64("key", "piece")).otherwise(F.pmod(F.xxhash64("key"), F.lit(buckets))))
-    placed = placed.select("bucket", F.xxhash64("key", "piece").alias("key"), "class", "n", "counts", "part")
+    placed = placed.select("bucket", F.xxhash64("key", "piece").alias("key"), "class", "n", "counts", "part", "leads")
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         key, size = frame["key"].to_numpy(), frame["n"].to_numpy().astype(np.int64)
         counts = np.frombuffer(b"".join(frame["counts"]), "<i4").reshape(-1, GROUPS)
         order = np.lexsort((frame["class"].to_numpy(), *counts.T[:4], size, key))
         key, size, counts = key[order], size[order], counts[order]
-        name, part = frame["class"].to_numpy()[order], frame["part"].to_numpy()[order]
+        name, part, leads = (frame[c].to_numpy()[order] for c in ("class", "part", "leads"))
         if pairs:
             found = list(Tree(key, size, counts, part).pairs(percent))
         else:
@@ -230,7 +232,7 @@ def _searched(met: DataFrame, pairs: bool, percent: int) -> DataFrame:
             first = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], i, 0))
             found = []
             for j in (np.maximum(i - 1, first), first):
-                keep = (i != j) & enough(np.minimum(counts, counts[j]).sum(1), size, size[j], percent)
+                keep = leads & (i != j) & enough(np.minimum(counts, counts[j]).sum(1), size, size[j], percent)
                 found.append((i[keep], j[keep]))
         a = np.concatenate([name[i] for i, _ in found] or [np.zeros(0, np.int64)])
         b = np.concatenate([name[j] for _, j in found] or [np.zeros(0, np.int64)])
