@@ -30,6 +30,7 @@ from .token_files import crc_of_slices, lists_of, with_end
 LENGTH = 1024
 QUEUES = 64
 SCALE = 1 << 20
+SLICE_ROWS = 2000  # neighbours share windows
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -129,8 +130,8 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                yield _pieces(batch.slice(start, 500), sizes, weights, length, with_ids)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                yield _pieces(batch.slice(start, SLICE_ROWS), sizes, weights, length, with_ids)
 
     return placed.mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
 

@@ -42,8 +42,9 @@ def with_end(flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def crc_of_slices(ids: np.ndarray, offsets: np.ndarray) -> list[int]:
     """Unsigned crc32 of each run of ids as little-endian unsigned 32-bit integers."""
-    data = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
-    ends = (offsets * 4).tolist()
+    first = offsets[0]
+    data = memoryview(np.ascontiguousarray(ids[first : offsets[-1]]).view("<u4")).cast("B")
+    ends = ((offsets - first) * 4).tolist()
     return [zlib.crc32(data[a:b]) for a, b in zip(ends, ends[1:])]
 
 

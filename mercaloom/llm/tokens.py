@@ -41,6 +41,14 @@ def _cuts_alone(text: str) -> bool:
     )
 
 
+class Places(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Encoder:
     """`encode(texts)` gives the ids of all texts in one flat array and the ends of the texts in it."""
 
@@ -61,20 +69,20 @@ class Encoder:
     def forget(self) -> None:
         if len(getattr(self, "pieces", ())) > REMEMBERED // 2 or not hasattr(self, "pieces"):
             self.pieces: dict[str, tuple[int, ...]] = {}
-        self.place: dict[str, int] = {}
+        self.place = Places()
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
     def _learn(self, new: list[str]) -> None:
         """Appends the ids of new words in the order of their places."""
-        pieces, flat, counts = self.pieces, [], []
+        pieces, split, flat, counts = self.pieces, self.split, [], []
         for word in new:
             before = len(flat)
-            for piece in self.split(word):
+            for piece in split(word):
                 ids = pieces.get(piece)
                 if ids is None:
                     written = piece.encode().decode("latin-1").translate(self.letters)
-                    ids = pieces[piece] = tuple(t.id for t in self.model.tokenize(written))
+                    ids = pieces[piece] = tuple([t.id for t in self.model.tokenize(written)])
                 flat += ids
             counts.append(len(flat) - before)
         self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
@@ -91,7 +99,7 @@ class Encoder:
                 continue
             words = (" " + text).split(" ")
             words[1] = words[1] and "\0" + words[1]  # the first word has no space before it
-            parts.append(np.array([place.setdefault(w, len(place)) for w in words[1:]], np.int64))
+            parts.append(np.fromiter(map(place.__getitem__, words[1:]), np.int64, len(words) - 1))
         if len(place) > known:
             self._learn([w[1:] if w[0] == "\0" else " " + w for w in list(place)[known:]])
         out = []
