@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from .operators.integrity import check_integrity
 from .operators.profile import profile, render_profile
@@ -26,6 +26,9 @@ def main(arguments: list[str] | None = None) -> None:
     day = datetime.date.fromisoformat
     parser.add_argument("--start", type=day, default=CALENDAR_START, help="first calendar day")
     parser.add_argument("--end", type=day, default=CALENDAR_END, help="last calendar day")
+    parser.add_argument(
+        "--on-violation", choices=("stop", "report"), default="stop", help="when a declared constraint is broken"
+    )
     parser.add_argument("--ordered", action="store_true", help="number the fact by order and line")
     args = parser.parse_args(arguments)
     if args.step in ("load", "run") and not args.data:
@@ -38,31 +41,38 @@ def main(arguments: list[str] | None = None) -> None:
         drop_intermediates(spark)
 
 
+def _list(database: str, tables: dict[str, DataFrame]) -> None:
+    """Where the full results are, and how many rows each has."""
+    for name, table in tables.items():
+        print(f"{database}.{name}: {table.count()} rows")
+
+
 def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.step == "load":
-        T.load_report(T.load_all(spark, args.data, args.on_reject)).show()
-        print(T.list_tables(spark, T.STAGING_DATABASE))
+        _list(T.STAGING_DATABASE, T.load_all(spark, args.data, args.on_reject))
         return
     if args.step == "run":
-        star = pipeline.run(spark, args.data, args.on_reject, args.start, args.end, args.ordered)
-        T.load_report(star).show()
+        days = args.start, args.end
+        _list(T.WAREHOUSE_DATABASE, pipeline.run(spark, args.data, args.on_reject, *days, args.ordered, args.on_violation))
         return
     staging = T.saved_tables(spark, T.STAGING_DATABASE, STAGING)
     if args.step == "profile":
-        for name in args.tables:
-            render_profile(profile(staging[name], name)).show(truncate=False)
+        rendered = {name: render_profile(profile(staging[name], name)) for name in args.tables}
+        for name, saved in pipeline.save_reports(rendered, "profile_", T.STAGING_DATABASE).items():
+            print(f"{T.STAGING_DATABASE}.{name}")
+            saved.show(saved.count(), truncate=False)  # one row per column
     elif args.step == "build":
         star = pipeline.build_warehouse(spark, staging, args.start, args.end, args.ordered)
-        T.load_report(star).show()
+        _list(T.WAREHOUSE_DATABASE, {**star, **pipeline.check_star(staging, star, args.on_violation)})
     else:
         star = T.saved_tables(spark, T.WAREHOUSE_DATABASE, WAREHOUSE)
         if args.step == "check":
-            reports = {**check_integrity(staging), **pipeline.constraint_reports(staging, star)}
+            _list(T.WAREHOUSE_DATABASE, pipeline.save_reports(check_integrity(staging)))
+            _list(T.WAREHOUSE_DATABASE, pipeline.check_star(staging, star, args.on_violation))
         else:
-            reports = pipeline.save_kpis(star, staging["orders"])
-        for name, report in reports.items():
-            print(name)
-            report.show(truncate=False)
+            for name, saved in pipeline.save_kpis(star, staging["orders"]).items():
+                print(f"{T.WAREHOUSE_DATABASE}.{name}")
+                saved.show(truncate=False)
 
 
 if __name__ == "__main__":

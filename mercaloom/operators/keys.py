@@ -63,7 +63,8 @@ def grouped_row_number(
     window = Window.partitionBy(group).orderBy(*order)
     if not hot:
         return df.withColumn(name, F.row_number().over(window)).select(name, *df.columns)
-    is_hot = F.coalesce(F.col(group).isin(*hot.spread), F.lit(hot.null_spread > 1))
+    missing, listed = F.col(group).isNull(), list(hot.spread)
+    is_hot = F.when(missing, F.lit(hot.null_spread > 1)).otherwise(F.col(group).isin(listed) if listed else F.lit(False))
     small = df.where(~is_hot).withColumn(name, F.row_number().over(window).cast("long"))
     numbered = ordered_row_number(df.where(is_hot), "_number", group, *order)
     first = numbered.groupBy(F.col(group).alias("_group")).agg(F.min("_number").alias("_first"))

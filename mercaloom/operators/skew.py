@@ -11,13 +11,13 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 # A key below this many rows never makes a task too large, whatever its share.
 MIN_HOT_ROWS = 1_000_000
-# Keys above this share of all rows are hot, so there are never more than 5000 of them.
-HOT_SHARE = 0.0002
-# Rows of the sample that keys are judged by; a hot key has some 400 of them.
-SAMPLE_ROWS = 2_000_000
-# A parent of at most this many rows is broadcast: with keys and labels of declared length, about
-# 40 MB. Larger ones are shuffled.
-BROADCAST_ROWS = 200_000
+# A key is hot above this many fair shares of a task, so there are at most half as many hot keys as tasks.
+HOT_TASKS = 2
+# Sampled rows per task that keys are judged by; a hot key has some 400 of them.
+SAMPLE_ROWS_PER_TASK = 200
+# A parent is broadcast up to this size, as measured: its texts and numbers and a fixed part per row.
+BROADCAST_BYTES = 256 << 20
+ROW_BYTES = 40
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class HotKeys:
 
 @dataclass(frozen=True)
 class Lookup:
-    """A parent to be joined. `measurable` says that counting its rows is cheap."""
+    """A parent to be joined. `measurable` says that measuring it is cheap."""
 
     key: str
     parent: DataFrame
@@ -45,22 +45,22 @@ NOT_SKEWED = HotKeys()
 
 
 def find_hot_keys(
-    df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS, share: float = HOT_SHARE
+    df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS
 ) -> dict[str, HotKeys]:
     """Keys of each column that hold a large share of the rows.
 
     A table with fewer than `min_rows` rows has none and is only counted. Otherwise the keys of a
     sample are counted, column by column, so each pass reads one column and shuffles little. The
-    driver sees at most 1/`share` keys per column. They decide how the work is spread and never what
+    driver sees at most half as many keys per column as there are tasks. They decide how the work is spread and never what
     a join returns, so a key the sample misses costs time and not rows.
     """
     total = df.count()
     if total < min_rows:
         return dict.fromkeys(columns, NOT_SKEWED)
-    fraction = min(1.0, SAMPLE_ROWS / total)
-    floor = max(min_rows, share * total)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fair_share = max(total / tasks, 1)
+    fraction = min(1.0, max(SAMPLE_ROWS_PER_TASK * tasks, min_rows) / total)
+    floor = max(min_rows, HOT_TASKS * fair_share)
     hot = {}
     for c in columns:
         keys = df.select(c)
@@ -116,12 +116,26 @@ def skew_safe_join(
     return salted_left.join(salted_right, [key, "_slot"], how).drop("_slot")
 
 
-def look_up(left: DataFrame, *lookups: Lookup, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Join parents one after another. Small ones are broadcast, which no hot key can disturb; for
-    the others the hot keys of `left` decide how the join is spread."""
-    small = [
-        lookup.measurable and lookup.parent.count() <= BROADCAST_ROWS for lookup in lookups
-    ]
+def measured_bytes(df: DataFrame) -> int:
+    """About the memory the rows of `df` take: their texts, their fixed-width values and a part per row."""
+    texts = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    fixed = ROW_BYTES + 8 * len(df.columns)
+    lengths = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in texts]
+    rows, *sums = df.agg(F.count(F.lit(1)), *lengths).first()
+    return rows * fixed + sum(sums)
+
+
+def look_up(
+    left: DataFrame,
+    *lookups: Lookup,
+    min_rows: int = MIN_HOT_ROWS,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
+    """Join parents one after another. Those of at most `broadcast_bytes`, as measured, are broadcast, which no hot key
+    can disturb; for the others the hot keys of `left` decide how the join is spread."""
+    if broadcast_bytes is None:
+        broadcast_bytes = BROADCAST_BYTES
+    small = [lookup.measurable and measured_bytes(lookup.parent) <= broadcast_bytes for lookup in lookups]
     shuffled = {lookup.key for lookup, is_small in zip(lookups, small) if not is_small}
     hot = find_hot_keys(left, *sorted(shuffled), min_rows=min_rows) if shuffled else {}
     for lookup, is_small in zip(lookups, small):

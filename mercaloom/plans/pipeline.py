@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.integrity import (
     Tables,
@@ -80,11 +82,42 @@ CONSTRAINT_REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+class ConstraintError(Exception):
+    """The saved star schema breaks its declared constraints."""
+
+
 def constraint_reports(staging: Tables, star: Tables) -> dict[str, DataFrame]:
     tables = {**staging, **star}
     return {name: report(tables) for name, report in CONSTRAINT_REPORTS.items()}
 
 
+def save_reports(reports: Tables, prefix: str = "check_", database: str = T.WAREHOUSE_DATABASE) -> dict[str, DataFrame]:
+    """Save every report in full, as the table `<prefix><name>`."""
+    return {f"{prefix}{name}": T.save_table(df, database, f"{prefix}{name}") for name, df in reports.items()}
+
+
+def violations(reports: Tables) -> dict[str, int]:
+    """Rows of a constraint report that count something wrong, by report; sizes over the declared ones do not stop a load."""
+    found = {}
+    for name in ("pk_violations", "fk_violations", "not_null_violations"):
+        report = reports[f"check_{name}"]
+        counts = [F.col(c) > 0 for c in report.columns if c.endswith(("_rows", "_keys"))]
+        found[name] = report.where(reduce(Column.__or__, counts)).count()
+    return {name: n for name, n in found.items() if n}
+
+
+def check_star(staging: Tables, star: Tables, on_violation: str = "stop") -> dict[str, DataFrame]:
+    """Save the constraint reports; stop if a primary key, a foreign key or a needed value is wrong, unless told to `report`."""
+    if on_violation not in ("stop", "report"):
+        raise ValueError(f"not an option: {on_violation}")
+    saved = save_reports(constraint_reports(staging, star))
+    wrong = violations(saved)
+    if wrong and on_violation == "stop":
+        listed = ", ".join(f"{n} in {T.WAREHOUSE_DATABASE}.check_{name}" for name, n in wrong.items())
+        raise ConstraintError(f"constraints are broken: {listed}")
+    return saved
+
+
 def save_kpis(star: Tables, orders: DataFrame) -> dict[str, DataFrame]:
     """Save every figure as a small table beside the star schema."""
     frames = kpis.kpi_frames(star, orders)
@@ -98,8 +131,10 @@ def run(
     start: datetime.date = CALENDAR_START,
     end: datetime.date = CALENDAR_END,
     ordered: bool = False,
+    on_violation: str = "stop",
 ) -> dict[str, DataFrame]:
-    """Load the CSV files of `folder`, build the star schema and save the figures."""
+    """Load the CSV files of `folder`, build the star schema, check it and save the figures. May be run again."""
     staging = T.load_all(spark, folder, on_reject)
     star = build_warehouse(spark, staging, start, end, ordered)
-    return {**star, **save_kpis(star, staging["orders"])}
+    checks = check_star(staging, star, on_violation)
+    return {**star, **checks, **save_kpis(star, staging["orders"])}

@@ -1,14 +1,20 @@
-"""Databases and saved tables: full-refresh loads, listings and row counts."""
+"""Databases and saved tables: full-refresh loads, listings and row counts.
+
+A table is the content of one folder, `<name>__<number>`, below its database's location. A new content is written to a
+new folder, then the table is pointed at it, then the old folder goes. So a write that fails leaves the old rows where
+they are, and a session whose catalog does not know the table yet can replace it all the same.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..operators.storage import materialize
 from .csv_files import FILE_PATTERNS, accepted, read_table, rejected
 
 STAGING_DATABASE = "staging"
@@ -28,10 +34,61 @@ def list_tables(spark: SparkSession, database: str) -> list[str]:
     return sorted(t.name for t in spark.catalog.listTables(database))
 
 
+def _path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _new_folder(spark: SparkSession, database: str, name: str) -> str:
+    location = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    return f"{location}/{name}__{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path, files = _path(spark, folder)
+    files.delete(path, True)
+
+
+def _point(spark: SparkSession, database: str, name: str, schema: StructType, folder: str) -> DataFrame:
+    """Make `folder` the content of the table; the folder it had is left alone."""
+    table = f"{database}.`{name}`"
+    path, files = _path(spark, folder)
+    files.mkdirs(path)  # no rows, no folder
+    bare = StructType([field for field in schema])
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        found = spark.catalog.getTable(f"{database}.{name}")
+        same = [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in bare]
+        if found.tableType == "EXTERNAL" and same:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE {table}")
+    spark.catalog.createTable(f"{database}.{name}", path=folder, source="parquet", schema=bare)
+    return spark.table(table)
+
+
+def _drop_others(spark: SparkSession, folder: str) -> None:
+    """Delete the folders of earlier contents of the same table, also those of other sessions."""
+    path, files = _path(spark, folder)
+    stem = path.getName().rpartition("__")[0]
+    for status in files.listStatus(path.getParent()) or ():
+        name = status.getPath().getName()
+        if name.rpartition("__")[0] == stem and name != path.getName():
+            files.delete(status.getPath(), True)
+
+
 def save_table(df: DataFrame, database: str, name: str) -> DataFrame:
     """Create or replace a table with the rows of a query."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-    return df.sparkSession.table(f"{database}.{name}")
+    spark = df.sparkSession
+    folder = _new_folder(spark, database, name)
+    try:
+        df.write.parquet(folder)
+    except Exception:
+        _delete(spark, folder)
+        raise
+    saved = _point(spark, database, name, df.schema, folder)
+    _drop_others(spark, folder)
+    return saved
 
 
 def append_rows(df: DataFrame, database: str, name: str) -> None:
@@ -50,22 +107,31 @@ def load_table(
 ) -> DataFrame:
     """Replace one raw table with the content of its CSV files.
 
-    The files are parsed once into an intermediate table. Only when that has worked is the old table
-    replaced, so a bad file cannot empty it. Rows that do not fit stop the load (`fail`) or go to
-    `<name>_rejected` (`quarantine`).
+    The files are parsed and written once, good and bad rows apart. Rows that do not fit stop the load (`fail`), and
+    the old table stays; or they become the table `<name>_rejected` (`quarantine`), which else does not exist.
     """
     if on_reject not in ("fail", "quarantine"):
         raise ValueError(f"not an option: {on_reject}")
-    prepared = materialize(read_table(spark, name, path, **reading), f"load-{name}")
-    bad = rejected(prepared)
-    if on_reject == "fail":
-        first = bad.limit(1).collect()
-        if first:
-            row = first[0]
+    prepared = read_table(spark, name, path, **reading)
+    good, bad = accepted(prepared).schema, rejected(prepared).schema
+    folder = _new_folder(spark, database, name)
+    both = prepared.withColumnsRenamed({"_file": "file", "_record": "record", "_reasons": "reasons"})
+    try:
+        both.withColumn("bad", F.size("reasons") > 0).write.partitionBy("bad").parquet(folder)
+        spoilt, files = _path(spark, f"{folder}/bad=true")
+        if on_reject == "fail" and files.exists(spoilt):
+            row = spark.read.schema(bad).parquet(f"{folder}/bad=true").first()
             raise LoadError(f"{name}: {'; '.join(row.reasons)}, in {row.file}: {row.record}")
+    except Exception:
+        _delete(spark, folder)
+        raise
+    if on_reject == "quarantine":
+        _point(spark, database, f"{name}_rejected", bad, f"{folder}/bad=true")
     else:
-        save_table(bad, database, f"{name}_rejected")
-    return save_table(accepted(prepared), database, name)
+        spark.sql(f"DROP TABLE IF EXISTS {database}.`{name}_rejected`")
+    loaded = _point(spark, database, name, good, f"{folder}/bad=false")
+    _drop_others(spark, folder)
+    return loaded
 
 
 def load_all(

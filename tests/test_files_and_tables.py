@@ -1,9 +1,11 @@
 """CSV dialect, rejected rows, saved tables and the whole pipeline."""
 
 import datetime
+import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from mercaloom.operators.integrity import check_integrity
 from mercaloom.plans import pipeline
@@ -12,6 +14,7 @@ from mercaloom.sources.csv_files import accepted, read_table, rejected
 from mercaloom.sources.schemas import STAGING, WAREHOUSE
 from tests.conftest import rows_of
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 ITEMS = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
 
 
@@ -105,6 +108,66 @@ def test_failed_load_keeps_the_old_table(spark, tmp_path):
         T.load_table(spark, "order_items", good, on_reject="ignore")
 
 
+def test_a_later_load_leaves_no_old_rejects(spark, tmp_path):
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    for folder, text in ((good, "s1,1,a,SP\n"), (bad, "s1,1,a,SP\ns2,2,b,TOOLONG\n")):
+        folder.mkdir()
+        (folder / "sellers.csv").write_text(header + text)
+    T.create_databases(spark)
+    T.load_table(spark, "sellers", str(bad), on_reject="quarantine")
+    assert spark.table("staging.sellers_rejected").first().reasons == ["seller_state: over 2 long"]
+    assert spark.table("staging.sellers").count() == 1
+    T.load_table(spark, "sellers", str(good))
+    assert "sellers_rejected" not in T.list_tables(spark, "staging")
+    T.load_table(spark, "sellers", str(good), on_reject="quarantine")
+    assert spark.table("staging.sellers_rejected").count() == 0
+
+
+def test_a_failed_write_leaves_the_old_rows(spark):
+    T.create_databases(spark)
+    T.save_table(spark.range(3), "staging", "kept")
+    broken = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") > 900, F.raise_error(F.lit("halfway"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="halfway"):
+        T.save_table(broken, "staging", "kept")
+    assert spark.table("staging.kept").count() == 3
+    T.save_table(spark.table("staging.kept").selectExpr("id + 1 as id"), "staging", "kept")  # from itself
+    assert rows_of(spark.table("staging.kept")) == [("1",), ("2",), ("3",)]
+    T.save_table(spark.range(2).selectExpr("'a' as other"), "staging", "kept")
+    assert spark.table("staging.kept").columns == ["other"]
+    spark.sql("DROP TABLE staging.kept")
+
+
+RERUN = """
+import sys
+from mercaloom.session import build_session
+from mercaloom.plans import pipeline
+import datetime
+spark = build_session("rerun", "local[2]", **{"spark.sql.warehouse.dir": sys.argv[2], "spark.checkpoint.dir": sys.argv[3],
+    "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": 2, "spark.driver.memory": "2g"})
+saved = pipeline.run(spark, sys.argv[1], start=datetime.date(1995, 1, 1), end=datetime.date(2002, 12, 31))
+print("fact rows", saved["fact_sales"].count())
+"""
+
+
+def test_run_again_in_another_process(csv_folder, tmp_path):
+    """The default catalog of a new process knows no table; the folders of the first are replaced."""
+    import subprocess
+    import sys
+
+    counts = []
+    for _ in range(2):
+        done = subprocess.run(
+            [sys.executable, "-c", RERUN, csv_folder, str(tmp_path / "warehouse"), str(tmp_path / "shared")],
+            capture_output=True, text=True, timeout=600, cwd=str(tmp_path), env={**os.environ, "PYTHONPATH": ROOT},
+        )
+        assert done.returncode == 0, done.stderr[-2000:]
+        counts.append(done.stdout.split("fact rows")[1].strip())
+    assert counts[0] == counts[1]
+    folders = [f for f in os.listdir(tmp_path / "warehouse" / "warehouse.db") if f.startswith("fact_sales__")]
+    assert len(folders) == 1
+
+
 def test_append_rows_matches_by_name(spark):
     T.create_databases(spark)
     first = spark.createDataFrame([(1, "a")], "k int, v string")
@@ -158,7 +221,7 @@ def test_pipeline(spark, saved, loaded, staging):
     for name in STAGING:
         assert rows_of(loaded[name]) == rows_of(staging[name]), name
     assert set(STAGING) <= set(T.list_tables(spark, "staging"))
-    assert T.list_tables(spark, "warehouse") == sorted(saved)
+    assert set(saved) <= set(T.list_tables(spark, "warehouse"))
     star = T.saved_tables(spark, "warehouse", WAREHOUSE)
     for name, report in pipeline.constraint_reports(loaded, star).items():
         numbers = [v for row in report.collect() for c, v in row.asDict().items()
@@ -166,14 +229,14 @@ def test_pipeline(spark, saved, loaded, staging):
         assert set(numbers) == {0}, name
     assert check_integrity(loaded)["customers_without_orders"].first()[0] == 15
     report = {r.table_name: r.rows_loaded for r in T.load_report(star).collect()}
-    assert report["fact_sales"] == 5319 and report["dim_customer"] == 1500
+    assert report["fact_sales"] == 5949 and report["dim_customer"] == 1500
 
 
 def test_rebuild_in_order_has_the_same_rows(spark, saved, loaded):
     before = rows_of(saved["fact_sales"].drop("sales_sk"))
     again = pipeline.build_warehouse(spark, loaded, FIRST_DAY, LAST_DAY, ordered=True)["fact_sales"]
     assert rows_of(again.drop("sales_sk")) == before
-    assert again.agg({"sales_sk": "max"}).first()[0] == 5319
+    assert again.agg({"sales_sk": "max"}).first()[0] == 5949
 
 
 def test_command_line_runs_again(spark, csv_folder, saved, capsys, monkeypatch):
@@ -186,4 +249,31 @@ def test_command_line_runs_again(spark, csv_folder, saved, capsys, monkeypatch):
     command.main(["check"])
     command.main(["kpis"])
     shown = capsys.readouterr().out
-    assert "seller_city" in shown and "orphan_payments" in shown and "kpi_values" in shown
+    assert "seller_city" in shown and "check_orphan_payments" in shown and "kpi_values" in shown
+    assert spark.table("warehouse.check_not_null_violations").count() == 33
+    assert spark.table("warehouse.check_length_violations").count() > 20
+    assert spark.table("staging.profile_sellers").count() == 4
+
+
+def test_broken_constraints_stop_the_run(spark, csv_folder, tmp_path, saved):
+    """A purchase date that cannot be read has no key; the run stops, or reports and goes on."""
+    import shutil
+
+    folder = tmp_path / "csv"
+    shutil.copytree(csv_folder, folder)
+    for part in folder.glob("*orders_dataset-*.csv"):
+        lines = part.read_text().splitlines()
+        cells = [line.split(",") for line in lines]
+        at = cells[0].index("order_purchase_timestamp")
+        for row in cells[1:]:
+            row[at] = "31/12/2017"
+        part.write_text("\n".join(",".join(row) for row in cells) + "\n")
+    days = FIRST_DAY, LAST_DAY
+    with pytest.raises(pipeline.ConstraintError, match="not_null"):
+        pipeline.run(spark, str(folder), start=days[0], end=days[1])
+    nulls = spark.table("warehouse.check_not_null_violations").where("null_rows > 0").collect()
+    assert [(r.table_name, r.column_name) for r in nulls] == [("fact_sales", "purchase_date_key")]
+    done = pipeline.run(spark, str(folder), start=days[0], end=days[1], on_violation="report")
+    assert "kpi_values" in done
+    with pytest.raises(ValueError):
+        pipeline.run(spark, str(folder), on_violation="ignore")

@@ -33,6 +33,18 @@ def one(spark, expression, **values):
     [
         ("2017-10-02 10:56:33", datetime.datetime(2017, 10, 2, 10, 56, 33)),
         ("2017-10-02", datetime.datetime(2017, 10, 2)),
+        ("2017-10-02 10:56:33.123", datetime.datetime(2017, 10, 2, 10, 56, 33, 123000)),
+        ("2017-10-02 10:56:33.1234567", datetime.datetime(2017, 10, 2, 10, 56, 33, 123456)),
+        ("2017-10-02 10:56", datetime.datetime(2017, 10, 2, 10, 56)),
+        ("2017-10-02T10:56:33", datetime.datetime(2017, 10, 2, 10, 56, 33)),
+        ("20171002", datetime.datetime(2017, 10, 2)),
+        (" 2017-10-02 10:56:33 ", datetime.datetime(2017, 10, 2, 10, 56, 33)),
+        ("2017-1-2 10:56:33.1", None),
+        (" 2017-10-2", None),
+        ("2017/10/02", None),
+        ("2017-13-02", None),
+        ("20171302", None),
+        ("2017", None),
         ("2017", None),
         ("2017-02-30", None),
         ("not a date", None),
