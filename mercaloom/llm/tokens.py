@@ -16,7 +16,7 @@ import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 _RARE = re.compile(r"[^\S \n\t]|\0")
 
 
