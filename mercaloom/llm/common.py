@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.storage import shared_folder
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # A table is broadcast only if it was counted and has no more rows than this (narrow rows, some tens of MB).
 BROADCAST_ROWS = 200_000
 

@@ -55,7 +55,7 @@ class EliasFano:
         """For each query the index of the first number not below it, and whether it equals the query."""
         queries = queries.astype(U64)
         index, equal = np.full(len(queries), self.count, np.int64), np.zeros(len(queries), bool)
-        if not self.count:
+        if not self.count or not len(queries):
             return index, equal
         # the first of equal numbers may stand in the run before
         run = np.maximum(np.searchsorted(self.samples, queries, side="left") - 1, 0)

@@ -73,14 +73,18 @@ def removed_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
 def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     names = [c for c in docs.columns if c not in (n_lines, n_removed)]
     keyed = docs.select(
-        *(F.coalesce("text", F.lit("")).alias("text") if c == "text" else F.col(f"`{c}`") for c in names)
-    ).withColumns({"_id": F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")), "_row": F.xxhash64("text")})
+        F.struct(*(F.col(f"`{c}`") for c in names if c != "text")).alias("_rest"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")).alias("_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_row"),
+    )
     joined = with_chunks(_beside(keyed, *removed_chunks(keyed), "left"))
     kept = F.filter("_chunks", lambda c, i: F.col("_removed").isNull() | ~F.array_contains("_removed", i))
     lines = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda n, c: n + c["n"])
     counted = joined.select("*", F.explode(F.array(kept)).alias("_kept"))
+    text = F.array_join(F.transform("_kept", lambda c: c["text"]), "\n")
     return counted.select(
-        *(F.array_join(F.transform("_kept", lambda c: c["text"]), "\n").alias("text") if c == "text" else F.col(f"`{c}`") for c in names),
+        *(text.alias(c) if c == "text" else F.col("_rest").getField(c).alias(c) for c in names),
         lines(F.col("_chunks")).alias(n_lines),
         (lines(F.col("_chunks")) - lines(F.col("_kept"))).alias(n_removed),
     )

@@ -36,9 +36,9 @@ def word_count(text: Column) -> Column:
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, SPACE))).cast("long")
 
 
-def lexical_register(text: Column, words: Column) -> Column:
+def lexical_register(length: Column, words: Column) -> Column:
     """Half letters per word, from 9 to 16."""
-    return F.least(F.lit(16), F.greatest(F.lit(9), F.floor(2 * F.length(text) / F.greatest(words, F.lit(1))))).cast("string")
+    return F.least(F.lit(16), F.greatest(F.lit(9), F.floor(2 * length / F.greatest(words, F.lit(1))))).cast("string")
 
 
 def _value(name: str, kept: list[str]) -> Column:
@@ -48,11 +48,20 @@ def _value(name: str, kept: list[str]) -> Column:
 
 
 def with_cells(docs: DataFrame, topic: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """The documents with their tokens and cell, and the tokens of each cell."""
+    """The documents as `row`, with their id, tokens and cell; and the tokens of each cell."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    counted = docs.withColumn("_n_tokens", word_count(text))
-    topic = lexical_register(text, F.col("_n_tokens")) if topic is None else topic.cast("string")
-    counted = counted.withColumn("_topic", F.coalesce(topic, F.lit(NONE)))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        "doc_id",
+        "source",
+        "lang",
+        F.length(text).alias("_length"),
+        word_count(text).alias("_n_tokens"),
+        (F.lit(None) if topic is None else topic).cast("string").alias("_topic"),
+    )
+    if topic is None:
+        rows = rows.withColumn("_topic", lexical_register(F.col("_length"), F.col("_n_tokens")))
+    counted = rows.withColumn("_topic", F.coalesce("_topic", F.lit(NONE)))
     pairs = counted.groupBy(*(F.coalesce(c, F.lit(NONE)).alias(c) for c in ("source", "lang")), "_topic")
     pairs = common.store(pairs.agg(F.sum("_n_tokens").alias("tokens")), "mix-sums")
 
@@ -125,7 +134,7 @@ def mix(
 ) -> DataFrame:
     """All rows with `n_tokens`, `topic`, the `rate` of their cell and whether they are `kept`, named with `prefix`."""
     names = {c: prefix + c for c in ("n_tokens", "topic", "rate", "kept")}
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in names.values()]
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in names.values()]
     counted, cells = with_cells(docs, topic)
     rated = rates(fitted(cells, targets), keep).select(*(F.col(c).alias(f"_r{c}") for c in CELL), "rate")
     same = [F.col(c) == F.col(f"_r{c}") for c in CELL]

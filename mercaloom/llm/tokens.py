@@ -2,7 +2,7 @@
 
 A byte-level BPE file splits a text into pieces and merges within a piece only. So a text cut at single spaces has
 the ids of its parts, each with the space before it, unless white space meets at a cut; such texts, and those that
-hold a special token, are encoded whole. Words repeat, so a worker remembers the ids of words and of pieces, up to
+hold a special token, are encoded whole. Words repeat, so a task remembers the ids of words and of pieces, up to
 `REMEMBERED` of each, and asks the library's model for new pieces only.
 """
 
@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 _RARE = re.compile(r"[^\S \n\t]|\0")
 
 
@@ -64,14 +64,24 @@ class Encoder:
         self.letters = _byte_letters()
         added = self.whole.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
-        self.forget()
+        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.place = Places()
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
     def forget(self) -> None:
-        if len(getattr(self, "pieces", ())) > REMEMBERED // 2 or not hasattr(self, "pieces"):
-            self.pieces: dict[str, tuple[int, ...]] = {}
-        self.place = Places()
-        self.ids = np.zeros(0, np.uint32)
-        self.ends = np.zeros(1, np.int64)
+        """Keeps the words met at least twice since the last time, and no more than half of what is allowed."""
+        if len(self.pieces) > REMEMBERED // 2:
+            self.pieces.clear()
+        kept = np.flatnonzero(self.uses > 1)
+        kept = kept[np.argsort(-self.uses[kept], kind="stable")][: REMEMBERED // 2]
+        words = list(self.place)
+        counts = self.ends[kept + 1] - self.ends[kept]
+        ends = np.cumsum(counts)
+        self.ids = self.ids[np.arange(counts.sum()) + np.repeat(self.ends[kept] - ends + counts, counts)]
+        self.ends = np.concatenate([[0], ends])
+        self.place = Places((words[k], i) for i, k in enumerate(kept.tolist()))
+        self.uses = np.zeros(len(kept), np.int64)
 
     def _learn(self, new: list[str]) -> None:
         """Appends the ids of new words in the order of their places."""
@@ -101,7 +111,11 @@ class Encoder:
             words[1] = words[1] and "\0" + words[1]  # the first word has no space before it
             parts.append(np.fromiter(map(place.__getitem__, words[1:]), np.int64, len(words) - 1))
         if len(place) > known:
-            self._learn([w[1:] if w[0] == "\0" else " " + w for w in list(place)[known:]])
+            self._learn([w[1:] if w[0] == "\0" else " " + w for w in islice(place, known, None)])
+        words = [part for part in parts if not isinstance(part, list)]
+        uses = np.bincount(np.concatenate(words), minlength=len(place)) if words else np.zeros(len(place), np.int64)
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         out = []
         for part in parts:
             if isinstance(part, list):
@@ -114,6 +128,6 @@ class Encoder:
         return flat, np.cumsum([len(x) for x in out], dtype=np.int64)
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
+    """A new one for each task, so that a worker holds no words between tasks."""
     return Encoder(path)
