@@ -72,8 +72,9 @@ def removed_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
 
 def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     names = [c for c in docs.columns if c not in (n_lines, n_removed)]
+    renamed = {c: f"_column_{i}" for i, c in enumerate(names)}  # no input name can meet one of the names used here
     keyed = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in names if c != "text")).alias("_rest"),
+        *(F.col(f"`{c}`").alias(new) for c, new in renamed.items() if c != "text"),
         F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")).alias("_id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_row"),
@@ -84,7 +85,7 @@ def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_r
     counted = joined.select("*", F.explode(F.array(kept)).alias("_kept"))
     text = F.array_join(F.transform("_kept", lambda c: c["text"]), "\n")
     return counted.select(
-        *(text.alias(c) if c == "text" else F.col("_rest").getField(c).alias(c) for c in names),
+        *(text.alias(c) if c == "text" else F.col(new).alias(c) for c, new in renamed.items()),
         lines(F.col("_chunks")).alias(n_lines),
         (lines(F.col("_chunks")) - lines(F.col("_kept"))).alias(n_removed),
     )

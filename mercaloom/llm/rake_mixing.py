@@ -48,10 +48,10 @@ def _value(name: str, kept: list[str]) -> Column:
 
 
 def with_cells(docs: DataFrame, topic: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """The documents as `row`, with their id, tokens and cell; and the tokens of each cell."""
+    """The documents, their columns renamed by place, with their id, tokens and cell; and the tokens of each cell."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        *(F.col(f"`{c}`").alias(f"_column_{i}") for i, c in enumerate(docs.columns)),
         "doc_id",
         "source",
         "lang",
@@ -134,7 +134,7 @@ def mix(
 ) -> DataFrame:
     """All rows with `n_tokens`, `topic`, the `rate` of their cell and whether they are `kept`, named with `prefix`."""
     names = {c: prefix + c for c in ("n_tokens", "topic", "rate", "kept")}
-    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in names.values()]
+    own = [F.col(f"_column_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in names.values()]
     counted, cells = with_cells(docs, topic)
     rated = rates(fitted(cells, targets), keep).select(*(F.col(c).alias(f"_r{c}") for c in CELL), "rate")
     same = [F.col(c) == F.col(f"_r{c}") for c in CELL]

@@ -160,7 +160,7 @@ def test_line_chunks_beyond_the_broadcast(documents, monkeypatch):
 
 
 def test_line_chunks_of_odd_texts(odd, documents):
-    clash = odd.withColumn("n_lines", F.lit("x")).withColumn("_chunk", F.lit(1)).withColumn("odd name.", F.lit(2))
+    clash = odd.withColumn("n_lines", F.lit("x")).withColumn("_row", F.lit(1)).withColumn("_chunks", F.lit(1)).withColumn("odd name.", F.lit(2))
     found = line_chunks.dedup_lines(clash)
     assert set(found.columns) == {*clash.columns, "n_removed"} and found.count() == len(ODD_TEXTS)
     rows = {(r.doc_id, r.text) for r in found.collect()}
