@@ -17,6 +17,11 @@ CANCELED_STATES = ("canceled", "unavailable")
 UNKNOWN = "Unknown"
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, which may hold dots, spaces or back ticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def parse_timestamp(text: Column) -> Column:
     """Timestamp without zone, or NULL for text that is not a date; judged by its form, never by its length.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from ..functions import expressions as X
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -53,11 +55,11 @@ def missing_values(df: DataFrame) -> DataFrame:
     """Missing cells of every column, as a count and as a percentage, in one pass."""
     row = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns],
+        *[F.count_if(X.column(c).isNull()).alias(c) for c in df.columns],
     )
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("missing_count"))
+            F.struct(F.lit(c).alias("column_name"), X.column(c).alias("missing_count"))
             for c in df.columns
         ]
     )
@@ -85,10 +87,10 @@ def missing_totals(df: DataFrame, name: str) -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Frequency of every value that is present, most frequent first."""
     return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
+        df.where(X.column(column).isNotNull())
+        .groupBy(X.column(column))
         .agg(F.count(F.lit(1)).alias("cnt"))
-        .orderBy(F.desc("cnt"), column)
+        .orderBy(F.desc("cnt"), X.column(column))
     )
 
 
@@ -125,78 +127,88 @@ def key_uniqueness(df: DataFrame, *keys: str) -> DataFrame:
 
 def group_size_summary(df: DataFrame, key: str) -> DataFrame:
     """Mean and largest number of rows per key."""
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("size"))
+    sizes = df.where(X.column(key).isNotNull()).groupBy(X.column(key)).agg(F.count(F.lit(1)).alias("size"))
     return sizes.agg(F.avg("size").alias("avg_rows"), F.max("size").alias("max_rows"))
 
 
+# A bracket around a quartile that holds at most this many rows is sorted; a larger one is narrowed first.
+BRACKET_ROWS = 1_000_000
+# How far, as a share of the rows, the first brackets reach to either side; their estimate is ten times finer.
+REACH = 0.001
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
+@dataclass
+class _Bracket:
+    """Values between which a quartile lies, and the rows below and inside; `place` is its place among all rows."""
+
+    place: float
+    low: float
+    high: float
+    below: int = 0
+    inside: int = 0
+
+    def holds(self) -> bool:
+        return self.below <= math.floor(self.place) and math.ceil(self.place) < self.below + self.inside
+
+    def has(self, v: Column) -> Column:
+        return (v >= self.low) & (v <= self.high)
+
+
+def _brackets(values: DataFrame, rows: int, least: float, most: float) -> list[_Bracket]:
+    """A small bracket around each quartile, from a few passes that shuffle next to nothing."""
+    v = F.col("v")
+
+    def near(v: Column, share: float, reach: float) -> Column:
+        ends = [max(0.0, share - reach), min(1.0, share + reach)]
+        return F.percentile_approx(v, ends, math.ceil(10 / REACH))
+
+    found = values.agg(*(near(v, share, REACH) for share in QUARTILES.values())).first()
+    brackets = [_Bracket((rows - 1) * share, *ends) for share, ends in zip(QUARTILES.values(), found)]
+    while True:
+        counts = values.agg(*(F.count_if(x) for b in brackets for x in (v < b.low, b.has(v)))).first()
+        wide = []
+        for b, below, inside in zip(brackets, counts[::2], counts[1::2]):
+            b.below, b.inside = below, inside
+            if not b.holds():  # the estimate was off: take all values and narrow again
+                b.low, b.high, b.below, b.inside = least, most, 0, rows
+            if b.inside > BRACKET_ROWS and b.low < b.high:
+                wide.append(b)
+        if not wide:
+            return brackets
+        ends = [near(F.when(b.has(v), v), (b.place - b.below) / b.inside, REACH) for b in wide]
+        for b, (low, high) in zip(wide, values.agg(*ends).first()):
+            b.low, b.high = (low, high) if (low, high) != (b.low, b.high) else ((low + high) / 2, high)
+
+
 def describe(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles with linear interpolation.
 
-    Works on the distinct values and their counts: a range shuffle orders them, and the number of
-    rows below each value gives its positions. No task holds more than one range of values.
+    Estimated quantiles bracket each quartile; counting the rows below and inside proves a bracket right, and only the
+    values inside are grouped and put in order. Nothing is stored.
     """
-    counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranged = counted.repartitionByRange("v").withColumn("part", F.spark_partition_id())
-    stored = materialize(ranged, f"describe-{column}")
-    # The windows without a key see one row per partition.
-    everything = Window.partitionBy()
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        stored.groupBy("part")
-        .agg(F.sum("n").alias("rows"), F.sum(F.col("v") * F.col("n")).alias("total"))
-        .select(
-            "part",
-            F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
-            F.sum("rows").over(everything).alias("row_total"),
-            F.sum("total").over(everything).alias("value_total"),
-        )
-    )
-    in_part = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = stored.join(F.broadcast(offsets), "part").select(
-        "v",
-        "n",
-        "row_total",
-        (F.col("value_total") / F.col("row_total")).alias("mean"),
-        (F.col("before") + F.coalesce(F.sum("n").over(in_part), F.lit(0))).alias("first"),
-    )
-
-    def at(position: Column) -> Column:
-        inside = (F.col("first") <= position) & (position < F.col("first") + F.col("n"))
-        return F.max(F.when(inside, F.col("v")))
-
-    def quantile(share: float) -> tuple[Column, Column, Column]:
-        place = (F.col("row_total") - 1) * F.lit(share)
-        return at(F.floor(place)), at(F.ceil(place)), F.max(place - F.floor(place))
-
-    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    parts = [
-        part.alias(f"{name}_{role}")
-        for name, share in quartiles.items()
-        for role, part in zip(("low", "high", "weight"), quantile(share))
-    ]
-    gap = F.col("v") - F.col("mean")
-    summary = placed.agg(
-        F.coalesce(F.max("row_total"), F.lit(0)).alias("count"),
-        F.max("mean").alias("mean"),
-        F.sum(gap * gap * F.col("n")).alias("squares"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-        *parts,
-    )
-    return summary.select(
-        "count",
-        "mean",
-        F.sqrt(F.try_divide(F.col("squares"), (F.col("count") - 1).cast("double"))).alias("std"),
-        "min",
-        *[
-            (
-                F.col(f"{q}_low") + (F.col(f"{q}_high") - F.col(f"{q}_low")) * F.col(f"{q}_weight")
-            ).alias(q)
-            for q in quartiles
-        ],
-        "max",
+    spark = df.sparkSession
+    values = df.select(X.column(column).cast("double").alias("v")).where("v is not null")
+    stats = values.agg(
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
     )
+    count, mean, std, least, most = stats.first()
+    fixed = {"count": F.lit(count).cast("long"), **{n: F.lit(x).cast("double") for n, x in (("mean", mean), ("std", std), ("min", least), ("max", most))}}
+    order = ("count", "mean", "std", "min", *QUARTILES, "max")
+    if not count:
+        return spark.range(0, 1, 1, 1).select(*(fixed.get(c, F.lit(None).cast("double")).alias(c) for c in order))
+    brackets = _brackets(values, count, least, most)
+    marks = F.array_compact(F.array(*(F.when(b.has(F.col("v")), i) for i, b in enumerate(brackets))))
+    inside = values.select("v", F.explode(marks).alias("q")).groupBy("q", "v").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("q").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = inside.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+    def at(i: int, rank: int) -> Column:
+        rank -= brackets[i].below
+        return F.max(F.when((F.col("q") == i) & (F.col("first") <= rank) & (rank < F.col("first") + F.col("n")), F.col("v")))
+
+    quartiles = {}
+    for i, (name, b) in enumerate(zip(QUARTILES, brackets)):
+        low, high = at(i, math.floor(b.place)), at(i, math.ceil(b.place))
+        quartiles[name] = low + (high - low) * (b.place - math.floor(b.place))
+    return placed.agg(*((quartiles[c] if c in quartiles else F.first(fixed[c])).alias(c) for c in order))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import expressions as X
 from ..sources.schemas import ForeignKey, Table
 
 Tables = Mapping[str, DataFrame]
@@ -33,7 +34,7 @@ def unreferenced_count(parent: DataFrame, child: DataFrame, key: str, name: str)
 
 
 def missing_count(df: DataFrame, column: str, name: str) -> DataFrame:
-    return df.agg(F.count_if(F.col(column).isNull()).alias(name))
+    return df.agg(F.count_if(X.column(column).isNull()).alias(name))
 
 
 # The reference checks of the raw tables, by name.
@@ -112,10 +113,10 @@ def foreign_key_report(tables: Tables, keys: tuple[ForeignKey, ...]) -> DataFram
 
 def not_null_violations(df: DataFrame, table: Table) -> DataFrame:
     """Rows that lack a value, for every required column, in one pass."""
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in table.required])
+    row = df.agg(*[F.count_if(X.column(c).isNull()).alias(c) for c in table.required])
     found = F.array(
         *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_rows"))
+            F.struct(F.lit(c).alias("column_name"), X.column(c).alias("null_rows"))
             for c in table.required
         ]
     )
@@ -130,9 +131,9 @@ def length_violations(df: DataFrame, table: Table) -> DataFrame:
     """Rows outside the declared text length or number of digits, in one pass."""
     limited = table.limited
     too_large = {
-        c.name: F.length(c.name) > c.max_length
+        c.name: F.length(X.column(c.name)) > c.max_length
         if c.max_length
-        else F.abs(c.name) >= F.lit(10**c.digits)
+        else F.abs(X.column(c.name)) >= F.lit(10**c.digits)
         for c in limited
     }
     row = df.agg(*[F.count_if(bad).alias(name) for name, bad in too_large.items()])
@@ -141,7 +142,7 @@ def length_violations(df: DataFrame, table: Table) -> DataFrame:
             F.struct(
                 F.lit(c.name).alias("column_name"),
                 F.lit(c.max_length or c.digits).alias("declared_size"),
-                F.col(c.name).alias("too_large_rows"),
+                X.column(c.name).alias("too_large_rows"),
             )
             for c in limited
         ]

@@ -60,11 +60,6 @@ def column_kind(name: str, dtype: DataType, date_columns: Collection[str] = ())
     return EXACT if isinstance(dtype, NumericType) else OTHER
 
 
-def _column(name: str) -> Column:
-    """The column of that name, whatever characters are in it."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _as_text(column: Column, dtype: DataType) -> Column:
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
         return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -96,7 +91,7 @@ def profile(
             F.struct(
                 F.lit(i).alias("c"),
                 F.when(
-                    _column(f.name).isNotNull(), _as_text(_column(f.name), f.dataType)
+                    X.column(f.name).isNotNull(), _as_text(X.column(f.name), f.dataType)
                 ).alias("value"),
             )
             for i, f in enumerate(fields)
@@ -176,7 +171,7 @@ def profile_approximate(
     aggregates = []
     for i, f in enumerate(df.schema.fields):
         kind = column_kind(f.name, f.dataType, date_columns)
-        column = _column(f.name)
+        column = X.column(f.name)
         moment_or_text = kind in (MOMENT, DATE_TEXT)
         numeric = kind in (EXACT, FLOATING)
         shown = moment_or_text or numeric

@@ -393,3 +393,30 @@ def test_value_counts_skip_missing_and_order_ties(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), (None,), ("c",), ("c",)], "v string")
     assert [tuple(r) for r in E.value_counts(df, "v").collect()] == [("c", 2), ("a", 1), ("b", 1)]
     assert [r.v for r in E.top_values(df, "v", 2).collect()] == ["c", "a"]
+
+
+@pytest.mark.parametrize("rows, reach", [(1_000_000, 0.001), (40, 0.001), (40, 0.0)])
+def test_describe_narrows_brackets(spark, monkeypatch, rows, reach):
+    """Whatever the brackets, the quartiles are exact, with ties and with a value that holds half of the rows."""
+    import numpy as np
+
+    from mercaloom.operators import explore
+
+    monkeypatch.setattr(explore, "BRACKET_ROWS", rows)
+    monkeypatch.setattr(explore, "REACH", reach or 0.0001)
+    rng = np.random.default_rng(1)
+    for values in (rng.normal(0, 1, 3000), rng.integers(0, 5, 999), np.r_[np.zeros(500), rng.normal(0, 1, 501)], np.array([3.5])):
+        frame = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "`a.b` double")
+        row = explore.describe(frame, "a.b").first()
+        assert row["count"] == len(values) and row["min"] == values.min() and row["max"] == values.max()
+        for name, share in explore.QUARTILES.items():
+            assert row[name] == pytest.approx(np.quantile(values, share), abs=1e-12)
+    assert explore.describe(frame.where("`a.b` is null"), "a.b").first()["count"] == 0
+
+
+def test_odd_column_names(spark):
+    from mercaloom.operators import explore
+
+    odd = spark.createDataFrame([(1, None), (None, "x")], "`a.b` int, `c d` string")
+    assert {r.column_name: r.missing_count for r in explore.missing_values(odd).collect()} == {"a.b": 1, "c d": 1}
+    assert [tuple(r) for r in explore.value_counts(odd, "a.b").collect()] == [(1, 1)]
