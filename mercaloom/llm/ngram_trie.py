@@ -340,15 +340,16 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
         return pd.DataFrame(out, columns=["block", "shard", "key", "before", "word", "train"])
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
+        # all blocks are answered together, so every run of a level is opened once
         asked = [[unpacked(x) for x in frame[c]] for c in ("key", "before", "word", "train")]
-        levels = build(*(np.concatenate(x) for x in asked))
-        out = []
+        edges = np.cumsum([len(x) for x in asked[0]])[:-1]
+        key, before, word, train = (np.concatenate(x) for x in asked)
+        levels = build(key, before, word, train)
         with tempfile.TemporaryFile() as file:
             levels = Levels.mapped(file, levels.save(file))
-            for key, before, word in zip(*asked[:3]):
-                part, rest = look_up(levels, key, before, word)
-                out.append((packed(codes(part)), packed(codes(rest))))
+            found = [np.split(codes(x), edges) for x in look_up(levels, key, before, word)]
             del levels
+        out = list(zip(*([packed(x) for x in part] for part in found)))
         return pd.DataFrame({"block": frame["block"], "shard": frame["shard"], "a": [a for a, _ in out], "b": [b for _, b in out]})
 
     def score(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
