@@ -32,7 +32,7 @@ from .hashing import U64, mix
 
 SPAN, GRAM = 200, 32
 REACH = SPAN - GRAM + 1  # grams in a window
-HOT = 50_000
+HOT = 20_000
 BUCKET_ROWS = 20_000
 PIECE = 1 << 20
 SHIFT = 21  # a piece has fewer places than 2**SHIFT
@@ -56,15 +56,24 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Hashes:
-    """Prefix hashes of bytes; `of(start, length)` hashes runs, equal runs alike wherever they stand."""
+    """Prefix hashes of bytes; `of(start, length)` hashes runs, equal runs alike wherever they stand.
 
-    def __init__(self, data: np.ndarray):
-        up, self.down = powers(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, U64)
-        np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], dtype=U64, out=self.sums[1:])
+    `place` gives each byte its exponent, which must rise by one along a run: its place in its context, so that the
+    powers stay few. Without it the bytes are one run.
+    """
+
+    def __init__(self, data: np.ndarray, place: np.ndarray | None = None):
+        n = len(data)
+        self.place = np.append(place, place.dtype.type(0)) if place is not None else np.arange(n + 1, dtype=np.int32)
+        up, self.down = powers(int(self.place.max()) + 1)
+        self.sums = np.zeros(n + 1, U64)
+        for at in range(0, n, PIECE):
+            part = (data[at : at + PIECE].astype(U64) + U64(1)) * up[self.place[at : min(n, at + PIECE)]]
+            np.cumsum(part, out=part)
+            self.sums[at + 1 : at + 1 + len(part)] = part + self.sums[at]
 
     def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-        return (self.sums[start + length] - self.sums[start]) * self.down[start]
+        return (self.sums[start + length] - self.sums[start]) * self.down[self.place[start]]
 
 
 def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -142,7 +151,8 @@ class Suffixes:
     def __init__(self, data: np.ndarray, start: np.ndarray, anchor: np.ndarray, end: np.ndarray, group: np.ndarray):
         self.data, self.anchor, self.group = data, anchor, group
         self.before, self.after = anchor - start, end - anchor
-        self.hashes = Hashes(data)
+        place = np.arange(len(data)) - np.repeat(start, np.diff(np.append(start, len(data))))
+        self.hashes = Hashes(data, place.astype(np.int32))
 
     def common(self, i: np.ndarray, j: np.ndarray, forward: bool) -> np.ndarray:
         """How many bytes i and j share from their anchors on, or before them; binary search over hashes."""
@@ -205,11 +215,11 @@ class Suffixes:
     def _as_bytes(self, i: np.ndarray, j: np.ndarray, shared: np.ndarray, forward: bool) -> bool:
         """Whether the bytes of neighbours are equal as far as their hashes say."""
         n = np.maximum(shared, 0)
-        for at in range(0, len(n), 1 << 14):
-            m = n[at : at + (1 << 14)]
+        for at in range(0, len(n), 1 << 12):
+            m = n[at : at + (1 << 12)]
             step = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
             step = step if forward else -step - 1
-            a, b = (np.repeat(self.anchor[x[at : at + (1 << 14)]], m) + step for x in (i, j))
+            a, b = (np.repeat(self.anchor[x[at : at + (1 << 12)]], m) + step for x in (i, j))
             if not np.array_equal(self.data[a], self.data[b]):
                 return False
         return True

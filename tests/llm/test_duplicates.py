@@ -55,7 +55,7 @@ def removed_by_spark(docs):
     return sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
 
 
-@pytest.mark.parametrize("hot", [50_000, 2])
+@pytest.mark.parametrize("hot", [20_000, 2])
 def test_suffix_dedup(documents, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     texts = near_copies(1)
