@@ -13,6 +13,7 @@ from mercaloom.llm import common, mixture_packing, token_files, tokens
 from tests.llm.conftest import ODD_TEXTS
 
 LIBRARY = Tokenizer.from_file(tokens.vocabulary_path())
+OWN = tokens.Encoder(tokens.vocabulary_path())
 
 
 def ids_of(text):
@@ -22,7 +23,7 @@ def ids_of(text):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("ab .,'\n\t  é漢🙂19<|>\0"), max_size=30), max_size=5))
 def test_remembered_words_give_the_ids_of_the_library(texts):
-    flat, ends = tokens.encoder(tokens.vocabulary_path()).encode(texts)
+    flat, ends = OWN.encode(texts)
     found = [x.tolist() for x in np.split(flat, ends)[:-1]]
     assert found == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
 
@@ -30,8 +31,9 @@ def test_remembered_words_give_the_ids_of_the_library(texts):
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
     own = tokens.Encoder(tokens.vocabulary_path())
-    for text in ("a b c d e", "f g h", "a b, c", "x"):
+    for text in ("a b c d e a b a", "f g h", "a b, c", "x", "a a x x b", "c d e f", "a b"):
         assert own.encode([text])[0].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+        assert len(own.place) <= 3 + len(text.split(" "))
 
 
 def test_token_files(spark, odd):
