@@ -174,6 +174,7 @@ def train(docs: DataFrame) -> Model | None:
 
 def identify(docs: DataFrame, model: Model | None, prediction: str = "lang_pred", score: str = "score") -> DataFrame:
     """The rows of `docs` with the predicted language and its mean probability."""
+    common.bound_batches(docs.sparkSession)
     docs = docs.drop(prediction, score)
     if model is None:
         return docs.withColumns({prediction: F.lit(UNKNOWN), score: F.lit(0.0)})

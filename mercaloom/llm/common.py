@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.storage import shared_folder
 
 SLICE_BYTES = 2 << 20
+BATCH_ROWS = 1000
 # A table is broadcast only if it was counted and has no more rows than this (narrow rows, some tens of MB).
 BROADCAST_ROWS = 200_000
 
@@ -22,6 +23,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Rows that travel to Python hold whole texts, so fewer of them make a batch than Spark's 10,000."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -275,6 +275,7 @@ def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent
 
 def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id that a chain of links reaches."""
+    common.bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     rows = class_table(docs)
     classes = rows.where("class is not null").groupBy("class").agg(

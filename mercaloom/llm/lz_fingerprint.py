@@ -122,6 +122,7 @@ class Parsed:
 
 def in_ranges(docs: DataFrame) -> DataFrame:
     """Sorted ranges of (copy, key, doc_id, text), each closed by copies of the first row of the next range."""
+    common.bound_batches(docs.sparkSession)
     parts = common.shuffle_parts(docs.sparkSession)
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text")

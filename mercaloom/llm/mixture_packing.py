@@ -30,7 +30,7 @@ from .token_files import crc_of_slices, lists_of, with_end
 LENGTH = 1024
 QUEUES = 64
 SCALE = 1 << 20
-SLICE_ROWS = 2000  # neighbours share windows
+SLICE_ROWS = 1000  # neighbours share windows
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -105,6 +105,7 @@ def pack(
 
     `targets` gives token shares of sources that are queues of their own; sources not named keep their size as share.
     """
+    common.bound_batches(docs.sparkSession)
     stored = encoded(docs, vocabulary or tokens.vocabulary_path())
     sums = stored.groupBy("block", "source").agg(F.sum("n_tokens").alias("n"))
     sums = common.store(sums, "pack-sums")

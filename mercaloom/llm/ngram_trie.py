@@ -314,6 +314,7 @@ class Block:
 
 def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     """Per row doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score; `held_out` rows train nothing."""
+    common.bound_batches(docs.sparkSession)
     texts = docs.select("doc_id", held_out.alias("held"), "text")
     stored = blocks(texts)
     sums = stored.agg(

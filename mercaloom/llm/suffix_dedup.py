@@ -334,6 +334,7 @@ def removed_runs(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     Both joins with the texts read one shuffle of them.
     """
+    common.bound_batches(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumns({"_k": F.xxhash64("text"), "_h": F.hash("text")})
     rows = anchor_rows(texts.select(*KEY, "text"))

@@ -55,6 +55,7 @@ def lists_of(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
     """Encodes `text` of every row and writes the files; a text is shuffled once, ids never."""
     spark, vocabulary = docs.sparkSession, vocabulary or tokens.vocabulary_path()
+    common.bound_batches(spark)
     parts = common.shuffle_parts(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     bounds = common.range_bounds(docs, "doc_id", parts)
