@@ -1,6 +1,6 @@
 """Exact n-gram Jaccard join: count vectors in an R-tree bound the overlap of shingle sets, surviving pairs are verified.
 
-A document's set is its distinct 3-word shingles. Equal sets are one class; everything below is about classes.
+A document's set is its distinct shingles, three words wide unless a caller asks for another width. Equal sets are one class; everything below is about classes.
 
 Meeting. Sets of sizes a and b with a Jaccard likeness of 0.9 differ in at most t = (a + b) / 19 shingles. The
 shingles are dealt by hash into t + 3 groups; a difference spoils one group, so at least three groups are identical,
@@ -18,7 +18,7 @@ groups of one component are not searched at all. Verification intersects the set
 
 Shingles are 64-bit hashes. Null and empty texts have no shingles and no links; fewer than three words are one
 shingle; equal texts are linked; rows of equal id are separate rows; a null id is last when the smallest id is sought;
-an empty table gives no rows; other columns are not read.
+an empty table gives no rows; other columns are not read. With another width, fewer words than that are one shingle.
 """
 
 from __future__ import annotations
@@ -166,12 +166,12 @@ class Tree:
         return node
 
 
-def class_table(docs: DataFrame) -> DataFrame:
+def class_table(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles and the class of every row; stored."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
-            hashes, offsets = shingle_sets(common.texts_of(batch), WIDTH)
+            hashes, offsets = shingle_sets(common.texts_of(batch), width)
             n, vectors = np.diff(offsets), count_vectors(hashes, offsets).astype("<i4")
             classes = pa.array(set_classes(hashes, offsets).view(np.int64), mask=n == 0)
             columns = [batch.column("doc_id"), pa.array(n), classes, pa.array([v.tobytes() for v in vectors], pa.binary())]
@@ -180,21 +180,21 @@ def class_table(docs: DataFrame) -> DataFrame:
     return common.store(docs.mapInArrow(read, "doc_id long, n_shingles long, class long, counts binary"), "jaccard-sets")
 
 
-def meetings(docs: DataFrame, percent: int) -> DataFrame:
+def meetings(docs: DataFrame, percent: int, width: int = WIDTH) -> DataFrame:
     """(key, class) of every set; computed anew where it is needed, as that is cheaper than storing it."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
-            hashes, offsets = shingle_sets(common.texts_of(batch), WIDTH)
+            hashes, offsets = shingle_sets(common.texts_of(batch), width)
             classes, (keys, owners) = set_classes(hashes, offsets), meeting_keys(hashes, offsets, percent)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(classes[owners].view(np.int64))], ["key", "class"])
 
     return docs.select("text").mapInArrow(read, "key long, class long")
 
 
-def met_classes(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def met_classes(docs: DataFrame, classes: DataFrame, percent: int, width: int = WIDTH) -> DataFrame:
     """The classes that meet others, with size and counts: (key, n_met, class, n, counts, leads); stored."""
-    rows = meetings(docs, percent)
+    rows = meetings(docs, percent, width)
     busy = common.store(rows.groupBy("key").agg(F.count("*").alias("n_met")).where("n_met > 1"), "jaccard-keys")
     total = busy.agg(F.sum("n_met")).first()[0] or 0
     met = common.join_counted(rows, busy, "key", "n_met", total).where(F.col("n_met").isNotNull()).distinct()
@@ -242,7 +242,7 @@ def _searched(met: DataFrame, pairs: bool, percent: int) -> DataFrame:
     return placed.groupBy("bucket").applyInPandas(search, "a long, b long").distinct()
 
 
-def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, width: int = WIDTH) -> DataFrame:
     """The candidate pairs whose sets overlap enough."""
     candidates = common.store(candidates, "jaccard-candidates")
     wanted = candidates.select(F.col("a").alias("class")).unionAll(candidates.select(F.col("b").alias("class"))).distinct()
@@ -252,7 +252,7 @@ def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
-            hashes, offsets = shingle_sets(common.texts_of(batch), WIDTH)
+            hashes, offsets = shingle_sets(common.texts_of(batch), width)
             sets = [hashes[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(set_classes(hashes, offsets).view(np.int64)), pa.array(sets, pa.binary())], ["class", "set"])
 
@@ -273,25 +273,25 @@ def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent
     return common.store(both.select("a", "b", "set_a", "set_b").mapInArrow(intersect, "a long, b long").distinct(), "jaccard-links")
 
 
-def linked_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def linked_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id that a chain of links reaches."""
     common.bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    rows = class_table(docs)
+    rows = class_table(docs, width)
     classes = rows.where("class is not null").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("counts").alias("counts")
     )
     classes = common.store(classes, "jaccard-classes")
-    met = met_classes(docs, classes, percent)
+    met = met_classes(docs, classes, percent, width)
 
-    links = verified(_searched(met.withColumn("part", F.lit(0)), False, percent), docs, classes, percent)
+    links = verified(_searched(met.withColumn("part", F.lit(0)), False, percent), docs, classes, percent, width)
     parts = components(links, "jaccard-parts").select(F.col("node").alias("class"), "component")
     met = met.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class")).drop("component")
     torn = met.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n_met")).where("lo != hi")
     met = common.store(met, "jaccard-parted")
     open_ = common.join_counted(met.drop("n_met"), torn.select("key", "n_met"), "key", "n_met", max(1, met.count()))
     open_ = common.store(open_.where(F.col("n_met").isNotNull()), "jaccard-open")
-    more = verified(_searched(open_, True, percent), docs, classes, percent)
+    more = verified(_searched(open_, True, percent), docs, classes, percent, width)
 
     parts = components(links.unionAll(more), "jaccard-parts").select(F.col("node").alias("class"), "component")
     named = classes.select("class", "first_id", "copies").join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from mercaloom.llm import common, jaccard_rtree, line_chunks, suffix_dedup
 from mercaloom.llm.components import components
 from mercaloom.llm.hashing import lower_words
@@ -207,6 +208,22 @@ def test_jaccard_components(documents, seed, rate):
     assert len({c for _, _, c in want}) < len(texts) - 10
 
 
+def test_near_duplicates_of_the_pipeline(spark, documents):
+    """The stage takes five words and 0.8, whatever op6 takes."""
+    texts = [(i, t) for i, (_, t) in enumerate(near_copies(12, families=8, words=120, rate=0.012))]
+    words = [lower_words(t) for _, t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    label = list(range(len(sets)))
+    links = [(a, b) for a in label for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    docs = documents(*texts)
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert kept == sorted(set(label))
+    assert len(kept) < jaccard_rtree.linked_components(docs).select("component_id").distinct().count()
+
+
 def test_jaccard_of_split_groups(documents, monkeypatch):
     """Groups of meeting classes above PIECE are searched in pairs of pieces."""
     monkeypatch.setattr(jaccard_rtree, "PIECE", 3)
