@@ -8,6 +8,11 @@ bytes differ stays. DataFrame functions only.
 Null and empty texts are one empty line and stay empty; single-line chunks stay; rows equal in id and text are one
 document and keep what one of them keeps; a null id comes first; an empty table gives no rows. All columns are
 returned, with the kept lines in `text`; input columns named as the two counts are replaced.
+
+Cut chunks match only as a whole, so of a passage that lies across a boundary, or in a longer chunk, the lines stay.
+`dedup_passages` leaves nothing of that kind: its chunks are all pairs of neighbouring lines, which overlap, so the
+pairs of a repeated passage of two or more lines are found wherever it stands and cover it to both its ends. A pair goes
+if it stood before at a place that it does not overlap; the first place of a line keeps it; two blank lines are no pair.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from . import common
 
 LINES_PER_CHUNK = 4
 FACTOR = 31
+PLACES_PER_ROW = 10
 KEY = ["_id", "_row"]
 
 
@@ -70,7 +76,8 @@ def removed_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
     return later.groupBy(*KEY).agg(F.collect_set("at").alias("_removed")), entries
 
 
-def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
+def _keyed(docs: DataFrame, n_lines: str, n_removed: str) -> tuple[DataFrame, dict[str, str]]:
+    """The documents with their key, and what their columns are called here."""
     names = [c for c in docs.columns if c not in (n_lines, n_removed)]
     renamed = {c: f"_column_{i}" for i, c in enumerate(names)}  # no input name can meet one of the names used here
     keyed = docs.select(
@@ -79,6 +86,11 @@ def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_r
         F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")).alias("_id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("_row"),
     )
+    return keyed, renamed
+
+
+def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
+    keyed, renamed = _keyed(docs, n_lines, n_removed)
     joined = with_chunks(_beside(keyed, *removed_chunks(keyed), "left"))
     kept = F.filter("_chunks", lambda c, i: F.col("_removed").isNull() | ~F.array_contains("_removed", i))
     lines = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda n, c: n + c["n"])
@@ -91,6 +103,49 @@ def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_r
     )
 
 
+def _with_lines(docs: DataFrame) -> DataFrame:
+    return docs.select("*", F.explode(F.array(F.split("text", "\n", -1))).alias("_lines"))
+
+
+def removed_pairs(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Per document key the first lines of the pairs to remove, and a bound on the entries to broadcast."""
+    texts = docs.select(*KEY, "text")
+    joined = lambda a, b: F.concat(a, F.lit("\n"), b)
+    n_pairs = F.size("_lines") - 1
+    pairs = F.zip_with(F.slice("_lines", 1, n_pairs), F.slice("_lines", 2, n_pairs), joined)
+    found = _with_lines(texts).select(*KEY, F.posexplode(pairs).alias("at", "pair")).where(F.col("pair").rlike("\\S"))
+    found = common.store(found.select(*KEY, "at", F.md5("pair").alias("sum")), "line-pairs")
+    first = found.groupBy("sum").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY, "at")).alias("first"))
+    repeated = common.join_counted(found, first.where("copies > 1"), "sum", "copies", found.count()).where("copies > 1")
+    repeated = common.store(repeated, "line-repeats")
+    places = common.store(repeated.groupBy(*KEY).agg(F.collect_set("at").alias("places")), "line-places")
+    # a row of places is narrow: a key and some whole numbers, counted in tens
+    entries = max(places.count(), repeated.count() // PLACES_PER_ROW)
+    matched = _with_lines(_beside(texts, places, entries, "inner"))
+    bytes_ = F.transform("places", lambda i: joined(F.get("_lines", i), F.get("_lines", i + 1)))
+    bytes_of = matched.select(F.explode(bytes_).alias("bytes")).groupBy(F.md5("bytes").alias("sum"))
+    differ = bytes_of.agg(F.min("bytes").alias("a"), F.max("bytes").alias("b")).where("a != b").select("sum")
+    overlaps = (F.struct(*KEY) == F.struct(*(F.col(f"first.{c}").alias(c) for c in KEY))) & (F.col("at") <= F.col("first.at") + 1)
+    later = repeated.where(~overlaps).join(differ, "sum", "left_anti")
+    return later.groupBy(*KEY).agg(F.collect_set("at").alias("_removed")), entries
+
+
+def dedup_passages(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
+    """As `dedup_lines`, but every line goes that lies in a pair of lines which stood before."""
+    keyed, renamed = _keyed(docs, n_lines, n_removed)
+    joined = _with_lines(_beside(keyed, *removed_pairs(keyed), "left"))
+    n = F.size("_lines")
+    gone = F.concat("_removed", F.transform("_removed", lambda i: i + 1))
+    stays = F.array_except(F.sequence(F.lit(0), n - 1), gone)  # by hash, in order
+    kept = F.when(F.col("_removed").isNull(), F.col("_lines")).otherwise(F.transform(stays, lambda i: F.get("_lines", i)))
+    counted = joined.select("*", F.explode(F.array(kept)).alias("_kept"))
+    return counted.select(
+        *(F.array_join("_kept", "\n").alias(c) if c == "text" else F.col(new).alias(c) for c, new in renamed.items()),
+        n.cast("long").alias(n_lines),
+        (n - F.size("_kept")).cast("long").alias(n_removed),
+    )
+
+
 def op4_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     kept = dedup_lines(common.read_table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

@@ -169,6 +169,29 @@ def test_line_chunks_of_odd_texts(odd, documents):
     assert line_chunks.dedup_lines(documents()).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_passages_go_whole(spark, documents, monkeypatch, broadcast):
+    """Planted passages of 2 to 6 lines and over 50 words stay once, whatever stands around them."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    rng = random.Random(16)
+    line = lambda n: " ".join(rng.choice("abcdefghij") + str(rng.randint(0, 999)) for _ in range(n))
+    passages = [[line(52 // n + 1) for _ in range(n)] for n in (2, 3, 4, 5, 6)]
+    common_line = line(9)
+    texts, want = [], []
+    for i in range(30):
+        passage = passages[i % 5]
+        before, after = ([line(8) for _ in range(rng.randint(1, 4))] for _ in range(2))
+        before.insert(0, common_line)  # a repeated line alone is no passage
+        texts.append((i, "\n".join(before + passage + after)))
+        want.append((i, "\n".join(before + passage * (i < 5) + after)))
+    # a run of one line: pairs that overlap the first one stay; a copy goes whole
+    texts += [(40, "z\nz\nz\nz"), (41, texts[0][1]), (42, "y\n\n\n\ny"), (43, "x"), (44, None), (40, "z\nz\nz\nz")]
+    want += [(40, "z\nz"), (41, ""), (42, "y\n\n\n\ny"), (43, "x"), (44, ""), (40, "z\nz")]
+    found = corpus_pipeline.line_dedup(spark, documents(*texts), "").collect()
+    assert sorted((r.doc_id, r.text) for r in found) == sorted(want)
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
 # ------------------------------------------------------------------ op6
 
 
