@@ -3,10 +3,12 @@
 A document's set is its distinct shingles, three words wide unless a caller asks for another width. Equal sets are one class; everything below is about classes.
 
 Meeting. Sets of sizes a and b with a Jaccard likeness of 0.9 differ in at most t = (a + b) / 19 shingles. The
-shingles are dealt by hash into t + 3 groups; a difference spoils one group, so at least three groups are identical,
-and the pair meets under the hash of one of them, with the group number, or, if all three are empty, under the
-triple of empty groups. t is that of the largest size in a bucket of sizes, and a set near a bucket's upper end also
-takes part in the next one. So no link is lost, and who meets agrees in whole groups of about eight shingles.
+shingles are dealt by hash into 1.1 t + 3 groups; a difference spoils one group, so at least three groups are identical,
+and the pair meets under the hash of one of them, with the group number, or, if all of them are empty, under a triple of
+empty groups. That last case needs as many differences as a set has filled groups, so a set with more filled groups than
+it can differ in from any partner of its bucket has no triples: only small sets have them. t is that of the largest size
+in a bucket of sizes, and a set near a bucket's upper end also takes part in the next one. So no link is lost, and who
+meets agrees in whole groups of about seven shingles.
 
 Bounding. Per class the shingles are counted in 32 other hash groups. Who meets is packed into an R-tree of these
 points; sum(min(a_g, b_g)) bounds the overlap, for a box with its upper corner, and must reach 0.9 / 1.9 of the sizes.
@@ -71,7 +73,7 @@ def meeting_keys(hashes: np.ndarray, offsets: np.ndarray, percent: int = PERCENT
             continue
         bucket, n = bucket[chosen], sizes[chosen]
         differ = 2 * (lows[bucket + 1] - 1) * (100 - percent) // (100 + percent)
-        groups = differ + 3
+        groups = differ + differ // 10 + 3
         base = np.cumsum(groups) - groups
         row = np.repeat(np.arange(len(chosen)), n)
         at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + offsets[:-1][chosen][row]
@@ -86,7 +88,10 @@ def meeting_keys(hashes: np.ndarray, offsets: np.ndarray, percent: int = PERCENT
         key = mix(total ^ mix((bucket[set_] * 1_000_003 + number).astype(U64), 13), 14)
         keys.append(key[filled])
         owners.append(chosen[set_[filled]])
-        few = np.flatnonzero(np.bincount(set_[filled], minlength=len(chosen)) <= differ)
+        # the most in which a set can differ from a partner of this bucket
+        partner = np.minimum(n * 100 // percent, lows[bucket + 1] - 1)
+        own_differ = (n + partner) * (100 - percent) // (100 + percent)
+        few = np.flatnonzero(np.bincount(set_[filled], minlength=len(chosen)) <= own_differ)
         for i in few:
             empty = number[(base[i]) : base[i] + groups[i]][~filled[base[i] : base[i] + groups[i]]]
             triples = np.array(list(combinations(empty.tolist(), 3)), np.uint64).reshape(-1, 3)
@@ -302,5 +307,19 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def class_links(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
+    """All links (a, b), a > b, between classes of equal sets, and the members (doc_id, class) of each class.
+
+    The tree is searched over all classes, so links inside a component are found too; their number is that of the pairs.
+    """
+    common.bound_batches(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
+    rows = class_table(docs, width).where("class is not null")
+    classes = rows.groupBy("class").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("counts").alias("counts"))
+    classes = common.store(classes, "jaccard-classes")
+    met = met_classes(docs, classes, percent, width).withColumn("part", F.col("class"))
+    return verified(_searched(met, True, percent), docs, classes, percent, width), rows.select("doc_id", "class")
+
+
 def op6_jaccard_rtree(spark: SparkSession, folder: str) -> DataFrame:
     return linked_components(common.read_table(spark, folder, "documents"))

@@ -272,6 +272,42 @@ def test_sets_that_can_link_always_meet():
             assert set(keys[owner == 0]) & set(keys[owner == 1]) or (lost == 0 and added == 0 and n < 9)
 
 
+@pytest.mark.parametrize("percent, width", [(90, 3), (80, 5)])
+def test_long_texts_have_few_meeting_keys(percent, width):
+    """A set has about as many keys as groups, at every place in its bucket of sizes; sets at the limit still meet."""
+    rng = np.random.default_rng(14)
+    lows = [int(x) for x in jaccard_rtree.size_buckets(percent, 100_000) if 5000 < x < 100_000][:2]
+    for n in [k for low in lows for k in (low, low * 5 // 4, low * 7 // 5, low * 3 // 2 - 2)]:
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        lost = n * (100 - percent) // 100
+        one, other = np.sort(base), np.sort(base[lost:])
+        keys, owner = jaccard_rtree.meeting_keys(np.r_[one, other], np.array([0, n, 2 * n - lost]), percent)
+        assert len(keys) < 2 * n and set(keys[owner == 0]) & set(keys[owner == 1])
+    for n in range(percent // (100 - percent), 60):
+        for _ in range(20):
+            base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            lost = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+            added = (n - lost) * 100 // percent - n
+            other = np.r_[base[lost:], rng.integers(0, 1 << 63, max(0, added)).astype(np.uint64)]
+            flat = np.r_[np.sort(base), np.sort(other)]
+            keys, owner = jaccard_rtree.meeting_keys(flat, np.array([0, n, n + len(other)]), percent)
+            assert set(keys[owner == 0]) & set(keys[owner == 1])
+
+
+def test_links_of_classes(documents):
+    texts = near_copies(15, families=3, rate=0.008)
+    sets = {i: frozenset(shingles(t)) for i, t in texts}
+    links, members = jaccard_rtree.class_links(documents(*texts), percent=80)
+    class_of = {r.doc_id: r["class"] for r in members.collect()}
+    want = {
+        (max(class_of[a], class_of[b]), min(class_of[a], class_of[b]))
+        for a in sets
+        for b in sets
+        if sets[a] != sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    assert {(r.a, r.b) for r in links.collect()} == want and len(want) > 10
+
+
 def test_the_tree_finds_what_brute_force_finds():
     rng = np.random.default_rng(11)
     group = np.sort(rng.integers(0, 3, 400))
