@@ -3,7 +3,8 @@
 Model. Trigrams with hierarchical Dirichlet smoothing over the unigrams of the contract's base score:
     p(c | a, b) = (n(abc) + M3 * p(c | b)) / (n(ab) + M3),  p(c | b) = (n(bc) + M2 * p(c)) / (n(b) + M2).
 A text starts after two begin signs and ends with the end token. A word so frequent that it would fill more than one
-shard is split by a hash of the word before it; there p(c | b) is taken within the split, still a distribution.
+shard is split by a hash of the word before it. n(abc) and n(ab) are whole there; n(b) is the word's training count, and
+n(bc) is counted over all splits by pairs dealt by hash, so the shards change no count.
 
 Trie. A shard holds the contexts b it is dealt; per context the successors c, and per (b, a) the successors again, each
 as its place among the successors of b (the shorter context), which are few, so the numbers are small. Contexts,
@@ -50,6 +51,8 @@ ADD = 0.1
 DEPTH = 12.0  # logarithms of parts are coded from -DEPTH to 0
 CODES = 65_534
 BEGIN, END, FIRST_WORD = 0, 1, 2
+SPLIT_BITS = 20
+SPLIT = (1 << SPLIT_BITS) - 1  # the bits of a key that number the split of a context, 0 if it is whole
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -141,8 +144,10 @@ def build(context: np.ndarray, before: np.ndarray, word: np.ndarray, count: np.n
     return Levels(arrays)
 
 
-def look_up(levels: Levels, context: np.ndarray, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(part, rest) of each trigram: its probability is part + rest * p(word)."""
+def look_up(
+    levels: Levels, context: np.ndarray, before: np.ndarray, word: np.ndarray, split: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(part, rest) of each trigram: its probability is part + rest * p(word), or part + rest * p(word | context) if split."""
     wide, span = levels.arrays["wide"][0], levels.arrays["span"][0]
     part, rest = np.zeros(len(context)), np.ones(len(context))
     j, known = levels.sequence("contexts").successor(context)
@@ -165,11 +170,19 @@ def look_up(levels: Levels, context: np.ndarray, before: np.ndarray, word: np.nd
         return np.where(has, parts(table[np.minimum(index, len(table) - 1)]), other)
 
     rest3 = of("longer_rest", longer, has_longer, 1.0)
-    part[known] = of("triple_part", triple, has_triple, 0.0) + rest3 * of("pair_part", pair, has_pair, 0.0)
-    rest[known] = rest3 * parts(levels.arrays["context_rest"][j])
+    whole = np.ones(len(known), bool) if split is None else ~split[known]
+    part[known] = of("triple_part", triple, has_triple, 0.0) + rest3 * np.where(whole, of("pair_part", pair, has_pair, 0.0), 0.0)
+    rest[known] = rest3 * np.where(whole, parts(levels.arrays["context_rest"][j]), 1.0)
     return part, rest
 
 
+def pair_counts(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """For each row the sum of the counts of all rows of its pair (context, word)."""
+    wide = U64(int(word.max(initial=0)) + 1)
+    _, at = np.unique(context * wide + word, return_inverse=True)
+    return np.bincount(at, count)[at].astype(np.int64)
+
+
 # ------------------------------------------------------------------ blocks
 
 
@@ -270,7 +283,7 @@ def word_answers(stored: DataFrame, shards: int) -> DataFrame:
 class Block:
     """A block with the numbers and counts of its words, as its distinct trigrams in the order of the trie's shards."""
 
-    def __init__(self, row: pd.Series, answers: pd.DataFrame, word_shards: int, trie_shards: int, total: int):
+    def __init__(self, row: pd.Series, answers: pd.DataFrame, word_shards: int, trie_shards: int, total: int, train_texts: int):
         self.doc_ids, self.held, self.n = (np.array(list(row[c]), t) for c, t in (("doc_id", object), ("held", bool), ("n", np.int64)))
         words = _split(row["words"])
         order, _ = _word_shards(words, word_shards)
@@ -294,10 +307,10 @@ class Block:
         self.text = np.repeat(np.arange(len(self.n)), self.n + 1)
         # splits of frequent contexts
         share = np.r_[count, int(total), 0] if len(words) else np.array([int(total), 0])
-        splits = 1 + (share * trie_shards // max(1, total)).astype(np.int64)
+        splits = np.minimum(1 + (share * trie_shards // max(1, total)).astype(np.int64), SPLIT)
         context, before = row_[at - 1], row_[at - 2]
-        part = (mix(self.number[before], 41) % splits[context].astype(U64)).astype(U64)
-        key = (self.number[context] << U64(20)) | (part & U64((1 << 20) - 1))
+        part = (mix(self.number[before], 41) % splits[context].astype(U64)).astype(U64) + U64(1)
+        key = (self.number[context] << U64(SPLIT_BITS)) | np.where(splits[context] > 1, part, U64(0))
         shard = (mix(key, 42) % U64(trie_shards)).astype(np.int64)
         # distinct (shard, key, before, word), found by numbering the longer contexts first
         keys, k = np.unique(key, return_inverse=True)
@@ -310,6 +323,20 @@ class Block:
         self.key, self.before, self.word = key[first], self.number[before[first]], self.number[self.token[first]]
         self.train = np.bincount(self.inverse, ~self.held[self.text], len(first)).astype(np.int64)
         self.edges = np.searchsorted(shard[first], np.arange(trie_shards + 1))
+        # the distinct pairs (context, word) of split contexts, in the order of the shards that count them
+        self.split = splits[context[first]] > 1
+        of_split = context[first][self.split]
+        self.split_count = np.r_[count, train_texts, 0][of_split]  # a word is a context as often as it stands
+        two, at_two = np.unique((of_split.astype(np.int64) << 32) | self.token[first][self.split], return_inverse=True)
+        pair_context, pair_word = self.number[two >> 32], self.number[two & 0xFFFFFFFF]
+        pair_shard = (mix(mix(pair_context, 43) ^ pair_word, 44) % U64(trie_shards)).astype(np.int64)
+        deal = np.argsort(pair_shard, kind="stable")
+        back = np.empty(len(deal), np.int64)
+        back[deal] = np.arange(len(deal))
+        self.pair_of = back[at_two]
+        self.pair_context, self.pair_word = pair_context[deal], pair_word[deal]
+        self.pair_train = np.bincount(self.pair_of, self.train[self.split], len(deal)).astype(np.int64)
+        self.pair_edges = np.searchsorted(pair_shard[deal], np.arange(trie_shards + 1))
 
 
 def scores(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -333,14 +360,22 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     grouped = stored.groupBy("block")
 
     def ask(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        block = Block(rows.iloc[0], known, word_shards, trie_shards, total)
+        block = Block(rows.iloc[0], known, word_shards, trie_shards, total, n_train_texts)
         out = []
         for s, (a, b) in enumerate(zip(block.edges, block.edges[1:])):
             if b > a:
                 out.append((rows["block"].iloc[0], s, *(packed(x[a:b]) for x in (block.key, block.before, block.word, block.train))))
+        for s, (a, b) in enumerate(zip(block.pair_edges, block.pair_edges[1:])):
+            if b > a:
+                context, word, train = (packed(x[a:b]) for x in (block.pair_context, block.pair_word, block.pair_train))
+                out.append((rows["block"].iloc[0], trie_shards + s, context, b"", word, train))
         return pd.DataFrame(out, columns=["block", "shard", "key", "before", "word", "train"])
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
+        if frame["shard"].iloc[0] >= trie_shards:  # pairs of split contexts
+            asked = [[unpacked(x) for x in frame[c]] for c in ("key", "word", "train")]
+            counts = np.split(pair_counts(*map(np.concatenate, asked)), np.cumsum([len(x) for x in asked[0]])[:-1])
+            return pd.DataFrame({"block": frame["block"], "shard": frame["shard"], "a": [packed(x) for x in counts], "b": b""})
         # all blocks are answered together, so every run of a level is opened once
         asked = [[unpacked(x) for x in frame[c]] for c in ("key", "before", "word", "train")]
         edges = np.cumsum([len(x) for x in asked[0]])[:-1]
@@ -348,15 +383,20 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
         levels = build(key, before, word, train)
         with tempfile.TemporaryFile() as file:
             levels = Levels.mapped(file, levels.save(file))
-            found = [np.split(codes(x), edges) for x in look_up(levels, key, before, word)]
+            found = [np.split(codes(x), edges) for x in look_up(levels, key, before, word, (key & U64(SPLIT)) > 0)]
             del levels
         out = list(zip(*([packed(x) for x in part] for part in found)))
         return pd.DataFrame({"block": frame["block"], "shard": frame["shard"], "a": [a for a, _ in out], "b": [b for _, b in out]})
 
     def score(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         first, later = known[known["level"] == 1], known[known["level"] == 2].sort_values("shard")
-        block = Block(rows.iloc[0], first, word_shards, trie_shards, total)
+        block = Block(rows.iloc[0], first, word_shards, trie_shards, total, n_train_texts)
+        pairs, later = later[later["shard"] >= trie_shards], later[later["shard"] < trie_shards]
         part, rest = (parts(np.concatenate([unpacked(x) for x in later[c]])) for c in ("a", "b"))
+        if len(pairs):
+            of_pair = np.concatenate([unpacked(x) for x in pairs["a"]]).astype(np.float64)[block.pair_of]
+            part[block.split] += rest[block.split] * of_pair / (block.split_count + M2)
+            rest[block.split] *= M2 / (block.split_count + M2)
         count = np.r_[block.count, 0, n_train_texts]  # of words, begin and end
         plain = ((count + ADD) / whole)[block.token]
         p = part[block.inverse] + rest[block.inverse] * plain

@@ -106,6 +106,18 @@ def test_ngram_shards_change_counts_of_nothing(documents, monkeypatch):
     assert [f[4] for f in found] == pytest.approx([w[3] for _, w in sorted(zip([str(i) for i, _ in rows], want))])
 
 
+def test_ngram_scores_are_the_same_for_every_shard_size(documents, monkeypatch):
+    monkeypatch.setattr(ngram_trie, "BLOCK_BYTES", 800)
+    rng = random.Random(5)
+    rows = [(i, " ".join("w%d" % min(rng.randint(0, 30), rng.randint(0, 30)) for _ in range(40))) for i in range(40)]
+    rows.append((90, None))
+    held, want = plain_scores(rows)
+    want = [w[4] for _, w in sorted(zip([str(i) for i, _ in rows], want))]
+    for trigrams in (1_000_000, 80):
+        monkeypatch.setattr(ngram_trie, "SHARD_TRIGRAMS", trigrams)
+        assert [f[5] for f in scored(documents(*rows))] == pytest.approx(want, rel=2e-3, abs=2e-3)
+
+
 def test_a_model_sums_to_one(documents, monkeypatch):
     """All continuations of a context, unseen ones included, share a probability of 1."""
     context, before = np.array([5, 5, 5, 6], np.uint64), np.array([2, 2, 3, 5], np.uint64)
