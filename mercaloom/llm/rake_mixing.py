@@ -6,9 +6,9 @@ tokens, scaled so that `keep` of all tokens are expected and no rate is over 1;
 is below the rate of its cell, so a rerun keeps the same ones. DataFrame functions only.
 
 By default a share is the share of tokens to the power 0.7, which lifts the small ones, and the topic is the text's
-lexical register: its mean word length in half letters. The 200 largest sources and the 50 largest languages have
-cells of their own and the others share one, so there are at most 82,008 cells: small enough for one task and a
-broadcast. No text is shuffled.
+lexical register: its mean word length in half letters, 9 to 16, which stands in for a topic. Every source and every
+language has cells of its own. The cells that occur are raked in one task; if they are few enough to be broadcast, no
+text is shuffled.
 
 Null and empty texts have no tokens and are kept; a null source or language is a value of its own. Rows with equal ids
 stay or go together where their cells are the same. An empty table gives no rows. Cells that no target can reach
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SOURCES, LANGUAGES, POWER, KEEP, ROUNDS, SEED = 200, 50, 0.7, 0.7, 10, 11
-REST, NONE = "*rest*", "*none*"
+POWER, KEEP, ROUNDS, SEED = 0.7, 0.7, 10, 11
+NONE = "*none*"
 CELL = ["_source", "_lang", "_topic"]
 SPACE = "[ \\t-\\r]+"
 
@@ -41,12 +41,6 @@ def lexical_register(length: Column, words: Column) -> Column:
     return F.least(F.lit(16), F.greatest(F.lit(9), F.floor(2 * length / F.greatest(words, F.lit(1))))).cast("string")
 
 
-def _value(name: str, kept: list[str]) -> Column:
-    """The value that a cell shows for a column: itself, none, or one of the rest."""
-    value = F.coalesce(F.col(name), F.lit(NONE))
-    return F.when(value.isin(kept), value).otherwise(REST) if kept else F.lit(REST)
-
-
 def with_cells(docs: DataFrame, topic: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """The documents, their columns renamed by place, with their id, tokens and cell; and the tokens of each cell."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -62,16 +56,9 @@ def with_cells(docs: DataFrame, topic: Column | None = None) -> tuple[DataFrame,
     if topic is None:
         rows = rows.withColumn("_topic", lexical_register(F.col("_length"), F.col("_n_tokens")))
     counted = rows.withColumn("_topic", F.coalesce("_topic", F.lit(NONE)))
-    pairs = counted.groupBy(*(F.coalesce(c, F.lit(NONE)).alias(c) for c in ("source", "lang")), "_topic")
-    pairs = common.store(pairs.agg(F.sum("_n_tokens").alias("tokens")), "mix-sums")
-
-    def largest(name: str, n: int) -> list[str]:
-        sums = pairs.groupBy(name).agg(F.sum("tokens").alias("t"))
-        return [r[0] for r in sums.orderBy(F.desc("t"), name).limit(n).collect()]
-
-    cell = {"_source": _value("source", largest("source", SOURCES)), "_lang": _value("lang", largest("lang", LANGUAGES))}
-    cells = pairs.withColumns(cell).groupBy(*CELL).agg(F.sum("tokens").alias("tokens")).where("tokens > 0")
-    return counted.withColumns(cell), common.store(cells, "mix-cells").coalesce(1)
+    counted = counted.withColumns({f"_{c}": F.coalesce(c, F.lit(NONE)) for c in ("source", "lang")})
+    cells = counted.groupBy(*CELL).agg(F.sum("_n_tokens").alias("tokens")).where("tokens > 0")
+    return counted, common.store(cells, "mix-cells").coalesce(1)
 
 
 def fitted(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -136,9 +123,13 @@ def mix(
     names = {c: prefix + c for c in ("n_tokens", "topic", "rate", "kept")}
     own = [F.col(f"_column_{i}").alias(c) for i, c in enumerate(docs.columns) if c not in names.values()]
     counted, cells = with_cells(docs, topic)
-    rated = rates(fitted(cells, targets), keep).select(*(F.col(c).alias(f"_r{c}") for c in CELL), "rate")
-    same = [F.col(c) == F.col(f"_r{c}") for c in CELL]
-    joined = counted.join(F.broadcast(rated.withColumnRenamed("rate", "_rate")), same, "left")
+    total, n_cells = cells.agg(F.sum("tokens"), F.count("*")).first()
+    rated = rates(fitted(cells, targets), keep).select(F.struct(*CELL).alias("_cell"), F.col("tokens").alias("_weight"), F.col("rate").alias("_rate"))
+    counted = counted.withColumn("_cell", F.struct(*CELL))
+    if n_cells <= common.BROADCAST_ROWS:
+        joined = counted.join(F.broadcast(rated), "_cell", "left")
+    else:
+        joined = common.join_counted(counted, common.store(rated, "mix-rates"), "_cell", "_weight", total)
     rate = F.coalesce("_rate", F.lit(1.0))
     return joined.select(
         *own,

@@ -264,6 +264,25 @@ def test_raking_meets_the_targets(documents):
     assert max(open_.values()) == pytest.approx(min(open_.values()))  # one scale for all cells that are not full
 
 
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_mixing_knows_every_source(documents, monkeypatch, broadcast):
+    """230 sources and 60 languages have margins of their own, and a small source finds its target."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast)
+    topic = F.lit("t")
+    rows = [(i, "a b c d " * (40 if i % 230 < 205 else 1), "l%d" % (i % 60), "s%03d" % (i % 230)) for i in range(690)]
+    docs = documents(*rows)
+    _, cells = rake_mixing.with_cells(docs, topic)
+    share = cells.groupBy("_source").agg(F.sum("tokens").alias("n")).collect()
+    assert len(share) == 230 and cells.select("_lang").distinct().count() == 60
+    powers = {r._source: r.n**rake_mixing.POWER for r in share}
+    one_lang = rake_mixing.with_cells(docs.withColumn("lang", F.lit("en")), topic)[1]
+    found = {r._source: r.weight for r in rake_mixing.fitted(one_lang).collect()}
+    assert found == pytest.approx({k: v / sum(powers.values()) for k, v in powers.items()})
+    targets = {"source": {"s%03d" % i: 1.0 for i in range(230)}}
+    kept = rake_mixing.mix(docs, targets, topic=topic).where("source = 's229'").collect()
+    assert len(kept) == 3 and all(r.rate > 0 for r in kept)
+
+
 def test_mixing_keeps_by_rate(documents):
     docs = documents(*((i, "a b c " * (1 + i % 9), "en", "ab"[i % 5 == 0]) for i in range(3000)))
     found = rake_mixing.mix(docs).collect()
