@@ -15,6 +15,7 @@ from .mixture_packing import op8_mixture_packing
 from .ngram_trie import op1_ngram_trie
 from .rake_mixing import op9_rake_mixing
 from .suffix_dedup import op2_suffix_dedup
+from .token_alignment import op13_token_alignment
 from .token_files import op3_token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,7 @@ OPERATORS: tuple[Query, ...] = (
     op8_mixture_packing,
     op9_rake_mixing,
     op10_impact_topk,
+    op13_token_alignment,
 )
 
 
