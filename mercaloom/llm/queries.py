@@ -13,6 +13,7 @@ from .line_chunks import OP4_SQL, op4_line_chunks
 from .lz_fingerprint import op5_lz_fingerprint
 from .mixture_packing import op8_mixture_packing
 from .ngram_trie import op1_ngram_trie
+from .prefix_trie import OP12_SQL, op12_prefix_trie
 from .rake_mixing import op9_rake_mixing
 from .suffix_dedup import op2_suffix_dedup
 from .token_alignment import op13_token_alignment
@@ -31,6 +32,7 @@ OPERATORS: tuple[Query, ...] = (
     op8_mixture_packing,
     op9_rake_mixing,
     op10_impact_topk,
+    op12_prefix_trie,
     op13_token_alignment,
 )
 
@@ -40,4 +42,4 @@ def queries() -> dict[str, Query]:
 
 
 def expected_sql() -> dict[str, str]:
-    return {"op4_line_chunks": OP4_SQL, "op10_impact_topk": OP10_SQL}
+    return {"op4_line_chunks": OP4_SQL, "op10_impact_topk": OP10_SQL, "op12_prefix_trie": OP12_SQL}
