@@ -127,6 +127,5 @@ def test_query_and_sql(spark, small, tmp_path):
     con.sql("create or replace view conversations as select * from (values " + ",".join(
         "(" + ",".join("null" if v is None else f"'{v}'" if isinstance(v, str) else str(v) for v in r) + ")" for r in grown(40, 8)
     ) + ") t(conv_id, turn, role, text)")
-    got = con.sql(expected_sql()["op12_prefix_trie"]).fetchall()
-    names = [d[0] for d in con.description]
-    assert sorted((tuple(dict(zip(names, r))[c] for c in COLUMNS) for r in got), key=str) == plain(grown(40, 8))
+    got = con.sql(expected_sql()["op12_prefix_trie"])
+    assert sorted((tuple(dict(zip(got.columns, r))[c] for c in COLUMNS) for r in got.fetchall()), key=str) == plain(grown(40, 8))
