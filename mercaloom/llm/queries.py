@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .boosted_quality import op11_boosted_quality
 from .byte_cnn import op7_byte_cnn
 from .impact_topk import OP10_SQL, op10_impact_topk
 from .jaccard_rtree import op6_jaccard_rtree
@@ -32,6 +33,7 @@ OPERATORS: tuple[Query, ...] = (
     op8_mixture_packing,
     op9_rake_mixing,
     op10_impact_topk,
+    op11_boosted_quality,
     op12_prefix_trie,
     op13_token_alignment,
 )
