@@ -6,8 +6,9 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegerType, StringType
 
+from .csv_records import read_records
 from .schemas import STAGING, Table
 from .schemas import Column as Declared
 
@@ -53,30 +54,37 @@ NULL_TOKENS = (
     "null",
 )
 
-# Tables with free text that may contain line breaks. Such a file is read by one task, so large
-# ones should come in parts; all other files are split.
-MULTI_LINE_TABLES = ("reviews",)
-
 CORRUPT = "_corrupt_record"
+RECORD_COLUMNS = ("_file", "_number", "_place", "_text", "_whole")
+DIALECT = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def read_raw(
-    spark: SparkSession, path: str, multi_line: bool = False, pattern: str | None = None
-) -> DataFrame:
-    """All columns as text under the header's names, with malformed records kept aside.
+def header_of(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
+    options = {"header": True, "escape": '"', **({"pathGlobFilter": pattern} if pattern else {})}
+    return spark.read.options(**options).csv(path).columns
+
 
-    `path` is a file, or a folder of which the files that match `pattern` are read.
+def parse(records: DataFrame, header: list[str]) -> DataFrame:
+    """All columns as text under the header's names, with the text of malformed records kept aside.
+
+    Adds `_file`, `_number` (from 1 in each file), `_place`, `_text` and `_whole` of the record. Every file must have the
+    same header.
     """
-    options = {"header": True, "escape": '"', "multiLine": multi_line, "encoding": "UTF-8"}
-    if pattern:
-        options["pathGlobFilter"] = pattern
-    header = spark.read.options(**options).csv(path).columns
-    schema = StructType([StructField(c, StringType()) for c in (*header, CORRUPT)])
-    return (
-        spark.read.schema(schema)
-        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
-        .option("enforceSchema", False)  # every file must have the same header
-        .csv(path)
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in (*header, CORRUPT))
+    parsed = records.withColumn("_cells", F.from_csv(F.ltrim("text", F.lit("\ufeff")), schema, DIALECT))
+    cells = [F.col("_cells").getField(c) for c in header]
+    is_header = F.coalesce(F.array(*cells) == F.array(*map(F.lit, header)), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("another header: "), F.col("file"))).cast("boolean")
+    rows = parsed.where((F.col("number") > 0) | F.when(is_header, F.lit(False)).otherwise(wrong))
+    corrupt = F.col("_cells").getField(CORRUPT)
+    return rows.select(
+        *(c.alias(name) for c, name in zip(cells, header)),
+        F.when(F.col("whole"), corrupt).otherwise(F.col("text")).alias(CORRUPT),
+        F.col("file").alias("_file"),
+        F.col("number").alias("_number"),
+        F.col("place").alias("_place"),
+        F.col("text").alias("_text"),
+        F.col("whole").alias("_whole"),
     )
 
 
@@ -98,12 +106,11 @@ def prepare(
 ) -> DataFrame:
     """The declared columns with their types, and why a row does not fit.
 
-    Adds `_reasons`, empty for a good row, and for a bad one `_file` and `_record`, its text.
+    Adds `_reasons`, empty for a good row, and for a bad one `_file`, `_number` and `_record`, its place and text.
     `column_tokens` replaces the null tokens of single columns, so that a title "NA" can be kept.
     """
-    raw = raw.withColumn("_file", F.col("_metadata.file_path"))
     renamed = raw.withColumnsRenamed({k: v for k, v in HEADER_RENAMES.items() if k in raw.columns})
-    found = set(renamed.columns) - {CORRUPT, "_file"}
+    found = set(renamed.columns) - {CORRUPT, *RECORD_COLUMNS}
     declared = {c.name for c in table.columns}
     if found != declared:
         raise ValueError(
@@ -119,7 +126,7 @@ def prepare(
             for c in table.columns
         ],
         CORRUPT,
-        "_file",
+        *RECORD_COLUMNS,
     )
     reasons = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed record"))]
     for c in table.columns:
@@ -139,30 +146,32 @@ def prepare(
             )
     why = F.array_compact(F.array(*reasons))
     is_bad = F.size(why) > 0
-    record = F.coalesce(CORRUPT, F.to_csv(F.struct(*[c.name for c in table.columns])))
     return texts.select(
         *[_value(F.col(c.name), c).alias(c.name) for c in table.columns],
-        F.when(is_bad, F.col("_file")).alias("_file"),
-        F.when(is_bad, record).alias("_record"),
+        *[
+            F.when(is_bad, F.col(found)).alias(shown)
+            for found, shown in (("_file", "_file"), ("_number", "_number"), ("_text", "_record"), ("_place", "_place"))
+        ],
+        "_whole",
         why.alias("_reasons"),
     )
 
 
+REJECT_COLUMNS = {"_file": "file", "_number": "number", "_record": "record", "_reasons": "reasons"}
+
+
 def accepted(prepared: DataFrame) -> DataFrame:
-    return prepared.where(F.size("_reasons") == 0).drop("_file", "_record", "_reasons")
+    return prepared.where(F.size("_reasons") == 0).drop(*REJECT_COLUMNS, "_place", "_whole")
 
 
 def rejected(prepared: DataFrame) -> DataFrame:
-    return prepared.where(F.size("_reasons") > 0).select(
-        F.col("_file").alias("file"),
-        F.col("_record").alias("record"),
-        F.col("_reasons").alias("reasons"),
-    )
+    bad = prepared.where(F.size("_reasons") > 0)
+    return bad.select(*(F.col(c).alias(name) for c, name in REJECT_COLUMNS.items()))
 
 
 def read_table(
     spark: SparkSession, name: str, path: str, pattern: str | None = None, **tokens
 ) -> DataFrame:
     """One raw table, typed, with the reasons for rejecting rows."""
-    raw = read_raw(spark, path, name in MULTI_LINE_TABLES, pattern)
+    raw = parse(read_records(spark, path, pattern), header_of(spark, path, pattern))
     return prepare(raw, STAGING[name], **tokens)

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .csv_files import FILE_PATTERNS, accepted, read_table, rejected
+from .csv_files import FILE_PATTERNS, REJECT_COLUMNS, accepted, header_of, parse, prepare, rejected
+from .csv_records import put_together, read_pieces, split_starts
+from .schemas import STAGING
 
 STAGING_DATABASE = "staging"
 WAREHOUSE_DATABASE = "warehouse"
@@ -97,6 +99,35 @@ def append_rows(df: DataFrame, database: str, name: str) -> None:
     df.select(*df.sparkSession.table(target).columns).write.insertInto(target)
 
 
+def _write_parsed(
+    spark: SparkSession, name: str, path: str, folder: str, pattern: str | None = None, **tokens
+) -> tuple[StructType, StructType]:
+    """Parse the files and write them once, good rows to `bad=false` and bad ones to `bad=true`; the schemas of both.
+
+    Pieces of records that lie in several splits, a row per split at most, wait aside and are put together afterwards.
+    """
+    starts = split_starts(spark, path, pattern)
+    header = header_of(spark, path, pattern)
+
+    def write(records: DataFrame, kind) -> DataFrame:
+        prepared = prepare(parse(records, header), STAGING[name], **tokens)
+        rows = prepared.withColumn("bad", kind).withColumnsRenamed(REJECT_COLUMNS).drop("_whole")
+        rows.write.mode("append").partitionBy("bad").parquet(folder)
+        return prepared
+
+    is_bad = (F.size("_reasons") > 0).cast("string")
+    prepared = write(
+        read_pieces(spark, path, pattern, starts), F.when(F.col("_whole"), is_bad).otherwise(F.lit("part"))
+    )
+    parts, files = _path(spark, f"{folder}/bad=part")
+    if files.exists(parts):
+        waiting = spark.read.schema("file string, number long, _place long, record string").parquet(f"{folder}/bad=part")
+        pieces = waiting.withColumnsRenamed({"_place": "place", "record": "text"}).withColumn("whole", F.lit(False))
+        write(put_together(pieces), is_bad)
+        files.delete(parts, True)
+    return accepted(prepared).schema, rejected(prepared).schema
+
+
 def load_table(
     spark: SparkSession,
     name: str,
@@ -112,16 +143,14 @@ def load_table(
     """
     if on_reject not in ("fail", "quarantine"):
         raise ValueError(f"not an option: {on_reject}")
-    prepared = read_table(spark, name, path, **reading)
-    good, bad = accepted(prepared).schema, rejected(prepared).schema
     folder = _new_folder(spark, database, name)
-    both = prepared.withColumnsRenamed({"_file": "file", "_record": "record", "_reasons": "reasons"})
     try:
-        both.withColumn("bad", F.size("reasons") > 0).write.partitionBy("bad").parquet(folder)
+        good, bad = _write_parsed(spark, name, path, folder, **reading)
         spoilt, files = _path(spark, f"{folder}/bad=true")
         if on_reject == "fail" and files.exists(spoilt):
-            row = spark.read.schema(bad).parquet(f"{folder}/bad=true").first()
-            raise LoadError(f"{name}: {'; '.join(row.reasons)}, in {row.file}: {row.record}")
+            found = spark.read.schema(bad).parquet(f"{folder}/bad=true")
+            row = found.orderBy("file", "number").first()
+            raise LoadError(f"{name}: {'; '.join(row.reasons)}, in {row.file}, record {row.number}: {row.record}")
     except Exception:
         _delete(spark, folder)
         raise
