@@ -67,15 +67,11 @@ def header_of(spark: SparkSession, path: str, pattern: str | None = None) -> lis
 def parse(records: DataFrame, header: list[str]) -> DataFrame:
     """All columns as text under the header's names, with the text of malformed records kept aside.
 
-    Adds `_file`, `_number` (from 1 in each file), `_place`, `_text` and `_whole` of the record. Every file must have the
-    same header.
+    Adds `_file`, `_number` (from 1 in each file; the header is 0 and goes), `_place`, `_text` and `_whole` of the record.
     """
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in (*header, CORRUPT))
-    parsed = records.withColumn("_cells", F.from_csv(F.ltrim("text", F.lit("\ufeff")), schema, DIALECT))
+    rows = records.where("number > 0").withColumn("_cells", F.from_csv("text", schema, DIALECT))
     cells = [F.col("_cells").getField(c) for c in header]
-    is_header = F.coalesce(F.array(*cells) == F.array(*map(F.lit, header)), F.lit(False))
-    wrong = F.raise_error(F.concat(F.lit("another header: "), F.col("file"))).cast("boolean")
-    rows = parsed.where((F.col("number") > 0) | F.when(is_header, F.lit(False)).otherwise(wrong))
     corrupt = F.col("_cells").getField(CORRUPT)
     return rows.select(
         *(c.alias(name) for c, name in zip(cells, header)),
@@ -173,5 +169,5 @@ def read_table(
     spark: SparkSession, name: str, path: str, pattern: str | None = None, **tokens
 ) -> DataFrame:
     """One raw table, typed, with the reasons for rejecting rows."""
-    raw = parse(read_records(spark, path, pattern), header_of(spark, path, pattern))
-    return prepare(raw, STAGING[name], **tokens)
+    header = header_of(spark, path, pattern)
+    return prepare(parse(read_records(spark, path, pattern, header), header), STAGING[name], **tokens)

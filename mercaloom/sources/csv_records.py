@@ -1,25 +1,27 @@
 """CSV files as records with their numbers, read in splits although quoted texts may hold line breaks.
 
 Whether a line begins inside a quoted text depends on all lines before it, but a line only maps "inside or not at its
-start" to "inside or not at its end". The first pass works out that map for each split, for both cases at once, with
-the number of records that begin in it; a window over these few rows gives every split its true start and the number of
-its first record. The second pass then knows its records. Those that end in a later split come out in pieces, at most
-one per split, and are put together by (file, number).
+start" to "inside or not at its end". First the lines of every split are counted. If there are quotes, a pass over the
+lines that hold some works out each split's map, for both cases at once, and how many of its lines lie inside; a window over
+these few rows gives every split its true start and the number of its first record. The last pass then knows its
+records. Where each line is a record, it runs without Python. Records that end in a later split come out in pieces, at
+most one per split, and are put together by (file, number).
 
-Both passes read the files through Spark in the same splits; a file whose splits changed in between is an error.
+All passes read the files through Spark in the same splits; splits that changed in between are an error.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.keys import POSITION_BITS
 from ..operators.storage import materialize
 
 # One field of a record, quoted (a doubled quote stands for one) or not, and what follows it.
@@ -47,10 +49,19 @@ def _lines(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.col("_metadata.file_block_length").alias("length"),
+        F.monotonically_increasing_id().alias("line"),
         F.when(F.col("value").endswith("\r"), text).otherwise(F.col("value")).alias("text"),
     )
 
 
+def _quoted() -> Column:
+    return F.contains("text", F.lit('"'))
+
+
+def _blank() -> Column:
+    return F.trim("text") == ""
+
+
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """A batch cut where the split changes."""
     keys = [batch.column(c).dictionary_encode() for c in ("file", "start")]
@@ -72,64 +83,105 @@ def _walk(quoted: list[int], lines: list[str], inside: bool, n: int) -> tuple[np
     return before, inside
 
 
-def split_starts(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Each split's (`file`, `start`, `length`) with whether it begins `inside` a quoted text and the number of records
-    that begin before it in its file (`base`). Lines without quotes do not travel to Python."""
-    lines = _lines(spark, path, pattern).select(
-        *SPLIT, F.when(F.contains("text", F.lit('"')), F.col("text")).alias("quoted"), (F.trim("text") == "").alias("blank")
-    )
+@dataclass(frozen=True)
+class Starts:
+    """Per split (`file`, `start`, `length`): whether it begins `inside` a quoted text, the number of records that begin
+    before it in its file (`base`), and its first line. `lines_are_records` says that no other line is anything else."""
+
+    splits: DataFrame
+    lines_are_records: bool
+
+
+def _maps(lines: DataFrame, tally: DataFrame) -> DataFrame:
+    """What the splits with quotes or blank lines do: the state at their end and the records that begin in them, for a start
+    outside and inside a quoted text. Only these lines travel to Python."""
+    asked = lines.where(_quoted() | _blank()).join(F.broadcast(tally), list(SPLIT))
+    asked = asked.select(*SPLIT, "line", "first_line", "n_lines", F.when(_quoted(), F.col("text")).alias("text"))
     schema = "file string, start long, length long, out_after boolean, in_after boolean, n_out long, n_in long"
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, state, counts = None, [], []
+        key, state, other, at, end = None, [False, True], [0, 0], 0, 0
 
         def row() -> pa.RecordBatch:
-            values = [[v] for v in (*key, *state, *counts)]
-            return pa.RecordBatch.from_pydict(dict(zip((x.split()[0] for x in schema.split(", ")), values)))
+            records = [end[1] - o - (end[0] - at) * s for o, s in zip(other, state)]
+            return pa.RecordBatch.from_pydict({c: [v] for c, v in zip(names, (*key, *state, *records))})
 
         for batch in batches:
             for found, part in _runs(batch):
                 if found != key:
                     if key is not None:
                         yield row()
-                    key, state, counts = found, [False, True], [0, 0]
-                text = part.column("quoted")
-                at = np.flatnonzero(text.is_valid().to_numpy(zero_copy_only=False)).tolist()
-                texts = text.drop_null().to_pylist()
-                filled = ~part.column("blank").to_numpy(zero_copy_only=False)
-                begun, walked = list(state), {}
-                for case in (0, 1):  # once both cases have met they go on as one
-                    if begun[case] not in walked:
-                        walked[begun[case]] = _walk(at, texts, begun[case], part.num_rows)
-                    before, state[case] = walked[begun[case]]
-                    counts[case] += int((filled & ~before).sum())
+                    first, n = (part.column(c)[0].as_py() for c in ("first_line", "n_lines"))
+                    # lines that begin no record, so far; the first line not looked at; the end and number of lines
+                    key, state, other, at, end = found, [False, True], [0, 0], first, (first + n, n)
+                for line, text in zip(part.column("line").to_pylist(), part.column("text").to_pylist()):
+                    for case in (0, 1):
+                        other[case] += (line + 1 - at) if state[case] else text is None
+                    at = line + 1
+                    if text is not None:
+                        met = state[0] == state[1]
+                        state[0] = ends_inside(text, state[0])
+                        state[1] = state[0] if met else ends_inside(text, state[1])
         if key is not None:
             yield row()
 
-    splits = materialize(lines.mapInArrow(scan, schema), "csv-splits")
-    # What a split does to "inside": set it, keep it or swap it. One row per split.
+    return asked.mapInArrow(scan, schema)
+
+
+def split_starts(spark: SparkSession, path: str, pattern: str | None, header: list[str]) -> Starts:
+    """Looks at all splits. A file without a line of the header's names, quoted or not, in its first split is an error."""
+    lines = _lines(spark, path, pattern)
+    names = F.replace(F.ltrim("text", F.lit("\ufeff")), F.lit('"'), F.lit("")) == ",".join(header)
+    tally = lines.groupBy(*SPLIT).agg(
+        F.min("line").alias("first_line"), F.count("*").alias("n_lines"),
+        F.count_if(_quoted()).alias("n_quoted"), F.count_if(_blank()).alias("n_blank"),
+        F.count_if(names).alias("n_headers"),
+    )
+    tally = materialize(tally, "csv-splits")  # one row per split, here and below
+    other = tally.where("start = 0 and n_headers = 0").select("file").first()
+    if other:
+        raise ValueError(f"another header than {','.join(header)}: {other.file}")
+    quoted, blank = (x or 0 for x in tally.agg(F.sum("n_quoted"), F.sum("n_blank")).first())
+    splits, kept = tally, [*SPLIT, "first_line"]
+    if quoted:
+        maps = materialize(_maps(lines, tally.select(*kept, "n_lines")), "csv-maps")
+        splits = tally.join(F.broadcast(maps), list(SPLIT), "left")
+        records = F.coalesce("n_out", "n_lines")
+        changes = splits.where(F.coalesce("out_after", F.lit(False)) | (records < F.col("n_lines") - F.col("n_blank")))
+        quoted = not changes.isEmpty()
     ahead = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    swap = F.when(F.col("out_after") & ~F.col("in_after"), 1).otherwise(0)
-    swaps = splits.withColumn("swaps", F.coalesce(F.sum(swap).over(ahead), F.lit(0)))
+    began = F.col("n_lines") - F.col("n_blank")
+    if not quoted:
+        base = F.coalesce(F.sum(began).over(ahead), F.lit(0))
+        return Starts(splits.select(*kept, F.lit(False).alias("inside"), base.alias("base")), not blank)
+    # What a split does to "inside": set it, keep it or swap it.
     sets = F.when(F.col("out_after") == F.col("in_after"), F.struct("out_after", "swaps"))
-    last = F.last(sets, ignorenulls=True).over(ahead)
-    known = swaps.withColumn("last", last)
+    swap = F.when(F.col("out_after") & ~F.col("in_after"), 1).otherwise(0)
+    known = splits.withColumn("swaps", F.coalesce(F.sum(swap).over(ahead), F.lit(0)))
+    known = known.withColumn("last", F.last(sets, ignorenulls=True).over(ahead))
     swapped = (F.col("swaps") - F.coalesce("last.swaps", F.lit(0))) % 2 == 1
     known = known.withColumn("inside", F.coalesce("last.out_after", F.lit(False)) != swapped)
-    began = F.when(F.col("inside"), F.col("n_in")).otherwise(F.col("n_out"))
+    began = F.when(F.col("inside"), F.coalesce("n_in", F.lit(0))).otherwise(F.coalesce("n_out", began))
     base = F.coalesce(F.sum(began).over(ahead), F.lit(0))
-    return materialize(known.select(*SPLIT, "inside", base.alias("base")), "csv-starts")
+    return Starts(known.select(*kept, "inside", base.alias("base")), False)
 
 
-def read_pieces(spark: SparkSession, path: str, pattern: str | None, starts: DataFrame) -> DataFrame:
+def read_pieces(spark: SparkSession, path: str, pattern: str | None, starts: Starts) -> DataFrame:
     """The records of the files as (`file`, `number`, `place`, `text`, `whole`), numbered from 0 in each file.
 
     Blank lines between records are none. A record that lies in several splits gives one row, not whole, for each; `place` puts
     them in order.
     """
     # one row per split; the join keeps the order of the lines
-    lines = _lines(spark, path, pattern).join(F.broadcast(starts), list(SPLIT), "left")
-    lines = lines.select(*SPLIT, "inside", "base", "text", F.contains("text", F.lit('"')).alias("quotes"), (F.trim("text") == "").alias("blank"))
+    lines = _lines(spark, path, pattern).join(F.broadcast(starts.splits), list(SPLIT), "left")
+    same_task = F.shiftright("line", POSITION_BITS) == F.shiftright("first_line", POSITION_BITS)
+    changed = F.raise_error(F.concat(F.lit("the splits changed while it was read: "), F.col("file")))
+    lines = lines.withColumn("base", F.when(same_task, F.col("base")).otherwise(changed.cast("long")))
+    if starts.lines_are_records:
+        number = F.col("base") + F.col("line") - F.col("first_line")
+        return lines.select("file", number.alias("number"), F.col("start").alias("place"), "text", F.lit(True).alias("whole"))
+    lines = lines.select(*SPLIT, "inside", "base", "text", _quoted().alias("quotes"), _blank().alias("blank"))
     names = [x.split()[0] for x in RECORD.split(", ")]
     types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
 
@@ -147,15 +199,16 @@ def read_pieces(spark: SparkSession, path: str, pattern: str | None, starts: Dat
                         yield rows([(key[0], number - 1, key[1], "\n".join(held), False)])
                     key, held, begun = found, [], False
                     inside, number = part.column("inside")[0].as_py(), part.column("base")[0].as_py()
-                    if inside is None:
-                        raise RuntimeError(f"the splits of {found[0]} changed while it was read")
                 quotes, text = part.column("quotes"), part.column("text")
                 at = np.flatnonzero(quotes.to_numpy(zero_copy_only=False)).tolist()
                 before, after = _walk(at, text.filter(quotes).to_pylist(), inside, part.num_rows)
                 starts_record = ~before & ~part.column("blank").to_numpy(zero_copy_only=False)
                 if not before.any() and not after:  # every line that is not blank is a record
                     n = int(starts_record.sum())
-                    columns = [pa.array([key[0]] * n, pa.string()), pa.array(number + np.arange(n)), pa.array(np.full(n, key[1])), text.filter(pa.array(starts_record)), pa.array(np.ones(n, bool))]
+                    columns = [
+                        pa.array([key[0]] * n, pa.string()), pa.array(number + np.arange(n)), pa.array(np.full(n, key[1])),
+                        text.filter(pa.array(starts_record)), pa.array(np.ones(n, bool)),
+                    ]
                     number += n
                     yield pa.RecordBatch.from_arrays(columns, names)
                 else:
@@ -194,10 +247,10 @@ def put_together(pieces: DataFrame) -> DataFrame:
     return short.withColumn("whole", F.lit(True)).unionByName(long.withColumn("whole", F.lit(False)))
 
 
-def read_records(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def read_records(spark: SparkSession, path: str, pattern: str | None, header: list[str]) -> DataFrame:
     """All records of the files, put together where they lie in several splits."""
-    starts = split_starts(spark, path, pattern)
+    starts = split_starts(spark, path, pattern, header)
     pieces = read_pieces(spark, path, pattern, starts)
-    if starts.where("inside").isEmpty():
+    if starts.splits.where("inside").isEmpty():
         return pieces
     return pieces.where("whole").unionByName(put_together(pieces.where("not whole")))

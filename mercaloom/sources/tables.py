@@ -106,8 +106,8 @@ def _write_parsed(
 
     Pieces of records that lie in several splits, a row per split at most, wait aside and are put together afterwards.
     """
-    starts = split_starts(spark, path, pattern)
     header = header_of(spark, path, pattern)
+    starts = split_starts(spark, path, pattern, header)
 
     def write(records: DataFrame, kind) -> DataFrame:
         prepared = prepare(parse(records, header), STAGING[name], **tokens)

@@ -13,6 +13,7 @@ from mercaloom.sources import tables as T
 from mercaloom.sources.csv_files import accepted, read_table, rejected
 
 SELLERS = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+NAMES = SELLERS.strip().split(",")
 REVIEWS = (
     "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date,review_answer_timestamp\n"
 )
@@ -76,7 +77,7 @@ def test_many_splits_equal_one_task(spark, tmp_path, newline):
     one = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
     with split_bytes(spark, 300):
         found = read_table(spark, "reviews", path)
-        assert csv_records.split_starts(spark, path).count() > 100
+        assert csv_records.split_starts(spark, path, None, REVIEWS.strip().split(",")).splits.count() > 100
         rows = {r.review_id: r for r in accepted(found).collect()}
         assert rejected(found).count() == 0
     assert len(rows) == one.count() == 400
@@ -119,7 +120,15 @@ def test_number_of_a_bad_row(spark, tmp_path):
     (tmp_path / "s.csv").write_text("﻿" + SELLERS + "".join(rows))
     with split_bytes(spark, 400):
         bad = rejected(read_table(spark, "sellers", str(tmp_path / "s.csv"))).collect()
-    assert [(r.number, r.record) for r in bad] == [(1500, "s1500,1500,x,TOOLONG")]
+        assert [(r.number, r.record) for r in bad] == [(1500, "s1500,1500,x,TOOLONG")]
+        for changed in ("s701,1,x,SP\n", '"s701",1,"x",SP\n', "\n \ns701,1,x,SP\n"):  # no quotes, closed quotes, blank lines
+            rows[700] = changed
+            (tmp_path / "s.csv").write_text(SELLERS + "".join(rows))
+            starts = csv_records.split_starts(spark, str(tmp_path / "s.csv"), None, NAMES)
+            assert starts.lines_are_records == ("\n \n" not in changed)
+            found = read_table(spark, "sellers", str(tmp_path / "s.csv"))
+            assert [(r.number, r.record) for r in rejected(found).collect()] == [(1500, "s1500,1500,x,TOOLONG")]
+            assert accepted(found).count() == 1999
 
 
 def test_a_quote_that_is_never_closed(spark, tmp_path, monkeypatch):
@@ -138,16 +147,18 @@ def test_a_quote_that_is_never_closed(spark, tmp_path, monkeypatch):
 def test_files_need_one_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text(SELLERS + "s1,1,x,SP\n")
     (tmp_path / "b.csv").write_text("seller_id,seller_city,seller_zip_code_prefix,seller_state\ns2,x,1,SP\n")
-    with pytest.raises(Exception, match="another header"):
-        accepted(read_table(spark, "sellers", str(tmp_path))).collect()
+    with pytest.raises(ValueError, match="another header"):
+        read_table(spark, "sellers", str(tmp_path))
+    (tmp_path / "b.csv").write_text('"seller_id",seller_zip_code_prefix,seller_city,seller_state\ns2,1,x,SP\n')
+    assert accepted(read_table(spark, "sellers", str(tmp_path))).count() == 2
 
 
 def test_changed_splits_are_an_error(spark, tmp_path):
     (tmp_path / "s.csv").write_text(SELLERS + "".join(f"s{i},{i},x,SP\n" for i in range(300)))
     with split_bytes(spark, 400):
-        starts = csv_records.split_starts(spark, str(tmp_path))
+        starts = csv_records.split_starts(spark, str(tmp_path), None, NAMES)
     with split_bytes(spark, 900), pytest.raises(Exception, match="changed"):
-        csv_records.read_pieces(spark, str(tmp_path), None, starts).agg(F.count("*")).collect()
+        csv_records.read_pieces(spark, str(tmp_path), None, starts).agg(F.sum("number")).collect()
 
 
 def test_no_files_no_rows(spark, tmp_path):
