@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import expressions as X
 from .skew import NOT_SKEWED, HotKeys
 from .storage import materialize
 
@@ -14,42 +15,57 @@ from .storage import materialize
 POSITION_BITS = 33
 
 
-def _number_in_place(df: DataFrame, name: str) -> DataFrame:
-    """1..n in the order of `df`'s partitions and of the rows inside them.
+def file_part() -> Column:
+    """The number that Spark's writer gave to the task that wrote a row's file."""
+    return F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int")
 
-    The driver sees one count per written partition and turns them into a constant array, so reading
-    the numbers needs no join, and a query that does not use them does not compute them.
+
+def rows_before(stored: DataFrame) -> list[int]:
+    """For the files of a written table, by the number of their task, how many rows lie in those before.
+
+    The driver sees one count per file. One task writes one file (`ONE_FILE`).
     """
-    stored = materialize(df.withColumn("_position", F.monotonically_increasing_id()), name)
-    part = F.shiftright("_position", POSITION_BITS).cast("int")
-    sizes = dict(stored.groupBy(part.alias("part")).count().collect())
-    before = accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0))), initial=0)
-    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
-    position = F.col("_position").bitwiseAND((1 << POSITION_BITS) - 1)
-    number = F.element_at(offsets, part + 1) + position + 1
-    return stored.withColumn(name, number).select(name, *df.columns)
+    sizes = dict(stored.groupBy(file_part().alias("part")).count().collect())
+    return list(accumulate((sizes.get(p, 0) for p in range(max(sizes, default=0))), initial=0))
 
 
-def ordered_row_number(df: DataFrame, name: str, *order: str) -> DataFrame:
-    """`row_number() over (order by ...)` as column `name`, numbered in parallel.
+def number_stored(stored: DataFrame, name: str) -> DataFrame:
+    """1..n in the order of a written table's files and of the rows inside them, as column `name`.
+
+    A number is a row's place in its file, which the reader knows, plus the rows of the files before, held as a constant
+    array. Nothing is written again, and a query that does not use the numbers does not compute them.
+    """
+    offsets = F.split(F.lit(",".join(map(str, rows_before(stored)))), ",").cast("array<bigint>")
+    number = F.element_at(offsets, file_part() + 1) + F.col("_metadata.row_index") + 1
+    return stored.select(number.alias(name), *map(X.column, stored.columns))
+
 
-    One range shuffle sorts the rows; every row's number is its position in its range plus the
-    size of the ranges before. The sorted rows are stored first, so numbers cannot change when a
-    task is run again. The last range column is the source partition: rows that tie on all order
-    columns would otherwise share one range however many they are.
+def sorted_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """All rows in order, over partitions and inside them, by one range shuffle.
+
+    The last range column is the source partition: rows that tie on all order columns would otherwise share one range
+    however many they are.
     """
-    ranged = (
+    return (
         df.withColumn("_tie", F.spark_partition_id())
         .repartitionByRange(*order, "_tie")
         .sortWithinPartitions(*order, "_tie")
         .drop("_tie")
     )
-    return _number_in_place(ranged, name)
+
+
+def ordered_row_number(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """`row_number() over (order by ...)` as column `name`, numbered in parallel.
+
+    One range shuffle sorts the rows; they are stored, and numbered from the files. So numbers cannot change when a
+    task is run again.
+    """
+    return number_stored(materialize(sorted_ranges(df, *order), name), name)
 
 
 def row_identity(df: DataFrame, name: str) -> DataFrame:
     """1..n without gaps in no particular order, as an identity column gives; no shuffle."""
-    return _number_in_place(df, name)
+    return number_stored(materialize(df, name), name)
 
 
 def grouped_row_number(

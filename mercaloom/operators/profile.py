@@ -83,6 +83,9 @@ def profile(
     The table is turned into (column number, value) pairs, which are counted; counts are combined
     before the shuffle, so a frequent value costs no more than a rare one. Every statistic follows
     from the distinct values and their counts; dates are parsed once per distinct value.
+
+    Two aggregates read the counted values, which are shuffled once: sums and numeric extremes by column number, in hash
+    tables of fixed-width buffers, and the extremes of texts, one row for all columns. Nothing is sorted.
     """
     fields = df.schema.fields
     kinds = [column_kind(f.name, f.dataType, date_columns) for f in fields]
@@ -104,36 +107,42 @@ def profile(
         return F.col("c").isin(*numbers) if numbers else F.lit(False)
 
     value, n = F.col("value"), F.col("n")
-    ordered_text, exact, floating = of_kind(MOMENT, DATE_TEXT), of_kind(EXACT), of_kind(FLOATING)
+    exact, floating = of_kind(EXACT), of_kind(FLOATING)
     text, numeric = of_kind(DATE_TEXT, TEXT), of_kind(EXACT, FLOATING)
     present = value.isNotNull()
 
     typed = counted.select(
         "c",
-        "value",
         "n",
-        F.when(ordered_text, value).alias("as_text"),
+        present.alias("present"),
         F.when(exact, value.try_cast(_exact_type(df))).alias("as_exact"),
         F.when(numeric, value.try_cast("double")).alias("as_double"),
+        F.when(floating, value.try_cast("double")).alias("as_floating"),
         F.when(text & present, X.text_length(value) * n).alias("length_sum"),
         F.when(of_kind(DATE_TEXT), X.is_invalid_date(value)).alias("invalid"),
     )
     stats = typed.groupBy("c").agg(
         F.sum("n").alias("total_rows"),
-        F.count("value").alias("distinct_cnt"),
-        F.sum(F.when(~present, n).otherwise(0)).alias("null_cnt"),
-        F.min("as_text").alias("min_text"),
-        F.max("as_text").alias("max_text"),
-        F.min_by("value", "as_exact").alias("min_exact"),
-        F.max_by("value", "as_exact").alias("max_exact"),
-        F.min_by("value", F.when(floating, F.col("as_double"))).alias("min_floating"),
-        F.max_by("value", F.when(floating, F.col("as_double"))).alias("max_floating"),
+        F.count_if("present").alias("distinct_cnt"),
+        F.sum(F.when(~F.col("present"), n).otherwise(0)).alias("null_cnt"),
+        *[
+            of(column).alias(f"{which}_{kind}")
+            for kind, column in (("exact", "as_exact"), ("floating", "as_floating"))
+            for which, of in (("min", F.min), ("max", F.max))
+        ],
         F.sum(F.col("as_double") * n).alias("value_sum"),
-        F.sum(F.when(present, n).otherwise(0)).alias("present_cnt"),
+        F.sum(F.when(F.col("present"), n).otherwise(0)).alias("present_cnt"),
         F.sum("length_sum").alias("length_sum"),
         F.sum(F.when(F.col("as_double") < 0, n).otherwise(0)).alias("negative"),
         F.sum(F.when(F.col("invalid"), n).otherwise(0)).alias("invalid"),
     )
+    ordered = [i for i, kind in enumerate(kinds) if kind in (MOMENT, DATE_TEXT)]
+    texts = [F.when(F.col("c") == i, value) for i in ordered]
+    ends = [F.struct(F.lit(i).alias("text_c"), F.min(t).alias("min_text"), F.max(t).alias("max_text")) for i, t in zip(ordered, texts)]
+    # The largest count is not used: it keeps this aggregate's shuffle the same as the other's, so it is made once.
+    extremes = counted.agg(F.max("n").alias("n"), *(end.alias(f"e{i}") for i, end in zip(ordered, ends)))
+    if ordered:
+        extremes = extremes.where("n is not null").select(F.inline(F.array(*(f"e{i}" for i in ordered))))
     # A table without rows still has a line per column.
     names = F.posexplode(F.array(*[F.lit(f.name) for f in fields])).alias("c", "column_name")
     every_column = df.sparkSession.range(0, 1, 1, 1).select(names)
@@ -141,13 +150,25 @@ def profile(
     def whole(column: str) -> Column:
         return F.coalesce(column, F.lit(0).cast("long"))
 
+    def typed_text(which: str) -> Column:
+        """A numeric extreme as its own column's type writes it."""
+        shown = F.lit(None).cast("string")
+        for i, (f, kind) in enumerate(zip(fields, kinds)):
+            if kind in (EXACT, FLOATING):
+                number = F.col(f"{which}_{'exact' if kind == EXACT else 'floating'}")
+                shown = F.when(F.col("c") == i, _as_text(number.cast(f.dataType), f.dataType)).otherwise(shown)
+        return shown
+
     def extreme(which: str) -> Column:
-        shown = F.coalesce(f"{which}_text", f"{which}_exact", f"{which}_floating")
+        shown = F.coalesce(f"{which}_text", typed_text(which)) if ordered else typed_text(which)
         moment_layout = F.substring(shown, 1, 19)
         return F.when(of_kind(MOMENT), moment_layout).otherwise(shown)
 
-    # Both sides have one row per column.
-    return every_column.join(F.broadcast(stats), "c", "left").select(
+    # All sides have one row per column.
+    known = every_column.join(F.broadcast(stats), "c", "left")
+    if ordered:
+        known = known.join(F.broadcast(extremes), F.col("c") == F.col("text_c"), "left")
+    return known.select(
         F.lit(table_name).alias("table_name"),
         "column_name",
         whole("total_rows").alias("total_rows"),

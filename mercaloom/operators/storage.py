@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# One task writes one file, so that files have the order of the partitions.
+ONE_FILE = {"maxRecordsPerFile": 0}
+
 # Scratch folders of local applications without the setting, by application id.
 _local_folders: dict[str, str] = {}
 
@@ -47,5 +50,5 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**ONE_FILE).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

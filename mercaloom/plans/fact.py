@@ -2,32 +2,60 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators.keys import ordered_row_number, row_identity
+from ..operators.keys import row_identity, sorted_ranges
 from ..operators.skew import MIN_HOT_ROWS, Lookup, look_up
 
+# A first payment as one number: sequence, place of the type (0: none), installments (0: none), each in this many bits.
+MOST_KINDS, LARGEST = 1000, 1 << 19
+KIND_BITS, COUNT_BITS = 10, 21
+
+
+def _payment_kinds(payments: DataFrame) -> list[str] | None:
+    """The payment types in order, if there are few and the first payment fits into 64 bits."""
+    bounds = [f(c) for c in ("payment_sequential", "payment_installments") for f in (F.min, F.max)]
+    unknown = F.count_if(F.col("payment_sequential").isNull()).alias("unknown")
+    by_type = payments.groupBy("payment_type").agg(unknown, *(b.alias(f"b{i}") for i, b in enumerate(bounds)))
+    found = by_type.limit(MOST_KINDS + 2).collect()
+    kinds = sorted((r.payment_type for r in found if r.payment_type is not None), key=str.encode)
+    numbers = [v for r in found for v in list(r)[2:] if v is not None]
+    fits = len(kinds) <= MOST_KINDS and all(-LARGEST <= v < LARGEST for v in numbers)
+    return kinds if fits and not any(r.unknown for r in found) else None
+
 
 def payment_per_order(payments: DataFrame) -> DataFrame:
     """Type and installments of the first payment, and the total, of every order.
 
-    The struct minimum takes the row with the lowest sequence number as a whole, so a first payment
-    without a type stays without one.
+    The first payment is the smallest (sequence, type, installments), missing values first, so one without a type stays
+    without. Few types and small numbers, which one narrow pass finds, are packed into one number, whose minimum a
+    hash table can hold; else the minimum is that of a struct.
     """
-    first = F.min(F.struct("payment_sequential", "payment_type", "payment_installments"))
-    return (
-        payments.groupBy("order_id")
-        .agg(first.alias("first"), F.sum("payment_value").alias("payment_value"))
-        .select(
-            "order_id",
-            "first.payment_type",
-            "first.payment_installments",
-            F.col("payment_value").cast("decimal(20,2)").alias("payment_value"),
-        )
+    kinds = _payment_kinds(payments)
+    total = F.sum("payment_value").alias("payment_value")
+    if kinds is None:
+        first = F.min(F.struct("payment_sequential", "payment_type", "payment_installments"))
+        found = payments.groupBy("order_id").agg(first.alias("first"), total)
+        kind, installments = F.col("first.payment_type"), F.col("first.payment_installments")
+    else:
+        names = F.array(*map(F.lit, kinds)) if kinds else F.array(F.lit(None).cast("string"))
+        place = F.coalesce(F.array_position(names, F.col("payment_type")), F.lit(0))
+        count = F.coalesce(F.col("payment_installments").cast("long") + LARGEST + 1, F.lit(0))
+        packed = (F.col("payment_sequential").cast("long") * (1 << KIND_BITS) + place) * (1 << COUNT_BITS) + count
+        found = payments.groupBy("order_id").agg(F.min(packed).alias("first"), total)
+        count = F.col("first").bitwiseAND((1 << COUNT_BITS) - 1)
+        place = F.shiftright("first", COUNT_BITS).bitwiseAND((1 << KIND_BITS) - 1)
+        kind = F.when(place > 0, F.element_at(names, F.greatest(place, F.lit(1)).cast("int")))
+        installments = F.when(count > 0, count - LARGEST - 1).cast(payments.schema["payment_installments"].dataType)
+    return found.select(
+        "order_id",
+        kind.alias("payment_type"),
+        installments.alias("payment_installments"),
+        F.col("payment_value").cast("decimal(20,2)").alias("payment_value"),
     )
 
 
@@ -121,13 +149,12 @@ def build_fact_sales(
     dims: Mapping[str, DataFrame],
     ordered: bool = False,
     min_hot_rows: int = MIN_HOT_ROWS,
+    number: Callable[[DataFrame, str], DataFrame] = row_identity,
 ) -> DataFrame:
-    """The complete fact.
+    """The complete fact, written once by `number`, which gives the rows their key from the files written.
 
-    Its key may be any numbering without repeats. By default the rows are numbered where they are;
+    The key may be any numbering without repeats. By default the rows are numbered where they are;
     `ordered` numbers by order and line, the same on every run, and costs a range shuffle.
     """
     lines = sales_lines(staging, dims, min_hot_rows)
-    if ordered:
-        return ordered_row_number(lines, "sales_sk", "order_id", "order_item_id")
-    return row_identity(lines, "sales_sk")
+    return number(sorted_ranges(lines, "order_id", "order_item_id") if ordered else lines, "sales_sk")

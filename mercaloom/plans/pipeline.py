@@ -16,6 +16,7 @@ from ..operators.integrity import (
     not_null_report,
     primary_key_report,
 )
+from ..operators.keys import row_identity
 from ..operators.skew import MIN_HOT_ROWS
 from ..sources import tables as T
 from ..sources.schemas import FOREIGN_KEYS, STAGING, WAREHOUSE
@@ -39,8 +40,10 @@ def build_star(
     ordered: bool = False,
     min_hot_rows: int = MIN_HOT_ROWS,
     keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+    number_fact: Callable[[DataFrame, str], DataFrame] = row_identity,
 ) -> dict[str, DataFrame]:
-    """Dimensions first, then the fact that refers to them; `keep` may save each table."""
+    """Dimensions first, then the fact that refers to them; `keep` may save each dimension, `number_fact` writes and numbers
+    the fact."""
     words = staging["category_translation"]
     star = {
         "dim_date": keep("dim_date", dim_date),
@@ -50,8 +53,7 @@ def build_star(
             "dim_product", build_dim_product(staging["products"], words, min_hot_rows)
         ),
     }
-    fact = build_fact_sales(staging, star, ordered, min_hot_rows)
-    return {**star, "fact_sales": keep("fact_sales", fact)}
+    return {**star, "fact_sales": build_fact_sales(staging, star, ordered, min_hot_rows, number_fact)}
 
 
 def build_warehouse(
@@ -68,7 +70,10 @@ def build_warehouse(
     def save(name: str, df: DataFrame) -> DataFrame:
         return T.save_table(df, T.WAREHOUSE_DATABASE, name)
 
-    return build_star(staging, build_dim_date(spark, start, end), ordered, min_hot_rows, save)
+    def save_fact(lines: DataFrame, key: str) -> DataFrame:
+        return T.save_numbered(lines, T.WAREHOUSE_DATABASE, "fact_sales", key)
+
+    return build_star(staging, build_dim_date(spark, start, end), ordered, min_hot_rows, save, save_fact)
 
 
 # Everything the tables declare, as checks on the raw tables and the star schema together.

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.keys import rows_before
+from ..operators.storage import ONE_FILE
 from .csv_files import FILE_PATTERNS, REJECT_COLUMNS, accepted, header_of, parse, prepare, rejected
 from .csv_records import put_together, read_pieces, split_starts
 from .schemas import STAGING
@@ -64,7 +66,7 @@ def _point(spark: SparkSession, database: str, name: str, schema: StructType, fo
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
             spark.catalog.refreshTable(table)
             return spark.table(table)
-        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"DROP {'VIEW' if found.tableType == 'VIEW' else 'TABLE'} {table}")
     spark.catalog.createTable(f"{database}.{name}", path=folder, source="parquet", schema=bare)
     return spark.table(table)
 
@@ -93,6 +95,38 @@ def save_table(df: DataFrame, database: str, name: str) -> DataFrame:
     return saved
 
 
+def save_numbered(df: DataFrame, database: str, name: str, key: str) -> DataFrame:
+    """Create or replace a table with the rows of a query, numbered 1..n in the order of its partitions as column `key`.
+
+    The rows are written once. `name` is a view of the files written: a row's number is its place in its file plus the rows
+    in the files before, which stand in a small table beside. Replacing the view switches both at once.
+    """
+    spark = df.sparkSession
+    folder, places = _new_folder(spark, database, name), _new_folder(spark, database, f"{name}_files")
+    try:
+        df.write.options(**ONE_FILE).parquet(folder)
+        stored = spark.read.schema(df.schema).parquet(folder)
+        starts = list(enumerate(rows_before(stored)))
+        spark.createDataFrame(starts, "part int, before long").coalesce(1).write.parquet(places)
+    except Exception:
+        for written in (folder, places):
+            _delete(spark, written)
+        raise
+    columns = ", ".join(f"r.`{c.replace('`', '``')}`" for c in df.columns)
+    part = r"cast(regexp_extract(r._metadata.file_name, '^part-([0-9]+)', 1) as int)"
+    found = spark.catalog.tableExists(f"{database}.{name}") and spark.catalog.getTable(f"{database}.{name}")
+    if found and found.tableType != "VIEW":
+        spark.sql(f"DROP TABLE {database}.`{name}`")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {database}.`{name}` AS"
+        f" SELECT /*+ BROADCAST(f) */ f.before + r._metadata.row_index + 1 AS `{key}`, {columns}"
+        f" FROM parquet.`{folder}` r JOIN parquet.`{places}` f ON {part} = f.part"
+    )
+    for written in (folder, places):
+        _drop_others(spark, written)
+    return spark.table(f"{database}.{name}")
+
+
 def append_rows(df: DataFrame, database: str, name: str) -> None:
     """Insert the rows of a query into an existing table, matching columns by name."""
     target = f"{database}.{name}"
