@@ -63,16 +63,16 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             saved.show(saved.count(), truncate=False)  # one row per column
     elif args.step == "build":
         star = pipeline.build_warehouse(spark, staging, args.start, args.end, args.ordered)
-        _list(T.WAREHOUSE_DATABASE, {**star, **pipeline.check_star(staging, star, args.on_violation)})
+        _list(T.WAREHOUSE_DATABASE, {**star, **pipeline.check_star(staging, star, args.on_violation, pipeline.written_counts(spark))})
     else:
         star = T.saved_tables(spark, T.WAREHOUSE_DATABASE, WAREHOUSE)
         if args.step == "check":
             _list(T.WAREHOUSE_DATABASE, pipeline.save_reports(check_integrity(staging)))
-            _list(T.WAREHOUSE_DATABASE, pipeline.check_star(staging, star, args.on_violation))
+            _list(T.WAREHOUSE_DATABASE, pipeline.check_star(staging, star, args.on_violation, pipeline.written_counts(spark)))
         else:
             for name, saved in pipeline.save_kpis(star, staging["orders"]).items():
                 print(f"{T.WAREHOUSE_DATABASE}.{name}")
-                saved.show(truncate=False)
+                saved.show(saved.count(), truncate=False)  # a figure per group at most
 
 
 if __name__ == "__main__":

@@ -168,6 +168,15 @@ def _columns(lines: str) -> list[Column]:
 
 
 RAW_COLUMNS = {name: _columns(lines) for name, lines in RAW.items()}
+# Not part of the star schema.
+OTHER_COLUMNS = {
+    "order_calendar": _columns("""
+        date_key int number
+        full_date date moment
+        first_purchase timestamp moment
+        any_canceled boolean truth
+    """),
+}
 ALL_COLUMNS = RAW_COLUMNS | {name: _columns(lines) for name, lines in STAR.items()}
 
 
@@ -247,6 +256,11 @@ review_per_order AS (
  select order_id, round(avg(cast(review_score as double)), 1) avg_review_score from stg_reviews group by order_id),
 moments AS (
  select order_id, PURCHASED bought, DELIVERED arrived, ESTIMATED promised from stg_orders),
+order_calendar AS (
+ select cast(strftime(d, '%Y%m%d') as int) date_key, cast(d as date) full_date, first_purchase, any_canceled
+ from (select unnest(generate_series(min(bought)::date, max(bought)::date, interval '1' day)) d from moments)
+ left join (select bought::date dd, min(bought) first_purchase, max(order_status in ('canceled', 'unavailable')) any_canceled
+  from moments join stg_orders using (order_id) where bought is not null group by bought::date) on d::date = dd),
 order_facts AS (
  select m.order_id, customer_sk, order_status, bought, arrived, promised,
   case when order_delivered_customer_date is null then 0 else 1 end is_delivered,
@@ -285,9 +299,9 @@ ORDER_GRAIN = """(select order_id, sum(days_to_deliver) ds, count(days_to_delive
 DESCRIBED = ("orders", "order_items", "customers", "products")
 
 
-def _profile(name: str) -> str:
+def _profile(name: str, source: str | None = None) -> str:
     parts = []
-    for c in ALL_COLUMNS[name]:
+    for c in (ALL_COLUMNS | OTHER_COLUMNS)[name]:
         kind, n = c.kind, c.name
         low, high, mean, length, negative, invalid = (
             "null::varchar",
@@ -314,7 +328,7 @@ def _profile(name: str) -> str:
             f" count(distinct {n}) distinct_cnt,"
             f" sum(case when {n} is null then 1 else 0 end)::bigint null_cnt,"
             f" {low} min_val, {high} max_val, {mean} avg_val, {length} avg_length,"
-            f" {negative} negative_cnt, {invalid} invalid_date from {_table(name)}"
+            f" {negative} negative_cnt, {invalid} invalid_date from {source or _table(name)}"
         )
     return " union all ".join(parts)
 
@@ -462,9 +476,11 @@ def _top_lines(dim: str, key: str, label: str) -> str:
 
 def expected_sql() -> dict[str, str]:
     bodies = {
-        "dim_date": "select cast(strftime(d, '%Y%m%d') as int) date_key, cast(d as date) full_date"
-        " from (select unnest(generate_series(min(bought)::date, max(bought)::date, interval '1' day)) d from moments)",
-        "profile_dim_date": _profile("dim_date"),
+        "dim_date": "select date_key, full_date from order_calendar",
+        "profile_dim_date": _profile("dim_date", "order_calendar"),
+        "order_calendar": "select date_key, full_date, strftime(first_purchase, '%Y-%m-%d %H:%M:%S') first_purchase,"
+        " any_canceled::int any_canceled from order_calendar",
+        "profile_order_calendar": _profile("order_calendar"),
         "dim_customer": "select * from dim_customer",
         "dim_seller": "select * from dim_seller",
         "dim_product": "select * from dim_product",

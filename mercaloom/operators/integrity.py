@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
@@ -127,16 +127,19 @@ def not_null_report(tables: Tables, declared: dict[str, Table]) -> DataFrame:
     return _union([not_null_violations(tables[n], t) for n, t in declared.items()])
 
 
-def length_violations(df: DataFrame, table: Table) -> DataFrame:
-    """Rows outside the declared text length or number of digits, in one pass."""
-    limited = table.limited
-    too_large = {
+def _too_large(table: Table) -> dict[str, Column]:
+    return {
         c.name: F.length(X.column(c.name)) > c.max_length
         if c.max_length
         else F.abs(X.column(c.name)) >= F.lit(10**c.digits)
-        for c in limited
+        for c in table.limited
     }
-    row = df.agg(*[F.count_if(bad).alias(name) for name, bad in too_large.items()])
+
+
+def length_violations(df: DataFrame, table: Table) -> DataFrame:
+    """Rows outside the declared text length or number of digits, in one pass."""
+    limited = table.limited
+    row = df.agg(*[F.count_if(bad).alias(name) for name, bad in _too_large(table).items()])
     found = F.array(
         *[
             F.struct(
@@ -152,3 +155,35 @@ def length_violations(df: DataFrame, table: Table) -> DataFrame:
 
 def length_report(tables: Tables, declared: dict[str, Table]) -> DataFrame:
     return _union([length_violations(tables[n], t) for n, t in declared.items() if t.limited])
+
+
+def write_counts(table: Table, which: Column | None = None) -> list[Column]:
+    """What the reports on rows, needed values and sizes count, as aggregates to observe while the rows (those of `which`) are
+    written."""
+    kept = F.lit(True) if which is None else which
+    counts = {"rows": kept}
+    counts |= {f"null {c}": kept & X.column(c).isNull() for c in table.required}
+    counts |= {f"large {c}": kept & bad for c, bad in _too_large(table).items()}
+    return [F.count_if(condition).alias(name) for name, condition in counts.items()]
+
+
+# Counts of one table as they were observed, by the names that `write_counts` gives them.
+Counts = dict[str, int]
+
+
+def counted_reports(
+    spark: SparkSession, counts: dict[str, Counts], declared: dict[str, Table]
+) -> dict[str, DataFrame]:
+    """The load, needed-value and length reports from counts made while the tables were written; reads no table."""
+    nulls = [(n, c, counts[n][f"null {c}"]) for n, t in declared.items() for c in t.required]
+    sizes = [
+        (n, c.name, c.max_length or c.digits, counts[n][f"large {c.name}"]) for n, t in declared.items() for c in t.limited
+    ]
+    rows = [(n, counts[n]["rows"]) for n in declared]
+    return {
+        "load_report": spark.createDataFrame(rows, "table_name string, rows_loaded long"),
+        "not_null_violations": spark.createDataFrame(nulls, "table_name string, column_name string, null_rows long"),
+        "length_violations": spark.createDataFrame(
+            sizes, "table_name string, column_name string, declared_size int, too_large_rows long"
+        ),
+    }

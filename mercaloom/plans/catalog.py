@@ -9,7 +9,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import expressions as X
 from ..operators import explore as E
 from ..operators import integrity as I
 from ..operators.profile import profile, profile_all
@@ -22,7 +21,7 @@ from .dimensions import (
     build_dim_date,
     build_dim_product,
     build_dim_seller,
-    calendar_between,
+    order_calendar,
 )
 from .pipeline import CONSTRAINT_REPORTS, build_star
 
@@ -118,11 +117,19 @@ def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
             E.missing_totals(s["products"], "products")
         )
 
-    def calendar_of_orders(w: Workspace) -> DataFrame:
+    def calendar_of_orders(s: Mapping[str, DataFrame]) -> DataFrame:
         """The days from the first to the last purchase."""
-        bought = X.parse_timestamp(F.col("order_purchase_timestamp")).cast("date")
-        days = w.staging["orders"].agg(F.min(bought).alias("first"), F.max(bought).alias("last"))
-        return calendar_between(days, "first", "last")
+        return order_calendar(s["orders"]).select("date_key", "full_date")
+
+    def shown_calendar(s: Mapping[str, DataFrame]) -> DataFrame:
+        moment = F.date_format("first_purchase", "yyyy-MM-dd HH:mm:ss")
+        return order_calendar(s["orders"]).select(
+            "date_key", "full_date", moment.alias("first_purchase"), F.col("any_canceled").cast("int")
+        )
+
+    def profiled_calendar(s: Mapping[str, DataFrame]) -> DataFrame:
+        """A whole number, a day, a moment and a truth value."""
+        return _rounded(profile(order_calendar(s["orders"]), "order_calendar"), "avg_val")
 
     def default_calendar(w: Workspace) -> DataFrame:
         tables = {**w.star, "dim_date": build_dim_date(w.spark)}
@@ -139,8 +146,10 @@ def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
 
     return {
         # star schema
-        "dim_date": on_workspace(calendar_of_orders),
-        "profile_dim_date": starred(lambda t: _rounded(profile(t["dim_date"], "dim_date"), "avg_val")),
+        "dim_date": staged(calendar_of_orders),
+        "profile_dim_date": staged(lambda s: _rounded(profile(calendar_of_orders(s), "dim_date"), "avg_val")),
+        "order_calendar": staged(shown_calendar),
+        "profile_order_calendar": staged(profiled_calendar),
         "dim_customer": staged(lambda s: build_dim_customer(s["customers"])),
         "dim_seller": staged(lambda s: build_dim_seller(s["sellers"])),
         "dim_product": staged(

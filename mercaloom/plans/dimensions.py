@@ -32,6 +32,21 @@ def calendar_between(ends: DataFrame, first: str, last: str) -> DataFrame:
     return days.select(X.date_key(F.col("full_date")).alias("date_key"), "full_date")
 
 
+def order_calendar(orders: DataFrame) -> DataFrame:
+    """One row per day from the first to the last purchase: the moment of its first purchase and whether an order of the
+    day was canceled; both null on days without orders."""
+    bought = orders.select(
+        X.parse_timestamp(F.col("order_purchase_timestamp")).alias("bought"),
+        F.col("order_status").isin(*X.CANCELED_STATES).alias("canceled"),
+    ).where("bought is not null")
+    by_day = bought.groupBy(F.to_date("bought").alias("day")).agg(
+        F.min("bought").alias("first_purchase"), F.bool_or("canceled").alias("any_canceled")
+    )
+    ends = by_day.agg(F.min("day").alias("first"), F.max("day").alias("last")).where("first is not null")
+    # one row per day on both sides
+    return calendar_between(ends, "first", "last").join(by_day, F.col("full_date") == F.col("day"), "left").drop("day")
+
+
 def build_dim_customer(customers: DataFrame) -> DataFrame:
     """One row per customer_id, numbered by person and then customer_id."""
     rows = customers.select(

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.integrity import (
+    Counts,
     Tables,
+    counted_reports,
     foreign_key_report,
     length_report,
     not_null_report,
@@ -68,10 +70,10 @@ def build_warehouse(
     T.create_databases(spark)
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        return T.save_table(df, T.WAREHOUSE_DATABASE, name)
+        return T.save_table(df, T.WAREHOUSE_DATABASE, name, WAREHOUSE[name])
 
     def save_fact(lines: DataFrame, key: str) -> DataFrame:
-        return T.save_numbered(lines, T.WAREHOUSE_DATABASE, "fact_sales", key)
+        return T.save_numbered(lines, T.WAREHOUSE_DATABASE, "fact_sales", key, WAREHOUSE["fact_sales"])
 
     return build_star(staging, build_dim_date(spark, start, end), ordered, min_hot_rows, save, save_fact)
 
@@ -91,9 +93,22 @@ class ConstraintError(Exception):
     """The saved star schema breaks its declared constraints."""
 
 
-def constraint_reports(staging: Tables, star: Tables) -> dict[str, DataFrame]:
+def constraint_reports(
+    staging: Tables, star: Tables, counts: dict[str, Counts] | None = None
+) -> dict[str, DataFrame]:
+    """All constraints as reports. With the tables' `counts` those on rows, needed values and sizes read no table."""
     tables = {**staging, **star}
-    return {name: report(tables) for name, report in CONSTRAINT_REPORTS.items()}
+    counted = {}
+    if counts:
+        counted = counted_reports(next(iter(star.values())).sparkSession, counts, DECLARED)
+    return {name: report(tables) for name, report in CONSTRAINT_REPORTS.items() if name not in counted} | counted
+
+
+def written_counts(spark: SparkSession) -> dict[str, Counts] | None:
+    """What was counted while the saved tables were written, if that is known for all of them."""
+    places = [(T.STAGING_DATABASE, n) for n in STAGING] + [(T.WAREHOUSE_DATABASE, n) for n in WAREHOUSE]
+    found = {name: T.counts_of(spark, database, name) for database, name in places}
+    return found if all(found.values()) else None
 
 
 def save_reports(reports: Tables, prefix: str = "check_", database: str = T.WAREHOUSE_DATABASE) -> dict[str, DataFrame]:
@@ -111,11 +126,13 @@ def violations(reports: Tables) -> dict[str, int]:
     return {name: n for name, n in found.items() if n}
 
 
-def check_star(staging: Tables, star: Tables, on_violation: str = "stop") -> dict[str, DataFrame]:
+def check_star(
+    staging: Tables, star: Tables, on_violation: str = "stop", counts: dict[str, Counts] | None = None
+) -> dict[str, DataFrame]:
     """Save the constraint reports; stop if a primary key, a foreign key or a needed value is wrong, unless told to `report`."""
     if on_violation not in ("stop", "report"):
         raise ValueError(f"not an option: {on_violation}")
-    saved = save_reports(constraint_reports(staging, star))
+    saved = save_reports(constraint_reports(staging, star, counts))
     wrong = violations(saved)
     if wrong and on_violation == "stop":
         listed = ", ".join(f"{n} in {T.WAREHOUSE_DATABASE}.check_{name}" for name, n in wrong.items())
@@ -141,5 +158,5 @@ def run(
     """Load the CSV files of `folder`, build the star schema, check it and save the figures. May be run again."""
     staging = T.load_all(spark, folder, on_reject)
     star = build_warehouse(spark, staging, start, end, ordered)
-    checks = check_star(staging, star, on_violation)
+    checks = check_star(staging, star, on_violation, written_counts(spark))
     return {**star, **checks, **save_kpis(star, staging["orders"])}

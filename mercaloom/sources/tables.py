@@ -1,25 +1,32 @@
 """Databases and saved tables: full-refresh loads, listings and row counts.
 
 A table is the content of one folder, `<name>__<number>`, below its database's location. A new content is written to a
-new folder, then the table is pointed at it, then the old folder goes. So a write that fails leaves the old rows where
-they are, and a session whose catalog does not know the table yet can replace it all the same.
+new folder, then the table is pointed at it, the folder is marked, and older ones go. So a write that fails leaves the old
+rows where they are, and a session whose catalog does not know the table yet can replace it all the same. Only marked
+folders that the table no longer names are deleted: of two sessions that save a table at once, neither deletes what the
+other is writing or has just pointed the table at, and the later one wins. `drop_unfinished` clears what failed writers left.
+
+What the reports on rows, needed values and sizes count is observed while rows are written and kept as a property of the
+table, so these reports read no table again.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.integrity import Counts, write_counts
 from ..operators.keys import rows_before
 from ..operators.storage import ONE_FILE
 from .csv_files import FILE_PATTERNS, REJECT_COLUMNS, accepted, header_of, parse, prepare, rejected
 from .csv_records import put_together, read_pieces, split_starts
-from .schemas import STAGING
+from .schemas import STAGING, Table
 
 STAGING_DATABASE = "staging"
 WAREHOUSE_DATABASE = "warehouse"
@@ -71,31 +78,71 @@ def _point(spark: SparkSession, database: str, name: str, schema: StructType, fo
     return spark.table(table)
 
 
-def _drop_others(spark: SparkSession, folder: str) -> None:
-    """Delete the folders of earlier contents of the same table, also those of other sessions."""
+# An empty file in a folder that a table has been pointed at.
+MARK = "_pointed"
+COUNTS = "mercaloom.counts"
+
+
+def _contents(spark: SparkSession, folder: str) -> list:
+    """The folders of all contents of a table, finished or not, with whether they are marked."""
     path, files = _path(spark, folder)
-    stem = path.getName().rpartition("__")[0]
-    for status in files.listStatus(path.getParent()) or ():
-        name = status.getPath().getName()
-        if name.rpartition("__")[0] == stem and name != path.getName():
-            files.delete(status.getPath(), True)
+    stem, Path = path.getName().rpartition("__")[0], spark._jvm.org.apache.hadoop.fs.Path
+    found = [s for s in files.listStatus(path.getParent()) or () if s.getPath().getName().rpartition("__")[0] == stem]
+    return [(s, files.exists(Path(s.getPath(), MARK))) for s in found]
+
 
+def _drop_others(spark: SparkSession, database: str, name: str, folder: str) -> None:
+    """Mark the content that the table has been pointed at and delete earlier ones, also those of other sessions."""
+    path, files = _path(spark, folder)
+    files.create(spark._jvm.org.apache.hadoop.fs.Path(path, MARK)).close()
+    # Listed first, asked second: a folder that was marked by then and is not named now has been replaced.
+    marked = [status.getPath() for status, is_marked in _contents(spark, folder) if is_marked]
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.`{name}`").collect()
+    named = " ".join(row.data_type for row in described if row.col_name in ("Location", "View Text"))
+    for old in marked:
+        if old.getName() not in named:
+            files.delete(old, True)
+
+
+def drop_unfinished(spark: SparkSession, database: str, name: str, before_ms: int) -> int:
+    """Delete contents of a table that were never finished and not touched since `before_ms` (epoch); how many."""
+    folder = _new_folder(spark, database, name)
+    path, files = _path(spark, folder)
+    old = [s for s, is_marked in _contents(spark, folder) if not is_marked and s.getModificationTime() < before_ms]
+    for status in old:
+        files.delete(status.getPath(), True)
+    return len(old)
 
-def save_table(df: DataFrame, database: str, name: str) -> DataFrame:
-    """Create or replace a table with the rows of a query."""
+
+def _keep_counts(spark: SparkSession, database: str, name: str, counts: Counts, kind: str = "TABLE") -> None:
+    shown = json.dumps(counts).replace("'", "''")
+    spark.sql(f"ALTER {kind} {database}.`{name}` SET TBLPROPERTIES ('{COUNTS}' = '{shown}')")
+
+
+def counts_of(spark: SparkSession, database: str, name: str) -> Counts | None:
+    """What was counted while the table was written, None for a table saved without."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {database}.`{name}`").where(F.col("key") == COUNTS).first()
+    return json.loads(found.value) if found else None
+
+
+def save_table(df: DataFrame, database: str, name: str, declared: Table | None = None) -> DataFrame:
+    """Create or replace a table with the rows of a query; with `declared`, count what it declares on the way."""
     spark = df.sparkSession
     folder = _new_folder(spark, database, name)
+    seen = Observation()
     try:
-        df.write.parquet(folder)
+        (df.observe(seen, *write_counts(declared)) if declared else df).write.parquet(folder)
     except Exception:
         _delete(spark, folder)
         raise
     saved = _point(spark, database, name, df.schema, folder)
-    _drop_others(spark, folder)
+    if declared:
+        _keep_counts(spark, database, name, seen.get)
+    _drop_others(spark, database, name, folder)
     return saved
 
 
-def save_numbered(df: DataFrame, database: str, name: str, key: str) -> DataFrame:
+def save_numbered(df: DataFrame, database: str, name: str, key: str, declared: Table | None = None) -> DataFrame:
     """Create or replace a table with the rows of a query, numbered 1..n in the order of its partitions as column `key`.
 
     The rows are written once. `name` is a view of the files written: a row's number is its place in its file plus the rows
@@ -103,8 +150,11 @@ def save_numbered(df: DataFrame, database: str, name: str, key: str) -> DataFram
     """
     spark = df.sparkSession
     folder, places = _new_folder(spark, database, name), _new_folder(spark, database, f"{name}_files")
+    seen = Observation()
+    checked = Table(name, tuple(c for c in declared.columns if c.name != key)) if declared else None
     try:
-        df.write.options(**ONE_FILE).parquet(folder)
+        counted = df.observe(seen, *write_counts(checked)) if checked else df
+        counted.write.options(**ONE_FILE).parquet(folder)
         stored = spark.read.schema(df.schema).parquet(folder)
         starts = list(enumerate(rows_before(stored)))
         spark.createDataFrame(starts, "part int, before long").coalesce(1).write.parquet(places)
@@ -122,8 +172,10 @@ def save_numbered(df: DataFrame, database: str, name: str, key: str) -> DataFram
         f" SELECT /*+ BROADCAST(f) */ f.before + r._metadata.row_index + 1 AS `{key}`, {columns}"
         f" FROM parquet.`{folder}` r JOIN parquet.`{places}` f ON {part} = f.part"
     )
+    if declared:  # the key is there for every row, by the way it is made
+        _keep_counts(spark, database, name, {f"null {key}": 0, f"large {key}": 0} | seen.get, "VIEW")
     for written in (folder, places):
-        _drop_others(spark, written)
+        _drop_others(spark, database, name, written)
     return spark.table(f"{database}.{name}")
 
 
@@ -135,18 +187,24 @@ def append_rows(df: DataFrame, database: str, name: str) -> None:
 
 def _write_parsed(
     spark: SparkSession, name: str, path: str, folder: str, pattern: str | None = None, **tokens
-) -> tuple[StructType, StructType]:
-    """Parse the files and write them once, good rows to `bad=false` and bad ones to `bad=true`; the schemas of both.
+) -> tuple[StructType, StructType, Counts]:
+    """Parse the files and write them once, good rows to `bad=false` and bad ones to `bad=true`; the schemas of both and what
+    the good ones count.
 
     Pieces of records that lie in several splits, a row per split at most, wait aside and are put together afterwards.
     """
     header = header_of(spark, path, pattern)
     starts = split_starts(spark, path, pattern, header)
 
+    counts: Counts = {}
+
     def write(records: DataFrame, kind) -> DataFrame:
-        prepared = prepare(parse(records, header), STAGING[name], **tokens)
+        prepared, seen = prepare(parse(records, header), STAGING[name], **tokens), Observation()
         rows = prepared.withColumn("bad", kind).withColumnsRenamed(REJECT_COLUMNS).drop("_whole")
+        rows = rows.observe(seen, *write_counts(STAGING[name], F.col("bad") == "false"))
         rows.write.mode("append").partitionBy("bad").parquet(folder)
+        for found, n in seen.get.items():
+            counts[found] = counts.get(found, 0) + n
         return prepared
 
     is_bad = (F.size("_reasons") > 0).cast("string")
@@ -159,7 +217,7 @@ def _write_parsed(
         pieces = waiting.withColumnsRenamed({"_place": "place", "record": "text"}).withColumn("whole", F.lit(False))
         write(put_together(pieces), is_bad)
         files.delete(parts, True)
-    return accepted(prepared).schema, rejected(prepared).schema
+    return accepted(prepared).schema, rejected(prepared).schema, counts
 
 
 def load_table(
@@ -179,7 +237,7 @@ def load_table(
         raise ValueError(f"not an option: {on_reject}")
     folder = _new_folder(spark, database, name)
     try:
-        good, bad = _write_parsed(spark, name, path, folder, **reading)
+        good, bad, counts = _write_parsed(spark, name, path, folder, **reading)
         spoilt, files = _path(spark, f"{folder}/bad=true")
         if on_reject == "fail" and files.exists(spoilt):
             found = spark.read.schema(bad).parquet(f"{folder}/bad=true")
@@ -193,7 +251,8 @@ def load_table(
     else:
         spark.sql(f"DROP TABLE IF EXISTS {database}.`{name}_rejected`")
     loaded = _point(spark, database, name, good, f"{folder}/bad=false")
-    _drop_others(spark, folder)
+    _keep_counts(spark, database, name, counts)
+    _drop_others(spark, database, name, folder)
     return loaded
 
 

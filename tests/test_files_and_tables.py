@@ -168,6 +168,58 @@ def test_run_again_in_another_process(csv_folder, tmp_path):
     assert len(folders) == 1
 
 
+def test_two_sessions_save_the_same_table(spark):
+    """The second session saves while the first still writes; no rows are lost and one whole content is left."""
+    T.create_databases(spark)
+    T.save_table(spark.range(5), "staging", "shared")
+    other = spark.newSession()
+    done = []
+
+    def meanwhile(n):
+        if not done:
+            done.append(True)
+            T.save_table(other.range(7), "staging", "shared")
+        return n
+
+    first = T._point
+
+    def point(spark, database, name, schema, folder):
+        meanwhile(0)  # the first session has written its rows and not pointed the table at them yet
+        return first(spark, database, name, schema, folder)
+
+    T._point = point
+    try:
+        T.save_table(spark.range(9), "staging", "shared")
+    finally:
+        T._point = first
+    assert spark.table("staging.shared").count() == 9
+    folder = T._new_folder(spark, "staging", "shared")
+    kept = T._contents(spark, folder)
+    assert len(kept) == 1 and kept[0][1]
+    # the other way round: pointed at by another session after this one, so not this one's to delete
+    path, files = T._path(spark, folder)
+    spark.range(3).write.parquet(folder)
+    assert T.drop_unfinished(spark, "staging", "shared", 0) == 0
+    T.save_table(spark.range(2), "staging", "shared")
+    assert files.exists(path) and spark.table("staging.shared").count() == 2
+    assert T.drop_unfinished(spark, "staging", "shared", 1 << 60) == 1 and not files.exists(path)
+    spark.sql("DROP TABLE staging.shared")
+
+
+def test_the_fact_is_written_once_and_numbered(spark):
+    T.create_databases(spark)
+    for rows in (0, 1000):
+        df = spark.range(0, rows, 1, 7).selectExpr("id", "'x' as v")
+        for _ in range(2):
+            saved = T.save_numbered(df, "staging", "numbered", "sk")
+        found = saved.agg(F.min("sk"), F.max("sk"), F.count_distinct("sk"), F.count_if(F.col("sk") == F.col("id") + 1)).first()
+        assert tuple(found) == ((1, rows, rows, rows) if rows else (None, None, 0, 0))
+        assert [len(T._contents(spark, T._new_folder(spark, "staging", n))) for n in ("numbered", "numbered_files")] == [1, 1]
+    T.save_table(df, "staging", "numbered")  # a table in place of the view, and back
+    assert T.save_numbered(df, "staging", "numbered", "sk").count() == 1000
+    spark.sql("DROP VIEW staging.numbered")
+
+
 def test_append_rows_matches_by_name(spark):
     T.create_databases(spark)
     first = spark.createDataFrame([(1, "a")], "k int, v string")
@@ -227,6 +279,13 @@ def test_pipeline(spark, saved, loaded, staging):
         numbers = [v for row in report.collect() for c, v in row.asDict().items()
                    if c.endswith(("rows", "keys"))]
         assert set(numbers) == {0}, name
+    counts = pipeline.written_counts(spark)
+    for name, report in pipeline.constraint_reports(loaded, star, counts).items():
+        if name in pipeline.CONSTRAINT_REPORTS:
+            assert rows_of(report) == rows_of(pipeline.CONSTRAINT_REPORTS[name]({**loaded, **star})), name
+        if name not in ("pk_violations", "fk_violations"):
+            assert "Scan parquet" not in report._jdf.queryExecution().toString()
+    assert rows_of(spark.table("warehouse.check_load_report")) == rows_of(T.load_report({**loaded, **star}))
     assert check_integrity(loaded)["customers_without_orders"].first()[0] == 15
     report = {r.table_name: r.rows_loaded for r in T.load_report(star).collect()}
     assert report["fact_sales"] == 5949 and report["dim_customer"] == 1500

@@ -19,6 +19,7 @@ TYPES = {
     "double": "DOUBLE",
     "tinyint": "TINYINT",
     "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
 }
 
 

@@ -420,3 +420,43 @@ def test_odd_column_names(spark):
     odd = spark.createDataFrame([(1, None), (None, "x")], "`a.b` int, `c d` string")
     assert {r.column_name: r.missing_count for r in explore.missing_values(odd).collect()} == {"a.b": 1, "c d": 1}
     assert [tuple(r) for r in explore.value_counts(odd, "a.b").collect()] == [(1, 1)]
+
+
+def test_profile_sorts_nothing_and_shuffles_values_once(spark):
+    """No sort on either side of a shuffle; texts' extremes take one row for the whole table."""
+    wide = spark.range(2000).selectExpr(
+        "id", "cast(id as decimal(10,2)) d", "cast(id as float) / 4 f", "'t' || id t", "'2018-01-0' || (id % 9 + 1) some_date",
+        "cast('2018-01-01' as timestamp_ntz) + make_dt_interval(cast(id as int)) m", "id % 2 = 0 b",
+    )
+    found = profile(wide, "wide")
+    rows = {r.column_name: r for r in found.collect()}
+    assert (rows["d"].min_val, rows["d"].max_val) == ("0.00", "1999.00")
+    assert (rows["f"].min_val, rows["f"].max_val, rows["f"].avg_val) == ("0.0", "499.75", 249.875)
+    assert (rows["id"].max_val, rows["some_date"].max_val) == ("1999", "2018-01-09")
+    assert (rows["m"].min_val, rows["m"].max_val) == ("2018-01-01 00:00:00", "2023-06-23 00:00:00")
+    assert (rows["b"].distinct_cnt, rows["b"].min_val, rows["t"].min_val) == (2, None, None)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Sort [" not in plan and "SortAggregate(key=[c" not in plan and "ReusedExchange" in plan
+
+
+@pytest.mark.parametrize("kind", ["few", "many", "large"])
+def test_first_payment_as_one_number(spark, kind, monkeypatch):
+    if kind == "many":
+        monkeypatch.setattr(fact, "MOST_KINDS", 1)
+    big = 3_000_000_000 if kind == "large" else -7
+    rows = [("a", 2, "voucher", 1, 1), ("a", 1, None, None, 2), ("a", 1, "boleto", 3, 4), ("b", 1, "é", 5, 8), ("b", 1, "z", 4, 1),
+            ("c", -3, "boleto", -2, 1), ("c", -3, "boleto", big, 1), ("d", 1, None, 9, None)]
+    payments = spark.createDataFrame(rows, "order_id string, payment_sequential long, payment_type string, payment_installments long, payment_value int")
+    found = fact.payment_per_order(payments.withColumn("payment_value", F.col("payment_value").cast("decimal(10,2)")))
+    least = -2 if kind == "large" else -7
+    got = {r.order_id: (r.payment_type, r.payment_installments, r.payment_value) for r in found.collect()}
+    assert got == {"a": (None, None, 7), "b": ("z", 4, 9), "c": ("boleto", least, 2), "d": (None, 9, None)}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert ("SortAggregate" in plan) == (kind != "few")
+
+
+def test_first_payment_without_a_sequence_number(spark):
+    schema = "order_id string, payment_sequential int, payment_type string, payment_installments int, payment_value decimal(10,2)"
+    rows = [("a", None, "boleto", 1, None), ("a", 1, "boleto", 2, None)]
+    assert fact.payment_per_order(spark.createDataFrame(rows, schema)).first().payment_installments == 1
+    assert fact.payment_per_order(spark.createDataFrame([], schema)).count() == 0
