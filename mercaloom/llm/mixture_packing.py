@@ -38,24 +38,30 @@ def merged_place(queue: int, k: np.ndarray, sizes: np.ndarray, weights: np.ndarr
     """How many tokens of all queues are served before token `k` of `queue`; equal times go by queue number."""
     own = weights[queue]
     place = np.zeros(len(k), np.int64)
+    odd, step = 2 * k + 1, 2 * own
+    fits = int(odd.max(initial=0)) * int(weights.max()) < 1 << 62
     for q, (size, weight) in enumerate(zip(sizes, weights)):
-        x = (2 * k + 1) * weight - own  # token j is before if 2 * own * j < x, or = x for an earlier queue
-        before = x // (2 * own) + 1 if q < queue else -(-x // (2 * own))
-        place += np.clip(before, 0, size)
+        # token j is before if step * j < odd * weight - own, or = for an earlier queue
+        if fits:
+            turns, rest = np.divmod(odd * weight, step)
+        else:  # whole steps first, as many as matter, so that no product leaves 64 bits
+            turns, rest = np.divmod(odd % step * weight, step)
+            turns += np.minimum(odd // step, size // weight + 2) * weight
+        place += np.clip(turns + 1 - (rest < own) if q < queue else turns + (rest > own), 0, size)
     return place
 
 
 def served(queue: int, places: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """How many tokens of `queue` are among the first `places` of the merged order."""
-    size, slack = int(sizes[queue]), len(sizes) + 1
+    size, slack = int(sizes[queue]), len(sizes) + 1 + np.ceil(places * 2.0**-44)  # floats err by less
     ends = np.unique(np.concatenate([[0.0], sizes / weights]))
     total = np.minimum(ends[:, None] * weights, sizes).sum(1)
 
     def near(x: np.ndarray) -> np.ndarray:
         return np.interp(x, total, ends) * weights[queue]
 
-    low = np.clip(np.floor(near(places - slack)).astype(np.int64) - 2, 0, size)
-    high = np.clip(np.ceil(near(places + slack)).astype(np.int64) + 2, 0, size)
+    low = np.clip(np.floor(near(places - slack)) - 2, 0, float(size)).astype(np.int64)
+    high = np.minimum(np.clip(np.ceil(near(places + slack)) + 2, 0, float(size)).astype(np.int64), size)
     while (open_ := low < high).any():  # the first token whose place is not below
         middle = (low + high) // 2
         below = merged_place(queue, middle, sizes, weights) < places

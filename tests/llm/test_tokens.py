@@ -116,3 +116,27 @@ def test_served_order_is_one_order():
         assert mixture_packing.merged_place(q, np.arange(sizes[q]), sizes, weights).tolist() == places
         upto = np.arange(sizes.sum() + 1)
         assert mixture_packing.served(q, upto, sizes, weights).tolist() == [order[:n].count(q) for n in upto]
+
+
+def test_places_beyond_64_bits_of_products():
+    """Twenty terabytes of tokens and more: the same places by whole numbers of any size."""
+    for sizes in ([2 * 10**13, 5, 10**12], [10**14, 10**14, 3], [3 * 10**17, 1]):
+        sizes = np.array(sizes)
+        for weights in (mixture_packing.target_weights(sizes), np.array([1, 1 << 20, 7])[: len(sizes)], np.array([1 << 20, 1, 3])[: len(sizes)]):
+            total = int(sizes.sum())
+            for q, size in enumerate(sizes.tolist()):
+                k = np.unique(np.clip(np.array([0, 1, size // 3, size // 2 + 1, size - 2, size - 1]), 0, size - 1))
+                want = []
+                for token in k.tolist():
+                    place, own = 0, int(weights[q])
+                    for other, (n, w) in enumerate(zip(sizes.tolist(), weights.tolist())):
+                        x = (2 * token + 1) * w - own
+                        place += min(max(x // (2 * own) + 1 if other < q else -(-x // (2 * own)), 0), n)
+                    want.append(place)
+                assert mixture_packing.merged_place(q, k, sizes, weights).tolist() == want
+                places = np.array([0, 1, total // 7, total // 2, total - 1, total])
+                got = mixture_packing.served(q, places, sizes, weights)
+                for place, n in zip(places.tolist(), got.tolist()):
+                    near = np.array([i for i in (n - 1, n) if 0 <= i < size])
+                    below = mixture_packing.merged_place(q, near, sizes, weights) < place
+                    assert dict(zip(near.tolist(), below.tolist())) == {i: i < n for i in near.tolist()}
