@@ -3,19 +3,19 @@
 The rows are dealt into blocks; in a block every dimension has its postings in the order of their values, cut into
 segments. For a query the impact of a segment is the most that it adds to a score above the dimension's least; segments
 are taken by descending impact, a threshold at a time, and add up in accumulators. A row's score is at most its
-accumulator plus, for each dimension not met yet, the threshold. The k-th best exact score of rows met so far is a
-bound from below; the search ends when few rows can still reach it, which is proven for all others, and those are
-scored exactly. If few never are, all postings have been taken and all that remain are scored.
+accumulator plus, for each dimension not met yet, the threshold, and a slack for what floating sums can err. The k-th
+best exact score of rows met so far is a bound from below; the search ends when few rows can still reach it, which is
+proven for all others, and those are scored exactly in whole numbers. If few never are, all postings have been taken and all
+that remain are scored. Vectors so large that a score could leave 64 bits are refused with an error.
 
 Queries meet all rows block by block; the best k of each block are merged by a window, which Spark limits before the
 shuffle. Vectors that are null, empty or hold null or non-finite parts take no part; vectors meet those of their own
-length; a row is not its own result, nor is another row of its id; rows that repeat are rows; an empty table gives none.
+length; a row is not its own result, but another row of its id can be; rows that repeat are rows, and queries, of their
+own; rows with a null id take no part; an empty table gives none; other columns are not read.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,14 +30,14 @@ BLOCK_ROWS = 16_384
 QUERY_ROWS = 1024
 SEGMENTS = 32
 STEPS = (0.7, 0.55, 0.45, 0.38, 0.32, 0.27, 0.23, 0.19, 0.16, 0.13, 0.1, 0.07, 0.04, 0.0)
-MET = float(1 << 40)  # added per posting to count them beside the sum, which stays exact below 2**40
+LARGEST = 1 << 63
 
 
 class Block:
-    """The impact-ordered index of one block of whole-number vectors."""
+    """The impact-ordered index of one block of whole-number vectors; `rows` tells rows of equal ids apart."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rows: np.ndarray | None = None):
+        self.ids, self.vectors, self.rows = ids, vectors, ids if rows is None else rows
         n, dims = vectors.shape
         self.order = np.argsort(vectors, axis=0, kind="stable").T.astype(np.int32)
         values = np.take_along_axis(vectors.T, self.order, 1)
@@ -46,16 +46,20 @@ class Block:
         self.cuts = np.unique(np.linspace(0, n, min(SEGMENTS, n) + 1).astype(np.int64))
         self.seg_low, self.seg_high = self.values[:, self.cuts[:-1]], self.values[:, self.cuts[1:] - 1]
 
-    def search(self, query_id: int, query: np.ndarray, top: int = TOP) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best rows, ties to the smaller id."""
+    def search(self, own: int, query: np.ndarray, top: int = TOP) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the best rows but the query's own, ties to the smaller id."""
         n = len(self.ids)
+        largest = np.maximum(np.abs(self.low), np.abs(self.high)) * np.abs(query.astype(np.float64))
+        if largest.sum() >= LARGEST * 0.99:
+            raise ValueError("a score can leave 64 bits")
+        slack = largest.sum() * 2.0**-40
         weight = query.astype(np.float64)
         up = weight >= 0
         least = np.where(up, weight * self.low, weight * self.high)  # of each dimension
         impact = np.where(up[:, None], weight[:, None] * self.seg_high, weight[:, None] * self.seg_low) - least[:, None]
         most = impact.max(1)
         taken = np.zeros(len(weight), np.int64)
-        sums, floor, rivals = np.zeros(n), -np.inf, np.arange(n)
+        sums, met, floor, rivals = np.zeros(n), np.zeros(n, np.int64), -np.inf, np.arange(n)
         for share in STEPS:
             limit = share * most.max(initial=0)
             reach = (impact >= limit).sum(1)  # a run of segments: at the upper end, or the lower for negative weights
@@ -64,24 +68,25 @@ class Block:
                 a, b = taken[d], reach[d]
                 run = slice(self.cuts[-1 - b], self.cuts[-1 - a]) if up[d] else slice(self.cuts[a], self.cuts[b])
                 rows.append(self.order[d, run])
-                adds.append(weight[d] * self.values[d, run] - least[d] + MET)
+                adds.append(weight[d] * self.values[d, run] - least[d])
             taken = np.maximum(taken, reach)
             if rows:
-                sums += np.bincount(np.concatenate(rows), np.concatenate(adds), n)
+                at = np.concatenate(rows)
+                sums += np.bincount(at, np.concatenate(adds), n)
+                met += np.bincount(at, minlength=n)
             if limit == 0:
                 break
-            met = np.floor(sums / MET)
             active = most >= limit
-            bound = sums - met * MET + limit * (active.sum() - met) + most[~active].sum()
+            bound = sums + limit * (active.sum() - met) + most[~active].sum() + slack
             best = np.argpartition(-bound, min(top, n - 1))[: top + 1]
             exact = self.vectors[best] @ query
-            exact = np.sort(exact[self.ids[best] != query_id])[::-1]
+            exact = np.sort(exact[self.rows[best] != own])[::-1]
             if len(exact) >= top:
-                floor = max(floor, float(exact[top - 1]))
+                floor = max(floor, float(exact[top - 1]) - slack)
             rivals = np.flatnonzero(bound + least.sum() >= floor)
             if len(rivals) <= max(4 * top, n // 50):
                 break
-        rivals = rivals[self.ids[rivals] != query_id]
+        rivals = rivals[self.rows[rivals] != own]
         scores = self.vectors[rivals] @ query
         order = np.lexsort((self.ids[rivals], -scores))[:top]
         return self.ids[rivals][order], scores[order]
@@ -95,28 +100,29 @@ def whole_numbers(rows: DataFrame, vector: str, scale: int = SCALE) -> DataFrame
 
 def top_k(rows: DataFrame, vector: str = "embedding", top: int = TOP, every: int = EVERY) -> DataFrame:
     """query_id, rank, vec_id, score of the best rows of each row whose id is divisible by `every`."""
-    points = common.store(whole_numbers(rows, vector).withColumn("dim", F.size("v")), "topk")
+    points = whole_numbers(rows.where("vec_id is not null"), vector).withColumn("dim", F.size("v"))
+    points = common.store(points.withColumn("row", F.monotonically_increasing_id()), "topk")
     queries = points.where(F.col("vec_id") % every == 0)
     blocks = -(-points.count() // BLOCK_ROWS) or 1
     chunks = -(-queries.count() // QUERY_ROWS) or 1
-    own = F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")
-    chunk = F.pmod(F.xxhash64("v", "vec_id"), F.lit(chunks)).cast("int")
+    own = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
+    chunk = F.pmod(F.xxhash64("v", "row"), F.lit(chunks)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = points.select("dim", own.alias("block"), all_of(chunks).alias("chunk"), "vec_id", "v")
-    right = queries.select("dim", all_of(blocks).alias("block"), chunk.alias("chunk"), "vec_id", "v")
+    left = points.select("dim", own.alias("block"), all_of(chunks).alias("chunk"), "vec_id", "row", "v")
+    right = queries.select("dim", all_of(blocks).alias("block"), chunk.alias("chunk"), "vec_id", "row", "v")
 
     def search(frame: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(frame) and len(asked):
-            block = Block(frame["vec_id"].to_numpy(), np.array(frame["v"].tolist(), np.int64))
-            for query_id, v in zip(asked["vec_id"], asked["v"]):
-                ids, scores = block.search(query_id, np.asarray(v, np.int64), top)
-                found.append(pd.DataFrame({"query_id": query_id, "query": zlib.crc32(np.asarray(v, np.int64).tobytes()), "vec_id": ids, "score": scores}))
+            block = Block(frame["vec_id"].to_numpy(), np.array(frame["v"].tolist(), np.int64), frame["row"].to_numpy())
+            for query_id, row, v in zip(asked["vec_id"], asked["row"], asked["v"]):
+                ids, scores = block.search(row, np.asarray(v, np.int64), top)
+                found.append(pd.DataFrame({"query_id": query_id, "query": row, "vec_id": ids, "score": scores}))
         return pd.concat(found) if found else pd.DataFrame({c: [] for c in ("query_id", "query", "vec_id", "score")}, dtype="int64")
 
     schema = "query_id long, query long, vec_id long, score long"
     met = left.groupBy("dim", "block", "chunk").cogroup(right.groupBy("dim", "block", "chunk")).applyInPandas(search, schema)
-    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -127,14 +133,14 @@ def op10_impact_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 OP10_SQL = f"""
 with points as (
-    select vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as v from embeddings
-    where embedding is not null and len(embedding) > 0
+    select vec_id, row_number() over () as place, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as v from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
         and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-    select q.vec_id as query_id, p.vec_id, list_dot_product(q.v::double[], p.v::double[])::bigint as score
-    from points q join points p on q.vec_id != p.vec_id and len(q.v) = len(p.v) where q.vec_id % {EVERY} = 0
+    select q.vec_id as query_id, q.place, p.vec_id, list_dot_product(q.v::double[], p.v::double[])::bigint as score
+    from points q join points p on q.place != p.place and len(q.v) = len(p.v) where q.vec_id % {EVERY} = 0
 ), ranked as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored
+    select *, row_number() over (partition by place order by score desc, vec_id)::integer as rank from scored
 )
 select query_id, rank, vec_id, score from ranked where rank <= {TOP}
 """
