@@ -1,4 +1,4 @@
-"""Command line: `python -m mercaloom load|profile|check|build|kpis|run`, also for spark-submit."""
+"""Command line: `python -m mercaloom load|profile|check|build|refresh|kpis|run`, also for spark-submit."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from .sources.schemas import STAGING, WAREHOUSE
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="mercaloom")
-    parser.add_argument("step", choices=("load", "profile", "check", "build", "kpis", "run"))
+    parser.add_argument("step", choices=("load", "profile", "check", "build", "refresh", "kpis", "run"))
     parser.add_argument("--data", help="folder of the CSV files")
     parser.add_argument("--tables", nargs="*", default=list(STAGING), help="tables to profile")
     parser.add_argument("--on-reject", choices=("fail", "quarantine"), default="fail")
@@ -29,6 +29,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument(
         "--on-violation", choices=("stop", "report"), default="stop", help="when a declared constraint is broken"
     )
+    parser.add_argument("--by-month", action="store_true", help="cut the fact by month of purchase")
+    parser.add_argument("--months", nargs="*", type=int, default=[], help="months (yyyyMM) to refresh")
     parser.add_argument("--ordered", action="store_true", help="number the fact by order and line")
     args = parser.parse_args(arguments)
     if args.step in ("load", "run") and not args.data:
@@ -53,7 +55,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         return
     if args.step == "run":
         days = args.start, args.end
-        _list(T.WAREHOUSE_DATABASE, pipeline.run(spark, args.data, args.on_reject, *days, args.ordered, args.on_violation))
+        _list(T.WAREHOUSE_DATABASE, pipeline.run(spark, args.data, args.on_reject, *days, args.ordered, args.on_violation, args.by_month))
         return
     staging = T.saved_tables(spark, T.STAGING_DATABASE, STAGING)
     if args.step == "profile":
@@ -61,8 +63,10 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
         for name, saved in pipeline.save_reports(rendered, "profile_", T.STAGING_DATABASE).items():
             print(f"{T.STAGING_DATABASE}.{name}")
             saved.show(saved.count(), truncate=False)  # one row per column
+    elif args.step == "refresh":
+        _list(T.WAREHOUSE_DATABASE, {"fact_sales": pipeline.refresh_months(spark, staging, args.months)})
     elif args.step == "build":
-        star = pipeline.build_warehouse(spark, staging, args.start, args.end, args.ordered)
+        star = pipeline.build_warehouse(spark, staging, args.start, args.end, args.ordered, by_month=args.by_month)
         _list(T.WAREHOUSE_DATABASE, {**star, **pipeline.check_star(staging, star, args.on_violation, pipeline.written_counts(spark))})
     else:
         star = T.saved_tables(spark, T.WAREHOUSE_DATABASE, WAREHOUSE)

@@ -568,5 +568,10 @@ def expected_sql() -> dict[str, str]:
         " round(sum(is_late)::double / nullif(sum(is_delivered), 0), 4) late_rate"
         " from fact_sales join dim_product using (product_sk) join dim_customer using (customer_sk)"
         " group by category_en, customer_state",
+        "revenue_by_month": "select purchase_date_key // 100 purchase_month, cast(sum(line_total) as decimal(28,2)) revenue,"
+        " count(*) sales_lines, count(distinct order_id) orders,"
+        " round(count(distinct order_id) filter (where is_late = 1)::double"
+        " / nullif(count(distinct order_id) filter (where is_delivered = 1), 0), 4) late_rate"
+        " from fact_sales group by purchase_date_key // 100",
     }
     return {name: f"WITH {STAGING_CTES}, {STAR_CTES} {sql}" for name, sql in bodies.items()}

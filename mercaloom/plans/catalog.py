@@ -228,4 +228,5 @@ def queries(workspaces: Workspaces | None = None) -> dict[str, Query]:
             lambda t: _rounded(kpis.order_values(t), "avg_line_value", "avg_order_value")
         ),
         "revenue_by_category_state": starred(kpis.revenue_by_category_state),
+        "revenue_by_month": starred(kpis.revenue_by_month),
     }

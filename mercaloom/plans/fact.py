@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,6 +144,26 @@ def sales_lines(
     )
 
 
+MONTH = "purchase_month"
+
+
+def with_month(lines: DataFrame) -> DataFrame:
+    """The fact's rows with the month of purchase as yyyyMM, null without a readable date."""
+    return lines.withColumn(MONTH, F.floor(F.col("purchase_date_key") / 100).cast("int"))
+
+
+def lines_of_months(
+    staging: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
+    months: Collection[int],
+    min_hot_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """The fact's rows of some months of purchase: the orders of other months go before any join."""
+    bought = X.date_key(X.parse_timestamp(F.col("order_purchase_timestamp")))
+    orders = staging["orders"].where(F.floor(bought / 100).cast("int").isin(*months))
+    return with_month(sales_lines({**staging, "orders": orders}, dims, min_hot_rows))
+
+
 def build_fact_sales(
     staging: Mapping[str, DataFrame],
     dims: Mapping[str, DataFrame],

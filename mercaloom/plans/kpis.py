@@ -15,6 +15,31 @@ MONEY_SUM = "decimal(28,2)"
 Star = Mapping[str, DataFrame]
 
 
+def of_months(star: Star, *months: int) -> Star:
+    """The star with the sales of some months of purchase (yyyyMM). A fact cut by month reads their files only."""
+    fact = star["fact_sales"]
+    month = F.col("purchase_month") if "purchase_month" in fact.columns else F.floor(F.col("purchase_date_key") / 100)
+    return {**star, "fact_sales": fact.where(month.isin(*months))}
+
+
+def revenue_by_month(star: Star) -> DataFrame:
+    """Revenue, lines, orders and late share for every month of purchase (yyyyMM)."""
+    fact = star["fact_sales"].withColumn("purchase_month", F.floor(F.col("purchase_date_key") / 100).cast("int"))
+    # an order has one date, so its lines meet in one group; the orders of a month are counted after that
+    per_order = fact.groupBy("purchase_month", "order_id").agg(
+        F.sum("line_total").alias("value"),
+        F.count(F.lit(1)).alias("lines"),
+        F.max("is_late").alias("late"),
+        F.max("is_delivered").alias("delivered"),
+    )
+    return per_order.groupBy("purchase_month").agg(
+        F.sum("value").cast(MONEY_SUM).alias("revenue"),
+        F.sum("lines").alias("sales_lines"),
+        F.count(F.lit(1)).alias("orders"),
+        F.round(ratio(F.sum("late"), F.sum("delivered")), 4).alias("late_rate"),
+    )
+
+
 def revenue_lines(star: Star) -> DataFrame:
     """Total revenue and number of sales lines."""
     return star["fact_sales"].agg(
@@ -131,4 +156,5 @@ def kpi_frames(star: Star, orders: DataFrame) -> dict[str, DataFrame]:
         "kpi_late_rate": late_rate(star),
         "kpi_values": order_values(star),
         "revenue_by_category_state": revenue_by_category_state(star),
+        "revenue_by_month": revenue_by_month(star),
     }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +18,10 @@ from ..operators.integrity import (
     not_null_report,
     primary_key_report,
 )
-from ..operators.keys import row_identity
+from ..operators.keys import row_identity, sorted_ranges
 from ..operators.skew import MIN_HOT_ROWS
 from ..sources import tables as T
+from ..sources.cut_tables import refresh_cut, save_cut
 from ..sources.schemas import FOREIGN_KEYS, STAGING, WAREHOUSE
 from . import kpis
 from .dimensions import (
@@ -31,7 +32,7 @@ from .dimensions import (
     build_dim_product,
     build_dim_seller,
 )
-from .fact import build_fact_sales
+from .fact import MONTH, build_fact_sales, lines_of_months, with_month
 
 DECLARED = {**STAGING, **WAREHOUSE}
 
@@ -65,19 +66,37 @@ def build_warehouse(
     end: datetime.date = CALENDAR_END,
     ordered: bool = False,
     min_hot_rows: int = MIN_HOT_ROWS,
+    by_month: bool = False,
 ) -> dict[str, DataFrame]:
-    """Build and save the star schema. May be run again."""
+    """Build and save the star schema. May be run again.
+
+    `by_month` cuts the fact by month of purchase, which costs a range shuffle; single months can then be refreshed.
+    """
     T.create_databases(spark)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         return T.save_table(df, T.WAREHOUSE_DATABASE, name, WAREHOUSE[name])
 
     def save_fact(lines: DataFrame, key: str) -> DataFrame:
+        if by_month:
+            cut = sorted_ranges(with_month(lines), MONTH, "order_id", "order_item_id")
+            return save_cut(cut, T.WAREHOUSE_DATABASE, "fact_sales", key, MONTH, WAREHOUSE["fact_sales"])
         return T.save_numbered(lines, T.WAREHOUSE_DATABASE, "fact_sales", key, WAREHOUSE["fact_sales"])
 
     return build_star(staging, build_dim_date(spark, start, end), ordered, min_hot_rows, save, save_fact)
 
 
+def refresh_months(spark: SparkSession, staging: Tables, months: Collection[int], min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Rebuild the sales of some months of purchase (yyyyMM) from the raw tables; all other rows of the saved fact stay.
+
+    An order whose date moved needs both its months. Customers, sellers and products are looked up in the saved
+    dimensions.
+    """
+    dims = T.saved_tables(spark, T.WAREHOUSE_DATABASE, [n for n in WAREHOUSE if n.startswith("dim_")])
+    lines = sorted_ranges(lines_of_months(staging, dims, months, min_hot_rows), MONTH, "order_id", "order_item_id")
+    return refresh_cut(lines, T.WAREHOUSE_DATABASE, "fact_sales", "sales_sk", MONTH, months)
+
+
 # Everything the tables declare, as checks on the raw tables and the star schema together.
 CONSTRAINT_REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "pk_violations": lambda tables: primary_key_report(tables, WAREHOUSE),
@@ -154,9 +173,10 @@ def run(
     end: datetime.date = CALENDAR_END,
     ordered: bool = False,
     on_violation: str = "stop",
+    by_month: bool = False,
 ) -> dict[str, DataFrame]:
     """Load the CSV files of `folder`, build the star schema, check it and save the figures. May be run again."""
     staging = T.load_all(spark, folder, on_reject)
-    star = build_warehouse(spark, staging, start, end, ordered)
+    star = build_warehouse(spark, staging, start, end, ordered, by_month=by_month)
     checks = check_star(staging, star, on_violation, written_counts(spark))
     return {**star, **checks, **save_kpis(star, staging["orders"])}
