@@ -29,6 +29,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument(
         "--on-violation", choices=("stop", "report"), default="stop", help="when a declared constraint is broken"
     )
+    parser.add_argument("--buckets", type=int, default=0, help="files by order_id for each table that has one")
     parser.add_argument("--by-month", action="store_true", help="cut the fact by month of purchase")
     parser.add_argument("--months", nargs="*", type=int, default=[], help="months (yyyyMM) to refresh")
     parser.add_argument("--ordered", action="store_true", help="number the fact by order and line")
@@ -51,11 +52,11 @@ def _list(database: str, tables: dict[str, DataFrame]) -> None:
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.step == "load":
-        _list(T.STAGING_DATABASE, T.load_all(spark, args.data, args.on_reject))
+        _list(T.STAGING_DATABASE, T.load_all(spark, args.data, args.on_reject, buckets=args.buckets))
         return
     if args.step == "run":
         days = args.start, args.end
-        _list(T.WAREHOUSE_DATABASE, pipeline.run(spark, args.data, args.on_reject, *days, args.ordered, args.on_violation, args.by_month))
+        _list(T.WAREHOUSE_DATABASE, pipeline.run(spark, args.data, args.on_reject, *days, args.ordered, args.on_violation, args.by_month, args.buckets))
         return
     staging = T.saved_tables(spark, T.STAGING_DATABASE, STAGING)
     if args.step == "profile":

@@ -174,9 +174,10 @@ def run(
     ordered: bool = False,
     on_violation: str = "stop",
     by_month: bool = False,
+    buckets: int = 0,
 ) -> dict[str, DataFrame]:
     """Load the CSV files of `folder`, build the star schema, check it and save the figures. May be run again."""
-    staging = T.load_all(spark, folder, on_reject)
+    staging = T.load_all(spark, folder, on_reject, buckets=buckets)
     star = build_warehouse(spark, staging, start, end, ordered, by_month=by_month)
     checks = check_star(staging, star, on_violation, written_counts(spark))
     return {**star, **checks, **save_kpis(star, staging["orders"])}

@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -60,7 +61,26 @@ def _delete(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
-def _point(spark: SparkSession, database: str, name: str, schema: StructType, folder: str) -> DataFrame:
+@dataclass(frozen=True)
+class Buckets:
+    """Rows dealt by the hash of `key` into `number` sorted files, which a join or a group by `key` reads without a shuffle."""
+
+    key: str
+    number: int
+
+
+# The tables that the fact joins by order.
+BUCKET_KEYS = dict.fromkeys(("orders", "order_items", "payments", "reviews"), "order_id")
+
+
+def _bucket_number(spark: SparkSession, table: str) -> int:
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+    return int(found.data_type) if found else 0
+
+
+def _point(
+    spark: SparkSession, database: str, name: str, schema: StructType, folder: str, buckets: Buckets | None = None
+) -> DataFrame:
     """Make `folder` the content of the table; the folder it had is left alone."""
     table = f"{database}.`{name}`"
     path, files = _path(spark, folder)
@@ -69,12 +89,18 @@ def _point(spark: SparkSession, database: str, name: str, schema: StructType, fo
     if spark.catalog.tableExists(f"{database}.{name}"):
         found = spark.catalog.getTable(f"{database}.{name}")
         same = [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in bare]
-        if found.tableType == "EXTERNAL" and same:
+        dealt = _bucket_number(spark, table) == (buckets.number if buckets else 0)
+        if found.tableType == "EXTERNAL" and same and dealt:
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
             spark.catalog.refreshTable(table)
             return spark.table(table)
         spark.sql(f"DROP {'VIEW' if found.tableType == 'VIEW' else 'TABLE'} {table}")
-    spark.catalog.createTable(f"{database}.{name}", path=folder, source="parquet", schema=bare)
+    if buckets:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in bare)
+        dealt = f"CLUSTERED BY (`{buckets.key}`) SORTED BY (`{buckets.key}`) INTO {buckets.number} BUCKETS"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {dealt} LOCATION '{folder}'")
+    else:
+        spark.catalog.createTable(f"{database}.{name}", path=folder, source="parquet", schema=bare)
     return spark.table(table)
 
 
@@ -186,7 +212,14 @@ def append_rows(df: DataFrame, database: str, name: str) -> None:
 
 
 def _write_parsed(
-    spark: SparkSession, name: str, path: str, folder: str, pattern: str | None = None, **tokens
+    spark: SparkSession,
+    name: str,
+    path: str,
+    folder: str,
+    pattern: str | None = None,
+    buckets: Buckets | None = None,
+    database: str = STAGING_DATABASE,
+    **tokens,
 ) -> tuple[StructType, StructType, Counts]:
     """Parse the files and write them once, good rows to `bad=false` and bad ones to `bad=true`; the schemas of both and what
     the good ones count.
@@ -197,12 +230,19 @@ def _write_parsed(
     starts = split_starts(spark, path, pattern, header)
 
     counts: Counts = {}
+    writing = f"{database}.`{name}__{uuid.uuid4().hex}`"  # only a table can be written in buckets
 
     def write(records: DataFrame, kind) -> DataFrame:
         prepared, seen = prepare(parse(records, header), STAGING[name], **tokens), Observation()
         rows = prepared.withColumn("bad", kind).withColumnsRenamed(REJECT_COLUMNS).drop("_whole")
+        rows = rows.repartition(buckets.number, buckets.key) if buckets else rows
         rows = rows.observe(seen, *write_counts(STAGING[name], F.col("bad") == "false"))
-        rows.write.mode("append").partitionBy("bad").parquet(folder)
+        writer = rows.write.mode("append").partitionBy("bad")
+        if buckets:
+            in_buckets = writer.format("parquet").bucketBy(buckets.number, buckets.key).sortBy(buckets.key)
+            in_buckets.option("path", folder).saveAsTable(writing)
+        else:
+            writer.parquet(folder)
         for found, n in seen.get.items():
             counts[found] = counts.get(found, 0) + n
         return prepared
@@ -217,6 +257,8 @@ def _write_parsed(
         pieces = waiting.withColumnsRenamed({"_place": "place", "record": "text"}).withColumn("whole", F.lit(False))
         write(put_together(pieces), is_bad)
         files.delete(parts, True)
+    if buckets:
+        spark.sql(f"DROP TABLE {writing}")  # its files stay
     return accepted(prepared).schema, rejected(prepared).schema, counts
 
 
@@ -226,10 +268,15 @@ def load_table(
     path: str,
     on_reject: str = "fail",
     database: str = STAGING_DATABASE,
+    buckets: int = 0,
     **reading,
 ) -> DataFrame:
     """Replace one raw table with the content of its CSV files.
 
+    With `buckets`, tables that hold an order's rows are dealt by order_id into so many sorted files by one shuffle, so that
+    the fact joins them without another. A bucket is read by one task: leave it at 0 where single orders hold a large share
+    of all rows, whose joins are spread instead.
+
     The files are parsed and written once, good and bad rows apart. Rows that do not fit stop the load (`fail`), and
     the old table stays; or they become the table `<name>_rejected` (`quarantine`), which else does not exist.
     """
@@ -237,7 +284,8 @@ def load_table(
         raise ValueError(f"not an option: {on_reject}")
     folder = _new_folder(spark, database, name)
     try:
-        good, bad, counts = _write_parsed(spark, name, path, folder, **reading)
+        dealt = Buckets(BUCKET_KEYS[name], buckets) if buckets and name in BUCKET_KEYS else None
+        good, bad, counts = _write_parsed(spark, name, path, folder, buckets=dealt, database=database, **reading)
         spoilt, files = _path(spark, f"{folder}/bad=true")
         if on_reject == "fail" and files.exists(spoilt):
             found = spark.read.schema(bad).parquet(f"{folder}/bad=true")
@@ -250,7 +298,7 @@ def load_table(
         _point(spark, database, f"{name}_rejected", bad, f"{folder}/bad=true")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {database}.`{name}_rejected`")
-    loaded = _point(spark, database, name, good, f"{folder}/bad=false")
+    loaded = _point(spark, database, name, good, f"{folder}/bad=false", dealt)
     _keep_counts(spark, database, name, counts)
     _drop_others(spark, database, name, folder)
     return loaded
@@ -261,12 +309,13 @@ def load_all(
     folder: str,
     on_reject: str = "fail",
     patterns: Mapping[str, str] = FILE_PATTERNS,
+    buckets: int = 0,
     **tokens,
 ) -> dict[str, DataFrame]:
     """Load every table of the file map, one committed job each."""
     create_databases(spark)
     return {
-        name: load_table(spark, name, folder, on_reject, pattern=pattern, **tokens)
+        name: load_table(spark, name, folder, on_reject, pattern=pattern, buckets=buckets, **tokens)
         for name, pattern in patterns.items()
     }
 

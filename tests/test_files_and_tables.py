@@ -298,6 +298,34 @@ def test_rebuild_in_order_has_the_same_rows(spark, saved, loaded):
     assert again.agg({"sales_sk": "max"}).first()[0] == 5949
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, csv_folder, saved, loaded):
+    from mercaloom.plans.fact import sales_lines
+    from mercaloom.sources.csv_files import FILE_PATTERNS
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS dealt")
+    tables = dict(loaded)
+    for name in T.BUCKET_KEYS:
+        for buckets in (3, 4, 4):  # another number makes a new table
+            tables[name] = T.load_table(spark, name, csv_folder, pattern=FILE_PATTERNS[name], database="dealt", buckets=buckets)
+        assert rows_of(tables[name]) == rows_of(loaded[name])
+        assert T.counts_of(spark, "dealt", name)["rows"] == loaded[name].count()
+        assert len(T._contents(spark, T._new_folder(spark, "dealt", name))) == 1
+    assert T.list_tables(spark, "dealt") == sorted(T.BUCKET_KEYS)
+    dims = {n: saved[n] for n in ("dim_customer", "dim_seller", "dim_product")}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        shuffled, dealt = (sales_lines(t, dims) for t in (loaded, tables))
+        assert rows_of(shuffled) == rows_of(dealt)
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (shuffled, dealt)]
+        assert ["Exchange hashpartitioning(order_id" in p for p in plans] == [True, False]
+        assert plans[1].count("SortMergeJoin") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    T.load_table(spark, "orders", csv_folder, pattern=FILE_PATTERNS["orders"], database="dealt")
+    assert T._bucket_number(spark, "dealt.orders") == 0 and spark.table("dealt.orders").count() == loaded["orders"].count()
+
+
 def test_command_line_runs_again(spark, csv_folder, saved, capsys, monkeypatch):
     from mercaloom import __main__ as command
 
