@@ -10,7 +10,10 @@ the common extension of two suffixes is found by binary search and one compariso
 Common extensions of neighbours are then compared byte by byte; should hashes have collided, the sort is done anew on
 the bytes. At each distance from the anchor the windows with equal bytes are those in one run of both orders.
 
-A gram met more than `HOT` times is split: each of its windows comes alone, under the hash of its bytes.
+A gram met more than `HOT` times is split: each of its windows comes alone, under the hash of its bytes. Spark counts such
+windows and takes the least and greatest bytes of each hash, combined before the shuffle, so that no group holds the copies:
+where both are equal all windows of the hash are, and stand elsewhere if there are two. Windows whose hashes collided are
+sorted like the others.
 
 The texts are UTF-8; null is empty; no match crosses texts; rows of equal text remove each other; texts shorter than
 the span stay; an empty table gives no rows; other columns are not read.
@@ -34,6 +37,7 @@ SPAN, GRAM = 200, 32
 REACH = SPAN - GRAM + 1  # grams in a window
 HOT = 20_000
 BUCKET_ROWS = 20_000
+WINDOW_HASH = 8  # bytes
 PIECE = 1 << 20
 SHIFT = 21  # a piece has fewer places than 2**SHIFT
 BASE = 0x9E3779B97F4A7C15
@@ -260,6 +264,9 @@ class Suffixes:
         return out
 
 
+CONTEXT = "kind int, gram long, _k long, _h int, start long, before int, bytes binary, bucket int"
+
+
 def contexts(texts: DataFrame, buckets: int) -> DataFrame:
     """The contexts of the anchors listed in `places`; a text that is met twice in a row also reports itself whole."""
     names = ["kind", "gram", *KEY, "start", "before", "bytes", "bucket"]
@@ -278,20 +285,54 @@ def contexts(texts: DataFrame, buckets: int) -> DataFrame:
                 for p in places:
                     at, gram = p["at"], p["gram"]
                     place, far, near = at >> 16, (at >> 8) & 255, at & 255
-                    if not p["hot"]:
-                        out.append((0, gram, k, h, place - far, far, data[place - far : place - near + SPAN], gram % buckets))
-                        continue
-                    for o in range(near, far + 1):
-                        window = data[place - o : place - o + SPAN]
-                        key = int.from_bytes(hashlib.blake2b(window, digest_size=8).digest(), "big", signed=True)
-                        out.append((0, key, k, h, place - o, 0, window, key % buckets))
+                    out.append((0, gram, k, h, place - far, far, data[place - far : place - near + SPAN], gram % buckets))
                 if len(out) > 20_000:
                     yield _batch(out, names)
                     out = []
             yield _batch(out, names)
 
-    schema = "kind int, gram long, _k long, _h int, start long, before int, bytes binary, bucket int"
-    return texts.mapInArrow(read, schema)
+    return texts.mapInArrow(read, CONTEXT)
+
+
+def hot_windows(texts: DataFrame) -> DataFrame:
+    """The windows of the anchors listed in `places`, each alone. Of equal texts in a row the first is enough: all go."""
+    names, size = ["kind", "gram", *KEY, "start", "before", "bytes", "bucket"], WINDOW_HASH
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in common.slices(batches, "text"):
+            out = []
+            for k, h, places, text in zip(*(batch.column(c).to_pylist() for c in (*KEY, "places", "text"))):
+                if (k, h) == last:
+                    continue
+                last, data = (k, h), text.encode()
+                for p in places:
+                    place, far, near = p["at"] >> 16, (p["at"] >> 8) & 255, p["at"] & 255
+                    for o in range(near, far + 1):
+                        window = data[place - o : place - o + SPAN]
+                        key = int.from_bytes(hashlib.blake2b(window, digest_size=size).digest(), "big", signed=True)
+                        out.append((0, key, k, h, place - o, 0, window, 0))
+                    if len(out) > 20_000:
+                        yield _batch(out, names)
+                        out = []
+            yield _batch(out, names)
+
+    return texts.mapInArrow(read, CONTEXT)
+
+
+def repeated_windows(windows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame | None]:
+    """The runs of hot windows that stand elsewhere, and the windows whose hashes collided, to be sorted, if there are any."""
+    met = windows.groupBy("gram").agg(F.count("*").alias("met"), F.min("bytes").alias("least"), F.max("bytes").alias("most"))
+    met = met.where("met > 1").select("gram", "met", (F.col("least") == F.col("most")).alias("same"))
+    met = common.store(met, "suffix-windows")
+    total = met.agg(F.sum("met")).first()[0] or 0
+    places = windows.select("gram", *KEY, F.col("start").alias("window"))
+    runs = common.join_counted(places, met, "gram", "met", total).where("same")
+    runs = runs.select(*KEY, F.col("window").alias("start"), (F.col("window") + SPAN).alias("end"))
+    if met.where("not same").isEmpty():
+        return runs, None
+    collided = windows.join(F.broadcast(met.where("not same").select("gram")), "gram", "left_semi")
+    return runs, collided.withColumn("bucket", F.pmod("gram", F.lit(buckets)).cast("int")).select(*windows.columns)
 
 
 _TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
@@ -343,9 +384,19 @@ def removed_runs(docs: DataFrame, with_text: bool = False) -> DataFrame:
     met = common.join_counted(rows, twice, "gram", "met", total).where(F.col("met").isNotNull())
     places = met.groupBy(*KEY).agg(F.collect_set(F.struct("at", "gram", (F.col("met") > HOT).alias("hot"))).alias("places"))
     places = common.store(places, "suffix-places")
-    buckets = max(1, total // BUCKET_ROWS)
-    listed = texts.join(places, KEY, "left").withColumn("places", F.coalesce("places", F.array())).select(*KEY, "places", "text")
-    runs = contexts(listed, buckets).groupBy("bucket").applyInPandas(covered_runs, "_k long, _h int, start long, end long")
+    cold = twice.where(F.col("met") <= HOT).agg(F.sum("met")).first()[0] or 0
+    buckets = max(1, cold // BUCKET_ROWS)
+    few = F.filter("places", lambda p: ~p["hot"])
+    listed = texts.join(places.select(*KEY, few.alias("places")), KEY, "left")
+    listed = listed.withColumn("places", F.coalesce("places", F.array())).select(*KEY, "places", "text")
+    found, hot_runs = contexts(listed, buckets), None
+    if total > cold:
+        many = places.select(*KEY, F.filter("places", lambda p: p["hot"]).alias("places")).where(F.size("places") > 0)
+        windows = hot_windows(texts.join(many, KEY).select(*KEY, "places", "text"))
+        hot_runs, collided = repeated_windows(windows, buckets)
+        found = found.unionByName(collided) if collided is not None else found
+    runs = found.groupBy("bucket").applyInPandas(covered_runs, "_k long, _h int, start long, end long")
+    runs = runs.unionByName(hot_runs) if hot_runs is not None else runs
     runs = runs.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("runs"))
     joined = texts.join(runs, KEY, "left").select("doc_id", "runs", "text")
 

@@ -56,13 +56,28 @@ def removed_by_spark(docs):
     return sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows)
 
 
-@pytest.mark.parametrize("hot", [20_000, 2])
-def test_suffix_dedup(documents, monkeypatch, hot):
+@pytest.mark.parametrize("hot, digest", [(20_000, 8), (2, 8), (2, 1)])  # a digest of one byte makes hashes collide
+def test_suffix_dedup(documents, monkeypatch, hot, digest):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "WINDOW_HASH", digest)
     texts = near_copies(1)
     assert removed_by_spark(documents(*texts)) == removed_by_brute_force(texts)
 
 
+def test_no_group_holds_the_copies_of_a_passage(spark, monkeypatch):
+    """One passage in many texts: Python gets no window of it, all copies go."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 500)
+    passage = "".join(chr(97 + i * i % 23) for i in range(397))
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.md5(F.col("id").cast("string")), F.lit(passage), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
+    seen = []
+    original = suffix_dedup.contexts
+    monkeypatch.setattr(suffix_dedup, "contexts", lambda *a: seen.append(original(*a)) or seen[-1])
+    rows = suffix_dedup.removed_runs(docs).collect()
+    assert {(r.n_removed, r.n_spans) for r in rows} == {(397, 1)} and len(rows) == 2000
+    largest = seen[0].groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
+    assert largest <= 1000
+
+
 def test_suffix_dedup_in_pieces(documents, monkeypatch):
     texts = [(i, t * 3) for i, t in near_copies(2, families=2)]
     assert removed_by_spark(documents(*texts)) == removed_by_brute_force(texts)
