@@ -10,9 +10,9 @@ the common extension of two suffixes is found by binary search and one compariso
 Common extensions of neighbours are then compared byte by byte; should hashes have collided, the sort is done anew on
 the bytes. At each distance from the anchor the windows with equal bytes are those in one run of both orders.
 
-A gram met more than `HOT` times is split: each of its windows comes alone, under the hash of its bytes. Spark counts such
-windows and takes the least and greatest bytes of each hash, combined before the shuffle, so that no group holds the copies:
-where both are equal all windows of the hash are, and stand elsewhere if there are two. Windows whose hashes collided are
+A gram met more than `HOT` times is split: each of its windows comes alone, under the hash of its bytes. Spark counts the
+hashes and takes the least and greatest bytes of those met twice, combined before the shuffle, so that no group holds the
+copies: where both are equal all windows of the hash are, and stand elsewhere if there are two. Windows whose hashes collided are
 sorted like the others.
 
 The texts are UTF-8; null is empty; no match crosses texts; rows of equal text remove each other; texts shorter than
@@ -294,7 +294,7 @@ def contexts(texts: DataFrame, buckets: int) -> DataFrame:
     return texts.mapInArrow(read, CONTEXT)
 
 
-def hot_windows(texts: DataFrame) -> DataFrame:
+def hot_windows(texts: DataFrame, with_bytes: bool) -> DataFrame:
     """The windows of the anchors listed in `places`, each alone. Of equal texts in a row the first is enough: all go."""
     names, size = ["kind", "gram", *KEY, "start", "before", "bytes", "bucket"], WINDOW_HASH
 
@@ -311,7 +311,7 @@ def hot_windows(texts: DataFrame) -> DataFrame:
                     for o in range(near, far + 1):
                         window = data[place - o : place - o + SPAN]
                         key = int.from_bytes(hashlib.blake2b(window, digest_size=size).digest(), "big", signed=True)
-                        out.append((0, key, k, h, place - o, 0, window, 0))
+                        out.append((0, key, k, h, place - o, 0, window if with_bytes else b"", 0))
                     if len(out) > 20_000:
                         yield _batch(out, names)
                         out = []
@@ -320,14 +320,23 @@ def hot_windows(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(read, CONTEXT)
 
 
-def repeated_windows(windows: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame | None]:
-    """The runs of hot windows that stand elsewhere, and the windows whose hashes collided, to be sorted, if there are any."""
-    met = windows.groupBy("gram").agg(F.count("*").alias("met"), F.min("bytes").alias("least"), F.max("bytes").alias("most"))
-    met = met.where("met > 1").select("gram", "met", (F.col("least") == F.col("most")).alias("same"))
-    met = common.store(met, "suffix-windows")
-    total = met.agg(F.sum("met")).first()[0] or 0
-    places = windows.select("gram", *KEY, F.col("start").alias("window"))
-    runs = common.join_counted(places, met, "gram", "met", total).where("same")
+def repeated_windows(texts: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame | None]:
+    """The runs of hot windows that stand elsewhere, and the windows whose hashes collided, to be sorted, if there are any.
+
+    Hashes are counted first; the bytes of those that are met twice travel after that.
+    """
+    hashes, windows = hot_windows(texts, False), hot_windows(texts, True)
+    met = hashes.groupBy("gram").agg(F.count("*").alias("met")).where("met > 1")
+    met = common.store(met, "suffix-hashes")
+    n, total = met.agg(F.count("*"), F.sum("met")).first()
+    if n <= common.BROADCAST_ROWS:
+        bytes_of = windows.join(F.broadcast(met), "gram")
+    else:
+        bytes_of = common.join_counted(windows, met, "gram", "met", total).where("met is not null")
+    met = bytes_of.groupBy("gram").agg(F.first("met").alias("met"), F.min("bytes").alias("least"), F.max("bytes").alias("most"))
+    met = common.store(met.select("gram", "met", (F.col("least") == F.col("most")).alias("same")), "suffix-windows")
+    places = hashes.select("gram", *KEY, F.col("start").alias("window"))
+    runs = common.join_counted(places, met, "gram", "met", total or 0).where("same")
     runs = runs.select(*KEY, F.col("window").alias("start"), (F.col("window") + SPAN).alias("end"))
     if met.where("not same").isEmpty():
         return runs, None
@@ -392,8 +401,7 @@ def removed_runs(docs: DataFrame, with_text: bool = False) -> DataFrame:
     found, hot_runs = contexts(listed, buckets), None
     if total > cold:
         many = places.select(*KEY, F.filter("places", lambda p: p["hot"]).alias("places")).where(F.size("places") > 0)
-        windows = hot_windows(texts.join(many, KEY).select(*KEY, "places", "text"))
-        hot_runs, collided = repeated_windows(windows, buckets)
+        hot_runs, collided = repeated_windows(texts.join(many, KEY).select(*KEY, "places", "text"), buckets)
         found = found.unionByName(collided) if collided is not None else found
     runs = found.groupBy("bucket").applyInPandas(covered_runs, "_k long, _h int, start long, end long")
     runs = runs.unionByName(hot_runs) if hot_runs is not None else runs
