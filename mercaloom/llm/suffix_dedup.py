@@ -38,6 +38,8 @@ REACH = SPAN - GRAM + 1  # grams in a window
 HOT = 20_000
 BUCKET_ROWS = 20_000
 WINDOW_HASH = 8  # bytes
+# Places of very frequent grams are broadcast if they were counted and are no more than this; beyond, texts are shuffled.
+BROADCAST_PLACES = 2_000_000
 PIECE = 1 << 20
 SHIFT = 21  # a piece has fewer places than 2**SHIFT
 BASE = 0x9E3779B97F4A7C15
@@ -294,7 +296,7 @@ def contexts(texts: DataFrame, buckets: int) -> DataFrame:
     return texts.mapInArrow(read, CONTEXT)
 
 
-def hot_windows(texts: DataFrame, with_bytes: bool) -> DataFrame:
+def hot_windows(texts: DataFrame) -> DataFrame:
     """The windows of the anchors listed in `places`, each alone. Of equal texts in a row the first is enough: all go."""
     names, size = ["kind", "gram", *KEY, "start", "before", "bytes", "bucket"], WINDOW_HASH
 
@@ -311,7 +313,7 @@ def hot_windows(texts: DataFrame, with_bytes: bool) -> DataFrame:
                     for o in range(near, far + 1):
                         window = data[place - o : place - o + SPAN]
                         key = int.from_bytes(hashlib.blake2b(window, digest_size=size).digest(), "big", signed=True)
-                        out.append((0, key, k, h, place - o, 0, window if with_bytes else b"", 0))
+                        out.append((0, key, k, h, place - o, 0, window, 0))
                     if len(out) > 20_000:
                         yield _batch(out, names)
                         out = []
@@ -323,10 +325,10 @@ def hot_windows(texts: DataFrame, with_bytes: bool) -> DataFrame:
 def repeated_windows(texts: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame | None]:
     """The runs of hot windows that stand elsewhere, and the windows whose hashes collided, to be sorted, if there are any.
 
-    Hashes are counted first; the bytes of those that are met twice travel after that.
+    The windows are stored once. Hashes are counted first; the bytes of those that are met twice travel after that.
     """
-    hashes, windows = hot_windows(texts, False), hot_windows(texts, True)
-    met = hashes.groupBy("gram").agg(F.count("*").alias("met")).where("met > 1")
+    windows = common.store(hot_windows(texts), "suffix-hot")
+    met = windows.groupBy("gram").agg(F.count("*").alias("met")).where("met > 1")
     met = common.store(met, "suffix-hashes")
     n, total = met.agg(F.count("*"), F.sum("met")).first()
     if n <= common.BROADCAST_ROWS:
@@ -335,7 +337,7 @@ def repeated_windows(texts: DataFrame, buckets: int) -> tuple[DataFrame, DataFra
         bytes_of = common.join_counted(windows, met, "gram", "met", total).where("met is not null")
     met = bytes_of.groupBy("gram").agg(F.first("met").alias("met"), F.min("bytes").alias("least"), F.max("bytes").alias("most"))
     met = common.store(met.select("gram", "met", (F.col("least") == F.col("most")).alias("same")), "suffix-windows")
-    places = hashes.select("gram", *KEY, F.col("start").alias("window"))
+    places = windows.select("gram", *KEY, F.col("start").alias("window"))
     runs = common.join_counted(places, met, "gram", "met", total or 0).where("same")
     runs = runs.select(*KEY, F.col("window").alias("start"), (F.col("window") + SPAN).alias("end"))
     if met.where("not same").isEmpty():
@@ -401,6 +403,7 @@ def removed_runs(docs: DataFrame, with_text: bool = False) -> DataFrame:
     found, hot_runs = contexts(listed, buckets), None
     if total > cold:
         many = places.select(*KEY, F.filter("places", lambda p: p["hot"]).alias("places")).where(F.size("places") > 0)
+        many = F.broadcast(many) if (many.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_PLACES else many
         hot_runs, collided = repeated_windows(texts.join(many, KEY).select(*KEY, "places", "text"), buckets)
         found = found.unionByName(collided) if collided is not None else found
     runs = found.groupBy("bucket").applyInPandas(covered_runs, "_k long, _h int, start long, end long")
