@@ -47,6 +47,25 @@ def store(df: DataFrame, label: str, **options: str | int) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that are dropped together, once what was read from them is stored itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def store(self, df: DataFrame, label: str) -> DataFrame:
+        path = shared_path(self.spark, label)
+        self.paths.append(path)
+        df.write.options(compression="zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for name in self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths = []
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of a cut hold about `limit` bytes; a longer text stands alone."""
     for batch in batches:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 
-def components(edges: DataFrame, label: str = "component") -> DataFrame:
+def components(edges: DataFrame, label: str = "component", store: Callable[[DataFrame, str], DataFrame] = common.store) -> DataFrame:
     """(node, component) for all nodes of `edges` (a, b), which may repeat and point either way.
 
     Rounds of large-star and small-star: each node's larger, then smaller neighbours are tied to the smallest one.
@@ -16,7 +18,7 @@ def components(edges: DataFrame, label: str = "component") -> DataFrame:
     that Spark splits where a centre is hot. The rounds, logarithmic in the longest path, end when no edge changes.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
-    edges = common.store(edges, label)
+    edges = store(edges, label)
     before = None
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -25,7 +27,7 @@ def components(edges: DataFrame, label: str = "component") -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
-        edges = common.store(small.where("a != b").distinct(), label)
+        edges = store(small.where("a != b").distinct(), label)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

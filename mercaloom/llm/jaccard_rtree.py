@@ -2,21 +2,22 @@
 
 A document's set is its distinct shingles, three words wide unless a caller asks for another width. Equal sets are one class; everything below is about classes.
 
-Meeting. Sets of sizes a and b with a Jaccard likeness of 0.9 differ in at most t = (a + b) / 19 shingles. The
-shingles are dealt by hash into 1.1 t + 3 groups; a difference spoils one group, so at least three groups are identical,
-and the pair meets under the hash of one of them, with the group number, or, if all of them are empty, under a triple of
-empty groups. That last case needs as many differences as a set has filled groups, so a set with more filled groups than
-it can differ in from any partner of its bucket has no triples: only small sets have them. t is that of the largest size
-in a bucket of sizes, and a set near a bucket's upper end also takes part in the next one. So no link is lost, and who
-meets agrees in whole groups of about seven shingles.
-
-Bounding. Per class the shingles are counted in 32 other hash groups. Who meets is packed into an R-tree of these
-points; sum(min(a_g, b_g)) bounds the overlap, for a box with its upper corner, and must reach 0.9 / 1.9 of the sizes.
-
-Verifying in two rounds, so that a group of copies is never spelled out in pairs. First each point is tried with its
-neighbour in the tree's order and with the group's first; links make components. Then a search over the tree gives all
-pairs that survive the bound and lie in different components; boxes of the searcher's own component are skipped and
-groups of one component are not searched at all. Verification intersects the sets themselves.
+Meeting. All shingles stand in one order, those of rarely used hash cells first; the cells' counts come from every
+row. Sets with a Jaccard likeness of p share p of the larger set at least, so among the first n - ceil(p n) + 1 shingles
+of each, in this order, there is one that both hold, and the pair meets there: no link is lost. Shingles of very common
+passages come last, so documents that share no more than such a passage do not meet. The counts are 65,536 numbers
+whatever the input's size; they decide the order and nothing else.
+
+Bounding. Per class the shingles are counted in 128 hash groups, a byte each. Who meets is packed into an R-tree of
+these points; sum(min(a_g, b_g)) bounds the overlap, for a box with its upper corner, and must reach 0.9 / 1.9 of the
+sizes. A byte that is full says nothing, so what holds two of them is always verified.
+
+Verifying in two rounds, so that a group of copies is never spelled out in pairs. First each class is tried, in up to
+`LEADS` of its meetings, with the group's first, and in one of them with its neighbour in the tree's order; links make
+components. Then a search over the tree gives all pairs that survive the bound and lie in different components; boxes
+of the searcher's own component are skipped and groups of one component are not searched at all. Of a pair's meetings
+the one of the smallest key names it: each class brings its first `MARKS` keys, and a pair that shares a smaller one of
+them is left to that meeting. Verification intersects the sets themselves.
 
 Shingles are 64-bit hashes. Null and empty texts have no shingles and no links; fewer than three words are one
 shingle; equal texts are linked; rows of equal id are separate rows; a null id is last when the smallest id is sought;
@@ -26,7 +27,6 @@ an empty table gives no rows; other columns are not read. With another width, fe
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -40,11 +40,14 @@ from .hashing import U64, mix, shingle_sets, sums_by_run
 
 WIDTH = 3
 PERCENT = 90
-GROUPS = 32
+GROUPS = 128
+FULL = 255
+CELLS = 1 << 16
 NODE = 16
 PIECE = 20_000  # a larger group of meeting classes is cut into pieces, each pair of pieces being searched
 BUCKET_ROWS = 50_000
-LEADS = 6  # meetings in which a class is tried with its neighbours in the first round
+LEADS = 3  # meetings in which a class is tried with others in the first round
+MARKS = 16
 
 
 def enough(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -52,57 +55,24 @@ def enough(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PER
     return 100 * overlap >= percent * (a + b - overlap)
 
 
-def size_buckets(percent: int, largest: int) -> np.ndarray:
-    """The lower ends of the buckets of sizes, from the smallest size that can link with another."""
-    lows = [percent // (100 - percent)]
-    while lows[-1] <= largest:
-        lows.append(-(-lows[-1] * 3 // 2))
-    return np.array(lows, np.int64)
-
-
-def meeting_keys(hashes: np.ndarray, offsets: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """The keys under which sets meet, and the number of the set of each key."""
+def meeting_keys(
+    hashes: np.ndarray, offsets: np.ndarray, percent: int = PERCENT, ranks: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles under which sets meet, and the number of the set of each; `ranks` orders the cells."""
     sizes = np.diff(offsets)
-    lows = size_buckets(percent, int(sizes.max(initial=0)) * 100 // percent + 1)
-    own = np.searchsorted(lows, sizes, side="right") - 1
-    keys, owners = [], []
-    next_ = np.searchsorted(lows, sizes * 100 // percent, side="right") - 1
-    for bucket, part in ((own, own >= 0), (next_, (next_ > own) & (next_ >= 0))):
-        chosen = np.flatnonzero(part)
-        if not len(chosen):
-            continue
-        bucket, n = bucket[chosen], sizes[chosen]
-        differ = 2 * (lows[bucket + 1] - 1) * (100 - percent) // (100 + percent)
-        groups = differ + differ // 10 + 3
-        base = np.cumsum(groups) - groups
-        row = np.repeat(np.arange(len(chosen)), n)
-        at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + offsets[:-1][chosen][row]
-        own_hash = hashes[at]
-        group = ((mix(own_hash, 11) >> U64(32)) * groups[row].astype(U64)) >> U64(32)
-        slot = base[row] + group.astype(np.int64)
-        total = np.zeros(int(groups.sum()), U64)
-        np.add.at(total, slot, mix(own_hash, 12))
-        filled = np.bincount(slot, minlength=len(total)) > 0
-        set_ = np.repeat(np.arange(len(chosen)), groups)
-        number = np.arange(len(total)) - base[set_]
-        key = mix(total ^ mix((bucket[set_] * 1_000_003 + number).astype(U64), 13), 14)
-        keys.append(key[filled])
-        owners.append(chosen[set_[filled]])
-        # the most in which a set can differ from a partner of this bucket
-        partner = np.minimum(n * 100 // percent, lows[bucket + 1] - 1)
-        own_differ = (n + partner) * (100 - percent) // (100 + percent)
-        few = np.flatnonzero(np.bincount(set_[filled], minlength=len(chosen)) <= own_differ)
-        for i in few:
-            empty = number[(base[i]) : base[i] + groups[i]][~filled[base[i] : base[i] + groups[i]]]
-            triples = np.array(list(combinations(empty.tolist(), 3)), np.uint64).reshape(-1, 3)
-            k = mix(np.full(len(triples), bucket[i], U64), 15)
-            for column in triples.T:
-                k = mix(k ^ column, 16)
-            keys.append(k)
-            owners.append(np.full(len(k), chosen[i]))
-    if not keys:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owners)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    cell = hashes >> U64(48)
+    rank = cell if ranks is None else ranks.astype(U64)[cell.astype(np.int64)]
+    value = (owner.astype(U64) << U64(44)) | (rank << U64(28)) | (mix(hashes, 11) >> U64(36))  # a batch has fewer than 2**20 rows
+    order = np.argsort(value)
+    value = value[order]
+    # a smaller set has no partner but its equals
+    first = np.where(sizes >= percent // (100 - percent), sizes + (-sizes * percent) // 100 + 1, 0)
+    chosen = np.flatnonzero(first)
+    last = np.zeros(len(sizes), U64)
+    last[chosen] = value[offsets[:-1][chosen] + first[chosen] - 1]
+    taken = (first[owner] > 0) & (value <= last[owner])  # all that tie with the last one, so ties need no order
+    return hashes[order][taken], owner[taken]
 
 
 def set_classes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -112,10 +82,17 @@ def set_classes(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def count_vectors(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A byte per set and group; FULL stands for itself and for anything above."""
     n = len(offsets) - 1
     doc = np.repeat(np.arange(n), np.diff(offsets))
-    slot = doc * GROUPS + (mix(hashes, 31) >> U64(59)).astype(np.int64)
-    return np.bincount(slot, minlength=n * GROUPS).reshape(n, GROUPS).astype(np.int32)
+    slot = doc * GROUPS + (mix(hashes, 31) >> U64(57)).astype(np.int64)
+    return np.minimum(np.bincount(slot, minlength=n * GROUPS), FULL).reshape(n, GROUPS).astype(np.uint8)
+
+
+def bounds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The most that sets of these counts can share."""
+    least = np.minimum(a, b)
+    return np.where((least == FULL).any(1), 1 << 40, least.sum(1, dtype=np.int64))
 
 
 class Tree:
@@ -159,7 +136,7 @@ class Tree:
                 keep = np.zeros(len(query), bool)
                 for k in range(0, len(query), 1 << 15):
                     q, c = query[k : k + (1 << 15)], child[k : k + (1 << 15)]
-                    bound = np.minimum(counts[q], high[c]).sum(1)
+                    bound = bounds(counts[q], high[c])
                     keep[k : k + (1 << 15)] = enough(bound, size[q], low[c] if level > 1 else size[c], percent)
                 query, node = query[keep], child[keep]
             if len(query):
@@ -171,87 +148,126 @@ class Tree:
         return node
 
 
-def class_table(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles and the class of every row; stored."""
+def class_table(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, np.ndarray]:
+    """doc_id, n_shingles, class and counts of every row, stored; and the order of the cells, the least used first."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        used = np.zeros(CELLS, np.int64)
+        names = ["doc_id", "n_shingles", "class", "counts", "cells"]
         for batch in common.slices(batches, "text"):
             hashes, offsets = shingle_sets(common.texts_of(batch), width)
-            n, vectors = np.diff(offsets), count_vectors(hashes, offsets).astype("<i4")
+            used += np.bincount((hashes >> U64(48)).astype(np.int64), minlength=CELLS)
+            n, vectors = np.diff(offsets), count_vectors(hashes, offsets)
             classes = pa.array(set_classes(hashes, offsets).view(np.int64), mask=n == 0)
             columns = [batch.column("doc_id"), pa.array(n), classes, pa.array([v.tobytes() for v in vectors], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "class", "counts"])
-
-    return common.store(docs.mapInArrow(read, "doc_id long, n_shingles long, class long, counts binary"), "jaccard-sets")
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(n), pa.binary())], names)
+        none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array([used.astype("<i8").tobytes()], pa.binary())], names)
 
-
-def meetings(docs: DataFrame, percent: int, width: int = WIDTH) -> DataFrame:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cells in batch.column("cells"):
+                used = np.frombuffer(cells.as_buffer(), "<i8")
+                cell = np.flatnonzero(used)
+                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(used[cell])], ["cell", "n"])
+
+    schema = "doc_id long, n_shingles long, class long, counts binary, cells binary"
+    stored = common.store(docs.mapInArrow(read, schema), "jaccard-sets")
+    cells = stored.where("cells is not null").select("cells").mapInArrow(unpack, "cell int, n long")
+    used = np.zeros(CELLS, np.int64)
+    for cell, n in cells.groupBy("cell").agg(F.sum("n")).collect():  # at most CELLS rows
+        used[cell] = n
+    ranks = np.empty(CELLS, np.uint16)
+    ranks[np.argsort(used, kind="stable")] = np.arange(CELLS, dtype=np.uint16)
+    return stored.where("cells is null").drop("cells"), ranks
+
+
+def meetings(docs: DataFrame, ranks: np.ndarray, percent: int, width: int = WIDTH) -> DataFrame:
     """(key, class) of every set; computed anew where it is needed, as that is cheaper than storing it."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
             hashes, offsets = shingle_sets(common.texts_of(batch), width)
-            classes, (keys, owners) = set_classes(hashes, offsets), meeting_keys(hashes, offsets, percent)
+            classes, (keys, owners) = set_classes(hashes, offsets), meeting_keys(hashes, offsets, percent, ranks)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(classes[owners].view(np.int64))], ["key", "class"])
 
     return docs.select("text").mapInArrow(read, "key long, class long")
 
 
-def met_classes(docs: DataFrame, classes: DataFrame, percent: int, width: int = WIDTH) -> DataFrame:
-    """The classes that meet others, with size and counts: (key, n_met, class, n, counts, leads); stored."""
-    rows = meetings(docs, percent, width)
-    busy = common.store(rows.groupBy("key").agg(F.count("*").alias("n_met")).where("n_met > 1"), "jaccard-keys")
+def met_classes(docs: DataFrame, ranks: np.ndarray, percent: int, width: int, scratch: common.Scratch) -> DataFrame:
+    """(key, class, n_met) of the keys that several classes hold; stored."""
+    rows = meetings(docs, ranks, percent, width)
+    busy = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n_met"))
+    busy = scratch.store(busy.where("lo != hi").select("key", "n_met"), "jaccard-keys")
     total = busy.agg(F.sum("n_met")).first()[0] or 0
-    met = common.join_counted(rows, busy, "key", "n_met", total).where(F.col("n_met").isNotNull()).distinct()
-    met = common.store(met, "jaccard-met")
-    several = met.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n_met"))
-    several = several.where("lo != hi").select("key", "n_met")
-    met = common.join_counted(met.drop("n_met"), several, "key", "n_met", total).where(F.col("n_met").isNotNull())
-    points = classes.select("class", F.col("n_shingles").alias("n"), "counts")
-    first = F.row_number().over(Window.partitionBy("class").orderBy("key"))  # a class has as many keys as its size allows
-    return common.store(met.join(points, "class").withColumn("leads", first <= LEADS), "jaccard-points")
-
-
-def _searched(met: DataFrame, pairs: bool, percent: int) -> DataFrame:
-    """Candidate links (a, b): of neighbours in the tree's order, or of all survivors in different parts."""
+    met = common.join_counted(rows, busy, "key", "n_met", total).where(F.col("n_met").isNotNull())
+    return scratch.store(met.distinct(), "jaccard-met")
+
+
+def first_keys(met: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(key, class, n_met, place) of the MARKS smallest keys of each class; stored."""
+    place = F.row_number().over(Window.partitionBy("class").orderBy("key"))
+    return scratch.store(met.withColumn("place", place).where(F.col("place") <= MARKS), "jaccard-first")
+
+
+def _searched(met: DataFrame, classes: DataFrame, firsts: DataFrame | None, percent: int) -> DataFrame:
+    """Candidate links (a, b) among (key, class, n_met, part).
+
+    With `firsts`, all survivors in different parts; without, those of neighbours in the tree's order, where `place`
+    is 1, and of the groups' firsts.
+    """
+    pairs = firsts is not None
     buckets = max(1, met.count() // BUCKET_ROWS)
+    met = met.join(classes.select("class", F.col("n_shingles").alias("n"), "counts"), "class")
     pieces = F.ceil(F.col("n_met") / PIECE).cast("int")
     own = F.pmod("class", pieces).cast("int")
     if pairs:  # every pair of pieces of a large group meets once
+        marks = firsts.groupBy("class").agg(F.array_sort(F.collect_list("key")).alias("marks"))  # MARKS keys at most
+        met = met.join(marks, "class").withColumn("place", F.lit(0))
         piece = F.explode(F.transform(F.sequence(F.lit(0), pieces - 1), lambda j: F.struct(F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi"))))
     else:
+        met = met.withColumn("marks", F.lit(None).cast("array<long>"))
         piece = F.struct(own.alias("lo"), own.alias("hi"))
     placed = met.withColumn("piece", piece).withColumn("bucket", F.when(F.col("n_met") > PIECE, F.xxhash64("key", "piece")).otherwise(F.pmod(F.xxhash64("key"), F.lit(buckets))))
-    placed = placed.select("bucket", F.xxhash64("key", "piece").alias("key"), "class", "n", "counts", "part", "leads")
+    placed = placed.select("bucket", F.xxhash64("key", "piece").alias("group"), "key", "class", "n", "counts", "part", "place", "marks")
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
-        key, size = frame["key"].to_numpy(), frame["n"].to_numpy().astype(np.int64)
-        counts = np.frombuffer(b"".join(frame["counts"]), "<i4").reshape(-1, GROUPS)
-        order = np.lexsort((frame["class"].to_numpy(), *counts.T[:4], size, key))
-        key, size, counts = key[order], size[order], counts[order]
-        name, part, leads = (frame[c].to_numpy()[order] for c in ("class", "part", "leads"))
+        group, size = frame["group"].to_numpy(), frame["n"].to_numpy().astype(np.int64)
+        counts = np.frombuffer(b"".join(frame["counts"]), np.uint8).reshape(-1, GROUPS)
+        order = np.lexsort((frame["class"].to_numpy(), *counts.T[:4], size, group))
+        group, size, counts = group[order], size[order], counts[order]
+        name, part, place, key = (frame[c].to_numpy()[order] for c in ("class", "part", "place", "key"))
+        found = []
         if pairs:
-            found = list(Tree(key, size, counts, part).pairs(percent))
+            marks = np.full((len(frame), MARKS), np.iinfo(np.int64).max)
+            for row, own_marks in zip(marks, frame["marks"]):
+                row[: len(own_marks)] = own_marks
+            marks = marks[order]
+            for i, j in Tree(group, size, counts, part).pairs(percent):
+                for at in range(0, len(i), 1 << 13):
+                    x, y = i[at : at + (1 << 13)], j[at : at + (1 << 13)]
+                    mine = np.where(marks[x] < key[x][:, None], marks[x], np.iinfo(np.int64).min)
+                    elsewhere = (mine[:, :, None] == marks[y][:, None, :]).any((1, 2))
+                    found.append((x[~elsewhere], y[~elsewhere]))
         else:
-            i = np.arange(len(key))
-            first = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], i, 0))
-            found = []
-            for j in (np.maximum(i - 1, first), first):
-                keep = leads & (i != j) & enough(np.minimum(counts, counts[j]).sum(1), size, size[j], percent)
+            i = np.arange(len(group))
+            first = np.maximum.accumulate(np.where(np.r_[True, group[1:] != group[:-1]], i, 0))
+            for j, tried in ((first, i != first), (np.maximum(i - 1, first), (place == 1) & (i - 1 > first))):
+                keep = tried & (name != name[j]) & enough(bounds(counts, counts[j]), size, size[j], percent)
                 found.append((i[keep], j[keep]))
         a = np.concatenate([name[i] for i, _ in found] or [np.zeros(0, np.int64)])
         b = np.concatenate([name[j] for _, j in found] or [np.zeros(0, np.int64)])
         both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], 1), axis=0)
         return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
 
-    return placed.groupBy("bucket").applyInPandas(search, "a long, b long").distinct()
+    return placed.groupBy("bucket").applyInPandas(search, "a long, b long")
 
 
-def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, width: int = WIDTH) -> DataFrame:
+def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent: int, width: int, scratch: common.Scratch) -> DataFrame:
     """The candidate pairs whose sets overlap enough."""
-    candidates = common.store(candidates, "jaccard-candidates")
+    candidates = scratch.store(candidates.distinct(), "jaccard-candidates")
     wanted = candidates.select(F.col("a").alias("class")).unionAll(candidates.select(F.col("b").alias("class"))).distinct()
-    ids = common.store(classes.join(wanted, "class").select(F.col("first_id").alias("doc_id")).distinct(), "jaccard-ids")
+    ids = scratch.store(classes.join(wanted, "class").select(F.col("first_id").alias("doc_id")).distinct(), "jaccard-ids")
     small = ids.count() <= common.BROADCAST_ROWS
     texts = docs.join(F.broadcast(ids) if small else ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
 
@@ -275,34 +291,43 @@ def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in ("a", "b")], ["a", "b"])
 
-    return common.store(both.select("a", "b", "set_a", "set_b").mapInArrow(intersect, "a long, b long").distinct(), "jaccard-links")
+    return scratch.store(both.select("a", "b", "set_a", "set_b").mapInArrow(intersect, "a long, b long").distinct(), "jaccard-links")
+
+
+def _classes(rows: DataFrame, scratch: common.Scratch) -> DataFrame:
+    merged = rows.where("class is not null").groupBy("class").agg(
+        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("counts").alias("counts")
+    )
+    return scratch.store(merged, "jaccard-classes")
 
 
 def linked_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id that a chain of links reaches."""
     common.bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    rows = class_table(docs, width)
-    classes = rows.where("class is not null").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("counts").alias("counts")
-    )
-    classes = common.store(classes, "jaccard-classes")
-    met = met_classes(docs, classes, percent, width)
-
-    links = verified(_searched(met.withColumn("part", F.lit(0)), False, percent), docs, classes, percent, width)
-    parts = components(links, "jaccard-parts").select(F.col("node").alias("class"), "component")
-    met = met.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class")).drop("component")
-    torn = met.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n_met")).where("lo != hi")
-    met = common.store(met, "jaccard-parted")
-    open_ = common.join_counted(met.drop("n_met"), torn.select("key", "n_met"), "key", "n_met", max(1, met.count()))
-    open_ = common.store(open_.where(F.col("n_met").isNotNull()), "jaccard-open")
-    more = verified(_searched(open_, True, percent), docs, classes, percent, width)
-
-    parts = components(links.unionAll(more), "jaccard-parts").select(F.col("node").alias("class"), "component")
+    rows, ranks = class_table(docs, width)
+    scratch = common.Scratch(docs.sparkSession)
+    classes = _classes(rows, scratch)
+    met = met_classes(docs, ranks, percent, width, scratch)
+    firsts = first_keys(met, scratch)
+
+    leads = firsts.where(F.col("place") <= LEADS).withColumn("part", F.lit(0))
+    links = verified(_searched(leads, classes, None, percent), docs, classes, percent, width, scratch)
+    parts = components(links, "jaccard-parts", scratch.store).select(F.col("node").alias("class"), "component")
+    parted = met.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class")).drop("component")
+    parted = scratch.store(parted, "jaccard-parted")
+    torn = parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n_met")).where("lo != hi")
+    open_ = common.join_counted(parted.drop("n_met"), torn.select("key", "n_met"), "key", "n_met", max(1, parted.count()))
+    open_ = scratch.store(open_.where(F.col("n_met").isNotNull()), "jaccard-open")
+    more = verified(_searched(open_, classes, firsts, percent), docs, classes, percent, width, scratch)
+
+    parts = components(links.unionAll(more), "jaccard-parts", scratch.store).select(F.col("node").alias("class"), "component")
     named = classes.select("class", "first_id", "copies").join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
-    named = common.store(named, "jaccard-named")
+    named = scratch.store(named, "jaccard-named")
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
     named = common.join_counted(named, smallest, "component", "n", max(1, named.count())).select("class", "copies", "component_id")
+    named = common.store(named, "jaccard-ends")
+    scratch.drop()
     out = common.join_counted(rows.drop("counts"), named, "class", "copies", max(1, rows.count()))
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
@@ -314,11 +339,14 @@ def class_links(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
     """
     common.bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    rows = class_table(docs, width).where("class is not null")
-    classes = rows.groupBy("class").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("counts").alias("counts"))
-    classes = common.store(classes, "jaccard-classes")
-    met = met_classes(docs, classes, percent, width).withColumn("part", F.col("class"))
-    return verified(_searched(met, True, percent), docs, classes, percent, width), rows.select("doc_id", "class")
+    rows, ranks = class_table(docs, width)
+    scratch = common.Scratch(docs.sparkSession)
+    classes = _classes(rows, scratch)
+    met = met_classes(docs, ranks, percent, width, scratch)
+    found = _searched(met.withColumn("part", F.col("class")), classes, first_keys(met, scratch), percent)
+    links = common.store(verified(found, docs, classes, percent, width, scratch), "jaccard-class-links")
+    scratch.drop()
+    return links, rows.where("class is not null").select("doc_id", "class")
 
 
 def op6_jaccard_rtree(spark: SparkSession, folder: str) -> DataFrame:

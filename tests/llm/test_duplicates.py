@@ -290,15 +290,14 @@ def test_sets_that_can_link_always_meet():
 
 @pytest.mark.parametrize("percent, width", [(90, 3), (80, 5)])
 def test_long_texts_have_few_meeting_keys(percent, width):
-    """A set has about as many keys as groups, at every place in its bucket of sizes; sets at the limit still meet."""
+    """A set has a key for each shingle in which it can differ from a partner; sets at the limit still meet."""
     rng = np.random.default_rng(14)
-    lows = [int(x) for x in jaccard_rtree.size_buckets(percent, 100_000) if 5000 < x < 100_000][:2]
-    for n in [k for low in lows for k in (low, low * 5 // 4, low * 7 // 5, low * 3 // 2 - 2)]:
+    for n in (5003, 6000, 7500, 9999, 20_000):
         base = rng.integers(0, 1 << 63, n).astype(np.uint64)
         lost = n * (100 - percent) // 100
         one, other = np.sort(base), np.sort(base[lost:])
         keys, owner = jaccard_rtree.meeting_keys(np.r_[one, other], np.array([0, n, 2 * n - lost]), percent)
-        assert len(keys) < 2 * n and set(keys[owner == 0]) & set(keys[owner == 1])
+        assert len(keys) <= 2 * (lost + 2) and set(keys[owner == 0]) & set(keys[owner == 1])
     for n in range(percent // (100 - percent), 60):
         for _ in range(20):
             base = rng.integers(0, 1 << 63, n).astype(np.uint64)
@@ -310,6 +309,44 @@ def test_long_texts_have_few_meeting_keys(percent, width):
             assert set(keys[owner == 0]) & set(keys[owner == 1])
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_sets_meet_whatever_order_the_cells_have(seed):
+    """Any order of the cells serves, cells that tie included, as long as all sets use the same."""
+    rng = np.random.default_rng(seed)
+    ranks = rng.integers(0, (3, 100, 60_000, 1)[seed], jaccard_rtree.CELLS)
+    for n in rng.integers(9, 400, 60):
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        other = base[n // 10 :]
+        keys, owner = jaccard_rtree.meeting_keys(np.r_[base, other], np.array([0, n, n + len(other)]), 90, ranks)
+        assert set(keys[owner == 0]) & set(keys[owner == 1])
+
+
+def test_full_counts_bound_nothing():
+    """A byte that is full stands for any count, so such sets are never ruled out by it."""
+    one, other = np.full((1, jaccard_rtree.GROUPS), 2, np.uint8), np.full((1, jaccard_rtree.GROUPS), 3, np.uint8)
+    assert jaccard_rtree.bounds(one, other)[0] == 2 * jaccard_rtree.GROUPS
+    one[0, 5] = other[0, 5] = jaccard_rtree.FULL
+    assert jaccard_rtree.bounds(one, other)[0] > 1 << 32
+    rng = np.random.default_rng(3)
+    many = np.unique(rng.integers(0, 1 << 63, 60_000).astype(np.uint64))
+    counts = jaccard_rtree.count_vectors(np.r_[many, many[:100]], np.array([0, len(many), len(many) + 100]))
+    assert counts[0].max() == jaccard_rtree.FULL and counts[1].sum() == 100
+
+
+def test_each_candidate_is_named_once(spark, documents):
+    """Sets that share many keys come out of one meeting only."""
+    texts = near_copies(21, families=2, copies=8, words=200, rate=0.01)
+    docs = documents(*texts)
+    rows, ranks = jaccard_rtree.class_table(docs)
+    scratch = common.Scratch(spark)
+    classes = jaccard_rtree._classes(rows, scratch)
+    met = jaccard_rtree.met_classes(docs, ranks, 80, 3, scratch)
+    found = jaccard_rtree._searched(met.withColumn("part", F.col("class")), classes, jaccard_rtree.first_keys(met, scratch), 80)
+    before = found.collect()
+    assert len(before) == len(set(before)) > 20 and met.count() > 3 * len(texts)
+    scratch.drop()
+
+
 def test_links_of_classes(documents):
     texts = near_copies(15, families=3, rate=0.008)
     sets = {i: frozenset(shingles(t)) for i, t in texts}
