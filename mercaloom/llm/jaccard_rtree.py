@@ -12,12 +12,13 @@ Bounding. Per class the shingles are counted in 128 hash groups, a byte each. Wh
 these points; sum(min(a_g, b_g)) bounds the overlap, for a box with its upper corner, and must reach 0.9 / 1.9 of the
 sizes. A byte that is full says nothing, so what holds two of them is always verified.
 
-Verifying in two rounds, so that a group of copies is never spelled out in pairs. First each class is tried, in up to
-`LEADS` of its meetings, with the group's first, and in one of them with its neighbour in the tree's order; links make
-components. Then a search over the tree gives all pairs that survive the bound and lie in different components; boxes
-of the searcher's own component are skipped and groups of one component are not searched at all. Of a pair's meetings
-the one of the smallest key names it: each class brings its first `MARKS` keys, and a pair that shares a smaller one of
-them is left to that meeting. Verification intersects the sets themselves.
+Verifying in rounds, so that a group of copies is never spelled out in pairs. First each class is tried, in up to
+`LEADS` of its meetings, with the group's first, and in one of them with its neighbour in the tree's order. Then, in
+`ROUNDS` searches of the same meetings, with the one of other components whose bound is best. After each round links
+make components. The last search takes all meetings and gives all pairs that survive the bound and lie in different
+components; boxes of the searcher's own component are skipped and groups of one component are not searched at all. Of
+a pair's meetings the one of the smallest key names it: each class brings its first `MARKS` keys, and a pair that
+shares a smaller one of them is left to that meeting. Verification intersects the sets themselves.
 
 Shingles are 64-bit hashes. Null and empty texts have no shingles and no links; fewer than three words are one
 shingle; equal texts are linked; rows of equal id are separate rows; a null id is last when the smallest id is sought;
@@ -47,7 +48,8 @@ NODE = 16
 PIECE = 20_000  # a larger group of meeting classes is cut into pieces, each pair of pieces being searched
 BUCKET_ROWS = 50_000
 LEADS = 3  # meetings in which a class is tried with others in the first round
-MARKS = 16
+MARKS = 8
+ROUNDS = 2
 
 
 def enough(overlap: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -121,8 +123,8 @@ class Tree:
         """All pairs i > j of points of a group but different parts whose bound allows a link."""
         group, size, counts, part, _, _ = self.levels[0]
         roots = self.levels[-1][0]
-        for at in range(0, len(group), 4096):
-            query = np.arange(at, min(at + 4096, len(group)))
+        for at in range(0, len(group), 1024):
+            query = np.arange(at, min(at + 1024, len(group)))
             node = np.searchsorted(roots, group[query])
             for level in range(len(self.levels) - 1, 0, -1):
                 children = self.levels[level][5]
@@ -210,11 +212,27 @@ def first_keys(met: DataFrame, scratch: common.Scratch) -> DataFrame:
     return scratch.store(met.withColumn("place", place).where(F.col("place") <= MARKS), "jaccard-first")
 
 
-def _searched(met: DataFrame, classes: DataFrame, firsts: DataFrame | None, percent: int) -> DataFrame:
+def best_partners(pairs: Iterator[tuple[np.ndarray, np.ndarray]], size: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each point the one of its pairs whose bound is the largest part of the sizes, or -1."""
+    best, score = np.full(len(size), -1), np.zeros(len(size))
+    for i, j in pairs:
+        now = np.concatenate([bounds(counts[i[k : k + (1 << 15)]], counts[j[k : k + (1 << 15)]]) for k in range(0, len(i), 1 << 15)])
+        now = now / (size[i] + size[j])
+        order = np.argsort(now, kind="stable")
+        for x, y in ((i[order], j[order]), (j[order], i[order])):
+            last = np.full(len(size), -1)
+            last[x] = np.arange(len(x))  # the best comes last
+            point = np.flatnonzero(last >= 0)
+            point = point[now[order][last[point]] > score[point]]
+            best[point], score[point] = y[last[point]], now[order][last[point]]
+    return best
+
+
+def _searched(met: DataFrame, classes: DataFrame, firsts: DataFrame | None, percent: int, best: bool = False) -> DataFrame:
     """Candidate links (a, b) among (key, class, n_met, part).
 
-    With `firsts`, all survivors in different parts; without, those of neighbours in the tree's order, where `place`
-    is 1, and of the groups' firsts.
+    With `firsts`, all survivors in different parts; with `best`, of these the best of each class in each group; else
+    those of neighbours in the tree's order, where `place` is 1, and of the groups' firsts.
     """
     pairs = firsts is not None
     buckets = max(1, met.count() // BUCKET_ROWS)
@@ -249,6 +267,9 @@ def _searched(met: DataFrame, classes: DataFrame, firsts: DataFrame | None, perc
                     mine = np.where(marks[x] < key[x][:, None], marks[x], np.iinfo(np.int64).min)
                     elsewhere = (mine[:, :, None] == marks[y][:, None, :]).any((1, 2))
                     found.append((x[~elsewhere], y[~elsewhere]))
+        elif best:
+            partner = best_partners(Tree(group, size, counts, part).pairs(percent), size, counts)
+            found.append((np.flatnonzero(partner >= 0), partner[partner >= 0]))
         else:
             i = np.arange(len(group))
             first = np.maximum.accumulate(np.where(np.r_[True, group[1:] != group[:-1]], i, 0))
@@ -301,6 +322,16 @@ def _classes(rows: DataFrame, scratch: common.Scratch) -> DataFrame:
     return scratch.store(merged, "jaccard-classes")
 
 
+def _torn(met: DataFrame, links: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """The rows of groups that several components meet in, with their component as `part`; stored."""
+    parts = components(links, "jaccard-parts", scratch.store).select(F.col("node").alias("class"), "component")
+    parted = met.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class")).drop("component")
+    parted = scratch.store(parted.drop("n_met"), "jaccard-parted")
+    torn = parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n_met")).where("lo != hi")
+    open_ = common.join_counted(parted, torn.select("key", "n_met"), "key", "n_met", max(1, parted.count()))
+    return scratch.store(open_.where(F.col("n_met").isNotNull()), "jaccard-open")
+
+
 def linked_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id that a chain of links reaches."""
     common.bound_batches(docs.sparkSession)
@@ -311,15 +342,12 @@ def linked_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
     met = met_classes(docs, ranks, percent, width, scratch)
     firsts = first_keys(met, scratch)
 
-    leads = firsts.where(F.col("place") <= LEADS).withColumn("part", F.lit(0))
-    links = verified(_searched(leads, classes, None, percent), docs, classes, percent, width, scratch)
-    parts = components(links, "jaccard-parts", scratch.store).select(F.col("node").alias("class"), "component")
-    parted = met.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class")).drop("component")
-    parted = scratch.store(parted, "jaccard-parted")
-    torn = parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n_met")).where("lo != hi")
-    open_ = common.join_counted(parted.drop("n_met"), torn.select("key", "n_met"), "key", "n_met", max(1, parted.count()))
-    open_ = scratch.store(open_.where(F.col("n_met").isNotNull()), "jaccard-open")
-    more = verified(_searched(open_, classes, firsts, percent), docs, classes, percent, width, scratch)
+    leads = firsts.where(F.col("place") <= LEADS)
+    links = verified(_searched(leads.withColumn("part", F.lit(0)), classes, None, percent), docs, classes, percent, width, scratch)
+    for _ in range(ROUNDS):
+        more = _searched(_torn(leads, links, scratch), classes, None, percent, best=True)
+        links = links.unionAll(verified(more, docs, classes, percent, width, scratch))
+    more = verified(_searched(_torn(met, links, scratch), classes, firsts, percent), docs, classes, percent, width, scratch)
 
     parts = components(links.unionAll(more), "jaccard-parts", scratch.store).select(F.col("node").alias("class"), "component")
     named = classes.select("class", "first_id", "copies").join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))

@@ -381,6 +381,22 @@ def test_the_tree_finds_what_brute_force_finds():
     assert found == want and len(want) > 100
 
 
+def test_best_partners():
+    """Each point's best pair, over all parts in which the pairs come."""
+    rng = np.random.default_rng(5)
+    counts = rng.integers(0, 5, (40, jaccard_rtree.GROUPS)).astype(np.uint8)
+    size = counts.sum(1, dtype=np.int64)
+    i, j = np.array([(a, b) for a in range(39) for b in range(a) if (a + b) % 3]).T
+    parts = [(i[k::4], j[k::4]) for k in range(4)]
+    found = jaccard_rtree.best_partners(iter(parts), size, counts)
+    share = {}
+    for a, b in zip(i.tolist(), j.tolist()):
+        share[a, b] = share[b, a] = np.minimum(counts[a], counts[b]).sum(dtype=int) / (size[a] + size[b])
+    for a in range(39):
+        assert share[a, found[a]] == max(share[a, b] for b in range(39) if (a, b) in share)
+    assert found[39] == -1
+
+
 def test_jaccard_of_odd_texts(odd, documents):
     found = components_by_spark(odd.withColumn("class", F.lit(1)))
     assert len(found) == len(ODD_TEXTS)
