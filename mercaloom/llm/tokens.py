@@ -3,21 +3,27 @@
 A byte-level BPE file splits a text into pieces and merges within a piece only. So a text cut at single spaces has
 the ids of its parts, each with the space before it, unless white space meets at a cut; such texts, and those that
 hold a special token, are encoded whole. Words repeat, so a task remembers the ids of words and of pieces, up to
-`REMEMBERED` of each, and asks the library's model for new pieces only.
+`REMEMBERED` of each, and asks the library's model for new pieces only. The new words of a slice of texts are joined by
+single spaces and split into pieces at once; a piece that begins with a space begins a word.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
-from itertools import islice
+from itertools import chain, groupby, islice
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 REMEMBERED = 400_000
-_RARE = re.compile(r"[^\S \n\t]|\0")
+# white space beyond the three usual ones, and the mark of a first word; looked for one by one, which is a fast search
+_RARE_ASCII = [c for c in map(chr, range(128)) if c.isspace() and c not in " \n\t"] + ["\0"]
+_RARE_WIDE = [c for c in map(chr, range(128, 0x3001)) if c.isspace()]
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -37,7 +43,8 @@ def _cuts_alone(text: str) -> bool:
     """Whether no space of the text touches other white space or an end."""
     return not (
         text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text
-        or " \t" in text or "\t " in text or _RARE.search(text)
+        or " \t" in text or "\t " in text or any(c in text for c in _RARE_ASCII)
+        or not text.isascii() and any(c in text for c in _RARE_WIDE)
     )
 
 
@@ -62,6 +69,7 @@ class Encoder:
         self.model = self.whole.model
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = _byte_letters()
+        self.table = "".join(self.letters[b] for b in range(256))
         added = self.whole.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
         self.pieces: dict[str, tuple[int, ...]] = {}
@@ -85,47 +93,50 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         """Appends the ids of new words in the order of their places."""
-        pieces, split, flat, counts = self.pieces, self.split, [], []
-        for word in new:
-            before = len(flat)
-            for piece in split(word):
-                ids = pieces.get(piece)
-                if ids is None:
-                    written = piece.encode().decode("latin-1").translate(self.letters)
-                    ids = pieces[piece] = tuple([t.id for t in self.model.tokenize(written)])
-                flat += ids
-            counts.append(len(flat) - before)
-        self.ids = np.concatenate([self.ids, np.array(flat, np.uint32)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts, dtype=np.int64)])
+        pieces, found, begins = self.pieces, [], []
+        for first, words in groupby(new, lambda word: word[0] == "\0"):
+            for text in (w[1:] for w in words) if first else [" " + " ".join(words)]:
+                split = self.split(text)
+                begins += [True] + [False] * (len(split) - 1) if first else [p[0] == " " for p in split]
+                found += split
+        unknown = [p for p in dict.fromkeys(found) if p not in pieces]
+        if unknown:
+            written = codecs.charmap_decode("\0".join(unknown).encode(), "strict", self.table)[0].split(self.table[0])
+            for piece, letters in zip(unknown, written):
+                pieces[piece] = tuple([t.id for t in self.model.tokenize(letters)])
+        ids = list(map(pieces.__getitem__, found))
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        last = np.append(np.flatnonzero(begins)[1:], len(ids)) - 1  # the last piece of each word
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, ends[-1])])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends[last]])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.place) > REMEMBERED:
             self.forget()
         place, known = self.place, len(self.place)
-        parts: list = []
-        for text in texts:
+        whole, cut = {}, []
+        for i, text in enumerate(texts):
             if not text or self.special.search(text) or not _cuts_alone(text):
-                parts.append(self.whole.encode(text, add_special_tokens=False).ids if text else [])
-                continue
-            words = (" " + text).split(" ")
-            words[1] = words[1] and "\0" + words[1]  # the first word has no space before it
-            parts.append(np.fromiter(map(place.__getitem__, words[1:]), np.int64, len(words) - 1))
+                whole[i] = self.whole.encode(text, add_special_tokens=False).ids if text else []
+            else:
+                cut.append("\0" + text)  # the first word has no space before it
+        words = pc.split_pattern(pa.array(cut, pa.string()), " ")
+        distinct = words.values.dictionary_encode()
+        numbers = np.fromiter(map(place.__getitem__, distinct.dictionary.to_pylist()), np.int64, len(distinct.dictionary))
+        part = numbers[distinct.indices.to_numpy()]
         if len(place) > known:
-            self._learn([w[1:] if w[0] == "\0" else " " + w for w in islice(place, known, None)])
-        words = [part for part in parts if not isinstance(part, list)]
-        uses = np.bincount(np.concatenate(words), minlength=len(place)) if words else np.zeros(len(place), np.int64)
+            self._learn(list(islice(place, known, None)))
+        uses = np.bincount(part, minlength=len(place))
         uses[: len(self.uses)] += self.uses
         self.uses = uses
-        out = []
-        for part in parts:
-            if isinstance(part, list):
-                out.append(np.array(part, np.uint32))
-                continue
-            first, count = self.ends[part], self.ends[part + 1] - self.ends[part]
-            ends = np.cumsum(count)
-            out.append(self.ids[np.arange(ends[-1]) + np.repeat(first - ends + count, count)])
-        flat = np.concatenate(out) if out else np.zeros(0, np.uint32)
-        return flat, np.cumsum([len(x) for x in out], dtype=np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.ids)).take(pa.array(part))
+        flat = lists.flatten().to_numpy()
+        ends = lists.offsets.to_numpy()[words.offsets.to_numpy()].astype(np.int64)
+        if whole:
+            rest = iter(np.split(flat, ends[1:-1]))
+            out = [np.array(whole[i], np.uint32) if i in whole else next(rest) for i in range(len(texts))]
+            return np.concatenate(out), np.cumsum([len(x) for x in out], dtype=np.int64)
+        return flat, ends[1:]
 
 
 def encoder(path: str) -> Encoder:
