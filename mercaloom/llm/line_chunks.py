@@ -1,18 +1,20 @@
-"""Line dedup by content-defined chunks: the lines of a text are cut where a rolling hash of the last two lines says so.
-
-The hash sees lines only, not their places, so an inserted or lost line moves no boundary beyond its own. A chunk of
-two lines or more that stands anywhere in the table before goes; "before" is by document id, then text, then place.
-Chunks are matched by md5 in one narrow shuffle; the bytes of those that match are then compared, and a chunk whose
-bytes differ stays. DataFrame functions only.
-
-Null and empty texts are one empty line and stay empty; single-line chunks stay; rows equal in id and text are one
-document and keep what one of them keeps; a null id comes first; an empty table gives no rows. All columns are
-returned, with the kept lines in `text`; input columns named as the two counts are replaced.
-
-Cut chunks match only as a whole, so of a passage that lies across a boundary, or in a longer chunk, the lines stay.
-`dedup_passages` leaves nothing of that kind: its chunks are all pairs of neighbouring lines, which overlap, so the
-pairs of a repeated passage of two or more lines are found wherever it stands and cover it to both its ends. A pair goes
-if it stood before at a place that it does not overlap; the first place of a line keeps it; two blank lines are no pair.
+"""Line dedup by content-defined chunks: the lines of a text are cut where a rolling hash of two neighbouring lines says so.
+
+What is judged is the pair of neighbouring lines: a pair goes if it stood before ("before" is by document id, then
+text, then place) at a place that it does not overlap, and a line goes if it lies in a pair that goes. So a repeated
+passage of two or more lines goes whole, wherever it stands and whatever stands around it; its first place keeps it.
+
+A chunk is a run of pairs, two lines or more. Its ends are chosen by the hash of two lines only, so an inserted or lost
+line moves no boundary beyond its own; chunks share a line with the next, so every pair lies in one chunk. Equal chunks
+are one content, found by md5 in one narrow shuffle, and pairs are met once per content, not once per copy: a passage
+in a million documents sends its pairs once. What a content's pairs have met then returns to the chunk's copies, so
+matched chunks are extended, and unmatched ones searched, pair by pair. The bytes of the pairs that match are compared,
+and a pair whose bytes differ from others of its hash stays. A chunk ends after `MOST_PAIRS` at the latest, as a text
+may have no boundary; no pair is lost by that. DataFrame functions only.
+
+Null and empty texts are one empty line and stay empty; a single repeated line stays; two blank lines are no pair; rows
+equal in id and text are one document and keep what one of them keeps; a null id comes first; an empty table gives no
+rows. All columns are returned, with the kept lines in `text`; input columns named as the two counts are replaced.
 """
 
 from __future__ import annotations
@@ -23,59 +25,97 @@ from pyspark.sql import functions as F
 from . import common
 
 LINES_PER_CHUNK = 4
+MOST_PAIRS = 64
 FACTOR = 31
-PLACES_PER_ROW = 10
+PLACES_PER_ROW = 4
+NOT_BLANK = r"[^ \t\n\x0B\f\r]"
 KEY = ["_id", "_row"]
 
 
-def with_chunks(docs: DataFrame) -> DataFrame:
-    """Adds `_chunks`, the array of the chunks' lines as (lines, n, text); `text` must not be null."""
+def _with_lines(docs: DataFrame) -> DataFrame:
     # the explode of one element is a border: behind it the lines are a value, not an expression to repeat
-    lines = docs.select("*", F.explode(F.array(F.split("text", "\n", -1))).alias("_lines"))
-    number = lambda line: F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
-    hashed = lines.select("*", F.explode(F.array(F.transform("_lines", number))).alias("_hashes"))
-    last = F.size("_hashes") - 1
-    before = F.concat(F.array(F.lit(0).cast("long")), F.slice("_hashes", 1, last))
-    ends_here = F.zip_with("_hashes", before, lambda a, b: (a * FACTOR + b) % LINES_PER_CHUNK == 0)
-    ends = F.filter(F.transform(ends_here, lambda cut, i: F.when(cut, i)), lambda i: i.isNotNull())
-    ends = F.array_union(ends, F.array(last))
-    cut = hashed.select("*", F.explode(F.array(ends)).alias("_ends")).drop("_hashes")
-    starts = F.concat(F.array(F.lit(0)), F.transform(F.slice("_ends", 1, F.size("_ends") - 1), lambda e: e + 1))
+    return docs.select("*", F.explode(F.array(F.split("text", "\n", -1))).alias("_lines"))
 
-    def chunk(start: Column, end: Column) -> Column:
-        n = end - start + 1
-        return F.struct(n.alias("n"), F.array_join(F.slice("_lines", start + 1, n), "\n").alias("text"))
 
-    return cut.select("*", F.explode(F.array(F.zip_with(starts, "_ends", chunk))).alias("_chunks")).drop("_lines", "_ends")
+def _pair(a: Column, b: Column) -> Column:
+    return F.concat(a, F.lit("\n"), b)
 
 
-def _beside(docs: DataFrame, places: DataFrame, entries: int, how: str) -> DataFrame:
-    """Documents with their row of `places`, which is broadcast if it holds few enough entries in all."""
-    return docs.join(F.broadcast(places) if entries <= common.BROADCAST_ROWS else places, KEY, how)
+def chunks_of(texts: DataFrame) -> DataFrame:
+    """Per chunk its document's key, `at` (its first line), `sum` and `pairs`, the md5 of each pair (null: blank)."""
+    n_pairs = F.size("_lines") - 1
+    neighbours = lambda c, f: F.zip_with(F.slice(c, 1, n_pairs), F.slice(c, 2, n_pairs), f)
+    number = lambda line: F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
+    hashed = _with_lines(texts).where(n_pairs > 0)
+    hashed = hashed.select("*", F.explode(F.array(F.transform("_lines", number))).alias("_hashes"))
+    cuts = neighbours("_hashes", lambda a, b: (a * FACTOR + b) % LINES_PER_CHUNK == 0)
+    ends = F.filter(F.transform(cuts, lambda cut, i: F.when(cut, i)), lambda i: i.isNotNull())
+    ends = F.array_union(ends, F.array(n_pairs - 1))
+    sums = neighbours("_lines", lambda a, b: F.when(_pair(a, b).rlike(NOT_BLANK), F.unhex(F.md5(_pair(a, b)))))
+    cut = hashed.select("*", F.explode(F.array(F.struct(ends.alias("ends"), sums.alias("sums")))).alias("_cut"))
+    ends = F.col("_cut.ends")
+    starts = F.concat(F.array(F.lit(0)), F.transform(F.slice(ends, 1, F.size(ends) - 1), lambda e: e + 1))
+
+    def parts(start: Column, end: Column) -> Column:
+        place = lambda at: F.struct(at.alias("at"), F.least(at + F.lit(MOST_PAIRS - 1), end).alias("to"))
+        return F.transform(F.sequence(start, end, F.lit(MOST_PAIRS)), place)
+
+    def chunk(part: Column) -> Column:
+        n = part["to"] - part["at"] + 1
+        text = F.array_join(F.slice("_lines", part["at"] + 1, n + 1), "\n")
+        return F.struct(part["at"].alias("at"), F.unhex(F.md5(text)).alias("sum"), F.slice("_cut.sums", part["at"] + 1, n).alias("pairs"))
+
+    chunks = F.transform(F.flatten(F.zip_with(starts, ends, parts)), chunk)
+    return cut.select(*KEY, F.explode(chunks).alias("chunk")).select(*KEY, "chunk.*")
+
+
+def repeated_pairs(texts: DataFrame) -> DataFrame:
+    """Every place of a pair that stands at two or more: document key, `at`, the pair's `sum` and its `first` place."""
+    found = common.store(chunks_of(texts), "line-chunks")
+    contents = found.groupBy("sum").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY, "at", "pairs")).alias("one"))
+    inside = contents.select("sum", "copies", "one", F.posexplode("one.pairs").alias("step", "pair")).where(F.col("pair").isNotNull())
+    place = F.struct(*(F.col(f"one.{c}").alias(c) for c in KEY), (F.col("one.at") + F.col("step")).alias("at"))
+    inside = common.store(inside.select("sum", "copies", "step", "pair", place.alias("place")), "line-contents")
+    by_pair = inside.groupBy("pair").agg(
+        F.sum("copies").alias("places"), F.count("*").alias("met"), F.min("place").alias("first")
+    )
+    by_pair = by_pair.where("places > 1").select("pair", "met", "first")
+    known = common.join_counted(inside.select("sum", "copies", "step", "pair"), by_pair, "pair", "met", inside.count())
+    known = known.where(F.col("met").isNotNull()).groupBy("sum").agg(
+        F.max("copies").alias("copies"), F.collect_list(F.struct("step", "pair", "first")).alias("known")
+    )
+    known = common.store(known, "line-known")
+    # a row of `known` holds MOST_PAIRS pairs at most, so its hot rows are small
+    copies = common.join_counted(found.select(*KEY, "at", "sum"), known, "sum", "copies", found.count())
+    pairs = copies.where(F.col("copies").isNotNull()).select(*KEY, "at", F.explode("known").alias("pair"))
+    pairs = pairs.select(*KEY, (F.col("at") + F.col("pair.step")).alias("at"), F.col("pair.pair").alias("sum"), "pair.first")
+    return common.store(pairs, "line-repeats")
 
 
-def removed_chunks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Per document key the places of the chunks to remove, and a bound on their number."""
+def removed_pairs(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Per document key the first lines of the pairs to remove, and a bound on the entries to broadcast."""
     texts = docs.select(*KEY, "text")
-    chunks = with_chunks(texts).select(*KEY, F.posexplode("_chunks").alias("at", "chunk")).where("chunk.n > 1")
-    found = chunks.select(*KEY, "at", F.md5("chunk.text").alias("sum"))
-    found = common.store(found, "line-chunks")
-    first = found.groupBy("sum").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY, "at")).alias("first"))
-    repeated = common.store(
-        common.join_counted(found, first.where("copies > 1"), "sum", "copies", found.count()).where("copies > 1"),
-        "line-repeats",
+    repeated = repeated_pairs(texts)
+    places = repeated.groupBy(*KEY).agg(F.collect_set(F.struct("at", "sum")).alias("places"))
+    places = common.store(places, "line-places")
+    # a row of places is narrow: a key and some numbers and hashes, counted in fours
+    entries = max(places.count(), repeated.count() // PLACES_PER_ROW)
+    matched = _with_lines(_beside(texts, places, entries, "inner"))
+    bytes_ = F.transform(
+        "places", lambda p: F.struct(p["sum"].alias("sum"), _pair(F.get("_lines", p["at"]), F.get("_lines", p["at"] + 1)).alias("bytes"))
     )
-    # the bytes of the chunks that match, by way of their documents
-    entries = repeated.count()
-    places = repeated.groupBy(*KEY).agg(F.collect_set("at").alias("places"))
-    matched = with_chunks(_beside(texts, places, entries, "inner")).select("places", F.posexplode("_chunks").alias("at", "chunk"))
-    matched = matched.where(F.array_contains("places", F.col("at"))).select(F.col("chunk.text").alias("bytes"))
-    bytes_of = matched.groupBy(F.md5("bytes").alias("sum")).agg(F.min("bytes").alias("a"), F.max("bytes").alias("b"))
-    differ = bytes_of.where("a != b").select("sum")
-    later = repeated.where(F.struct(*KEY, "at") != F.col("first")).join(differ, "sum", "left_anti")
+    bytes_of = matched.select(F.explode(bytes_).alias("pair")).groupBy(F.col("pair.sum").alias("sum"))
+    differ = bytes_of.agg(F.min("pair.bytes").alias("a"), F.max("pair.bytes").alias("b")).where("a != b").select("sum")
+    overlaps = (F.struct(*KEY) == F.struct(*(F.col(f"first.{c}").alias(c) for c in KEY))) & (F.col("at") <= F.col("first.at") + 1)
+    later = repeated.where(~overlaps).join(differ, "sum", "left_anti")
     return later.groupBy(*KEY).agg(F.collect_set("at").alias("_removed")), entries
 
 
+def _beside(docs: DataFrame, places: DataFrame, entries: int, how: str) -> DataFrame:
+    """Documents with their row of `places`, which is broadcast if it holds few enough entries in all."""
+    return docs.join(F.broadcast(places) if entries <= common.BROADCAST_ROWS else places, KEY, how)
+
+
 def _keyed(docs: DataFrame, n_lines: str, n_removed: str) -> tuple[DataFrame, dict[str, str]]:
     """The documents with their key, and what their columns are called here."""
     names = [c for c in docs.columns if c not in (n_lines, n_removed)]
@@ -90,48 +130,7 @@ def _keyed(docs: DataFrame, n_lines: str, n_removed: str) -> tuple[DataFrame, di
 
 
 def dedup_lines(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
-    keyed, renamed = _keyed(docs, n_lines, n_removed)
-    joined = with_chunks(_beside(keyed, *removed_chunks(keyed), "left"))
-    kept = F.filter("_chunks", lambda c, i: F.col("_removed").isNull() | ~F.array_contains("_removed", i))
-    lines = lambda chunks: F.aggregate(chunks, F.lit(0).cast("long"), lambda n, c: n + c["n"])
-    counted = joined.select("*", F.explode(F.array(kept)).alias("_kept"))
-    text = F.array_join(F.transform("_kept", lambda c: c["text"]), "\n")
-    return counted.select(
-        *(text.alias(c) if c == "text" else F.col(new).alias(c) for c, new in renamed.items()),
-        lines(F.col("_chunks")).alias(n_lines),
-        (lines(F.col("_chunks")) - lines(F.col("_kept"))).alias(n_removed),
-    )
-
-
-def _with_lines(docs: DataFrame) -> DataFrame:
-    return docs.select("*", F.explode(F.array(F.split("text", "\n", -1))).alias("_lines"))
-
-
-def removed_pairs(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Per document key the first lines of the pairs to remove, and a bound on the entries to broadcast."""
-    texts = docs.select(*KEY, "text")
-    joined = lambda a, b: F.concat(a, F.lit("\n"), b)
-    n_pairs = F.size("_lines") - 1
-    pairs = F.zip_with(F.slice("_lines", 1, n_pairs), F.slice("_lines", 2, n_pairs), joined)
-    found = _with_lines(texts).select(*KEY, F.posexplode(pairs).alias("at", "pair")).where(F.col("pair").rlike("\\S"))
-    found = common.store(found.select(*KEY, "at", F.md5("pair").alias("sum")), "line-pairs")
-    first = found.groupBy("sum").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY, "at")).alias("first"))
-    repeated = common.join_counted(found, first.where("copies > 1"), "sum", "copies", found.count()).where("copies > 1")
-    repeated = common.store(repeated, "line-repeats")
-    places = common.store(repeated.groupBy(*KEY).agg(F.collect_set("at").alias("places")), "line-places")
-    # a row of places is narrow: a key and some whole numbers, counted in tens
-    entries = max(places.count(), repeated.count() // PLACES_PER_ROW)
-    matched = _with_lines(_beside(texts, places, entries, "inner"))
-    bytes_ = F.transform("places", lambda i: joined(F.get("_lines", i), F.get("_lines", i + 1)))
-    bytes_of = matched.select(F.explode(bytes_).alias("bytes")).groupBy(F.md5("bytes").alias("sum"))
-    differ = bytes_of.agg(F.min("bytes").alias("a"), F.max("bytes").alias("b")).where("a != b").select("sum")
-    overlaps = (F.struct(*KEY) == F.struct(*(F.col(f"first.{c}").alias(c) for c in KEY))) & (F.col("at") <= F.col("first.at") + 1)
-    later = repeated.where(~overlaps).join(differ, "sum", "left_anti")
-    return later.groupBy(*KEY).agg(F.collect_set("at").alias("_removed")), entries
-
-
-def dedup_passages(docs: DataFrame, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
-    """As `dedup_lines`, but every line goes that lies in a pair of lines which stood before."""
+    """The documents without the lines of pairs that stood before, and how many lines they had and lost."""
     keyed, renamed = _keyed(docs, n_lines, n_removed)
     joined = _with_lines(_beside(keyed, *removed_pairs(keyed), "left"))
     n = F.size("_lines")
@@ -156,20 +155,18 @@ with lines as (
     select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i
     from documents
-), hashed as (
-    select *, ('0x' || substr(md5(line), 1, 8))::bigint as h from lines
-), cut as (
-    select *, (h * {FACTOR} + lag(h, 1, 0) over (partition by doc_id order by i)) % {LINES_PER_CHUNK} = 0 as ends from hashed
-), numbered as (
-    select *, coalesce(sum(ends::int) over (
-        partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as chunk
-    from cut
-), chunks as (
-    select doc_id, chunk, count(*) as n, string_agg(line, chr(10) order by i) as chunk_text from numbered group by all
+), pairs as (
+    select *, line || chr(10) || lead(line) over (partition by doc_id order by i) as pair from lines
+), firsts as (
+    select pair, min((doc_id, i)) as place from pairs where regexp_matches(pair, '{NOT_BLANK}') group by pair
 ), judged as (
-    select *, n = 1 or row_number() over (partition by n > 1, chunk_text order by doc_id, chunk) = 1 as stays from chunks
+    select p.doc_id, p.i, p.line,
+        coalesce((p.doc_id, p.i) != f.place and not (p.doc_id = f.place[1] and p.i <= f.place[2] + 1), false) as goes
+    from pairs p left join firsts f using (pair)
+), kept as (
+    select *, not goes and not lag(goes, 1, false) over (partition by doc_id order by i) as stays from judged
 )
-select doc_id, sum(n)::bigint as n_lines, coalesce(sum(n) filter (not stays), 0)::bigint as n_removed,
-    sha256(coalesce(string_agg(chunk_text, chr(10) order by chunk) filter (stays), '')) as kept_sha256
-from judged group by doc_id
+select doc_id, count(*) as n_lines, count(*) filter (not stays) as n_removed,
+    sha256(coalesce(string_agg(line, chr(10) order by i) filter (stays), '')) as kept_sha256
+from kept group by doc_id
 """

@@ -131,27 +131,17 @@ def test_suffix_dedup_of_odd_texts(odd, documents):
 
 
 def deduped_by_brute_force(texts):
-    def chunks(text):
-        lines = (text or "").split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-        out, start = [], 0
-        for i in range(len(lines)):
-            before = h[i - 1] if i else 0
-            if (h[i] * line_chunks.FACTOR + before) % line_chunks.LINES_PER_CHUNK == 0 or i == len(lines) - 1:
-                out.append(lines[start : i + 1])
-                start = i + 1
-        return out
-
-    seen, out = set(), []
-    for doc_id, text in sorted(texts):
-        kept = []
-        for c in chunks(text):
-            key = "\n".join(c)
-            if len(c) == 1 or key not in seen:
-                kept.append(key)
-            if len(c) > 1:
-                seen.add(key)
-        out.append((str(doc_id), "\n".join(kept)))
+    first, split = {}, [(doc_id, (text or "").split("\n")) for doc_id, text in sorted(texts)]
+    out = []
+    for doc_id, lines in split:
+        gone = set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            if not "".join(pair).strip(" \t\x0b\f\r"):
+                continue
+            where, at = first.setdefault(pair, (doc_id, i))
+            if where != doc_id or i > at + 1:
+                gone |= {i, i + 1}
+        out.append((str(doc_id), "\n".join(x for i, x in enumerate(lines) if i not in gone)))
     return sorted(out)
 
 
@@ -169,8 +159,12 @@ def test_line_chunks(documents):
     assert found.agg(F.sum("n_removed")).first()[0] > 100
 
 
-def test_line_chunks_beyond_the_broadcast(documents, monkeypatch):
+@pytest.mark.parametrize("most, lines", [(64, 4), (2, 1), (3, 1 << 40)])
+def test_line_chunks_beyond_the_broadcast(documents, monkeypatch, most, lines):
+    """Neither the join nor where chunks are cut changes what goes."""
     monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(line_chunks, "MOST_PAIRS", most)
+    monkeypatch.setattr(line_chunks, "LINES_PER_CHUNK", lines)
     texts = [(i, "a\nb\nc\nd\ne\nf\ng\nh\n%d" % (i % 3)) for i in range(12)]
     found = line_chunks.dedup_lines(documents(*texts)).collect()
     assert sorted((str(r.doc_id), r.text) for r in found) == deduped_by_brute_force(texts)
@@ -181,7 +175,7 @@ def test_line_chunks_of_odd_texts(odd, documents):
     found = line_chunks.dedup_lines(clash)
     assert set(found.columns) == {*clash.columns, "n_removed"} and found.count() == len(ODD_TEXTS)
     rows = {(r.doc_id, r.text) for r in found.collect()}
-    assert (1, "") in rows and (7, ODD_TEXTS[6][1]) in rows
+    assert (1, "") in rows and (7, ODD_TEXTS[6][1]) in rows and (8, "") in rows
     assert line_chunks.dedup_lines(documents()).count() == 0
 
 
