@@ -407,10 +407,13 @@ def test_stages(spark, small):
     """Every stage returns its input's columns and keeps what it should."""
     docs = common.read_table(spark, small, "documents")
     extra = docs.withColumn("topic", F.lit("mine")).withColumn("score", F.lit(1))
+    clashing = ("_lang_pred", "_lang_score", "_n_lines", "_n_removed", "_mix_kept", "_stays", "_input_5", "odd name.")
+    extra = extra.withColumns({name: F.lit(name) for name in clashing})
     for name, stage in corpus_pipeline.STAGES[:-1]:
         kept = common.store(stage(spark, extra, small), "test-stage")
         assert kept.schema.names == extra.schema.names and 0 < kept.count() <= extra.count()
         assert kept.join(extra, "doc_id", "left_anti").count() == 0, name
+        assert [tuple(r) for r in kept.select(*(f"`{c}`" for c in clashing)).distinct().collect()] == [clashing], name
         if name == "language ID":
             assert kept.where(F.col("lang").isNotNull()).count() >= 0.99 * docs.count()
         if name == "n-gram Jaccard join":
