@@ -4,9 +4,11 @@ Filters two, three and four bytes wide read windows of 256 bytes, the largest an
 kept, and a softmax layer gives the languages' probabilities. Every byte of a text lies in one window; the last window
 is filled with a padding symbol. A document's probabilities are the means over its windows, weighted by their bytes.
 
-The training sample is bounded: per language the `ROWS_PER_LANGUAGE` labelled documents with the smallest hash of the
-id, the `LANGUAGES` most frequent languages, and `WINDOWS_PER_ROW` windows of each, evenly spread over the whole text.
-The model has a fixed size (some 0.2 MB), so it travels with the tasks.
+Every label of the training rows is learned. The training sample is bounded: per language the labelled documents with
+the smallest hash of the id, `ROWS_PER_LANGUAGE` of each or, with many languages, an equal part of `ROWS`, and
+`WINDOWS_PER_ROW` windows of each, evenly spread over the whole text. Training takes more steps the more languages there
+are. The model holds some 0.2 MB and 200 bytes a language, so it travels with the tasks. `Model.floor` says how low
+the best language's probability gets in labelled windows: all but a thousandth of them lie above.
 
 A null text, or one without a letter, is `und` with score 0; so is every text if no language can be learned. Rows with
 equal ids or texts are judged alike, an empty table gives no rows, and input columns with the names of the two results
@@ -34,9 +36,11 @@ FILTERS = 16
 PAD = 256
 SYMBOLS = 257
 ROWS_PER_LANGUAGE = 800
-LANGUAGES = 64
+ROWS = 51_200
 WINDOWS_PER_ROW = 3
 STEPS = 300
+LANGUAGES_A_STEP = 16  # beyond so many languages, steps grow with their number
+FLOOR_WINDOWS, FLOOR_SHARE = 4096, 0.001
 BATCH = 64
 LETTER = regex.compile(r"\p{L}")
 
@@ -50,6 +54,7 @@ class Model:
     dense: np.ndarray
     offset: np.ndarray
     languages: list[str]
+    floor: float = 0.0
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """What all filters answer to the pair of symbols at a place, and to the pair two places on."""
@@ -100,7 +105,8 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int
     values.append(np.zeros(len(languages), np.float32))
     moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
     by_label = [np.flatnonzero(labels == i) for i in range(len(languages))]
-    for step in range(1, STEPS + 1):
+    steps = STEPS * -(-len(languages) // LANGUAGES_A_STEP)
+    for step in range(1, steps + 1):
         y = rng.integers(0, len(languages), BATCH)
         x = windows[[by_label[i][rng.integers(len(by_label[i]))] for i in y]]
         x = np.pad(x.astype(np.int64), ((0, 0), (0, 3)), constant_values=PAD)
@@ -123,7 +129,7 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int
                 np.add.at(grads[w][k], (x[rows, places[w] + k], np.broadcast_to(filters, part.shape)), part)
             grads[w][:, PAD] = 0
         grads += [back.sum(0), h.T @ slope, slope.sum(0)]
-        rate = 0.01 * min(1.0, 2 * (1 - step / (STEPS + 1)))
+        rate = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
         for v, g, (m, s) in zip(values, grads, moments):
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
@@ -134,18 +140,16 @@ def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int
 def training_sample(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows, labels and languages of the bounded sample of `text` and `lang`."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    languages = sorted(r.lang for r in frequent.collect())
+    rows = max(1, min(rows, ROWS // max(1, labelled.select("lang").distinct().count())))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
     ids = (
-        labelled.where(F.col("lang").isin(languages))
-        .select("lang", "doc_id", F.xxhash64("doc_id").alias("place"))
+        labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("place"))
         .withColumn("n", place)
         .where(F.col("n") <= rows)
         .select("lang", "doc_id")
         .distinct()
     )
-    # at most LANGUAGES * ROWS_PER_LANGUAGE narrow rows; so are the windows that come back
+    # at most ROWS narrow rows (one of each language at least); so are the windows that come back
     chosen = labelled.join(F.broadcast(ids), ["lang", "doc_id"], "left_semi").select("lang", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +173,12 @@ def training_sample(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> tuple[np.
 
 def train(docs: DataFrame) -> Model | None:
     windows, labels, languages = training_sample(docs)
-    return fit(windows, labels, languages) if languages else None
+    if not languages:
+        return None
+    model = fit(windows, labels, languages)
+    some = windows[:: -(-len(windows) // FLOOR_WINDOWS)]
+    model.floor = float(np.quantile(model.probabilities(some, model.tables()).max(1), FLOOR_SHARE))
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None, prediction: str = "lang_pred", score: str = "score") -> DataFrame:

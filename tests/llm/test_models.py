@@ -403,6 +403,20 @@ def near_duplicate_groups(docs, width=5, percent=80):
     return len(set(group))
 
 
+def test_every_label_is_learned(documents):
+    """Eighty languages, of letters of their own, are all predicted."""
+    rng = random.Random(4)
+    letters = ["".join(map(chr, range(0x4E00 + 40 * i, 0x4E00 + 40 * i + 12))) for i in range(80)]
+    text = lambda i: " ".join("".join(rng.choices(letters[i], k=5)) for _ in range(30))
+    docs = documents(*((i, text(i % 80), "l%02d" % (i % 80)) for i in range(960)))
+    model = byte_cnn.train(docs.where("doc_id < 640"))
+    assert len(model.languages) == 80 and 0 < model.floor <= 1
+    found = byte_cnn.identify(docs.where("doc_id >= 640"), model).select("lang", "lang_pred", "score").collect()
+    assert {r.lang_pred for r in found} == set(model.languages)
+    assert sum(r.lang == r.lang_pred for r in found) >= 0.95 * len(found)
+    assert all(r.score >= min(0.4, model.floor) for r in found if r.lang == r.lang_pred)
+
+
 def test_stages(spark, small):
     """Every stage returns its input's columns and keeps what it should."""
     docs = common.read_table(spark, small, "documents")
