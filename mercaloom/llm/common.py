@@ -81,6 +81,19 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             yield batch.slice(start)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """As `slices`, with small neighbours put together up to the limit."""
+    held, total = [], 0
+    for part in slices(batches, text, limit):
+        if held and total + part.nbytes > limit:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(part)
+        total += part.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:
     """The texts, null as empty."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]

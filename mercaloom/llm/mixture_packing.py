@@ -80,7 +80,7 @@ def encoded(docs: DataFrame, vocabulary: str) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, block = tokens.encoder(vocabulary), TaskContext.get().partitionId()
         before: dict[str | None, int] = {}
-        for batch in common.slices(batches, "text"):
+        for batch in common.gathered(batches, "text", tokens.SLICE_BYTES):
             ids, offsets = with_end(*encoder.encode(common.texts_of(batch)))
             starts, counts = [], np.diff(offsets)
             for source, n in zip(batch.column("source").to_pylist(), counts.tolist()):

@@ -64,7 +64,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = tokens.encoder(vocabulary), 0
-        for batch in common.slices(batches, "text"):
+        for batch in common.gathered(batches, "text", tokens.SLICE_BYTES):
             ids, offsets = with_end(*encoder.encode(common.texts_of(batch)))
             yield pa.RecordBatch.from_arrays(
                 [

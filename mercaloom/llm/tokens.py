@@ -2,9 +2,10 @@
 
 A byte-level BPE file splits a text into pieces and merges within a piece only. So a text cut at single spaces has
 the ids of its parts, each with the space before it, unless white space meets at a cut; such texts, and those that
-hold a special token, are encoded whole. Words repeat, so a task remembers the ids of words and of pieces, up to
-`REMEMBERED` of each, and asks the library's model for new pieces only. The new words of a slice of texts are joined by
-single spaces and split into pieces at once; a piece that begins with a space begins a word.
+hold a special token, are encoded whole. Words repeat, so the distinct words of a slice of texts are joined by single
+spaces and split into pieces at once (a piece that begins with a space begins a word), and the library's model is asked
+for the distinct pieces. All in between are Arrow columns: no word is remembered between slices, and memory follows the
+slice.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import codecs
 import os
 import re
-from itertools import chain, groupby, islice
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-REMEMBERED = 400_000
+SLICE_BYTES = 6 << 20
 # white space beyond the three usual ones, and the mark of a first word; looked for one by one, which is a fast search
 _RARE_ASCII = [c for c in map(chr, range(128)) if c.isspace() and c not in " \n\t"] + ["\0"]
 _RARE_WIDE = [c for c in map(chr, range(128, 0x3001)) if c.isspace()]
@@ -72,48 +73,38 @@ class Encoder:
         self.table = "".join(self.letters[b] for b in range(256))
         added = self.whole.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.place = Places()
-        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        self.uses = np.zeros(0, np.int64)
-
-    def forget(self) -> None:
-        """Keeps the words met at least twice since the last time, and no more than half of what is allowed."""
-        if len(self.pieces) > REMEMBERED // 2:
-            self.pieces.clear()
-        kept = np.flatnonzero(self.uses > 1)
-        kept = kept[np.argsort(-self.uses[kept], kind="stable")][: REMEMBERED // 2]
-        words = list(self.place)
-        counts = self.ends[kept + 1] - self.ends[kept]
-        ends = np.cumsum(counts)
-        self.ids = self.ids[np.arange(counts.sum()) + np.repeat(self.ends[kept] - ends + counts, counts)]
-        self.ends = np.concatenate([[0], ends])
-        self.place = Places((words[k], i) for i, k in enumerate(kept.tolist()))
-        self.uses = np.zeros(len(kept), np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        """Appends the ids of new words in the order of their places."""
-        pieces, found, begins = self.pieces, [], []
-        for first, words in groupby(new, lambda word: word[0] == "\0"):
-            for text in (w[1:] for w in words) if first else [" " + " ".join(words)]:
-                split = self.split(text)
-                begins += [True] + [False] * (len(split) - 1) if first else [p[0] == " " for p in split]
-                found += split
-        unknown = [p for p in dict.fromkeys(found) if p not in pieces]
-        if unknown:
-            written = codecs.charmap_decode("\0".join(unknown).encode(), "strict", self.table)[0].split(self.table[0])
-            for piece, letters in zip(unknown, written):
-                pieces[piece] = tuple([t.id for t in self.model.tokenize(letters)])
-        ids = list(map(pieces.__getitem__, found))
-        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-        last = np.append(np.flatnonzero(begins)[1:], len(ids)) - 1  # the last piece of each word
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, ends[-1])])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + ends[last]])
+        self.pieces: dict[str, tuple[int, ...]] = {}  # for callers that remember pieces
+
+    def _ids_of_pieces(self, pieces: list[str]) -> pa.ListArray:
+        """The model's ids of distinct pieces, none of which holds a zero byte."""
+        tokenize, flat, ends = self.model.tokenize, array("I"), array("i", [0])
+        if pieces:
+            written = codecs.charmap_decode("\0".join(pieces).encode(), "strict", self.table)[0]
+            for letters in written.split(self.table[0]):
+                flat.extend([t.id for t in tokenize(letters)])
+                ends.append(len(flat))
+        return pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.array(flat, np.uint32)))
+
+    def _ids_of_words(self, words: pa.StringArray) -> tuple[pa.ListArray, np.ndarray]:
+        """The ids of distinct words, first words of a text (marked by a zero byte) last, and where each word stands there."""
+        first = pc.starts_with(words, "\0")
+        spaced = words.filter(pc.invert(first)).to_pylist()
+        found = self.split(" " + " ".join(spaced)) if spaced else []
+        n_spaced, starts = len(found), []
+        for word in words.filter(first).to_pylist():
+            starts.append(len(found))
+            found += self.split(word[1:])
+        pieces = pa.array(found, pa.string()).dictionary_encode()
+        number = pieces.indices.to_numpy()
+        begins = pc.starts_with(pieces.dictionary, " ").to_numpy(zero_copy_only=False)[number[:n_spaced]]
+        lists = self._ids_of_pieces(pieces.dictionary.to_pylist()).take(pieces.indices)
+        edges = np.concatenate([np.flatnonzero(begins), np.array([*starts, len(found)], np.int64)])
+        by_word = pa.ListArray.from_arrays(pa.array(lists.offsets.to_numpy()[edges]), lists.flatten())
+        is_first = first.to_numpy(zero_copy_only=False).astype(bool)
+        at = np.where(is_first, len(spaced) + np.cumsum(is_first) - 1, np.cumsum(~is_first) - 1)
+        return by_word, at
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.place) > REMEMBERED:
-            self.forget()
-        place, known = self.place, len(self.place)
         whole, cut = {}, []
         for i, text in enumerate(texts):
             if not text or self.special.search(text) or not _cuts_alone(text):
@@ -122,14 +113,8 @@ class Encoder:
                 cut.append("\0" + text)  # the first word has no space before it
         words = pc.split_pattern(pa.array(cut, pa.string()), " ")
         distinct = words.values.dictionary_encode()
-        numbers = np.fromiter(map(place.__getitem__, distinct.dictionary.to_pylist()), np.int64, len(distinct.dictionary))
-        part = numbers[distinct.indices.to_numpy()]
-        if len(place) > known:
-            self._learn(list(islice(place, known, None)))
-        uses = np.bincount(part, minlength=len(place))
-        uses[: len(self.uses)] += self.uses
-        self.uses = uses
-        lists = pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), pa.array(self.ids)).take(pa.array(part))
+        by_word, at = self._ids_of_words(distinct.dictionary)
+        lists = by_word.take(pa.array(at[distinct.indices.to_numpy()], pa.int64()))
         flat = lists.flatten().to_numpy()
         ends = lists.offsets.to_numpy()[words.offsets.to_numpy()].astype(np.int64)
         if whole:
@@ -140,5 +125,5 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """A new one for each task, so that a worker holds no words between tasks."""
+    """A new one for each task."""
     return Encoder(path)

@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -28,12 +29,23 @@ def test_remembered_words_give_the_ids_of_the_library(texts):
     assert found == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_forgetting_changes_nothing(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 3)
-    own = tokens.Encoder(tokens.vocabulary_path())
-    for text in ("a b c d e a b a", "f g h", "a b, c", "x", "a a x x b", "c d e f", "a b"):
-        assert own.encode([text])[0].tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
-        assert len(own.place) <= 3 + len(text.split(" "))
+def test_slices_change_nothing():
+    texts = ["a b c d e a b a", "f g h\n", "", "\na b, c\n\n", "x", "a  a", "<|endoftext|> b", "don't 12 é漢\t", "a b"]
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    for step in (1, 2, len(texts)):
+        found = []
+        for i in range(0, len(texts), step):
+            flat, ends = OWN.encode(texts[i : i + step])
+            found += [x.tolist() for x in np.split(flat, ends)[:-1]]
+        assert found == want
+
+
+def test_gathered_batches_hold_all_rows():
+    rows = ["x" * n for n in (1, 50, 300, 2, 2, 2, 1000, 0)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + 3])], ["text"]) for i in (0, 3, 6)]
+    found = [b.column(0).to_pylist() for b in common.gathered(batches, "text", 200)]
+    assert sum(found, []) == rows and all(sum(map(len, x)) <= 200 or len(x) == 1 for x in found)
+    assert list(common.gathered([], "text", 200)) == []
 
 
 def test_token_files(spark, odd):
