@@ -226,3 +226,14 @@ def test_star_with_hot_keys_equals_star_without(spark, small, monkeypatch):
             + [rows_of(revenue_by_category_state(star, min_rows))]
         )
     assert results[0] == results[1]
+
+
+def test_lines_are_shuffled_once_for_their_numbers_and_their_orders(spark, staging):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = staging["order_items"].join(staging["orders"].select("order_id", "order_status"), "order_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Window" in plan and plan.count("Exchange hashpartitioning") == 2  # one of the lines, one of the orders
