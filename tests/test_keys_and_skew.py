@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mercaloom.operators.keys import grouped_row_number, ordered_row_number, row_identity
+from mercaloom.operators.keys import grouped_row_number, ordered_row_number, ranges_by, row_identity
 from mercaloom.operators import skew
 from mercaloom.operators.skew import (
     NOT_SKEWED,
@@ -237,3 +237,24 @@ def test_lines_are_shuffled_once_for_their_numbers_and_their_orders(spark, stagi
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "Window" in plan and plan.count("Exchange hashpartitioning") == 2  # one of the lines, one of the orders
+
+
+@pytest.mark.parametrize("min_rows", [1000, 1_000_000])
+def test_ranges_from_keys_run_their_input_once(spark, skewed, min_rows, monkeypatch):
+    from mercaloom.operators import keys
+
+    monkeypatch.setattr(keys, "LEAST_RANGE_ROWS", 1000)
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    rows = skewed.union(skewed.limit(0)).mapInArrow(seen, skewed.schema)
+    got = row_identity(ranges_by(skewed, rows, "key", "a", "b", min_rows=min_rows), "sk")
+    expected = skewed.withColumn("sk", F.row_number().over(Window.orderBy("key", "a", "b")))
+    assert rows_of(got) == rows_of(expected)
+    if min_rows > 1000:  # else a third of all rows has one key, and the plain range shuffle spreads it
+        assert runs.value == skewed.count() and len(got.inputFiles()) > 4
+    assert row_identity(ranges_by(skewed.limit(0), rows.limit(0), "key", "a"), "sk").count() == 0
