@@ -4,11 +4,14 @@ Filters two, three and four bytes wide read windows of 256 bytes, the largest an
 kept, and a softmax layer gives the languages' probabilities. Every byte of a text lies in one window; the last window
 is filled with a padding symbol. A document's probabilities are the means over its windows, weighted by their bytes.
 
-Every label of the training rows is learned. The training sample is bounded: per language the labelled documents with
-the smallest hash of the id, `ROWS_PER_LANGUAGE` of each or, with many languages, an equal part of `ROWS`, and
-`WINDOWS_PER_ROW` windows of each, evenly spread over the whole text. Training takes more steps the more languages there
-are. The model holds some 0.2 MB and 200 bytes a language, so it travels with the tasks. `Model.floor` says how low
-the best language's probability gets in labelled windows: all but a thousandth of them lie above.
+Every label and every labelled text is learned, whole: its windows are spread evenly, so that each byte lies in one.
+Languages weigh alike: the windows of rarer ones are repeated, at most `REPEATS` times, so that all together at most double, and
+weights do the rest; their counts come from all rows. The windows are dealt by hash into shards of about `SHARD` and
+these into at most `ROUNDS` rounds, stored once. In a round each shard is passed over by a task, from the round's model on,
+and the models of its shards are averaged, as whole numbers, so that their order does not matter. So each window is
+met once or, if there are few, as often as `STEPS` steps need, more the more languages there are. The model holds some
+0.2 MB and 200 bytes a language, so it travels with the tasks. `Model.floor` says how low the best
+language's probability gets in labelled windows: all but a thousandth of them, counted in `BINS` steps, lie above.
 
 A null text, or one without a letter, is `und` with score 0; so is every text if no language can be learned. Rows with
 equal ids or texts are judged alike, an empty table gives no rows, and input columns with the names of the two results
@@ -23,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +38,13 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 PAD = 256
 SYMBOLS = 257
-ROWS_PER_LANGUAGE = 800
-ROWS = 51_200
-WINDOWS_PER_ROW = 3
 STEPS = 300
 LANGUAGES_A_STEP = 16  # beyond so many languages, steps grow with their number
-FLOOR_WINDOWS, FLOOR_SHARE = 4096, 0.001
+SHARD = 16_384  # windows
+ROUNDS = 8
+REPEATS = 64
+FIXED = 1 << 32  # the whole numbers in which models are added up
+BINS, FLOOR_SHARE = 1 << 16, 0.001
 BATCH = 64
 LETTER = regex.compile(r"\p{L}")
 
@@ -94,90 +98,200 @@ def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out.reshape(-1, WINDOW), counts
 
 
-def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 7) -> Model:
-    """Adam on the cross-entropy of the windows, each language drawn equally often."""
+def untrained(languages: int, seed: int = 7) -> list[np.ndarray]:
+    """The values of a model before training."""
     rng = np.random.default_rng(seed)
     n_all = FILTERS * len(WIDTHS)
     taps = [rng.normal(0, 0.3, (w, SYMBOLS, FILTERS)).astype(np.float32) for w in WIDTHS]
     for t in taps:
         t[:, PAD] = 0
-    values = [*taps, np.zeros(n_all, np.float32), rng.normal(0, 0.2, (n_all, len(languages))).astype(np.float32)]
-    values.append(np.zeros(len(languages), np.float32))
+    dense = rng.normal(0, 0.2, (n_all, languages)).astype(np.float32)
+    return [*taps, np.zeros(n_all, np.float32), dense, np.zeros(languages, np.float32)]
+
+
+def learn(
+    values: list[np.ndarray], windows: np.ndarray, labels: np.ndarray, weights: np.ndarray, passes: int, begin: float, end: float, seed: int
+) -> None:
+    """Changes the values by Adam on the weighted cross-entropy of the windows, in a new order in each of the passes.
+
+    `begin` and `end` say which part of the whole training this is; the rate falls in its second half.
+    """
+    rng = np.random.default_rng(seed)
+    taps = values[: len(WIDTHS)]
     moments = [(np.zeros_like(v), np.zeros_like(v)) for v in values]
-    by_label = [np.flatnonzero(labels == i) for i in range(len(languages))]
-    steps = STEPS * -(-len(languages) // LANGUAGES_A_STEP)
+    drawn = np.concatenate([rng.permutation(len(windows)) for _ in range(passes)])
+    steps = -(-len(drawn) // BATCH)
+    buffers = [np.empty((BATCH, WINDOW, sum(FILTERS for t in taps if len(t) > k)), np.float32) for k in range(max(WIDTHS))]
     for step in range(1, steps + 1):
-        y = rng.integers(0, len(languages), BATCH)
-        x = windows[[by_label[i][rng.integers(len(by_label[i]))] for i in y]]
-        x = np.pad(x.astype(np.int64), ((0, 0), (0, 3)), constant_values=PAD)
-        hidden, places = [], []
-        for w, width in enumerate(WIDTHS):
-            answer = sum(values[w][k][x[:, k : k + WINDOW]] for k in range(width))
-            places.append(answer.argmax(1))
-            hidden.append(np.take_along_axis(answer, places[-1][:, None], 1)[:, 0])
-        raw = np.concatenate(hidden, 1) + values[3]
+        own = drawn[(step - 1) * BATCH : step * BATCH]
+        y, n = labels[own], len(own)
+        x = np.pad(windows[own].astype(np.int64), ((0, 0), (0, 3)), constant_values=PAD)
+        for k, part in enumerate(buffers):  # the filters that reach k symbols on are the last ones
+            reach = np.concatenate([t[k] for t in taps if len(t) > k], 1)
+            np.take(reach, x[:, k : k + WINDOW], axis=0, out=part[:n], mode="clip")
+            if k:
+                buffers[0][:n, :, -part.shape[2] :] += part[:n]
+        answer = buffers[0][:n]
+        place = answer.argmax(1)
+        raw = np.take_along_axis(answer, place[:, None], 1)[:, 0] + values[3]
         h = np.maximum(raw, 0)
         slope = _softmax(h @ values[4] + values[5])
-        slope[np.arange(BATCH), y] -= 1
-        slope /= BATCH
+        slope[np.arange(n), y] -= 1
+        slope *= weights[y][:, None] / BATCH
         back = (slope @ values[4].T) * (raw > 0)
-        grads = [np.zeros_like(t) for t in taps]
-        rows, filters = np.arange(BATCH)[:, None], np.arange(FILTERS)[None]
+        rows, grads = np.arange(n)[:, None], []
         for w, width in enumerate(WIDTHS):
-            part = back[:, w * FILTERS : (w + 1) * FILTERS]
-            for k in range(width):
-                np.add.at(grads[w][k], (x[rows, places[w] + k], np.broadcast_to(filters, part.shape)), part)
+            columns = slice(w * FILTERS, (w + 1) * FILTERS)
+            at = [(x[rows, place[:, columns] + k] + k * SYMBOLS) * FILTERS + np.arange(FILTERS) for k in range(width)]
+            part = np.tile(back[:, columns].ravel(), width)
+            part = np.bincount(np.concatenate(at).ravel(), part, width * SYMBOLS * FILTERS).astype(np.float32)
+            grads.append(part.reshape(width, SYMBOLS, FILTERS))
             grads[w][:, PAD] = 0
         grads += [back.sum(0), h.T @ slope, slope.sum(0)]
-        rate = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
+        rate = 0.01 * min(1.0, 2 * (1 - begin - (end - begin) * step / (steps + 1)))
         for v, g, (m, s) in zip(values, grads, moments):
             m += 0.1 * (g - m)
             s += 0.01 * (g * g - s)
             v -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
-    return Model(values[:3], values[3], values[4], values[5], languages)
-
-
-def training_sample(docs: DataFrame, rows: int = ROWS_PER_LANGUAGE) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Windows, labels and languages of the bounded sample of `text` and `lang`."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = max(1, min(rows, ROWS // max(1, labelled.select("lang").distinct().count())))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
-    ids = (
-        labelled.select("lang", "doc_id", F.xxhash64("doc_id").alias("place"))
-        .withColumn("n", place)
-        .where(F.col("n") <= rows)
-        .select("lang", "doc_id")
-        .distinct()
-    )
-    # at most ROWS narrow rows (one of each language at least); so are the windows that come back
-    chosen = labelled.join(F.broadcast(ids), ["lang", "doc_id"], "left_semi").select("lang", "text")
+
+
+def passes_of(drawn: int, languages: int) -> int:
+    """How often the windows are passed over."""
+    steps = STEPS * -(-languages // LANGUAGES_A_STEP)
+    return max(1, -(-BATCH * steps // drawn))
+
+
+def fit(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: int = 7) -> Model:
+    """A model of windows that are all at hand, each language weighing alike."""
+    values, counts = untrained(len(languages), seed), np.bincount(labels, minlength=len(languages))
+    weights = (len(labels) / len(languages) / np.maximum(1, counts)).astype(np.float32)
+    learn(values, windows, labels, weights, passes_of(len(labels), len(languages)), 0, 1, seed)
+    return Model(values[:3], *values[3:], languages)
+
+
+def spread_windows(data: bytes) -> list[bytes]:
+    """As few windows as cover a text, evenly spread; only a text shorter than a window gives a shorter one."""
+    n = max(1, -(-len(data) // WINDOW))
+    return [data[s : s + WINDOW] for s in np.linspace(0, max(0, len(data) - WINDOW), n).astype(int).tolist()]
+
+
+def labelled_windows(labelled: DataFrame, repeats: dict[str, int]) -> DataFrame:
+    """Every window of the labelled texts, as often as its language is repeated."""
+    number = {lang: i for i, lang in enumerate(sorted(repeats))}
+    names = ["label", "place", "at", "copy", "part"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, "text"):
-            langs, parts = [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), common.texts_of(batch)):
-                if not LETTER.search(text):
-                    continue
-                data = text.encode()
-                n = min(WINDOWS_PER_ROW, -(-len(data) // WINDOW))
-                starts = np.linspace(0, max(0, len(data) - WINDOW), n).astype(int)
-                parts += [data[s : s + WINDOW] for s in starts]
-                langs += [lang] * n
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(parts, pa.binary())], ["lang", "part"])
-
-    found = sorted((r.lang, bytes(r.part)) for r in chosen.mapInArrow(cut, "lang string, part binary").collect())
-    languages = sorted({lang for lang, _ in found})
-    number = {lang: i for i, lang in enumerate(languages)}
-    return windows_of([p for _, p in found])[0], np.array([number[lang] for lang, _ in found], np.int64), languages
-
-
-def train(docs: DataFrame) -> Model | None:
-    windows, labels, languages = training_sample(docs)
-    if not languages:
+            out = []
+            for lang, place, text in zip(batch.column("lang").to_pylist(), batch.column("place").to_pylist(), common.texts_of(batch)):
+                for at, part in enumerate(spread_windows(text.encode())):
+                    out += [(number[lang], place, at, copy, part) for copy in range(repeats[lang])]
+                    if len(out) > 20_000:
+                        yield _batch(out, names, types)
+                        out = []
+            if out:
+                yield _batch(out, names, types)
+
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    rows = labelled.select("lang", F.xxhash64("doc_id", "text").alias("place"), "text")
+    return rows.mapInArrow(cut, "label int, place long, at int, copy int, part binary")
+
+
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names)
+
+
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, windows and labels of each shard, whose rows follow each other; what equal rows make too long is cut."""
+
+    def shard(parts: list[pa.RecordBatch]) -> tuple[int, np.ndarray, np.ndarray]:
+        whole = pa.concat_batches(parts)
+        order = np.lexsort([whole.column(c).to_numpy() for c in ("copy", "at", "place")])
+        windows = windows_of(whole.column("part").to_pylist())[0]
+        return whole.column("slot")[0].as_py(), windows[order], whole.column("label").to_numpy()[order]
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        slot = batch.column("slot").to_numpy()
+        edges = [0, *(np.flatnonzero(slot[1:] != slot[:-1]) + 1).tolist(), len(slot)]
+        for a, b in zip(edges, edges[1:]):
+            if held and (held[-1].column("slot")[0].as_py() != slot[a] or sum(map(len, held)) > 2 * SHARD):
+                yield shard(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield shard(held)
+
+
+def taught(rows: DataFrame, values: list[np.ndarray], weights: np.ndarray, passes: int, begin: float, end: float) -> list[np.ndarray]:
+    """The mean of the values that each shard of `rows` makes of the given ones."""
+
+    def teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(sum(v.size for v in values), np.int64), 0
+        for slot, windows, labels in _shards(batches):
+            own = [v.copy() for v in values]
+            learn(own, windows, labels, weights, passes, begin, end, slot)
+            total += np.rint(np.concatenate([v.ravel() for v in own]).astype(np.float64) * FIXED).astype(np.int64)
+            n += 1
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total), dtype=np.int32)), pa.array(np.r_[n, total])], ["k", "v"])
+
+    sums = rows.mapInArrow(teach, "k int, v long").groupBy("k").agg(F.sum("v").alias("v"))
+    found = dict(map(tuple, sums.collect()))  # as many rows as the model has values, one more
+    if not (n := found.pop(-1, 0)):
+        return values
+    mean = (np.array([found[k] for k in range(len(found))], np.float64) / (n * FIXED)).astype(np.float32)
+    edges = np.cumsum([v.size for v in values])[:-1]
+    return [m.reshape(v.shape) for m, v in zip(np.split(mean, edges), values)]
+
+
+def lowest(rows: DataFrame, model: Model) -> float:
+    """The probability of the best language that all but FLOOR_SHARE of the windows exceed."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, met = model.tables(), np.zeros(BINS + 1, np.int64)
+        for batch in batches:
+            best = model.probabilities(windows_of(batch.column("part").to_pylist())[0], tables).max(1)
+            met += np.bincount((best * BINS).astype(np.int64), minlength=BINS + 1)[: BINS + 1]
+        bin_ = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays([pa.array(bin_.astype(np.int32)), pa.array(met[bin_])], ["bin", "n"])
+
+    counted = rows.where("copy = 0").select("part").mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n"))
+    bins, n = map(np.array, zip(*sorted(map(tuple, counted.collect()))))  # at most BINS rows
+    total = np.cumsum(n)
+    return float(bins[np.searchsorted(total, FLOOR_SHARE * total[-1], side="right")] / BINS)
+
+
+def train(docs: DataFrame, with_floor: bool = True) -> Model | None:
+    """A model of all rows of `docs` that have a label and a letter."""
+    common.bound_batches(docs.sparkSession)
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
+    n_windows = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / WINDOW))
+    counts = dict(map(tuple, labelled.groupBy("lang").agg(F.sum(n_windows)).collect()))
+    if not counts:
         return None
-    model = fit(windows, labels, languages)
-    some = windows[:: -(-len(windows) // FLOOR_WINDOWS)]
-    model.floor = float(np.quantile(model.probabilities(some, model.tables()).max(1), FLOOR_SHARE))
+    languages = sorted(counts)
+    fair = sum(counts.values()) / len(counts)
+    repeats = {lang: max(1, min(REPEATS, int(fair // n))) for lang, n in counts.items()}
+    weights = np.array([fair / (repeats[lang] * counts[lang]) for lang in languages], np.float32)
+    drawn = sum(repeats[lang] * n for lang, n in counts.items())
+    rounds = min(ROUNDS, -(-drawn // SHARD))
+    slots = rounds * -(-drawn // (rounds * SHARD))
+
+    path = common.shared_path(docs.sparkSession, "language-windows")
+    slot = F.pmod(F.xxhash64("place", "at", "copy"), F.lit(slots)).cast("int")
+    dealt = labelled_windows(labelled, repeats).withColumn("slot", slot).repartitionById(slots, "slot")
+    dealt.withColumn("round", F.col("slot") % rounds).write.options(compression="zstd").partitionBy("round").parquet(path)
+    schema = "label int, place long, at int, copy int, part binary, slot int, round int"
+    windows = docs.sparkSession.read.schema(schema).parquet(path)
+
+    values, passes = untrained(len(languages)), passes_of(drawn, len(languages))
+    for i in range(rounds):
+        rows = windows.where(F.col("round") == i).drop("round")
+        values = taught(rows, values, weights, passes, i / rounds, (i + 1) / rounds)
+    model = Model(values[:3], *values[3:], languages)
+    model.floor = lowest(windows, model) if with_floor else 0.0
+    common.drop_path(docs.sparkSession, path)
     return model
 
 
@@ -216,5 +330,5 @@ def bucket(key: Column, buckets: int) -> Column:
 def op7_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     docs = common.read_table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = bucket(F.col("doc_id"), 4) == 2
-    model = train(docs.where(~held_out))
+    model = train(docs.where(~held_out), with_floor=False)
     return identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")

@@ -212,6 +212,23 @@ def test_language_of_odd_texts(odd, documents):
     assert byte_cnn.identify(documents(), model).count() == 0
 
 
+def test_every_labelled_row_is_learned(documents, monkeypatch):
+    """Rows beyond the first 800 of a language change the model, and shards and rounds learn as one task does."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choices(("der die und", "the and of")[i % 2].split(), k=60)), "de" if i % 2 == 0 else "en") for i in range(1700)]
+    first = documents(*rows)
+    late = {r.doc_id for r in first.where("lang = 'de'").orderBy(F.xxhash64("doc_id")).offset(800).collect()}
+    assert len(late) == 50
+    changed = documents(*((i, "zzz " * 60 if i in late else text, lang) for i, text, lang in rows))
+    one, other = byte_cnn.train(first), byte_cnn.train(changed)
+    assert not np.allclose(one.taps[0], other.taps[0])
+    monkeypatch.setattr(byte_cnn, "SHARD", 300)
+    for model in (byte_cnn.train(first), byte_cnn.train(first.repartition(7))):
+        found = byte_cnn.identify(first, model).where("lang = lang_pred").count()
+        assert found == len(rows) and 0 < model.floor <= 1
+    assert len({len(w) for w in byte_cnn.spread_windows(b"x" * 5000)}) == 1
+
+
 def test_windows_cover_every_byte():
     texts = [b"", b"a", b"x" * 256, b"y" * 257, bytes(range(256)) * 3]
     windows, counts = byte_cnn.windows_of(texts)
