@@ -41,6 +41,7 @@ from .hashing import U64, mix, shingle_sets, sums_by_run
 
 WIDTH = 3
 PERCENT = 90
+SLICE_BYTES = 512 << 10  # of texts whose shingles are made at once
 GROUPS = 128
 FULL = 255
 CELLS = 1 << 16
@@ -156,7 +157,7 @@ def class_table(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, np.ndar
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = np.zeros(CELLS, np.int64)
         names = ["doc_id", "n_shingles", "class", "counts", "cells"]
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(batches, "text", SLICE_BYTES):
             hashes, offsets = shingle_sets(common.texts_of(batch), width)
             used += np.bincount((hashes >> U64(48)).astype(np.int64), minlength=CELLS)
             n, vectors = np.diff(offsets), count_vectors(hashes, offsets)
@@ -188,7 +189,7 @@ def meetings(docs: DataFrame, ranks: np.ndarray, percent: int, width: int = WIDT
     """(key, class) of every set; computed anew where it is needed, as that is cheaper than storing it."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(batches, "text", SLICE_BYTES):
             hashes, offsets = shingle_sets(common.texts_of(batch), width)
             classes, (keys, owners) = set_classes(hashes, offsets), meeting_keys(hashes, offsets, percent, ranks)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(classes[owners].view(np.int64))], ["key", "class"])
@@ -202,8 +203,7 @@ def met_classes(docs: DataFrame, ranks: np.ndarray, percent: int, width: int, sc
     busy = rows.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.count("*").alias("n_met"))
     busy = scratch.store(busy.where("lo != hi").select("key", "n_met"), "jaccard-keys")
     total = busy.agg(F.sum("n_met")).first()[0] or 0
-    met = common.join_counted(rows, busy, "key", "n_met", total).where(F.col("n_met").isNotNull())
-    return scratch.store(met.distinct(), "jaccard-met")
+    return scratch.store(common.matches_counted(rows, busy, "key", "n_met", total).distinct(), "jaccard-met")
 
 
 def first_keys(met: DataFrame, scratch: common.Scratch) -> DataFrame:
@@ -293,7 +293,7 @@ def verified(candidates: DataFrame, docs: DataFrame, classes: DataFrame, percent
     texts = docs.join(F.broadcast(ids) if small else ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi").select("text")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, "text"):
+        for batch in common.slices(batches, "text", SLICE_BYTES):
             hashes, offsets = shingle_sets(common.texts_of(batch), width)
             sets = [hashes[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(set_classes(hashes, offsets).view(np.int64)), pa.array(sets, pa.binary())], ["class", "set"])
@@ -328,8 +328,8 @@ def _torn(met: DataFrame, links: DataFrame, scratch: common.Scratch) -> DataFram
     parted = met.join(parts, "class", "left").withColumn("part", F.coalesce("component", "class")).drop("component")
     parted = scratch.store(parted.drop("n_met"), "jaccard-parted")
     torn = parted.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("n_met")).where("lo != hi")
-    open_ = common.join_counted(parted, torn.select("key", "n_met"), "key", "n_met", max(1, parted.count()))
-    return scratch.store(open_.where(F.col("n_met").isNotNull()), "jaccard-open")
+    torn = scratch.store(torn.select("key", "n_met"), "jaccard-torn")
+    return scratch.store(common.matches_counted(parted, torn, "key", "n_met", max(1, parted.count())), "jaccard-open")
 
 
 def linked_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:

@@ -410,3 +410,14 @@ def test_counted_join_bears_hot_keys(spark):
     found = common.join_counted(left, right, "key", "n", 4000)
     want = left.join(right, "key", "left").select("row", "key", "n", "s")
     assert rows_of(found) == rows_of(want)
+
+
+def test_unmatched_rows_do_not_pass_a_join_for_matches(spark):
+    """A hot key and cold ones meet; rows without a partner are not made, so the join's rows follow its matches."""
+    left = spark.range(4000).selectExpr("case when id < 3000 then id else 7 end as key", "id % 5 as row")
+    right = left.where("key % 10 = 7").groupBy("key").agg(F.count("*").alias("n"))
+    found = common.matches_counted(left, right, "key", "n", 4000)
+    assert rows_of(found) == rows_of(left.join(right, "key").select("key", "row", "n"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan and "LeftOuter" not in plan
+    assert common.matches_counted(left, right.where("n = 1"), "key", "n", 4000).count() == 299
