@@ -40,6 +40,27 @@ def test_slices_change_nothing():
         assert found == want
 
 
+def test_pieces_are_asked_for_once(monkeypatch):
+    own, asked = tokens.Encoder(tokens.vocabulary_path()), []
+    find = own._ids_of_pieces
+    monkeypatch.setattr(own, "_ids_of_pieces", lambda pieces: asked.append(len(pieces)) or find(pieces))
+    texts = [f"{' '.join(f'word{chr(97 + i)}' for i in range(26))} and {k}" for k in "xyz"]
+    for text in texts + texts[:1]:
+        flat, _ = own.encode([text])
+        assert flat.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert asked == [28, 1, 1, 0]
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 5)
+    own = tokens.Encoder(tokens.vocabulary_path())
+    for text in ("a b c", "d e f g h i j", "", "a " + "x" * 1000, "h i x y", "b j h"):
+        flat, _ = own.encode([text])
+        assert flat.tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+        assert len(own.met.strings) <= 5 and len(own.met.ids) == len(own.met.strings)
+    assert max(map(len, own.met.strings.to_pylist())) <= tokens.LONGEST
+
+
 def test_gathered_batches_hold_all_rows():
     rows = ["x" * n for n in (1, 50, 300, 2, 2, 2, 1000, 0)]
     batches = [pa.RecordBatch.from_arrays([pa.array(rows[i : i + 3])], ["text"]) for i in (0, 3, 6)]
