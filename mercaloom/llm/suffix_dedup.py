@@ -10,10 +10,10 @@ the common extension of two suffixes is found by binary search and one compariso
 Common extensions of neighbours are then compared byte by byte; should hashes have collided, the sort is done anew on
 the bytes. At each distance from the anchor the windows with equal bytes are those in one run of both orders.
 
-A gram met more than `HOT` times is split: each of its windows comes alone, under the hash of its bytes. Spark counts the
-hashes and takes the least and greatest bytes of those met twice, combined before the shuffle, so that no group holds the
-copies: where both are equal all windows of the hash are, and stand elsewhere if there are two. Windows whose hashes collided are
-sorted like the others.
+A gram met more than `HOT` times is split. Its contexts come alone, each distinct one of a text once with its places, and
+Spark counts equal ones, combined before the shuffle: all windows of a context met twice stand elsewhere. Only one of equal
+contexts has its windows spelled out, under the hash of their bytes, so their number does not grow with the copies. Hashes
+are counted first, then the bytes of those met twice, so that no group holds the copies and no collision matters.
 
 The texts are UTF-8; null is empty; no match crosses texts; rows of equal text remove each other; texts shorter than
 the span stay; an empty table gives no rows; other columns are not read.
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -37,7 +37,7 @@ SPAN, GRAM = 200, 32
 REACH = SPAN - GRAM + 1  # grams in a window
 HOT = 20_000
 BUCKET_ROWS = 20_000
-WINDOW_HASH = 8  # bytes
+WINDOW_HASH = 8  # bytes; windows of equal hashes are compared
 # Places of very frequent grams are broadcast if they were counted and are no more than this; beyond, texts are shuffled.
 BROADCAST_PLACES = 2_000_000
 PIECE = 1 << 20
@@ -296,9 +296,9 @@ def contexts(texts: DataFrame, buckets: int) -> DataFrame:
     return texts.mapInArrow(read, CONTEXT)
 
 
-def hot_windows(texts: DataFrame) -> DataFrame:
-    """The windows of the anchors listed in `places`, each alone. Of equal texts in a row the first is enough: all go."""
-    names, size = ["kind", "gram", *KEY, "start", "before", "bytes", "bucket"], WINDOW_HASH
+def hot_contexts(texts: DataFrame) -> DataFrame:
+    """The distinct contexts in a text of the anchors listed in `places`. Of equal texts in a row the first is enough: all go."""
+    names, types = [*KEY, "starts", "bytes"], [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
@@ -308,50 +308,80 @@ def hot_windows(texts: DataFrame) -> DataFrame:
                 if (k, h) == last:
                     continue
                 last, data = (k, h), text.encode()
+                starts: dict[bytes, list[int]] = {}
                 for p in places:
                     place, far, near = p["at"] >> 16, (p["at"] >> 8) & 255, p["at"] & 255
-                    for o in range(near, far + 1):
-                        window = data[place - o : place - o + SPAN]
-                        key = int.from_bytes(hashlib.blake2b(window, digest_size=size).digest(), "big", signed=True)
-                        out.append((0, key, k, h, place - o, 0, window, 0))
-                    if len(out) > 20_000:
-                        yield _batch(out, names)
-                        out = []
-            yield _batch(out, names)
+                    starts.setdefault(data[place - far : place - near + SPAN], []).append(place - far)
+                out += [(k, h, at, context) for context, at in starts.items()]
+                if len(out) > 20_000:
+                    yield _batch(out, names, types)
+                    out = []
+            yield _batch(out, names, types)
 
-    return texts.mapInArrow(read, CONTEXT)
+    return texts.mapInArrow(read, "_k long, _h int, starts array<long>, bytes binary")
+
+
+def hot_windows(classes: DataFrame) -> DataFrame:
+    """The windows of distinct contexts: which context, how far from its start, the hash and the bytes."""
+    names, types, size = ["class", "at", "gram", "bytes"], [pa.int64(), pa.int32(), pa.int64(), pa.binary()], WINDOW_HASH
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for number, context in zip(batch.column("class").to_pylist(), batch.column("bytes").to_pylist()):
+                for at in range(len(context) - SPAN + 1):
+                    window = context[at : at + SPAN]
+                    key = int.from_bytes(hashlib.blake2b(window, digest_size=size).digest(), "big", signed=True)
+                    out.append((number, at, key, window))
+                if len(out) > 20_000:
+                    yield _batch(out, names, types)
+                    out = []
+            yield _batch(out, names, types)
+
+    return classes.select("class", "bytes").mapInArrow(spell, "class long, at int, gram long, bytes binary")
 
 
-def repeated_windows(texts: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame | None]:
-    """The runs of hot windows that stand elsewhere, and the windows whose hashes collided, to be sorted, if there are any.
+def repeated_windows(texts: DataFrame) -> DataFrame:
+    """The runs of hot windows that stand elsewhere.
 
-    The windows are stored once. Hashes are counted first; the bytes of those that are met twice travel after that.
+    Contexts and windows are stored once. Hashes of windows are counted first; the bytes of those that are met twice
+    travel after that.
     """
-    windows = common.store(hot_windows(texts), "suffix-hot")
-    met = windows.groupBy("gram").agg(F.count("*").alias("met")).where("met > 1")
-    met = common.store(met, "suffix-hashes")
-    n, total = met.agg(F.count("*"), F.sum("met")).first()
+    found = common.store(hot_contexts(texts), "suffix-hot")
+    classes = found.groupBy("bytes").agg(F.count("*").alias("rows"), F.sum(F.size("starts")).alias("met"))
+    classes = common.store(classes.withColumn("class", F.monotonically_increasing_id()), "suffix-classes")
+    windows = common.store(hot_windows(classes), "suffix-windows")
+    hashes = common.store(windows.groupBy("gram").agg(F.count("*").alias("met")).where("met > 1"), "suffix-hashes")
+    n, total = hashes.agg(F.count("*"), F.sum("met")).first()
     if n <= common.BROADCAST_ROWS:
-        bytes_of = windows.join(F.broadcast(met), "gram")
+        likely = windows.join(F.broadcast(hashes), "gram")
     else:
-        bytes_of = common.join_counted(windows, met, "gram", "met", total).where("met is not null")
-    met = bytes_of.groupBy("gram").agg(F.first("met").alias("met"), F.min("bytes").alias("least"), F.max("bytes").alias("most"))
-    met = common.store(met.select("gram", "met", (F.col("least") == F.col("most")).alias("same")), "suffix-windows")
-    places = windows.select("gram", *KEY, F.col("start").alias("window"))
-    runs = common.join_counted(places, met, "gram", "met", total or 0).where("same")
-    runs = runs.select(*KEY, F.col("window").alias("start"), (F.col("window") + SPAN).alias("end"))
-    if met.where("not same").isEmpty():
-        return runs, None
-    collided = windows.join(F.broadcast(met.where("not same").select("gram")), "gram", "left_semi")
-    return runs, collided.withColumn("bucket", F.pmod("gram", F.lit(buckets)).cast("int")).select(*windows.columns)
+        likely = common.join_counted(windows, hashes, "gram", "met", total).where("met is not null")
+    likely = likely.select("class", "at", "bytes")
+    equal = common.store(likely.groupBy("bytes").agg(F.count("*").alias("met")).where("met > 1"), "suffix-equal")
+    total = equal.agg(F.sum("met")).first()[0] or 0
+    again = common.join_counted(likely, equal, "bytes", "met", total).where("met is not null")
+    again = again.groupBy("class").agg(F.collect_set("at").alias("ats"))
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"))
+
+    single = F.transform("ats", lambda at: span(at, at + SPAN))
+    spans = F.when(F.col("met") > 1, F.array(span(F.lit(0), F.length("bytes")))).otherwise(single)
+    spans = classes.join(again, "class", "left").select("bytes", "rows", spans.alias("spans")).where("spans is not null")
+    spans = common.store(spans, "suffix-spans")
+    total = spans.agg(F.sum("rows")).first()[0] or 0
+    runs = common.join_counted(found, spans, "bytes", "rows", total).where("spans is not null")
+    runs = runs.select(*KEY, "spans", F.explode("starts").alias("first")).select(*KEY, "first", F.explode("spans").alias("s"))
+    return runs.select(*KEY, (F.col("first") + F.col("s.start")).alias("start"), (F.col("first") + F.col("s.end")).alias("end"))
 
 
 _TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32()]
 
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType] = _TYPES) -> pa.RecordBatch:
     columns = zip(*rows) if rows else [[]] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _TYPES)], names)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
 
 
 def covered_runs(frame: pd.DataFrame) -> pd.DataFrame:
@@ -404,8 +434,7 @@ def removed_runs(docs: DataFrame, with_text: bool = False) -> DataFrame:
     if total > cold:
         many = places.select(*KEY, F.filter("places", lambda p: p["hot"]).alias("places")).where(F.size("places") > 0)
         many = F.broadcast(many) if (many.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_PLACES else many
-        hot_runs, collided = repeated_windows(texts.join(many, KEY).select(*KEY, "places", "text"), buckets)
-        found = found.unionByName(collided) if collided is not None else found
+        hot_runs = repeated_windows(texts.join(many, KEY).select(*KEY, "places", "text"))
     runs = found.groupBy("bucket").applyInPandas(covered_runs, "_k long, _h int, start long, end long")
     runs = runs.unionByName(hot_runs) if hot_runs is not None else runs
     runs = runs.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("runs"))

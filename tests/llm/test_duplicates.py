@@ -79,6 +79,20 @@ def test_no_group_holds_the_copies_of_a_passage(spark, monkeypatch):
     assert largest <= 1000
 
 
+def test_copies_of_a_context_are_spelled_out_once(spark, monkeypatch):
+    """Windows of a frequent gram come of distinct contexts, so their number does not grow with the copies."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 100)
+    passage = "".join(hashlib.sha256(b"%d" % i).hexdigest() for i in range(16))
+    texts = [(i, hashlib.md5(b"%d" % i).hexdigest() + passage) for i in range(150)]
+    texts.append((150, texts[0][1][:-10] + texts[0][1]))  # a text that repeats itself
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    seen = []
+    original = suffix_dedup.hot_windows
+    monkeypatch.setattr(suffix_dedup, "hot_windows", lambda *a: seen.append(original(*a)) or seen[-1])
+    assert removed_by_spark(docs) == removed_by_brute_force(texts)
+    assert len(passage) - 2 * suffix_dedup.REACH <= seen[0].count() <= len(passage) + len(texts) * suffix_dedup.REACH
+
+
 def test_suffix_dedup_in_pieces(documents, monkeypatch):
     texts = [(i, t * 3) for i, t in near_copies(2, families=2)]
     assert removed_by_spark(documents(*texts)) == removed_by_brute_force(texts)
