@@ -6,7 +6,8 @@ is filled with a padding symbol. A document's probabilities are the means over i
 
 Every label and every labelled text is learned, whole: its windows are spread evenly, so that each byte lies in one.
 Languages weigh alike: the windows of rarer ones are repeated, at most `REPEATS` times, so that all together at most double, and
-weights do the rest; their counts come from all rows. The windows are dealt by hash into shards of about `SHARD` and
+weights do the rest; their counts come from all rows. Runs of at most `RUN` neighbouring windows travel as their text, which
+compresses, and are cut again where they are read; they are dealt by hash into shards of about `SHARD` windows and
 these into at most `ROUNDS` rounds, stored once. In a round each shard is passed over by a task, from the round's model on,
 and the models of its shards are averaged, as whole numbers, so that their order does not matter. So each window is
 met once or, if there are few, as often as `STEPS` steps need, more the more languages there are. The model holds some
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,7 @@ SYMBOLS = 257
 STEPS = 300
 LANGUAGES_A_STEP = 16  # beyond so many languages, steps grow with their number
 SHARD = 16_384  # windows
+RUN = 8  # windows
 ROUNDS = 8
 REPEATS = 64
 FIXED = 1 << 32  # the whole numbers in which models are added up
@@ -175,8 +178,21 @@ def spread_windows(data: bytes) -> list[bytes]:
     return [data[s : s + WINDOW] for s in np.linspace(0, max(0, len(data) - WINDOW), n).astype(int).tolist()]
 
 
+def window_runs(data: bytes) -> list[bytes]:
+    """The bytes of each run of `RUN` windows; `spread_windows` cuts as many windows of each."""
+    n = max(1, -(-len(data) // WINDOW))
+    starts = np.linspace(0, max(0, len(data) - WINDOW), n).astype(int).tolist()
+    return [data[run[0] : run[-1] + WINDOW] for run in (starts[i : i + RUN] for i in range(0, n, RUN))]
+
+
+def _windows_of_runs(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of all runs, and how many each has."""
+    cut = [spread_windows(run) for run in runs]
+    return windows_of([window for windows in cut for window in windows])[0], np.array([len(x) for x in cut], np.int64)
+
+
 def labelled_windows(labelled: DataFrame, repeats: dict[str, int]) -> DataFrame:
-    """Every window of the labelled texts, as often as its language is repeated."""
+    """Every run of windows of the labelled texts, as often as its language is repeated."""
     number = {lang: i for i, lang in enumerate(sorted(repeats))}
     names = ["label", "place", "at", "copy", "part"]
 
@@ -184,7 +200,7 @@ def labelled_windows(labelled: DataFrame, repeats: dict[str, int]) -> DataFrame:
         for batch in common.slices(batches, "text"):
             out = []
             for lang, place, text in zip(batch.column("lang").to_pylist(), batch.column("place").to_pylist(), common.texts_of(batch)):
-                for at, part in enumerate(spread_windows(text.encode())):
+                for at, part in enumerate(window_runs(text.encode())):
                     out += [(number[lang], place, at, copy, part) for copy in range(repeats[lang])]
                     if len(out) > 20_000:
                         yield _batch(out, names, types)
@@ -206,16 +222,19 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
 
     def shard(parts: list[pa.RecordBatch]) -> tuple[int, np.ndarray, np.ndarray]:
         whole = pa.concat_batches(parts)
-        order = np.lexsort([whole.column(c).to_numpy() for c in ("copy", "at", "place")])
-        windows = windows_of(whole.column("part").to_pylist())[0]
-        return whole.column("slot")[0].as_py(), windows[order], whole.column("label").to_numpy()[order]
+        whole = whole.take(pa.array(np.lexsort([whole.column(c).to_numpy() for c in ("copy", "at", "place")])))
+        windows, counts = _windows_of_runs(whole.column("part").to_pylist())
+        return whole.column("slot")[0].as_py(), windows, np.repeat(whole.column("label").to_numpy(), counts)
+
+    def many(parts: list[pa.RecordBatch]) -> bool:
+        return sum((np.maximum(1, -(-pc.binary_length(p.column("part")).to_numpy() // WINDOW))).sum() for p in parts) > 2 * SHARD
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
         slot = batch.column("slot").to_numpy()
         edges = [0, *(np.flatnonzero(slot[1:] != slot[:-1]) + 1).tolist(), len(slot)]
         for a, b in zip(edges, edges[1:]):
-            if held and (held[-1].column("slot")[0].as_py() != slot[a] or sum(map(len, held)) > 2 * SHARD):
+            if held and (held[-1].column("slot")[0].as_py() != slot[a] or many(held)):
                 yield shard(held)
                 held = []
             held.append(batch.slice(a, b - a))
@@ -251,7 +270,7 @@ def lowest(rows: DataFrame, model: Model) -> float:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, met = model.tables(), np.zeros(BINS + 1, np.int64)
         for batch in batches:
-            best = model.probabilities(windows_of(batch.column("part").to_pylist())[0], tables).max(1)
+            best = model.probabilities(_windows_of_runs(batch.column("part").to_pylist())[0], tables).max(1)
             met += np.bincount((best * BINS).astype(np.int64), minlength=BINS + 1)[: BINS + 1]
         bin_ = np.flatnonzero(met)
         yield pa.RecordBatch.from_arrays([pa.array(bin_.astype(np.int32)), pa.array(met[bin_])], ["bin", "n"])

@@ -229,6 +229,29 @@ def test_every_labelled_row_is_learned(documents, monkeypatch):
     assert len({len(w) for w in byte_cnn.spread_windows(b"x" * 5000)}) == 1
 
 
+def test_runs_hold_the_windows_of_their_text():
+    for n in (0, 1, 255, 256, 257, 2047, 2048, 2049, 2305, 5000, 70_000):
+        data = bytes(np.random.default_rng(n).integers(0, 256, n, np.uint8))
+        runs = byte_cnn.window_runs(data)
+        windows = [byte_cnn.spread_windows(run) for run in runs]
+        assert sum(map(len, windows)) == len(byte_cnn.spread_windows(data))
+        assert sum(map(len, runs)) < n + byte_cnn.WINDOW * (len(runs) + 1) and max(map(len, windows)) <= byte_cnn.RUN
+        covered, at = np.zeros(n, bool), 0
+        for run in runs:
+            at = data.index(run, at)
+            covered[at : at + len(run)] = True
+        assert covered.all()
+        for run, own in zip(runs, windows):  # each byte of a run lies in one of its windows
+            starts = np.linspace(0, max(0, len(run) - byte_cnn.WINDOW), len(own)).astype(int)
+            assert (np.diff(starts) <= byte_cnn.WINDOW).all() and [run[s : s + byte_cnn.WINDOW] for s in starts] == own
+
+
+def test_windows_travel_in_runs(documents):
+    text = "ein langer Text in einer Sprache " * 300
+    rows = byte_cnn.labelled_windows(documents((1, text, "de", "s"), (2, "kurz", "de", "s")), {"de": 2}).collect()
+    assert len(rows) == 2 * (1 + -(-len(byte_cnn.spread_windows(text.encode())) // byte_cnn.RUN))
+
+
 def test_windows_cover_every_byte():
     texts = [b"", b"a", b"x" * 256, b"y" * 257, bytes(range(256)) * 3]
     windows, counts = byte_cnn.windows_of(texts)
