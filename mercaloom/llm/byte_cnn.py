@@ -6,8 +6,8 @@ is filled with a padding symbol. A document's probabilities are the means over i
 
 Every label and every labelled text is learned, whole: its windows are spread evenly, so that each byte lies in one.
 Languages weigh alike: the windows of rarer ones are repeated, at most `REPEATS` times, so that all together at most double, and
-weights do the rest; their counts come from all rows. Runs of at most `RUN` neighbouring windows travel as their text, which
-compresses, and are cut again where they are read; they are dealt by hash into shards of about `SHARD` windows and
+weights do the rest; their counts come from all rows. Runs of at most `RUN` neighbouring windows travel as their text,
+packed run by run, and are cut again where they are read; they are dealt by hash into shards of about `SHARD` windows and
 these into at most `ROUNDS` rounds, stored once. In a round each shard is passed over by a task, from the round's model on,
 and the models of its shards are averaged, as whole numbers, so that their order does not matter. So each window is
 met once or, if there are few, as often as `STEPS` steps need, more the more languages there are. The model holds some
@@ -26,7 +26,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +43,7 @@ STEPS = 300
 LANGUAGES_A_STEP = 16  # beyond so many languages, steps grow with their number
 SHARD = 16_384  # windows
 RUN = 8  # windows
+PACKING, PACKING_LEVEL = "zstd", 3
 ROUNDS = 8
 REPEATS = 64
 FIXED = 1 << 32  # the whole numbers in which models are added up
@@ -185,6 +185,13 @@ def window_runs(data: bytes) -> list[bytes]:
     return [data[run[0] : run[-1] + WINDOW] for run in (starts[i : i + RUN] for i in range(0, n, RUN))]
 
 
+def runs_of(batch: pa.RecordBatch) -> list[bytes]:
+    """The runs of rows that `labelled_windows` packed."""
+    codec = pa.Codec(PACKING)
+    packed = zip(batch.column("part").to_pylist(), batch.column("size").to_pylist())
+    return [codec.decompress(part, size, asbytes=True) for part, size in packed]
+
+
 def _windows_of_runs(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The windows of all runs, and how many each has."""
     cut = [spread_windows(run) for run in runs]
@@ -192,25 +199,27 @@ def _windows_of_runs(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled_windows(labelled: DataFrame, repeats: dict[str, int]) -> DataFrame:
-    """Every run of windows of the labelled texts, as often as its language is repeated."""
+    """Every run of windows of the labelled texts, packed and with its size, as often as its language is repeated."""
     number = {lang: i for i, lang in enumerate(sorted(repeats))}
-    names = ["label", "place", "at", "copy", "part"]
+    names = ["label", "place", "at", "copy", "part", "size"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec(PACKING, PACKING_LEVEL)
         for batch in common.slices(batches, "text"):
             out = []
             for lang, place, text in zip(batch.column("lang").to_pylist(), batch.column("place").to_pylist(), common.texts_of(batch)):
-                for at, part in enumerate(window_runs(text.encode())):
-                    out += [(number[lang], place, at, copy, part) for copy in range(repeats[lang])]
+                for at, run in enumerate(window_runs(text.encode())):
+                    part = codec.compress(run, asbytes=True)
+                    out += [(number[lang], place, at, copy, part, len(run)) for copy in range(repeats[lang])]
                     if len(out) > 20_000:
                         yield _batch(out, names, types)
                         out = []
             if out:
                 yield _batch(out, names, types)
 
-    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    types = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32()]
     rows = labelled.select("lang", F.xxhash64("doc_id", "text").alias("place"), "text")
-    return rows.mapInArrow(cut, "label int, place long, at int, copy int, part binary")
+    return rows.mapInArrow(cut, "label int, place long, at int, copy int, part binary, size int")
 
 
 def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
@@ -223,11 +232,11 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray
     def shard(parts: list[pa.RecordBatch]) -> tuple[int, np.ndarray, np.ndarray]:
         whole = pa.concat_batches(parts)
         whole = whole.take(pa.array(np.lexsort([whole.column(c).to_numpy() for c in ("copy", "at", "place")])))
-        windows, counts = _windows_of_runs(whole.column("part").to_pylist())
+        windows, counts = _windows_of_runs(runs_of(whole))
         return whole.column("slot")[0].as_py(), windows, np.repeat(whole.column("label").to_numpy(), counts)
 
     def many(parts: list[pa.RecordBatch]) -> bool:
-        return sum((np.maximum(1, -(-pc.binary_length(p.column("part")).to_numpy() // WINDOW))).sum() for p in parts) > 2 * SHARD
+        return sum((np.maximum(1, -(-p.column("size").to_numpy() // WINDOW))).sum() for p in parts) > 2 * SHARD
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -270,12 +279,12 @@ def lowest(rows: DataFrame, model: Model) -> float:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, met = model.tables(), np.zeros(BINS + 1, np.int64)
         for batch in batches:
-            best = model.probabilities(_windows_of_runs(batch.column("part").to_pylist())[0], tables).max(1)
+            best = model.probabilities(_windows_of_runs(runs_of(batch))[0], tables).max(1)
             met += np.bincount((best * BINS).astype(np.int64), minlength=BINS + 1)[: BINS + 1]
         bin_ = np.flatnonzero(met)
         yield pa.RecordBatch.from_arrays([pa.array(bin_.astype(np.int32)), pa.array(met[bin_])], ["bin", "n"])
 
-    counted = rows.where("copy = 0").select("part").mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n"))
+    counted = rows.where("copy = 0").select("part", "size").mapInArrow(count, "bin int, n long").groupBy("bin").agg(F.sum("n"))
     bins, n = map(np.array, zip(*sorted(map(tuple, counted.collect()))))  # at most BINS rows
     total = np.cumsum(n)
     return float(bins[np.searchsorted(total, FLOOR_SHARE * total[-1], side="right")] / BINS)
@@ -301,7 +310,7 @@ def train(docs: DataFrame, with_floor: bool = True) -> Model | None:
     slot = F.pmod(F.xxhash64("place", "at", "copy"), F.lit(slots)).cast("int")
     dealt = labelled_windows(labelled, repeats).withColumn("slot", slot).repartitionById(slots, "slot")
     dealt.withColumn("round", F.col("slot") % rounds).write.options(compression="zstd").partitionBy("round").parquet(path)
-    schema = "label int, place long, at int, copy int, part binary, slot int, round int"
+    schema = "label int, place long, at int, copy int, part binary, size int, slot int, round int"
     windows = docs.sparkSession.read.schema(schema).parquet(path)
 
     values, passes = untrained(len(languages)), passes_of(drawn, len(languages))

@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -252,6 +253,16 @@ def test_windows_travel_in_runs(documents):
     assert len(rows) == 2 * (1 + -(-len(byte_cnn.spread_windows(text.encode())) // byte_cnn.RUN))
 
 
+def test_runs_travel_packed(documents):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices("der die und ein Haus Baum läuft schnell".split(), k=400)), "kurz", "x" * 9000]
+    labelled = documents(*((i, t, "de", "s") for i, t in enumerate(texts)))
+    rows = byte_cnn.labelled_windows(labelled, {"de": 1})
+    runs = [run for t in texts for run in byte_cnn.window_runs(t.encode())]
+    assert sorted(byte_cnn.runs_of(pa.RecordBatch.from_pylist([r.asDict() for r in rows.collect()]))) == sorted(runs)
+    assert rows.agg(F.sum(F.length("part"))).first()[0] < 0.6 * sum(map(len, runs))
+
+
 def test_windows_cover_every_byte():
     texts = [b"", b"a", b"x" * 256, b"y" * 257, bytes(range(256)) * 3]
     windows, counts = byte_cnn.windows_of(texts)
