@@ -1,21 +1,26 @@
 """Exact top-k inner-product search over an impact-ordered index, score at a time.
 
 The rows are dealt into blocks; in a block every dimension has its postings in the order of their values, cut into
-segments. For a query the impact of a segment is the most that it adds to a score above the dimension's least; segments
-are taken by descending impact, a threshold at a time, and add up in accumulators. A row's score is at most its
-accumulator plus, for each dimension not met yet, the threshold, and a slack for what floating sums can err. The k-th
-best exact score of rows met so far is a bound from below; the search ends when few rows can still reach it, which is
-proven for all others, and those are scored exactly in whole numbers. If few never are, all postings have been taken and all
-that remain are scored. Vectors so large that a score could leave 64 bits are refused with an error.
+segments. For a query the impact of a segment is the most that it adds to a score above the dimension's least. The
+segments of the highest impacts add up in accumulators, whose best rows are scored exactly in whole numbers: the k-th best
+such score is a bound from below. Then the dimensions' whole lists, also kept in row order so that they add up as vectors,
+are taken by descending impact. A row's score is at most its accumulator and what the lists not taken can add: the
+sum of their own highest impacts, or the product of the norms (about the block's mean) of what is left of the query and of
+the row, whichever is less, and a slack for what floating sums can err. Rows that can't reach the bound leave, which
+proves them out; the bound rises with exact scores of the best left; those that are left when they are few, or when all
+lists are taken, are scored exactly. Vectors so large that a score could leave 64 bits are refused with an error.
 
 Queries meet all rows block by block; the best k of each block are merged by a window, which Spark limits before the
-shuffle. Vectors that are null, empty or hold null or non-finite parts take no part; vectors meet those of their own
+shuffle. So the work grows with queries times rows, however much is proven out; a task holds a block and a chunk of queries.
+Vectors that are null, empty or hold null or non-finite parts take no part; vectors meet those of their own
 length; a row is not its own result, but another row of its id can be; rows that repeat are rows, and queries, of their
 own; rows with a null id take no part; an empty table gives none; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,9 +32,13 @@ TOP = 20
 SCALE = 64
 EVERY = 20
 BLOCK_ROWS = 16_384
-QUERY_ROWS = 1024
+QUERY_ROWS = 16_384
+FEW_QUERIES = 1024  # a chunk has no fewer to keep more tasks busy
 SEGMENTS = 32
-STEPS = (0.7, 0.55, 0.45, 0.38, 0.32, 0.27, 0.23, 0.19, 0.16, 0.13, 0.1, 0.07, 0.04, 0.0)
+FIRST_SEGMENTS = 16
+STEP = 8  # dimensions
+REACH = 0.5  # of the bound: what may be left to add at the first test
+SPARSE = 4  # rows leave when at most one in so many is left
 LARGEST = 1 << 63
 
 
@@ -45,47 +54,63 @@ class Block:
         self.low, self.high = values[:, 0].astype(np.float64), values[:, -1].astype(np.float64)
         self.cuts = np.unique(np.linspace(0, n, min(SEGMENTS, n) + 1).astype(np.int64))
         self.seg_low, self.seg_high = self.values[:, self.cuts[:-1]], self.values[:, self.cuts[1:] - 1]
+        self.centre = np.rint(vectors.mean(0))
+        apart = vectors - self.centre
+        self.columns = np.ascontiguousarray(apart.T, np.float32)
+        self.norms = (np.sqrt((apart**2).sum(1)) * (1 + 2e-6)).astype(np.float32)
+        self.norm, self.spread = float(self.norms.mean()), apart.std(0)
+
+    def strongest(self, weight: np.ndarray, top: int) -> np.ndarray:
+        """The best rows by what the segments of the highest impacts add up to."""
+        up = weight >= 0
+        least = np.where(up, weight * self.low, weight * self.high)  # of each dimension
+        impact = np.where(up[:, None], weight[:, None] * self.seg_high, weight[:, None] * self.seg_low) - least[:, None]
+        limit = np.partition(impact, max(0, impact.size - FIRST_SEGMENTS), None)[max(0, impact.size - FIRST_SEGMENTS)]
+        reach = (impact >= limit).sum(1)  # a run of segments: at the upper end, or the lower for negative weights
+        rows, adds = [], []
+        for d in np.flatnonzero(reach):
+            run = slice(self.cuts[-1 - reach[d]], None) if up[d] else slice(0, self.cuts[reach[d]])
+            rows.append(self.order[d, run])
+            adds.append(weight[d] * self.values[d, run] - least[d])
+        sums = np.bincount(np.concatenate(rows), np.concatenate(adds), len(self.ids))
+        return np.argpartition(-sums, min(top, len(sums) - 1))[: top + 1]
+
+    def floor(self, rows: np.ndarray, own: int, query: np.ndarray, top: int) -> float:
+        """The least of the best exact scores of some rows, if they are as many."""
+        exact = self.vectors[rows[self.rows[rows] != own]] @ query
+        return float(np.partition(exact, len(exact) - top)[len(exact) - top]) if len(exact) >= top else -np.inf
 
     def search(self, own: int, query: np.ndarray, top: int = TOP) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best rows but the query's own, ties to the smaller id."""
-        n = len(self.ids)
-        largest = np.maximum(np.abs(self.low), np.abs(self.high)) * np.abs(query.astype(np.float64))
+        weight = query.astype(np.float64)
+        largest = np.maximum(np.abs(self.low), np.abs(self.high)) * np.abs(weight)
         if largest.sum() >= LARGEST * 0.99:
             raise ValueError("a score can leave 64 bits")
-        slack = largest.sum() * 2.0**-40
-        weight = query.astype(np.float64)
-        up = weight >= 0
-        least = np.where(up, weight * self.low, weight * self.high)  # of each dimension
-        impact = np.where(up[:, None], weight[:, None] * self.seg_high, weight[:, None] * self.seg_low) - least[:, None]
-        most = impact.max(1)
-        taken = np.zeros(len(weight), np.int64)
-        sums, met, floor, rivals = np.zeros(n), np.zeros(n, np.int64), -np.inf, np.arange(n)
-        for share in STEPS:
-            limit = share * most.max(initial=0)
-            reach = (impact >= limit).sum(1)  # a run of segments: at the upper end, or the lower for negative weights
-            rows, adds = [], []
-            for d in np.flatnonzero(reach > taken):
-                a, b = taken[d], reach[d]
-                run = slice(self.cuts[-1 - b], self.cuts[-1 - a]) if up[d] else slice(self.cuts[a], self.cuts[b])
-                rows.append(self.order[d, run])
-                adds.append(weight[d] * self.values[d, run] - least[d])
-            taken = np.maximum(taken, reach)
-            if rows:
-                at = np.concatenate(rows)
-                sums += np.bincount(at, np.concatenate(adds), n)
-                met += np.bincount(at, minlength=n)
-            if limit == 0:
-                break
-            active = most >= limit
-            bound = sums + limit * (active.sum() - met) + most[~active].sum() + slack
-            best = np.argpartition(-bound, min(top, n - 1))[: top + 1]
-            exact = self.vectors[best] @ query
-            exact = np.sort(exact[self.rows[best] != own])[::-1]
-            if len(exact) >= top:
-                floor = max(floor, float(exact[top - 1]) - slack)
-            rivals = np.flatnonzero(bound + least.sum() >= floor)
-            if len(rivals) <= max(4 * top, n // 50):
+        slack = largest.sum() * (len(weight) + 8) * 2.0**-21
+        floor = self.floor(self.strongest(weight, top), own, query, top)
+        base = weight @ self.centre
+        dims = np.argsort(-np.abs(weight) * self.spread, kind="stable")
+        most = np.maximum(weight * (self.low - self.centre), weight * (self.high - self.centre))[dims]
+        left = np.append(np.cumsum(most[::-1])[::-1], 0)  # what the lists from each on can add
+        norm = np.append(np.sqrt(np.cumsum((weight[dims] ** 2)[::-1])[::-1]), 0)
+        likely = math.sqrt(2 * math.log(max(2, len(self.ids) / top))) * np.linalg.norm(weight * self.spread)  # of rows without order
+        done = int(np.argmax(norm * self.norm <= REACH * max(floor - base, likely)))  # before, too few could leave
+        weight = weight[dims].astype(np.float32)
+        sums, norms, rivals = weight[:done] @ self.columns[dims[:done]], self.norms, np.arange(len(self.ids))
+        while True:
+            best = rivals[np.argpartition(-sums, min(top, len(sums) - 1))[: top + 1]]
+            floor = max(floor, self.floor(best, own, query, top))
+            bound = sums + np.minimum(norms * np.float32(norm[done]), np.float32(left[done]))
+            stay = np.flatnonzero(bound >= floor - base - slack)
+            if done == len(dims) or len(stay) <= 4 * top:
+                rivals = rivals[stay]
                 break
+            if len(stay) * SPARSE <= len(self.ids):
+                sums, norms, rivals = sums[stay], norms[stay], rivals[stay]
+            taken = dims[done : done + STEP]
+            added = self.columns[taken] if len(rivals) == len(self.ids) else self.columns[taken[:, None], rivals]
+            sums = sums + weight[done : done + STEP] @ added
+            done += len(taken)
         rivals = rivals[self.rows[rivals] != own]
         scores = self.vectors[rivals] @ query
         order = np.lexsort((self.ids[rivals], -scores))[:top]
@@ -104,7 +129,9 @@ def top_k(rows: DataFrame, vector: str = "embedding", top: int = TOP, every: int
     points = common.store(points.withColumn("row", F.monotonically_increasing_id()), "topk")
     queries = points.where(F.col("vec_id") % every == 0)
     blocks = -(-points.count() // BLOCK_ROWS) or 1
-    chunks = -(-queries.count() // QUERY_ROWS) or 1
+    n_queries = queries.count()
+    busy = min(-(-n_queries // FEW_QUERIES), -(-common.shuffle_parts(rows.sparkSession) // blocks))
+    chunks = max(-(-n_queries // QUERY_ROWS), busy, 1)
     own = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
     chunk = F.pmod(F.xxhash64("v", "row"), F.lit(chunks)).cast("int")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -112,13 +139,14 @@ def top_k(rows: DataFrame, vector: str = "embedding", top: int = TOP, every: int
     right = queries.select("dim", all_of(blocks).alias("block"), chunk.alias("chunk"), "vec_id", "row", "v")
 
     def search(frame: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(frame) and len(asked):
-            block = Block(frame["vec_id"].to_numpy(), np.array(frame["v"].tolist(), np.int64), frame["row"].to_numpy())
-            for query_id, row, v in zip(asked["vec_id"], asked["row"], asked["v"]):
-                ids, scores = block.search(row, np.asarray(v, np.int64), top)
-                found.append(pd.DataFrame({"query_id": query_id, "query": row, "vec_id": ids, "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({c: [] for c in ("query_id", "query", "vec_id", "score")}, dtype="int64")
+        if not (len(frame) and len(asked)):
+            return pd.DataFrame({c: [] for c in ("query_id", "query", "vec_id", "score")}, dtype="int64")
+        block = Block(frame["vec_id"].to_numpy(), np.stack(frame["v"].to_numpy()).astype(np.int64), frame["row"].to_numpy())
+        found = [block.search(row, np.asarray(v, np.int64), top) for row, v in zip(asked["row"], asked["v"])]
+        sizes = [len(ids) for ids, _ in found]
+        by_query = {"query_id": asked["vec_id"].to_numpy().repeat(sizes), "query": asked["row"].to_numpy().repeat(sizes)}
+        ids, scores = map(np.concatenate, zip(*found))
+        return pd.DataFrame(by_query | {"vec_id": ids, "score": scores})
 
     schema = "query_id long, query long, vec_id long, score long"
     met = left.groupBy("dim", "block", "chunk").cogroup(right.groupBy("dim", "block", "chunk")).applyInPandas(search, schema)

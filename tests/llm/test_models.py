@@ -422,6 +422,46 @@ def test_search_stops_early_and_is_exact():
         assert ids.tolist() == order.tolist() and scores.tolist() == exact[order].tolist()
 
 
+@pytest.mark.parametrize(("shift", "part"), [(0, 0.75), (25, 1)])
+def test_search_reads_a_part_of_the_lists_of_vectors_without_order(shift, part):
+    """Of spread vectors, too, most rows leave before their postings are taken."""
+
+    class Counted(np.ndarray):
+        taken = 0
+
+        def __getitem__(self, key):
+            out = np.asarray(super().__getitem__(key))
+            Counted.taken += out.size if out.ndim else 0
+            return out
+
+    rng = np.random.default_rng(14)
+    data = np.floor(rng.normal(shift, 8, (6000, 64))).astype(np.int64)
+    block = impact_topk.Block(np.arange(6000), data)
+    block.order, block.columns = block.order.view(Counted), block.columns.view(Counted)
+    asked = range(0, 6000, 300)
+    for q in asked:
+        ids, scores = block.search(q, data[q])
+        exact = data @ data[q]
+        order = np.lexsort((np.arange(6000), -exact))
+        order = order[order != q][:20]
+        assert ids.tolist() == order.tolist() and scores.tolist() == exact[order].tolist()
+    assert 0 < Counted.taken < part * data.size * len(asked)
+
+
+def test_search_of_lists_of_all_kinds():
+    rng = np.random.default_rng(15)
+    far = rng.integers(-3, 4, (500, 6)) * np.array([1, 1, 1, 10**8, 0, 7])  # one list far wider than the others
+    near = np.ones((300, 6), np.int64) * 1000 + rng.integers(0, 2, (300, 6))
+    for data in (far, near, np.zeros((60, 3), np.int64), np.full((1, 2), 5), np.r_[near, near, near]):
+        block = impact_topk.Block(np.arange(len(data))[::-1].copy(), data)
+        for q in (*data[:7], -data[0], data[0] * 0, np.eye(data.shape[1], dtype=np.int64)[0]):
+            exact = data @ q
+            order = np.lexsort((block.ids, -exact))
+            order = order[block.rows[order] != 3][:20]
+            ids, scores = block.search(3, q)
+            assert ids.tolist() == block.ids[order].tolist() and scores.tolist() == exact[order].tolist()
+
+
 # ------------------------------------------------------------------ queries and pipeline
 
 
