@@ -149,7 +149,9 @@ def top_k(rows: DataFrame, vector: str = "embedding", top: int = TOP, every: int
         return pd.DataFrame(by_query | {"vec_id": ids, "score": scores})
 
     schema = "query_id long, query long, vec_id long, score long"
-    met = left.groupBy("dim", "block", "chunk").cogroup(right.groupBy("dim", "block", "chunk")).applyInPandas(search, schema)
+    keys = ("dim", "block", "chunk")  # a group is short to send and long to search, so few share a task
+    left, right = (side.repartition(blocks * chunks, *keys).groupBy(*keys) for side in (left, right))
+    met = left.cogroup(right).applyInPandas(search, schema)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -394,6 +394,15 @@ def test_top_k_of_large_parts(spark, size):
     assert found == plain_top_k(rows)
 
 
+def test_top_k_in_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(impact_topk, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(impact_topk, "FEW_QUERIES", 4)
+    rng = np.random.default_rng(16)
+    rows = [(i, np.float32(rng.normal(0, 0.2, 10 + i % 2)).tolist()) for i in range(500)]
+    found = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in impact_topk.top_k(vectors(spark, rows)).collect())
+    assert found == plain_top_k(rows)
+
+
 def test_top_k_refuses_scores_beyond_64_bits(spark):
     with pytest.raises(Exception, match="64 bits"):
         impact_topk.top_k(vectors(spark, [(0, [1e9] * 8), (1, [1e9] * 8)])).collect()
