@@ -13,6 +13,8 @@ texts in which white space meets are one unit.
 On Spark: tasks turn documents into blocks of some megabytes of text (`aligned_blocks`, stored once), each with its
 distinct pairs of ids and how often they are linked; `pair_counts` adds them up over all blocks; every block asks for
 its distinct pairs (`join_counted` bears pairs that all blocks hold) and gets the answers back beside its documents.
+What a block needs for that is packed bytes to Spark, cut into rows of `PIECE_BYTES`, because rows and row groups of
+many megabytes fill an executor's heap. New words are aligned some at a time, so that numpy's arrays stay small.
 
 Texts that are null, empty, or not given back byte for byte by either tokenizer have no tokens: zeros, and '' for the
 groups. A very long text is a block of its own. Rows of equal ids or texts are rows; a null id is kept; an empty table
@@ -21,8 +23,11 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterator
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,10 @@ SPACE = "▁"
 BLOCK_BYTES = 4 << 20
 # A task forgets its words beyond so many of them, or beyond so many bytes of them and their links.
 REMEMBERED_WORDS, REMEMBERED_BYTES = 150_000, 64 << 20
+# New units are aligned together up to so many characters; a longer one is aligned alone.
+LEARNED_CHARS = 128 << 10
+# A row holds at most so many bytes and pairs of a block, and a row group of stored rows ends beyond so many bytes.
+PIECE_BYTES, PIECE_PAIRS, ROW_GROUP_BYTES = 256 << 10, 1 << 14, 4 << 20
 
 DOCUMENT_COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -143,6 +152,12 @@ class Vocabularies:
         return self.piece.encode(units, num_threads=1)
 
 
+@functools.lru_cache(maxsize=1)
+def vocabularies(byte_path: str, piece_path: str) -> Vocabularies:
+    """Loaded once by a process, not by each task: the tokenizers library never frees the cache of a model it dropped."""
+    return Vocabularies(byte_path, piece_path)
+
+
 class Aligner:
     """Remembers units (words, or texts that have none) with their counts, groups and pairs of linked ids."""
 
@@ -161,9 +176,11 @@ class Aligner:
         self.groups: list[bytes] = []
         self.pairs, self.ends = np.zeros(0, np.int64), np.zeros(1, np.int64)
         self.held = 0
+        # what batches of rows took stays with Arrow else, more of it with every block
+        pa.default_memory_pool().release_unused()
 
     def place_all(self, texts: list[str]) -> list[np.ndarray]:
-        """The numbers of each text's units; new units are aligned together."""
+        """The numbers of each text's units; new units are aligned, many together."""
         if len(self.place) > REMEMBERED_WORDS or self.held > REMEMBERED_BYTES:
             self.forget()
         known = len(self.place)
@@ -171,8 +188,10 @@ class Aligner:
         for text in texts:
             units = self.v.units(text)
             found.append(np.fromiter(map(self.place.__getitem__, units), np.int64, len(units)))
-        if len(self.place) > known:
-            self._learn(list(self.place)[known:])
+        new = list(islice(self.place, known, None))
+        portion = np.cumsum([len(u) + 1 for u in new], dtype=np.int64) // LEARNED_CHARS
+        for start, end in pairwise([0, *(np.flatnonzero(np.diff(portion)) + 1).tolist(), len(new)] if new else []):
+            self._learn(new[start:end])
         return found
 
     def _learn(self, units: list[str]) -> None:
@@ -230,7 +249,7 @@ def token_groups(docs: DataFrame, byte_path: str | None = None, piece_path: str
     docs = docs.select("doc_id", "text")
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Vocabularies(*paths))
+        aligner = Aligner(vocabularies(*paths))
         for batch in common.slices(batches, "text", BLOCK_BYTES):
             units = aligner.place_all(common.texts_of(batch))
             shown = [aligner.groups_of(u).decode() if aligner.is_whole(u) else "" for u in units]
@@ -239,54 +258,78 @@ def token_groups(docs: DataFrame, byte_path: str | None = None, piece_path: str
     return docs.mapInArrow(groups, T.StructType([docs.schema["doc_id"], T.StructField("groups", T.StringType())]))
 
 
-def _list(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
+def _pack(columns: dict[str, pa.Array]) -> bytes:
+    """Columns of any lengths as bytes."""
+    lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns.values()]
+    row, sink = pa.RecordBatch.from_arrays(lists, list(columns)), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as stream:
+        stream.write_batch(row)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(data: bytes) -> dict[str, pa.Array]:
+    row = pa.ipc.open_stream(data).read_next_batch()
+    return {name: column.values for name, column in zip(row.schema.names, row.columns)}
+
+
+def _ranks(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ones of numbers below n in order, the place of each number among them, and how often each occurs."""
+    times = np.bincount(numbers, minlength=n)
+    distinct = np.flatnonzero(times)
+    place = np.zeros(n, np.int32)
+    place[distinct] = np.arange(len(distinct))
+    return distinct, place[numbers], times[distinct]
+
+
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The sums of runs of so many values."""
+    totals = np.r_[0, np.cumsum(values)]
+    return np.diff(totals[np.r_[0, np.cumsum(lengths)]])
 
 
 def aligned_blocks(docs: DataFrame, byte_path: str | None = None, piece_path: str | None = None) -> DataFrame:
-    """One row per block of documents, stored.
+    """Blocks of documents, stored; a block is one row or more, whose lists and `packed` bytes follow each other by `part`.
 
-    Per document its id, counts, the hash of its groups and, up to `doc_ends`, its units of the block (`doc_units`);
-    per unit, up to `unit_ends`, the places of its linked pairs (`unit_pairs`) among the block's distinct pairs (`pairs`),
-    which are linked `pair_links` times in the block.
+    Packed are per document its id, counts, the hash of its groups and its units of the block (`doc_units`, so many as
+    `doc_lengths` says); per unit the places of its linked pairs (`unit_pairs`, by `unit_lengths`) among the block's
+    distinct pairs (`pairs`, `PIECE_PAIRS` to a part), which are linked `pair_links` times in the block.
     """
     common.bound_batches(docs.sparkSession)
     paths = _paths(byte_path, piece_path)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    per_document = ", ".join(f"{c} array<long>" for c in (*DOCUMENT_COUNTS, "doc_ends"))
-    key = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"block long, doc_id array<{key}>, groups_sha256 array<string>, {per_document}, doc_units array<int>, "
-        "unit_pairs array<int>, unit_ends array<long>, pairs array<long>, pair_links array<long>"
-    )
+    schema = "block long, part int, packed binary, pairs array<long>, pair_links array<long>"
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Vocabularies(*paths))
+        aligner = Aligner(vocabularies(*paths))
         number = TaskContext.get().partitionId() << 33
         for number, batch in enumerate(common.slices(batches, "text", BLOCK_BYTES), number):
             found = aligner.place_all(common.texts_of(batch))
             whole = [aligner.is_whole(u) for u in found]
             found = [u if ok else u[:0] for u, ok in zip(found, whole)]
             hashes = [hashlib.sha256(aligner.groups_of(u)).hexdigest() if ok else "" for u, ok in zip(found, whole)]
-            flat, ends = np.concatenate(found), np.cumsum([len(u) for u in found])
-            sums = np.concatenate([np.zeros((1, len(DOCUMENT_COUNTS)), np.int64), np.cumsum(aligner.counts[flat], 0)])
-            counts = np.diff(sums[np.r_[0, ends]], axis=0)
-            units, doc_units, used = np.unique(flat, return_inverse=True, return_counts=True)
+            flat, lengths = np.concatenate(found), np.array([len(u) for u in found])
+            counts = {c: pa.array(_sums(aligner.counts[flat, i], lengths)) for i, c in enumerate(DOCUMENT_COUNTS)}
+            units, doc_units, used = _ranks(flat, len(aligner.good))
             n_links = np.diff(aligner.ends)[units]
             keys = aligner.pairs[_runs(aligner.ends[units], n_links)]
             pairs, unit_pairs = np.unique(keys, return_inverse=True)
             pair_links = np.bincount(unit_pairs, np.repeat(used, n_links), len(pairs)).astype(np.int64)
-            lists = [
-                *((c, pa.int64()) for c in counts.T), (ends, pa.int64()), (doc_units, pa.int32()), (unit_pairs, pa.int32()),
-                (np.cumsum(n_links), pa.int64()), (pairs, pa.int64()), (pair_links, pa.int64()),
+            data = _pack({
+                "doc_id": batch.column("doc_id"), **counts, "groups_sha256": pa.array(hashes, pa.string()),
+                "doc_lengths": pa.array(lengths, pa.int32()), "doc_units": pa.array(doc_units, pa.int32()),
+                "unit_lengths": pa.array(n_links, pa.int32()), "unit_pairs": pa.array(unit_pairs, pa.int32()),
+            })
+            parts = range(max(math.ceil(len(data) / PIECE_BYTES), math.ceil(len(pairs) / PIECE_PAIRS)))
+            columns = [
+                pa.array([number] * len(parts), pa.int64()), pa.array(parts, pa.int32()),
+                pa.array([data[i * PIECE_BYTES : (i + 1) * PIECE_BYTES] for i in parts], pa.binary()),
+                *(pa.array([x[i * PIECE_PAIRS : (i + 1) * PIECE_PAIRS] for i in parts], pa.list_(pa.int64())) for x in (pairs, pair_links)),
             ]
-            columns = [pa.array([number], pa.int64()), _list(batch.column("doc_id"), [0, batch.num_rows], batch.column("doc_id").type)]
-            columns.append(_list(hashes, [0, len(hashes)], pa.string()))
-            columns += [_list(x, [0, len(x)], kind) for x, kind in lists]
-            names = ["block", "doc_id", "groups_sha256", *DOCUMENT_COUNTS, "doc_ends", "doc_units", "unit_pairs", "unit_ends", "pairs", "pair_links"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays(columns, ["block", "part", "packed", "pairs", "pair_links"])
 
-    return common.store(docs.mapInArrow(align, schema), "alignment-blocks", **{"parquet.block.size": 8 << 20})
+    # without the second setting a row group holds 100 rows at least
+    small = {"parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 8}
+    return common.store(docs.mapInArrow(align, schema), "alignment-blocks", **small)
 
 
 def pair_counts(blocks: DataFrame, size_b: int) -> DataFrame:
@@ -302,30 +345,29 @@ def pair_counts(blocks: DataFrame, size_b: int) -> DataFrame:
     return with_best.select("pair", "links", (F.col("links") == F.col("highest")).alias("best"), "n_blocks")
 
 
-def score_documents(blocks: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The documents of the blocks with `n_best` and `count_sum`."""
-    asked = blocks.select(F.col("block").alias("asker"), F.posexplode("pairs").alias("place", "pair"))
+def score_documents(blocks: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
+    """The documents of the blocks, whose ids are of the type `key`, with `n_best` and `count_sum`."""
+    first = F.col("part").cast("long") * PIECE_PAIRS
+    asked = blocks.select(F.col("block").alias("asker"), first.alias("first"), F.posexplode("pairs").alias("place", "pair"))
+    asked = asked.select("asker", (F.col("first") + F.col("place")).alias("place"), "pair")
     total = pairs.agg(F.sum("n_blocks")).first()[0] or 0
     answers = common.join_counted(asked, pairs, "pair", "n_blocks", total).select("asker", "place", "links", "best")
-    asking = blocks.drop("pairs", "pair_links")
-    key = blocks.schema["doc_id"].dataType.elementType.simpleString()
+    asking = blocks.select("block", "part", "packed")
     counts = (*DOCUMENT_COUNTS, "n_best", "count_sum")
     schema = f"doc_id {key}, " + ", ".join(f"{c} long" for c in counts) + ", groups_sha256 string"
 
     def score(block: pa.Table, answers: pa.Table) -> pa.Table:
-        names = ["doc_id", *counts, "groups_sha256"]
-        row = {c: block.column(c).combine_chunks().values for c in block.column_names if c != "block"}
+        row = _unpack(b"".join(block.sort_by("part").column("packed").to_pylist()))
+        doc_units, doc_lengths, unit_pairs, unit_lengths = (
+            row[c].to_numpy() for c in ("doc_units", "doc_lengths", "unit_pairs", "unit_lengths")
+        )
         in_order = answers.sort_by("place")
-        values = np.c_[in_order.column("best").to_numpy().astype(np.int64), in_order.column("links").to_numpy()]
-
-        def sums(values: np.ndarray, members: pa.Array, ends: pa.Array) -> np.ndarray:
-            totals = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(values[members.to_numpy()], 0)])
-            return np.diff(totals[np.r_[0, ends.to_numpy()]], axis=0)
-
-        by_unit = sums(values, row["unit_pairs"], row["unit_ends"])
-        by_document = sums(by_unit, row["doc_units"], row["doc_ends"])
-        columns = [row["doc_id"], *(row[c] for c in DOCUMENT_COUNTS), *map(pa.array, by_document.T), row["groups_sha256"]]
-        return pa.Table.from_arrays(columns, names)
+        for name, asked in (("n_best", "best"), ("count_sum", "links")):
+            values = in_order.column(asked).to_numpy().astype(np.int64)
+            by_unit = _sums(values[unit_pairs], unit_lengths)
+            row[name] = pa.array(_sums(by_unit[doc_units], doc_lengths))
+        names = ["doc_id", *counts, "groups_sha256"]
+        return pa.Table.from_arrays([row[c] for c in names], names)
 
     return asking.groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(score, schema)
 
@@ -337,7 +379,7 @@ def align(docs: DataFrame, byte_path: str | None = None, piece_path: str | None
     byte_path, piece_path = _paths(byte_path, piece_path)
     size_b = sentencepiece.SentencePieceProcessor(model_file=piece_path).get_piece_size()
     blocks = aligned_blocks(docs, byte_path, piece_path)
-    return score_documents(blocks, pair_counts(blocks, size_b))
+    return score_documents(blocks, pair_counts(blocks, size_b), docs.schema["doc_id"].dataType.simpleString())
 
 
 def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:

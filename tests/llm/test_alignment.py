@@ -1,9 +1,13 @@
 """Token alignment against the two libraries and a plain comparison of all token ranges."""
 
 import hashlib
+import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -128,6 +132,53 @@ def test_forgetting_changes_nothing(monkeypatch):
         assert own.groups_of(own.place_all([text])[0]).decode() == plain(text)[2]
 
 
+def invented(n_words, seed=7):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("abcdefghijklmnoprstuvwz", k=rng.randint(3, 12))) for _ in range(n_words)]
+
+
+def test_rows_and_row_groups_of_blocks_are_small(spark, documents, monkeypatch):
+    for name, size in (("PIECE_BYTES", 16 << 10), ("PIECE_PAIRS", 500), ("ROW_GROUP_BYTES", 64 << 10)):
+        monkeypatch.setattr(token_alignment, name, size, raising=False)
+    words = invented(12_000)
+    texts = [(i, " ".join(words[400 * i : 400 * i + 800])) for i in range(30)]
+    docs = documents(*texts).coalesce(1)
+    blocks = token_alignment.aligned_blocks(docs)
+    rows = blocks.toArrow()
+    assert max(rows.slice(i, 1).nbytes for i in range(rows.num_rows)) < 32 << 10
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in blocks.inputFiles()]
+    assert max(m.row_group(i).total_byte_size for m in groups for i in range(m.num_row_groups)) < 256 << 10
+    want = sorted((str(i), *row) for (i, _), row in zip(texts, expected([t for _, t in texts])))
+    assert found_by(token_alignment.align(docs)) == want
+
+
+def test_learning_takes_little_beside_what_is_kept():
+    own = token_alignment.Aligner(OWN.v)
+    text = " ".join(invented(60_000))
+    tracemalloc.start()
+    try:
+        own.place_all([text])
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak - kept < 24 << 20, (kept, peak)
+
+
+def test_tasks_of_a_worker_load_the_vocabularies_once(spark, documents):
+    docs = documents(*((i, f"text number {i}") for i in range(60))).repartition(30)
+    token_alignment.aligned_blocks(docs)
+
+    def loads(batches):
+        from mercaloom.llm import token_alignment as there
+
+        for _ in batches:
+            x = there.vocabularies.cache_info()
+            yield pa.RecordBatch.from_pylist([{"misses": x.misses, "hits": x.hits}])
+
+    found = spark.range(0, 64, numPartitions=64).mapInArrow(loads, "misses long, hits long").collect()
+    assert max(r.misses for r in found) == 1 and max(r.hits for r in found) > 0
+
+
 def test_groups_as_real_output(spark, documents):
     docs = documents((1, "The cat"), (2, None))
     assert {r.doc_id: r.groups for r in token_alignment.token_groups(docs).collect()} == {1: plain("The cat")[2], 2: ""}
